@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once; a longer document is handled alone.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 12 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

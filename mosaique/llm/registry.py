@@ -4,11 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaique.llm import packing, token_counts
-from mosaique.llm.common import documents, shared_path
+from mosaique.llm import langid, media, packing, quality, token_counts, toxicity
+from mosaique.llm.common import documents, remainder, shared_path
 from mosaique.llm.tokens import public_path
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(documents(spark, sf_dir), remainder(4) == 2)
+
+
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels, remainder(3) == 1)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_path("word_bpe_49k.json"))
 
@@ -17,5 +34,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), shared_path(spark, "token-cache"), public_path("piece_bpe_32k.model"))
 
 
-QUERIES = {"op9_packing": op9_packing, "op10_token_counts": op10_token_counts}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_media_columns, op7_toxicity, op9_packing, op10_token_counts)}
 SQL: dict[str, str] = {}
