@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaique.llm import langid, media, packing, quality, token_counts, toxicity
+from mosaique.llm import langid, media, near_dups, packing, quality, token_counts, toxicity
 from mosaique.llm.common import documents, remainder, shared_path
 from mosaique.llm.tokens import public_path
 
@@ -21,6 +21,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(documents(spark, sf_dir))
 
 
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity(documents(spark, sf_dir), labels, remainder(3) == 1)
@@ -34,5 +38,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), shared_path(spark, "token-cache"), public_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_media_columns, op7_toxicity, op9_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_media_columns, op5_near_dups, op7_toxicity, op9_packing, op10_token_counts)}
 SQL: dict[str, str] = {}

@@ -189,8 +189,8 @@ def learn(rows: DataFrame) -> tuple[dict[str, float], tuple[float, float]]:
 
 
 def curve(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> tuple[float, float]:
-    """Logistic regression with classes of equal weight, by Newton's method."""
-    w = np.where(y, 0.5 / max(1, y.sum()), 0.5 / max(1, (~y).sum()))
+    """Logistic regression by Newton's method."""
+    w = np.full(len(x), 1 / max(1, len(x)))
     a, b = 0.0, 1.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
