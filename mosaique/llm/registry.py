@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaique.llm import langid, media, near_dups, packing, quality, token_counts, toxicity
+from mosaique.llm import brown, html_text, langid, media, near_dups, packing, quality, token_counts, toxicity, unigram
 from mosaique.llm.common import documents, remainder, shared_path
 from mosaique.llm.tokens import public_path
 
@@ -17,6 +17,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(documents(spark, sf_dir), remainder(4) == 2)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(documents(spark, sf_dir))
 
@@ -25,11 +29,19 @@ def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.class_scores(documents(spark, sf_dir), remainder(10) == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity(documents(spark, sf_dir), labels, remainder(3) == 1)
 
 
+def op8_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encoded(documents(spark, sf_dir), public_path("piece_bpe_32k.model"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), public_path("word_bpe_49k.json"))
 
@@ -38,5 +50,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), shared_path(spark, "token-cache"), public_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_media_columns, op5_near_dups, op7_toxicity, op9_packing, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_language_id,
+        op3_html_text,
+        op4_media_columns,
+        op5_near_dups,
+        op6_class_scores,
+        op7_toxicity,
+        op8_unigram,
+        op9_packing,
+        op10_token_counts,
+    )
+}
 SQL: dict[str, str] = {}
