@@ -120,10 +120,9 @@ class Report:
     statistics: DataFrame
 
 
-def full_report(s: DataFrame, areas: DataFrame, residents: DataFrame, params: Params, cache: bool = False) -> Report:
-    """All four reports. Y is used by each; `cache` keeps it (spilling to disk) while they are written."""
+def full_report(s: DataFrame, areas: DataFrame, residents: DataFrame, params: Params) -> Report:
+    """All four reports, lazily; each reads the state (a stored table) by itself, so nothing is held in executors' memory."""
     y = quantise(s, params)
-    y = y.persist() if cache else y
     p = top_anchor_distribution(y)
     weights = calibration_weights(p, residents, params) if params.with_calibration else None
     weighted = user_weights(y, weights)

@@ -23,7 +23,7 @@ from mosaique.operators.report import Report, full_report
 from mosaique.params import Params
 from mosaique.schemas import S
 from mosaique.sources.files import area_steps, empty_state, read_state
-from mosaique.sources.sinks import StateStore, check_request, write_report
+from mosaique.sources.sinks import StateStore, check_request, read_report, write_report
 
 
 class InvalidRequest(ValueError):
@@ -111,8 +111,9 @@ class ReportSession:
         r = Request(**self.at["request"])
         params = Params(**(self.params.__dict__ | {"with_calibration": r.with_calibration}))
         areas, residents = self.spark.read.parquet(r.areas), self.spark.read.parquet(r.residents)
-        out.report = full_report(s, areas, residents, params, cache=True)
-        out.folder = write_report(out.report, self.out, r.first, r.last)
+        made = full_report(s, areas, residents, params)
+        out.folder = write_report(made, self.out, r.first, r.last)
+        out.report = read_report(self.spark, out.folder)
 
     def ingest(self, period: int, h: DataFrame) -> Outcome:
         """Merges a period's rows (id as text); the last period also makes the report."""

@@ -120,8 +120,12 @@ def is_exhausted(rows: DataFrame) -> bool:
     return rows.isEmpty()
 
 
-_RECORD = struct.Struct("<16sHH4f")
-assert _RECORD.size == H_BYTES
+#: Fixed value: the layout of a record of H_BYTES bytes.
+RECORD = "<16sHH4f"
+
+
+def unpack(record: bytes) -> tuple:
+    return struct.unpack(RECORD, record)
 
 
 class FootprintSource(DataSource):
@@ -170,7 +174,7 @@ class _FootprintReader(DataSourceReader):
                 while left:
                     block = f.read(min(left, 4096 * H_BYTES))
                     left -= len(block)
-                    yield from _RECORD.iter_unpack(block)
+                    yield from struct.iter_unpack(RECORD, block)
 
 
 def read_footprints_binary(spark: SparkSession, path: str) -> DataFrame:
@@ -178,5 +182,5 @@ def read_footprints_binary(spark: SparkSession, path: str) -> DataFrame:
     size = spark.read.format("binaryFile").load(path).select("length").where(F.col("length") % H_BYTES != 0)
     if not size.isEmpty():
         raise ValueError(f"{path}: not whole records of {H_BYTES} bytes")
-    rows = spark.sparkContext.binaryRecords(path, H_BYTES).map(lambda r: _RECORD.unpack(bytes(r)))
+    rows = spark.sparkContext.binaryRecords(path, H_BYTES).map(unpack)
     return spark.createDataFrame(rows, BINARY)

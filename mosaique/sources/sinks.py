@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mosaique.functions.dates import date_of
 from mosaique.operators.report import Report
 from mosaique.params import MAX_AREA_ROWS, MAX_AREAS, MAX_RESIDENT_ROWS
-from mosaique.schemas import TILE, VALUES
+from mosaique.schemas import FINGERPRINT, FUF, STATISTICS, TILE, TOP_ANCHOR, VALUES
 
 COLUMNS = {
     "fingerprint_report": [*TILE, *VALUES],
@@ -45,6 +45,12 @@ def write_report(report: Report, out: str, first: int, last: int) -> str:
     return folder
 
 
+def read_report(spark: SparkSession, folder: str) -> Report:
+    """The report as it was written, which no longer needs the state it came from."""
+    kinds = (FINGERPRINT, TOP_ANCHOR, FUF, STATISTICS)
+    return Report(*(spark.read.schema(k).csv(f"{folder}/{topic}.csv", header=True) for topic, k in zip(COLUMNS, kinds, strict=True)))
+
+
 def write_binary(h: DataFrame, path: str) -> None:
     """H with binary ids of 16 bytes as records of 36 bytes, one file part for each partition, as rows of a binary column.
 
