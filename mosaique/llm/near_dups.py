@@ -5,11 +5,12 @@
 3. Inverted lists of retained values generate overlaps. Two sets at the similarity sought share half of what their sketches
    retain (the chance of less is below 1e-5), so with the values of a sketch in order of rarity, a partner is met in the
    lists of the first half: passages that many documents share stay out of them.
-4. A list is first searched as stars around a few members, so that a group of n near copies takes a few n pairs, not n * n.
-   The size ratio and the union sketch's estimate filter the pairs, then full sets confirm them (exact Jaccard).
-5. Confirmed links make components, by alternating minimum stars. Where a list still has members of several components,
-   members try further partners; at last every pair of different components in a list that was not yet tried is tried.
-   No link between different texts is lost to a cap.
+4. Lists of up to SMALL members give all their pairs. A longer one is first searched as stars around a few members, so that
+   n near copies give a few n pairs, not n * n. The size ratio and the union sketch's estimate filter the pairs, then full
+   sets confirm them (exact Jaccard).
+5. Confirmed links make components, by alternating minimum stars. Where a long list still has members of several components,
+   those outside its largest one are compared with every member, set by set, in blocks of BLOCK by BLOCK members that go to
+   different tasks; only links come out. So no link between different texts is lost to a cap.
 
 Nothing but numbers of rows reaches the driver.
 
@@ -35,7 +36,7 @@ from mosaique.llm.common import ascii_words, coded, slices, stored
 WORDS, SKETCH = 5, 64
 #: A link: 100 * intersection >= SIMILAR * union. A pair under LEAST_ESTIMATE by its sketches is not confirmed.
 SIMILAR, LEAST_ESTIMATE = 75, 0.5
-STARS, TRIES = 2, 3
+STARS, TRIES, SMALL, BLOCK = 2, 2, 8, 2000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -152,15 +153,70 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are links by their full sets. Only texts of ids in pairs travel, compressed."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """rep, packed: the texts of the ids, compressed before they travel."""
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(_pack, "rep long, packed binary")
-    texts = stored(texts.join(ids, "rep", "left_semi").groupBy("rep").agg(F.first("packed").alias("packed")), "texts")
+    return texts.join(ids, "rep", "left_semi").groupBy("rep").agg(F.first("packed").alias("packed"))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are links by their full sets."""
     left, right = texts.toDF("a", "pa"), texts.toDF("b", "pb")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").mapInArrow(_confirm, "a long, b long")
 
 
+def small_pairs(lists: DataFrame) -> DataFrame:
+    """a < b: all pairs of the lists of up to SMALL members."""
+    small = lists.where(F.col("size") <= SMALL)
+    x, y = small.select("value", F.col("rep").alias("a"), "n"), small.select("value", F.col("rep").alias("b"), F.col("n").alias("m"))
+    return x.join(y, "value").where((F.col("a") < F.col("b")) & _alike_sizes(F.col("n"), F.col("m"))).select("a", "b").distinct()
+
+
+def _across(group: pa.Table) -> pa.Table:
+    """Links of the members x of a block with its members y in other components: one for each x and component."""
+    import zstandard
+
+    open_ = zstandard.ZstdDecompressor()
+    rows = group.to_pydict()
+    packed = dict(zip(rows["rep"], rows["packed"], strict=True))
+    raw = pa.RecordBatch.from_arrays([pa.array(list(packed)), pa.array([open_.decompress(x) for x in packed.values()], pa.binary()).cast(pa.string())], ["rep", "text"])
+    sets: dict[int, np.ndarray] = {}
+    for part in slices(iter([raw])):
+        with np.errstate(over="ignore"):
+            sets.update(zip(part.column("rep").to_pylist(), shingle_sets(part.column("text")), strict=True))
+    of = dict(zip(rows["rep"], rows["component"], strict=True))
+    xs = [r for r, side in zip(rows["rep"], rows["side"], strict=True) if side]
+    ys = sorted(r for r, side in zip(rows["rep"], rows["side"], strict=True) if not side)
+    found: list[tuple[int, int]] = []
+    if xs and ys:
+        size = np.array([len(sets[y]) for y in ys])
+        known, codes = np.unique(np.concatenate([sets[y] for y in ys]), return_inverse=True)
+        starts, home, mark = np.cumsum(size) - size, np.array([of[y] for y in ys]), np.zeros(len(known), np.int32)
+        for x in xs:
+            at = np.searchsorted(known, sets[x])
+            at = at[known[np.minimum(at, len(known) - 1)] == sets[x]]
+            mark[at] = 1
+            both = np.add.reduceat(mark[codes], starts)
+            mark[at] = 0
+            hit = np.flatnonzero((100 * both >= SIMILAR * (len(sets[x]) + size - both)) & (home != of[x]))
+            _, first = np.unique(home[hit], return_index=True)
+            found += [(x, ys[k]) for k in hit[first].tolist()]
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
+def rest_links(lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links across the components of the open lists (value, rep, component)."""
+    counts = lists.groupBy("value", "component").agg(F.count("*").alias("k"))
+    most = counts.groupBy("value").agg(F.sum("k").alias("all"), F.max(F.struct("k", "component")).alias("top"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rows = lists.join(most.select("value", blocks(F.col("all")).alias("nj"), blocks(F.col("all") - F.col("top.k")).alias("ni"), F.col("top.component").alias("top")), "value")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    own = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
+    y = rows.select("value", upto(F.col("ni")).alias("i"), own(F.col("nj"), 1).alias("j"), F.lit(False).alias("side"), "rep", "component")
+    x = rows.where("component != top").select("value", own(F.col("ni"), 2).alias("i"), upto(F.col("nj")).alias("j"), F.lit(True).alias("side"), "rep", "component")
+    return y.union(x).join(texts, "rep").groupBy("value", "i", "j").applyInArrow(_across, "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id, component (its smallest id) of all ids in edges (a, b), by alternating stars to the smallest neighbour."""
     both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
@@ -182,37 +238,35 @@ def components(edges: DataFrame) -> DataFrame:
     return after.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
-def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the lists that hold more than one component, with component."""
-    named = lists.join(labels, F.col("rep") == F.col("id"), "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    open_ = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
-    return named.join(open_, "value", "left_semi")
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """value, rep, n, component of the members of long lists that hold more than one component."""
+    named = lists.where(F.col("size") > SMALL).join(labels, F.col("rep") == F.col("id"), "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    several = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
+    return named.join(several, "value", "left_semi")
 
 
 def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """id, component of all representatives that are linked with another."""
-    spark = docs.sparkSession
-    lists = stored(rare_lists(reps), "lists")
-    tried = stored(spark.createDataFrame([], "a long, b long"), "tried")
-    edges, labels = tried, tried.toDF("id", "component")
-    for turn in range(TRIES + 1):
-        rest = lists if turn == 0 else stored(_labelled(lists, labels), "open")
-        if turn < TRIES:
-            pairs = star_pairs(rest, turn, STARS)
-        else:  # whatever is left: all pairs of different components in a list, dealt by sizes too
-            step = F.floor(F.log("n") / F.log(F.lit(100 / SIMILAR))).cast("int")
-            sized = rest.select("*", F.explode(F.array(step, step + 1)).alias("size"))
-            x, y = sized.toDF("value", "a", "n", "ca", "size"), sized.toDF("value", "b", "m", "cb", "size")
-            pairs = x.join(y, ["value", "size"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _alike_sizes(F.col("n"), F.col("m")))
-            pairs = pairs.select("a", "b").distinct()
-        pairs = stored(estimated(pairs.join(tried, ["a", "b"], "left_anti"), reps), "pairs")
-        if not pairs.isEmpty():
-            tried = tried.union(pairs)
-            found = stored(confirmed(pairs, docs), "links")
-            if not found.isEmpty():
-                edges = edges.union(found)
-                labels = components(edges)
-    return labels
+    lists = rare_lists(reps)
+    sizes = lists.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
+    lists = stored(lists.join(sizes, "value"), "lists")
+    texts = stored(packed_texts(docs, lists.select("rep").distinct()), "texts")
+    tried, edges, labels = None, None, docs.sparkSession.createDataFrame([], "id long, component long")
+    for turn in range(TRIES):
+        if turn == 0:
+            pairs = small_pairs(lists).union(star_pairs(lists.where(F.col("size") > SMALL), turn, STARS)).distinct()
+        else:
+            pairs = star_pairs(_open(lists, labels), turn, STARS).join(tried, ["a", "b"], "left_anti")
+        pairs = stored(estimated(pairs, reps), "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = stored(confirmed(pairs, texts), "links")
+        edges = found if edges is None else edges.union(found)
+        labels = components(edges)
+    rest = stored(_open(lists, labels), "open")
+    if rest.isEmpty():
+        return labels
+    more = stored(rest_links(rest, texts), "links")
+    return labels if more.isEmpty() else components(edges.union(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
