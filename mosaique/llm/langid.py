@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from mosaique.llm.common import slices
 
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY, MOST_LANGS = 96, 4000, 112 << 10, 500
-BLOCK, LEVEL, NARROW = 2048, 3, 0.01
+BLOCK, LEVEL, NARROW = 2048, 12, 0.01
 UNKNOWN = "und"
 SCALE = 1 << 30
 
