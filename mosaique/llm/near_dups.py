@@ -15,8 +15,9 @@
 Nothing but numbers of rows reaches the driver.
 
 Fewer than five words: the whole sequence is one shingle. Null, empty or white text: no shingle, linked with nothing. A null
-doc_id: linked with nothing, kept. Repeated rows of one doc_id are one document; each row is returned. Ties do not arise:
-a component is named by its smallest id. Very long texts are read whole. An empty table gives an empty result. Other
+doc_id: linked with nothing, kept. Repeated rows of one doc_id are one document; each row is returned. If they differ in text,
+links are confirmed on one of its texts (the least in its compressed form). Ties do not arise: a component is named by its
+smallest id. Very long texts are read whole. An empty table gives an empty result. Other
 columns are ignored by `near_duplicates` and kept by `keep_one`.
 """
 
@@ -156,7 +157,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """rep, packed: the texts of the ids, compressed before they travel."""
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(_pack, "rep long, packed binary")
-    return texts.join(ids, "rep", "left_semi").groupBy("rep").agg(F.first("packed").alias("packed"))
+    return texts.join(ids, "rep", "left_semi").groupBy("rep").agg(F.min("packed").alias("packed"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -275,7 +276,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     full = signed.where("doc_id is not null and n_shingles > 0")
     reps = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     reps = stored(reps, "representatives")
-    # A repeated id with different texts would stand for several sets: the one with the smallest digest is compared.
     labels = links(docs, reps.select("rep", "n", "sketch"))
     named = reps.join(labels, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
