@@ -29,8 +29,8 @@ from mosaique.llm.common import coded, per_row, slices, spread
 from mosaique.llm.tokens import MARKER, marked_parts
 
 LOCKSTEP, UNKNOWN_COST = 48, 10.0
-#: States searched at a time for a place in the trie.
-SPAN = 2048
+#: States searched at a time for a place in the trie; parts walked together.
+SPAN, TOGETHER = 2048, 16_384
 MARK = MARKER.encode()
 
 
@@ -165,12 +165,17 @@ def encode_parts(parts: list[bytes], p: Pieces) -> list[list[int]]:
         out[i] = encode_one(parts[i], p)
     short = np.flatnonzero(size <= LOCKSTEP)
     short = short[np.argsort(-size[short], kind="stable")]
-    if not len(short):
-        return out
+    for at in range(0, len(short), TOGETHER):
+        _lockstep(parts, short[at : at + TOGETHER], size, p, out)
+    return out
+
+
+def _lockstep(parts: list[bytes], short: np.ndarray, size: np.ndarray, p: Pieces, out: list) -> None:
+    """Fills out for the parts numbered in short, all walked at the same time."""
     n, wide = size[short], int(size[short].max(initial=0))
     flat = np.frombuffer(b"".join(parts[i].ljust(wide, b"\0") for i in short.tolist()), np.uint8).reshape(len(short), wide).astype(np.int32)
     lead = (flat & 0xC0) != 0x80
-    width = np.where(flat < 0x80, 1, np.where(flat < 0xE0, 2, np.where(flat < 0xF0, 3, 4)))
+    width = np.where(flat < 0x80, 1, np.where(flat < 0xE0, 2, np.where(flat < 0xF0, 3, 4))).astype(np.int8)
     best = np.full((len(short), wide + 1), -np.inf, np.float32)
     best[:, 0] = 0
     begin, piece_at = np.zeros((len(short), wide + 1), np.int16), np.full((len(short), wide + 1), -1, np.int32)
@@ -211,7 +216,6 @@ def encode_parts(parts: list[bytes], p: Pieces) -> list[list[int]]:
                 path += reversed(_spell(-1, parts[i][a:at], p))
             at = a
         out[i] = path[::-1]
-    return out
 
 
 def encode(texts: pa.Array, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +247,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
         p: Pieces = shared.value
         is_byte = np.zeros(len(p.surface), bool)
         is_byte[p.byte_ids] = True
-        for part in slices(batches):
+        for part in slices(batches, limit=6 << 20):
             texts = pc.fill_null(part.column("text"), "")
             offsets, ids = encode(texts, p)
             raw = ids.astype("<u4")
