@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mosaique.llm import brown, html_text, near_dups, toxicity
-from mosaique.llm.common import remainder
+from mosaique.llm.common import remainder, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -152,6 +152,34 @@ def test_exchange_finds_two_alternating_classes():
     assert len({*home[::2]}) == 1 and len({*home[1::2]}) == 1 and home[0] != home[1]
 
 
+def test_every_word_but_rare_ones_gets_a_class_of_its_own(make, monkeypatch):
+    """Words behind the head that share their ending, but come in two kinds of places."""
+    rng = random.Random(12)
+    monkeypatch.setattr(brown, "HEAD", 4)
+    monkeypatch.setattr(brown, "CLASSES", 4)
+    noun, verb = [f"n{i}xx" for i in range(30)], [f"v{i}xx" for i in range(30)]
+    docs = make([" ".join(x for _ in range(20) for x in ("the", rng.choice(noun), "to", rng.choice(verb))) for _ in range(60)])
+    counts = stored(brown.word_counts(docs), "word-counts")
+    model = brown.train(docs, counts)
+    assert model.units.clustered == sum(r["n"] >= brown.LEAST for r in counts.collect()) > 50
+    of = lambda words: {int(model.home[u]) for u in model.units.find(pa.array(words))[0]}
+    assert len(of(noun)) == len(of(verb)) == 1 and of(noun) != of(verb)
+
+
+def test_gains_equal_counting_anew():
+    rng = np.random.default_rng(13)
+    pairs, home = rng.poisson(0.7, (12, 12)).astype(float), rng.integers(0, 3, 12)
+    table = lambda home: np.eye(3)[home].T @ pairs @ np.eye(3)[home]
+    got = brown.gains(table(home), home, pairs @ np.eye(3)[home], pairs.T @ np.eye(3)[home], np.diag(pairs).copy())
+    for w in range(12):
+        want = []
+        for c in range(3):
+            moved = home.copy()
+            moved[w] = c
+            want.append(brown.information(table(moved)) * pairs.sum())
+        assert np.allclose(got[w] - got[w].max(), np.array(want) - max(want))
+
+
 def test_class_scores_edges(odd):
     rows = brown.class_scores(odd, F.lit(False)).collect()
     assert len(rows) == 14 and all(math.isfinite(r["score"]) for r in rows)
