@@ -261,6 +261,15 @@ def test_pieces_edges(odd):
     assert unigram.encoded(odd.limit(0), PIECES).count() == 0
 
 
+def test_junk_that_lies_off_a_language_is_rejected(spark):
+    """Recall of bad labels, not only what good ones keep."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").alias("good"), "toxic")
+    rows = quality.quality(spark.read.parquet(f"{sf}/documents.parquet")).where("not base_failed").join(labels, "doc_id").collect()
+    good, bad = [r["kept"] for r in rows if r["good"] == 1], [r["kept"] for r in rows if r["good"] == 0 and r["toxic"] == 0]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.3
+
+
 def test_quality_edges(odd):
     rows = quality.quality(odd).collect()
     assert len(rows) == 14 and not any(r["kept"] for r in rows if r["base_failed"])
