@@ -4,9 +4,10 @@ The model is a modified Kneser-Ney model of symbol 4-grams. Characters fold to A
 has at most ALPHABET ** 4 entries (a proven bound for what is broadcast), while Spark counts every 4-gram of every text.
 It is stored as sorted hash arrays, one for each order: keys, log probabilities, and log back-off weights of contexts.
 
-A document's log perplexity is the mean negative log10 probability of its characters. Quartiles over all documents of a
-language (lang; null is a language of its own) set its band, wider for short texts, whose means scatter more. A language
-of fewer than LEAST_DOCS documents, or not among the MOST_LANGS most frequent ones, takes the band of all documents.
+A document's log perplexity is the mean negative log10 probability of its characters. The median and the quartiles over all
+documents with a word of a language (lang; null is a language of its own) set its band, wider for short texts, whose means
+scatter more. The same rule holds for any number of documents: the quartiles of few are drawn towards those of all languages,
+around the language's own median.
 
 Null or empty text: no words, so base_failed. Repeated rows each get their row. Very long texts are read whole. Ties of
 quartiles are exact (an exact percentile of values rounded to 3 digits). A band of no width never rejects what lies on
@@ -31,10 +32,10 @@ ALPHABET = 40
 FEWEST_WORDS = 10
 MOST_REPEATED = 20
 WINDOW = 5
-LEAST_DOCS = 100
+#: Texts as which the spread of all languages counts in that of one.
+PRIOR = 20
 #: Bytes of text at once: some forty bytes of arrays a character.
 SLICE = 4 << 20
-MOST_LANGS = 1000
 #: Half-widths of a band beyond its quartiles, in interquartile ranges, and the length below which it widens. The widths are
 #: those that lose about a quarter of a percent of the documents labelled good at sf0.1 (figures in the README).
 BELOW, ABOVE, SHORT = 2.5, 2.5, 400
@@ -244,24 +245,35 @@ def scored(docs: DataFrame, model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(score, BASE)
 
 
-def bands(scores: DataFrame) -> dict[str | None, tuple[float, float]]:
-    """Quartiles of log_perplexity by language, of texts that have a word and are not short; key "" is all documents."""
-    some = scores.where((F.col("n_words") >= FEWEST_WORDS) & (F.col("n_chars") >= SHORT))
-    some = some.select(F.coalesce("lang", F.lit("\0null")).alias("lang"), "log_perplexity")
-    # Values are rounded to 3 digits, so the exact percentile keeps few distinct ones for each group.
-    quartiles = F.percentile("log_perplexity", F.array(F.lit(0.25), F.lit(0.75))).alias("q")
-    every = some.agg(quartiles).collect()[0]["q"]
-    own = some.groupBy("lang").agg(F.count("*").alias("n"), quartiles).where(F.col("n") >= LEAST_DOCS)
-    out = {r["lang"]: tuple(r["q"]) for r in own.orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
-    return out | {"": tuple(every) if every else (0.0, 99.0)}
+def _scatter(size):
+    """How much wider texts of a size scatter than very long ones."""
+    return np.sqrt(1 + SHORT / np.maximum(size, 1))
 
 
-def verdict(found: dict[str, tuple[float, float]], lang: list, n_words: np.ndarray, n_repeat: np.ndarray, size: np.ndarray, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bands(scores: DataFrame) -> dict[str | None, tuple[float, float, float]]:
+    """By language: median of log_perplexity over all texts that have a word, and quartiles of the distance from it over the
+    scatter of a text's size. These are averaged with those of all languages, which count as PRIOR texts."""
+    some = scores.where("n_words > 0").select(F.coalesce("lang", F.lit("\0null")).alias("lang"), "log_perplexity", "n_chars")
+    # Values are rounded to 3 and 4 digits, so the exact percentile keeps few distinct ones for each group.
+    middle = some.groupBy("lang").agg(F.percentile("log_perplexity", F.lit(0.5)).alias("middle"))
+    far = F.round((F.col("log_perplexity") - F.col("middle")) / F.sqrt(1 + SHORT / F.greatest("n_chars", F.lit(1))), 4)
+    each = some.join(F.broadcast(middle), "lang").withColumn("far", far)
+    quartiles = F.percentile("far", F.array(F.lit(0.25), F.lit(0.75))).alias("q")
+    rows = each.groupBy("lang").agg(F.count("*").alias("n"), F.first("middle").alias("middle"), quartiles).collect()  # one a language
+    if not rows:
+        return {}
+    n, q = np.array([r["n"] for r in rows]), np.array([r["q"] for r in rows])
+    q = (n[:, None] * q + PRIOR * np.average(q, axis=0, weights=n)) / (n[:, None] + PRIOR)
+    return {r["lang"]: (r["middle"], *x) for r, x in zip(rows, q.tolist(), strict=True)}
+
+
+def verdict(found: dict[str, tuple[float, float, float]], lang: list, n_words: np.ndarray, n_repeat: np.ndarray, size: np.ndarray, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """base_failed, kept."""
     failed = (n_words < FEWEST_WORDS) | (100 * n_repeat > MOST_REPEATED * n_words)
-    edge = np.array([found.get("\0null" if x is None else x, found[""]) for x in lang]).reshape(-1, 2)
-    wide = np.maximum(edge[:, 1] - edge[:, 0], 0.01) * np.sqrt(1 + SHORT / np.maximum(size, 1))
-    return failed, ~failed & (mean >= edge[:, 0] - BELOW * wide) & (mean <= edge[:, 1] + ABOVE * wide)
+    # A language without a band has no text with a word, which fails.
+    middle, low, high = np.array([found.get("\0null" if x is None else x, (0.0, 0.0, 0.0)) for x in lang]).reshape(-1, 3).T
+    wide, far = np.maximum(high - low, 0.01), (mean - middle) / _scatter(size)
+    return failed, ~failed & (far >= low - BELOW * wide) & (far <= high + ABOVE * wide)
 
 
 def _fitted(docs: DataFrame):

@@ -270,6 +270,16 @@ def test_junk_that_lies_off_a_language_is_rejected(spark):
     assert np.mean(good) > 0.99 and np.mean(bad) < 0.3
 
 
+@pytest.mark.parametrize("size", [1000, 200])
+def test_a_language_of_few_or_short_texts_has_its_own_band(spark, size):
+    """20 texts around 0.87 beside 300 around 0.95."""
+    rows = [("en", 300, 0.95, 1000), ("es", 20, 0.87, size)]
+    scores = spark.createDataFrame([(g, 50, n, m + 0.005 * (i % 5 - 2)) for g, k, m, n in rows for i in range(k)], "lang string, n_words long, n_chars long, log_perplexity double")
+    found = quality.bands(scores)
+    fifty, none = np.array([50, 50, 50]), np.zeros(3)
+    assert quality.verdict(found, ["en", "es", "es"], fifty, none, np.full(3, size), np.array([0.95, 0.87, 0.99]))[1].tolist() == [True, True, False]
+
+
 def test_quality_edges(odd):
     rows = quality.quality(odd).collect()
     assert len(rows) == 14 and not any(r["kept"] for r in rows if r["base_failed"])
