@@ -10,8 +10,8 @@ less than CONVERGED of itself. Only class tables and moves reach the driver.
 P(text) is the product of P(class | class before) * P(unit | class), and for a word behind an ending P(word | ending) with
 add-0.1 counts.
 
-Tasks get the units' hashes, counts, ranks and emissions (20 bytes a unit, at least the KNOWN_HASHES most frequent words);
-rarer words are joined with the stored table, each distinct word of a text once.
+Tasks get the hashes, counts, ranks and emissions (20 bytes each) of all clustered words, and of as many rarer ones as make no
+more than KNOWN_HASHES in all; other words are joined with the stored table, each distinct word of a text once.
 
 Null and empty text: the end token alone. Repeated rows are texts of their own, in counts and scores. Very long texts are
 read whole. With no training text, classes and words are all equally likely. An empty table gives an empty result. Ties in
@@ -36,7 +36,7 @@ ENDING, ADD, PRIOR = 2, 0.1, 20.0
 #: Words of fewer occurrences are behind endings. Share of the mutual information that a round of exchange must add.
 LEAST, CONVERGED = 10, 0.001
 #: Bigrams that a task gathers before it hands them on, nonzero counts that are weighed at once, buckets a partition.
-GATHER, WEIGHED, BUCKETS = 4_000_000, 20_000, 4
+GATHER, WEIGHED, BUCKETS = 1_000_000, 10_000, 4
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -356,10 +356,11 @@ def train(docs: DataFrame, counts: DataFrame) -> Model:
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()[0]
     total, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
     floor, held = 1, 0
-    for r in counts.groupBy("n").agg(F.count("*").alias("v")).orderBy(F.desc("n")).collect():  # as many rows as different counts
+    by_size = F.floor(F.log2("n")).cast("int").alias("log2")
+    for r in counts.groupBy(by_size).agg(F.count("*").alias("v")).orderBy(F.desc("log2")).collect():  # 63 rows at most
         held += r["v"]
         if held > KNOWN_HASHES:
-            floor = r["n"] + 1
+            floor = 2 << r["log2"]
             break
     floor = min(floor, LEAST)  # every clustered word is in the hash arrays
     by_ending = counts.groupBy(F.expr(f"right(word, {ENDING})").alias("ending")).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") < LEAST, F.col("n")).otherwise(0)).alias("n"), F.sum((F.col("n") < LEAST).cast("long")).alias("v"))

@@ -12,8 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker handles at once; a longer document is handled alone.
-SLICE_BYTES = 12 << 20
+#: Bytes of text that a Python worker handles at once; a longer document is handled alone. The arrays that an operator makes
+#: of a slice take up to some forty times its bytes.
+SLICE_BYTES = 3 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +22,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The folder that all executors share (spark.checkpoint.dir). Where it is unset, a temporary one serves a session on this
+    machine alone; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="mosaique-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -50,14 +54,23 @@ def text_of(column: str = "text") -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each has at most limit bytes of text, one row at least."""
+    """The batches cut so that each has at most limit bytes of text, one row at least. Memory that a slice has used is given
+    back before the next, so that a worker that is kept for later tasks doesn't hold the most it ever took."""
     for batch in batches:
-        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64))
         at = 0
         while at < batch.num_rows:
-            n = max(1, int(np.searchsorted(np.cumsum(size[at:]), limit, side="right")))
+            before = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, before + limit, side="right")) - at)
             yield batch.slice(at, n)
             at += n
+            release()
+
+
+def release() -> None:
+    """Gives free memory back to the system, Arrow's and (through the system's pool) Python's and numpy's."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:

@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from mosaique.llm.common import ascii_words, coded, slices, stored
+from mosaique.llm.common import ascii_words, coded, release, slices, stored
 
 WORDS, SKETCH = 5, 64
 #: A link: 100 * intersection >= SIMILAR * union. A pair under LEAST_ESTIMATE by its sketches is not confirmed.
 SIMILAR, LEAST_ESTIMATE = 75, 0.5
 STARS, TRIES, SMALL, BLOCK = 2, 2, 8, 2000
+#: Bytes of texts that are open at once, and of packed texts whose pairs are confirmed together.
+OPENED, PACKED = 2 << 20, 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,25 +135,40 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["rep", "packed"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(packed: dict[int, bytes]) -> dict[int, np.ndarray]:
+    """Shingle sets of packed texts by id; texts are opened a slice at a time."""
     import zstandard
 
     open_ = zstandard.ZstdDecompressor()
+    ids, sets, at = list(packed), {}, 0
+    while at < len(ids):
+        some, size = [], 0
+        while at < len(ids) and (not some or size < OPENED):
+            some.append(open_.decompress(packed[ids[at]]))
+            size += len(some[-1])
+            at += 1
+        with np.errstate(over="ignore"):
+            sets.update(zip(ids[at - len(some) : at], shingle_sets(pa.array(some, pa.binary()).cast(pa.string())), strict=True))
+    return sets
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 2000):
-            batch = whole.slice(at, 2000)
+        # Slices by the packed size of both texts.
+        weight = pc.add(pc.binary_length(whole.column("pa")), pc.binary_length(whole.column("pb")))
+        ends, at = np.cumsum(np.asarray(weight, dtype=np.int64)), 0
+        while at < whole.num_rows:
+            before = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, before + PACKED, side="right")) - at)
+            batch, at = whole.slice(at, n), at + n
             ids = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            packed = dict(zip(ids[0] + ids[1], batch.column("pa").to_pylist() + batch.column("pb").to_pylist(), strict=True))
-            texts = pa.RecordBatch.from_arrays([pa.array(list(packed)), pa.array([open_.decompress(x) for x in packed.values()], pa.binary()).cast(pa.string())], ["rep", "text"])
-            sets: dict[int, np.ndarray] = {}
-            for part in slices(iter([texts])):
-                with np.errstate(over="ignore"):
-                    sets.update(zip(part.column("rep").to_pylist(), shingle_sets(part.column("text")), strict=True))
+            sets = _sets(dict(zip(ids[0] + ids[1], batch.column("pa").to_pylist() + batch.column("pb").to_pylist(), strict=True)))
             linked = []
             for a, b in zip(*ids, strict=True):
                 both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
                 linked.append(100 * both >= SIMILAR * (len(sets[a]) + len(sets[b]) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        release()
 
 
 def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -175,16 +192,8 @@ def small_pairs(lists: DataFrame) -> DataFrame:
 
 def _across(group: pa.Table) -> pa.Table:
     """Links of the members x of a block with its members y in other components: one for each x and component."""
-    import zstandard
-
-    open_ = zstandard.ZstdDecompressor()
     rows = group.to_pydict()
-    packed = dict(zip(rows["rep"], rows["packed"], strict=True))
-    raw = pa.RecordBatch.from_arrays([pa.array(list(packed)), pa.array([open_.decompress(x) for x in packed.values()], pa.binary()).cast(pa.string())], ["rep", "text"])
-    sets: dict[int, np.ndarray] = {}
-    for part in slices(iter([raw])):
-        with np.errstate(over="ignore"):
-            sets.update(zip(part.column("rep").to_pylist(), shingle_sets(part.column("text")), strict=True))
+    sets = _sets(dict(zip(rows["rep"], rows["packed"], strict=True)))
     of = dict(zip(rows["rep"], rows["component"], strict=True))
     xs = [r for r, side in zip(rows["rep"], rows["side"], strict=True) if side]
     ys = sorted(r for r, side in zip(rows["rep"], rows["side"], strict=True) if not side)

@@ -7,6 +7,7 @@ are those of its parts. Every distinct part of a slice of texts goes to the libr
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,16 @@ class WordIds:
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
 
-    def _each(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _each(self, texts: list[str], together: int) -> Iterator[np.ndarray]:
+        """Ids of each text; the library's own objects, of some hundred bytes a token, live for few texts at once."""
+        for at in range(0, len(texts), together):
+            for x in self.tokenizer.encode_batch_fast(texts[at : at + together], add_special_tokens=False):
+                yield np.array(x.ids, np.uint32)
 
     def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters or of marks only, and how many each has: one id of each ends the word."""
         texts = [" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
-        ids = np.fromiter((i for x in self._each(texts) for i in x), np.uint32)
+        ids = np.concatenate([np.zeros(0, np.uint32), *self._each(texts, 16)])
         last = np.flatnonzero(self.ends[ids])
         return ids, np.diff(np.concatenate(([-1], last)))
 
@@ -61,7 +65,7 @@ class WordIds:
         count = np.zeros(len(units), np.int64)
         count[[i for i, x in enumerate(units) if x]] = many
         begin = np.cumsum(count) - count
-        odd = self._each(distinct.filter(pa.array(~plain)).to_pylist())
+        odd = list(self._each(distinct.filter(pa.array(~plain)).to_pylist(), 1000))
         n = int(plain.sum())
         # Ids of each distinct word: of its letters, then of its marks; or of the odd word as a whole.
         begins, counts = np.zeros((len(distinct), 2), np.int64), np.zeros((len(distinct), 2), np.int64)
@@ -70,7 +74,7 @@ class WordIds:
         lengths = np.array([len(x) for x in odd], np.int64)
         begins[~plain, 0] = len(ids) + np.cumsum(lengths) - lengths
         counts[~plain, 0] = lengths
-        pool = np.concatenate((ids, np.fromiter((i for x in odd for i in x), np.uint32)))
+        pool = np.concatenate([ids, *odd])
         each = counts.sum(1)
         pool = pool[spread(begins.ravel(), counts.ravel())]
         first = np.cumsum(each) - each
