@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Bytes of text that a Python worker handles at once; a longer document is handled alone. The arrays that an operator makes
 #: of a slice take up to some forty times its bytes.
 SLICE_BYTES = 3 << 20
+#: Keys with 1 / HOT of all rows, and LEAST_HOT rows, are joined without a shuffle by them.
+HOT, LEAST_HOT = 10_000, 200
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,13 +39,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/mosaique/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df as a written table in the shared folder: it cuts the lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hot_join(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """rows (a cheap plan, of `total` rows) left-joined with table, which is unique by key.
+
+    A key that a HOT-th of the rows or more have is one of HOT keys at most: the table's rows of those are broadcast. Rows with
+    such a key, or none, are dealt by their number instead of their key, so that no task gets them all."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where((F.col("_n") * HOT >= total) & (F.col("_n") >= LEAST_HOT) & F.col(key).isNotNull())
+    names = [c for c in table.columns if c != key]
+    hot = table.join(F.broadcast(counts.select(key)), key).select(key, F.struct(*names).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    apart = F.col("_hot").isNotNull() | F.col(key).isNull()
+    number = F.unhex(F.hex(F.monotonically_increasing_id())) if dict(rows.dtypes)[key] == "binary" else F.monotonically_increasing_id()
+    # Rows that are dealt apart may meet a row of the table by chance, which is then not theirs.
+    marked = marked.withColumn("_apart", apart).withColumn("_key", F.when(apart, number).otherwise(F.col(key)))
+    joined = marked.join(table.withColumnRenamed(key, "_key"), "_key", "left")
+    found = [F.when(F.col("_apart"), F.col(f"_hot.{c}")).otherwise(F.col(c)).alias(c) for c in names]
+    return joined.select(*(rows.columns), *found)
+
+
 def remainder(n: int, doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n

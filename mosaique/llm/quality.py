@@ -1,12 +1,17 @@
 """Quality rules: base counts, and an n-gram perplexity with a lower and an upper band for each language.
 
-The model is a modified Kneser-Ney model of symbol 4-grams. Characters fold to ALPHABET classes, so a model of any corpus
-has at most ALPHABET ** 4 entries (a proven bound for what is broadcast), while Spark counts every 4-gram of every text.
-It is stored as sorted hash arrays, one for each order: keys, log probabilities, and log back-off weights of contexts.
-
-A document's log perplexity is the mean negative log10 probability of its characters. The median and the quartiles over all
-documents with a word of a language (lang; null is a language of its own) set its band, wider for short texts, whose means
-scatter more. The same rule holds for any number of documents: the quartiles of few are drawn towards those of all languages,
+The model is a modified Kneser-Ney model of the code points' n-grams, of all orders up to ORDER. Spark counts every n-gram of
+every text, derives the lower orders' continuation counts, the discounts and the back-off weights, and joins them to
+probabilities; all of that is stored by n-gram. So the model grows with the corpus, and nothing of it is cut.
+
+Scores read it as sorted hash arrays: for each order the n-grams' hashes with log probabilities, and the contexts' hashes with
+log back-off weights, with an index of the leading bits. They are broadcast where they have HELD entries (12 bytes each) at
+most. A larger model stays where it is: the distinct n-grams of each distinct text are joined with it. Both ways score alike.
+
+A document has two log perplexities: the negative log10 probability of all its code points by word, and by code point in words.
+Marks and symbols around words raise both, lone ones lower the first, and what is spelled evenly lowers the second. The median
+and the quartiles over all documents with a word of a language (lang; null is a language of its own) set a band for each, wider
+for short texts, whose means scatter more; a document outside either band is rejected. The same rule holds for any number of documents: the quartiles of few are drawn towards those of all languages,
 around the language's own median.
 
 Null or empty text: no words, so base_failed. Repeated rows each get their row. Very long texts are read whole. Ties of
@@ -16,8 +21,8 @@ its edge. An empty table gives an empty result. Other columns are ignored by `qu
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,142 +30,199 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.llm.common import ascii_words, coded, per_row, slices, stored
+from mosaique.llm.common import ascii_words, coded, hot_join, per_row, slices, spread, stored, text_of
 
-ORDER = 4
-ALPHABET = 40
+ORDER = 5
 FEWEST_WORDS = 10
 MOST_REPEATED = 20
 WINDOW = 5
 #: Texts as which the spread of all languages counts in that of one.
 PRIOR = 20
-#: Bytes of text at once: some forty bytes of arrays a character.
-SLICE = 4 << 20
+#: Bytes of text at once (some sixty bytes of arrays a character), n-grams that a task gathers before it hands them on, and
+#: entries of a model that is broadcast.
+SLICE, GATHER, HELD = 2 << 20, 300_000, 8_000_000
 #: Half-widths of a band beyond its quartiles, in interquartile ranges, and the length below which it widens. The widths are
 #: those that lose about a quarter of a percent of the documents labelled good at sf0.1 (figures in the README).
-BELOW, ABOVE, SHORT = 2.5, 2.5, 400
-BASE = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, log_perplexity double"
-
-
-def _classes() -> np.ndarray:
-    """Class of each code point below 0x3000: 0 space, 1 line break, 2 to 27 letters a to z with marks removed, 28 capital,
-    29 digit, 30 full stop, 31 comma, 32 other marks, 33 symbols, 34 the rest, 35 to 39 letters of other scripts."""
-    out = np.full(0x3000, 34, np.uint8)
-    for cp in range(0x3000):
-        c = chr(cp)
-        kind, base = unicodedata.category(c), unicodedata.normalize("NFKD", c)[0]
-        if c == "\n":
-            out[cp] = 1
-        elif c in "\t\v\f\r" or kind == "Zs":
-            out[cp] = 0
-        elif kind in ("Lu", "Lt"):
-            out[cp] = 28
-        elif kind[0] == "L":
-            out[cp] = 2 + ord(base) - 97 if "a" <= base <= "z" else 35 + cp % 5
-        elif kind[0] == "N":
-            out[cp] = 29
-        elif c in "#*$%&|<>":
-            out[cp] = 33
-        elif kind[0] == "P":
-            out[cp] = {".": 30, ",": 31}.get(c, 32)
-        elif kind[0] == "S":
-            out[cp] = 33
+BELOW, ABOVE, SHORT = 2.5, 2.5, 1000
+MEASURES = ["word_perplexity", "char_perplexity"]
+BASE = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, digest binary, mean double"
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points by text; all code points, ORDER - 1 line breaks in front of each text; where in them each character is."""
+    plain = pc.fill_null(texts, "")
+    front = "\n" * (ORDER - 1)
+    joined = b"".join(front.encode() + x for x in plain.cast(pa.binary()).to_pylist())
+    flat = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
+    size = np.asarray(pc.utf8_length(plain), dtype=np.int64)
+    return size, flat, spread(np.cumsum(size + ORDER - 1) - size, size)
+
+
+def hashes(flat: np.ndarray, order: int) -> np.ndarray:
+    """64-bit hash of the n-gram that begins at each place of flat and ends within it."""
+    out = np.full(max(0, len(flat) - order + 1), order, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(order):
+            out = out * _FACTOR + flat[k : k + len(out)]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(32)
     return out
 
 
-CLASSES = _classes()
-
-
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Characters by text, and the 4-gram code that ends at each character; a text begins behind three line breaks."""
-    plain = pc.fill_null(texts, "").to_pylist()
-    points = np.frombuffer("".join("\n\n\n" + x for x in plain).encode("utf-32-le"), np.uint32)
-    folded = np.where(points < 0x3000, CLASSES[np.minimum(points, 0x2FFF)], 35 + points % 5).astype(np.int32)
-    size = np.fromiter(map(len, plain), np.int64, len(plain))
-    own = np.ones(len(folded), bool)
-    starts = np.cumsum(size + ORDER - 1) - size - (ORDER - 1)
-    for k in range(ORDER - 1):
-        own[starts + k] = False
-    code = folded.copy()
-    for k in range(1, ORDER):
-        code[k:] += folded[:-k] * np.int32(ALPHABET**k)
-    return size, code[own]
+def _spelled(flat: np.ndarray, begins: np.ndarray) -> list[str]:
+    """The n-grams of ORDER code points that begin at these places."""
+    text = flat[begins[:, None] + np.arange(ORDER)].tobytes().decode("utf-32-le")
+    return [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """code, n: how often each 4-gram ends at a character of any text; tasks add up before the shuffle."""
+    """gram, n: how often each n-gram of ORDER code points ends at a character of any text; tasks add up before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(ALPHABET**ORDER, np.int64)
+        held: dict[str, int] = {}
         for part in slices(batches, limit=SLICE):
-            total += np.bincount(grams(part.column("text"))[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["code", "n"])
-
-    return docs.select("text").mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+            _, flat, own = points(part.column("text"))
+            _, first, n = np.unique(hashes(flat, ORDER)[own - ORDER + 1], return_index=True, return_counts=True)
+            for gram, k in zip(_spelled(flat, own[first] - ORDER + 1), n.tolist(), strict=True):
+                held[gram] = held.get(gram, 0) + k
+            if len(held) >= GATHER:
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["gram", "n"])
+                held = {}
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["gram", "n"])
+
+    return docs.select("text").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """Of counts 1, 2 and 3 or more. An order without the counts that the estimate needs takes a fixed share."""
+    n = (n1, n2, n3, n4)
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1 * k), 0.9 * k) if n[k - 1] else 0.5 * k for k in (1, 2, 3)]
+
+
+@dataclass
+class Estimates:
+    """Stored tables: probs (length, gram, logp) and contexts (length, gram, back), and log10 probability of an unseen code point."""
+
+    probs: DataFrame
+    contexts: DataFrame
+    unseen: float
+
+
+def estimates(docs: DataFrame) -> Estimates:
+    """The modified Kneser-Ney model of all texts, as joins over n-grams."""
+    levels = [stored(gram_counts(docs), "grams")]
+    for length in range(ORDER - 1, 0, -1):  # lower orders count the distinct code points in front
+        levels.insert(0, stored(levels[0].groupBy(F.expr(f"right(gram, {length})").alias("gram")).agg(F.count("*").alias("n")), "grams"))
+    sums = [F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    counted = None
+    for length, level in enumerate(levels, 1):
+        row = level.agg(*sums, F.count("*").alias("v")).select(F.lit(length).alias("length"), "*")
+        counted = row if counted is None else counted.union(row)
+    cuts, kinds = {}, 0
+    for r in counted.collect():  # ORDER rows
+        cuts[r["length"]] = _discounts(*((r[f"n{k}"] or 0) for k in (1, 2, 3, 4)))
+        kinds = r["v"] if r["length"] == 1 else kinds
+    probs = contexts = lower = None
+    for length, level in enumerate(levels, 1):
+        cut = cuts[length]
+        off = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
+        ahead = F.expr(f"left(gram, {length - 1})").alias("context")
+        sums = level.groupBy(ahead).agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("back"))
+        joined = level.select("gram", "n", ahead, F.expr(f"right(gram, {length - 1})").alias("suffix")).join(sums, "context")
+        below = F.lit(1 / (kinds + 1))
+        if lower is not None:
+            joined, below = joined.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix"), F.col("below")
+        lower = stored(joined.select("gram", ((F.col("n") - off) / F.col("total") + F.col("back") * below).alias("p")), "probabilities")
+        own = lower.select(F.lit(length).alias("length"), "gram", F.log10("p").alias("logp"))
+        ctx = sums.select(F.lit(length - 1).alias("length"), F.col("context").alias("gram"), F.log10("back").alias("back"))
+        probs = own if probs is None else probs.union(own)
+        contexts = ctx if contexts is None else contexts.union(ctx)
+    return Estimates(probs, stored(contexts, "contexts"), float(np.log10(1 / (kinds + 1))))
+
+
+@dataclass
+class HashArray:
+    """Sorted hashes with values, and where the hashes of each leading bits begin."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    begins: np.ndarray
+    bits: int
+    longest: int
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> HashArray:
+        order = np.argsort(keys)
+        keys, bits = keys[order], max(1, int(len(keys)).bit_length())
+        begins = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+        begins = np.append(begins, np.int32(len(keys)))
+        return cls(keys, values[order].astype(np.float32), begins, bits, int(np.diff(begins).max()))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value, or 0."""
+        hit, out = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+        if not len(self.keys):
+            return hit, out
+        at, left = self.begins[(keys >> np.uint64(64 - self.bits)).astype(np.int64)], np.arange(len(keys))
+        for _ in range(self.longest):
+            some = self.keys[np.minimum(at, len(self.keys) - 1)]
+            same = some == keys[left]
+            hit[left[same]], out[left[same]] = True, self.values[at[same]]
+            more = some < keys[left]  # hashes are sorted: a larger one ends the search
+            left, at = left[more], at[more] + 1
+            if not len(left):
+                break
+        return hit, out
+
+
+@dataclass
+class Model:
+    """Sorted hash arrays: by length of the n-gram log10 probabilities, by length of the context log10 back-off weights."""
 
+    probs: dict[int, HashArray]
+    backs: dict[int, HashArray]
+    unseen: float
 
-class Model:
-    """Sorted hash arrays of a modified Kneser-Ney model: by order the keys with log10 probabilities, and the contexts' keys
-    with log10 back-off weights. A key is an n-gram's number to the base of the alphabet."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        full = np.zeros(ALPHABET**ORDER)
-        full[codes] = counts
-        tables = [full.reshape((ALPHABET,) * ORDER)]
-        for _ in range(ORDER - 1):  # lower orders count the distinct symbols in front
-            tables.insert(0, (tables[0] > 0).sum(0).astype(float))
-        self.probs, self.backs = [], []
-        lower = np.full(ALPHABET, 1 / ALPHABET)
-        for table in tables:
-            table = table.reshape(-1, ALPHABET)
-            cut = self._discounts(table)
-            off = np.select([table == 0, table == 1, table == 2], [0, cut[0], cut[1]], cut[2])
-            total = table.sum(1, keepdims=True)
-            seen = total[:, 0] > 0
-            back = np.where(seen, off.sum(1) / np.maximum(total[:, 0], 1), 1)
-            below = np.tile(lower.reshape(-1, ALPHABET), (max(1, len(table) * ALPHABET // lower.size), 1))[: len(table)]
-            prob = (table - off) / np.maximum(total, 1) + back[:, None] * below
-            keys, contexts = np.flatnonzero(table), np.flatnonzero(seen)
-            self.probs.append((keys, np.log10(prob.ravel()[keys]).astype(np.float32)))
-            self.backs.append((contexts, np.log10(np.maximum(back[contexts], 1e-12)).astype(np.float32)))
-            lower = prob.ravel()
-
-    @staticmethod
-    def _discounts(table: np.ndarray) -> list[float]:
-        n = [np.count_nonzero(table == k) for k in (1, 2, 3, 4)]
-        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
-        return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1 * k), 0.9 * k) if n[k - 1] else 0.5 * k for k in (1, 2, 3)]
-
-    @staticmethod
-    def _find(store: tuple[np.ndarray, np.ndarray], keys: np.ndarray, other: float) -> tuple[np.ndarray, np.ndarray]:
-        if not len(store[0]):
-            return np.zeros(len(keys), bool), np.full(len(keys), other, np.float32)
-        at = np.minimum(np.searchsorted(store[0], keys), len(store[0]) - 1)
-        hit = store[0][at] == keys
-        return hit, np.where(hit, store[1][at], np.float32(other))
-
-    def score(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each 4-gram behind the others."""
-        out, weight, left = np.zeros(len(codes), np.float32), np.zeros(len(codes), np.float32), np.arange(len(codes))
-        for order in range(ORDER, 0, -1):
-            keys = codes[left] % ALPHABET**order
-            hit, prob = self._find(self.probs[order - 1], keys, 0)
+    def score(self, flat: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """log10 probability of each code point at the places own, behind the ORDER - 1 in front."""
+        out, weight, left = np.zeros(len(own), np.float32), np.zeros(len(own), np.float32), np.arange(len(own))
+        for length in range(ORDER, 0, -1):
+            hit, prob = self.probs[length].find(hashes(flat, length)[own[left] - length + 1])
             out[left[hit]] = weight[left[hit]] + prob[hit]
-            _, back = self._find(self.backs[order - 1], keys // ALPHABET, 0)
-            weight[left] += back
             left = left[~hit]
-        out[left] = weight[left] + np.float32(np.log10(1 / ALPHABET))
+            if not len(left):
+                return out
+            weight[left] += self.backs[length - 1].find(hashes(flat, length - 1)[own[left] - length + 1])[1]
+        out[left] = weight[left] + np.float32(self.unseen)
         return out
 
-    def table(self) -> np.ndarray:
-        """score of every 4-gram, to be looked up by its code."""
-        return self.score(np.arange(ALPHABET**ORDER))
 
+def _hashed(rows: DataFrame, value: str) -> DataFrame:
+    """length, key, value of rows (length, gram, value)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            length = np.asarray(x.column("length"), dtype=np.int64)
+            flat = np.frombuffer("".join(x.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
+            begin, keys = np.cumsum(length) - length, np.zeros(len(length), np.uint64)
+            for k in np.unique(length).tolist():
+                keys[length == k] = hashes(flat, k)[begin[length == k]] if k else hashes(np.zeros(0, np.uint32), 0)[:1]
+            yield pa.RecordBatch.from_arrays([x.column("length"), pa.array(keys.view(np.int64)), x.column(value).cast(pa.float32())], ["length", "key", "value"])
+
+    return rows.mapInArrow(run, "length int, key long, value float")
 
-def train(docs: DataFrame) -> Model:
-    got = gram_counts(docs).toArrow()  # at most ALPHABET ** ORDER rows
-    return Model(np.asarray(got["code"]), np.asarray(got["n"]))
+
+def held(found: Estimates) -> Model:
+    """The model as arrays on the driver; whoever calls has checked its size."""
+    out = []
+    for rows, value, lengths in ((found.probs, "logp", range(1, ORDER + 1)), (found.contexts, "back", range(ORDER))):
+        got = _hashed(rows, value).toArrow()
+        length, keys, values = (np.asarray(got[c]) for c in ("length", "key", "value"))
+        out.append({k: HashArray.of(keys[length == k].view(np.uint64), values[length == k]) for k in lengths})
+    return Model(*out, found.unseen)
 
 
 def repeated_words(offsets: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -214,35 +276,64 @@ def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-_HELD: list = []
+def log_perplexity(texts: pa.Array, model: Model) -> np.ndarray:
+    """Mean negative log10 probability of each text's code points; 0 for an empty one."""
+    size, flat, own = points(texts)
+    ends = np.concatenate(([0], np.cumsum(size)))
+    return -per_row(model.score(flat, own).astype(np.float64), ends) / np.maximum(size, 1)
 
 
-def _table(model) -> np.ndarray:
-    """The model's table, made once in a worker. The model is held with it: a later one could get a freed model's id."""
-    if not _HELD or _HELD[0] is not model.value:
-        _HELD[:] = [model.value, model.value.table()]
-    return _HELD[1]
+def measures(mean: np.ndarray, size: np.ndarray, n_words: np.ndarray, word_chars: np.ndarray) -> list[np.ndarray]:
+    """Both log perplexities, rounded to 3 digits; 0 for a text without a word."""
+    total = np.where(n_words > 0, mean * size, 0)
+    return [np.round(total / np.maximum(n, 1), 3) for n in (n_words, word_chars)]
 
 
-def log_perplexity(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Characters and mean negative log10 probability of each text; 0 for an empty one."""
-    size, codes = grams(texts)
-    ends = np.concatenate(([0], np.cumsum(size)))
-    return size, np.round(-per_row(table[codes].astype(np.float64), ends) / np.maximum(size, 1), 3)
+def _digest():
+    return F.unhex(F.sha2(text_of().cast("binary"), 256)).alias("digest")
+
+
+def _joined(docs: DataFrame, found: Estimates) -> DataFrame:
+    """digest, mean (log_perplexity) by a join of the texts' distinct n-grams. Copies of a text add to both sums alike."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, limit=SLICE):
+            size, flat, own = points(part.column("text"))
+            doc = np.repeat(np.arange(len(size)), size)
+            keys = hashes(flat, ORDER)[own - ORDER + 1]
+            order = np.lexsort((keys, doc))
+            new = np.ones(len(order), bool)
+            new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
+            first = np.flatnonzero(new)
+            n = np.diff(np.append(first, len(order)))
+            cols = [part.column("digest").take(pa.array(doc[order[first]])), pa.array(_spelled(flat, own[order[first]] - ORDER + 1), pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(cols, ["digest", "gram", "n"])
+
+    grams = docs.select(_digest(), "text").mapInArrow(spell, "digest binary, gram string, n long")
+    probs = found.probs.where(F.col("length") == ORDER).select("gram", "logp")
+    mean = -F.sum(F.col("n") * F.col("logp").cast("float").cast("double")) / F.sum("n")
+    return grams.join(probs, "gram").groupBy("digest").agg(mean.alias("mean"))
 
 
 def scored(docs: DataFrame, model) -> DataFrame:
-    """doc_id, lang, base counts, n_chars and log_perplexity; model is a broadcast Model."""
+    """doc_id, lang, base counts, n_chars, digest, and mean (log_perplexity; null where model, a broadcast one, is none)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(model)
         for part in slices(batches, limit=SLICE):
-            base = {k: pa.array(v, pa.int64()) for k, v in base_counts(part.column("text")).items()}
-            size, mean = log_perplexity(part.column("text"), table)
-            cols = {"doc_id": part.column("doc_id"), "lang": part.column("lang"), **base, "n_chars": pa.array(size), "log_perplexity": pa.array(mean)}
+            text = part.column("text")
+            cols = {"doc_id": part.column("doc_id"), "lang": part.column("lang")} | {k: pa.array(v, pa.int64()) for k, v in base_counts(text).items()}
+            cols |= {"n_chars": pc.utf8_length(pc.fill_null(text, "")).cast(pa.int64()), "digest": part.column("digest")}
+            cols["mean"] = pa.array(log_perplexity(text, model.value)) if model is not None else pa.nulls(part.num_rows, pa.float64())
             yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(score, BASE)
+    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), _digest(), "text").mapInArrow(score, BASE)
+
+
+def measured(scores: DataFrame) -> DataFrame:
+    """scores with both MEASURES for its mean."""
+    total = F.when(F.col("n_words") > 0, F.col("mean") * F.col("n_chars")).otherwise(0.0)
+    by = [F.round(total / F.greatest(F.col(n), F.lit(1)), 3).alias(m) for m, n in zip(MEASURES, ("n_words", "word_chars"), strict=True)]
+    return scores.select("*", *by)
 
 
 def _scatter(size):
@@ -250,64 +341,84 @@ def _scatter(size):
     return np.sqrt(1 + SHORT / np.maximum(size, 1))
 
 
-def bands(scores: DataFrame) -> dict[str | None, tuple[float, float, float]]:
-    """By language: median of log_perplexity over all texts that have a word, and quartiles of the distance from it over the
-    scatter of a text's size. These are averaged with those of all languages, which count as PRIOR texts."""
-    some = scores.where("n_words > 0").select(F.coalesce("lang", F.lit("\0null")).alias("lang"), "log_perplexity", "n_chars")
+def bands(scores: DataFrame) -> dict[str | None, np.ndarray]:
+    """By language, for each of MEASURES: its median over all texts that have a word, and quartiles of the distance from it over
+    the scatter of a text's size. These are averaged with those of all languages, which count as PRIOR texts."""
+    some = scores.where("n_words > 0").select("lang", "n_chars", *MEASURES)
     # Values are rounded to 3 and 4 digits, so the exact percentile keeps few distinct ones for each group.
-    middle = some.groupBy("lang").agg(F.percentile("log_perplexity", F.lit(0.5)).alias("middle"))
-    far = F.round((F.col("log_perplexity") - F.col("middle")) / F.sqrt(1 + SHORT / F.greatest("n_chars", F.lit(1))), 4)
-    each = some.join(F.broadcast(middle), "lang").withColumn("far", far)
-    quartiles = F.percentile("far", F.array(F.lit(0.25), F.lit(0.75))).alias("q")
-    rows = each.groupBy("lang").agg(F.count("*").alias("n"), F.first("middle").alias("middle"), quartiles).collect()  # one a language
+    middle = some.groupBy(F.col("lang").alias("of")).agg(*(F.percentile(m, F.lit(0.5)).alias(f"{m}_middle") for m in MEASURES))
+    scatter = F.sqrt(1 + SHORT / F.greatest("n_chars", F.lit(1)))
+    far = [F.round((F.col(m) - F.col(f"{m}_middle")) / scatter, 4).alias(f"{m}_far") for m in MEASURES]
+    each = some.join(F.broadcast(middle), F.col("lang").eqNullSafe(F.col("of"))).select("*", *far)
+    sums = [F.struct(F.first(f"{m}_middle").alias("middle"), F.percentile(f"{m}_far", F.array(F.lit(0.25), F.lit(0.75))).alias("q")).alias(m) for m in MEASURES]
+    rows = each.groupBy("lang").agg(F.count("*").alias("n"), *sums).collect()  # one a language
     if not rows:
         return {}
-    n, q = np.array([r["n"] for r in rows]), np.array([r["q"] for r in rows])
-    q = (n[:, None] * q + PRIOR * np.average(q, axis=0, weights=n)) / (n[:, None] + PRIOR)
-    return {r["lang"]: (r["middle"], *x) for r, x in zip(rows, q.tolist(), strict=True)}
+    n, q = np.array([r["n"] for r in rows]), np.array([[r[m]["q"] for m in MEASURES] for r in rows])
+    q = (n[:, None, None] * q + PRIOR * np.average(q, axis=0, weights=n)) / (n[:, None, None] + PRIOR)
+    return {r["lang"]: np.array([[r[m]["middle"], *x] for m, x in zip(MEASURES, own.tolist(), strict=True)]) for r, own in zip(rows, q, strict=True)}
 
 
-def verdict(found: dict[str, tuple[float, float, float]], lang: list, n_words: np.ndarray, n_repeat: np.ndarray, size: np.ndarray, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """base_failed, kept."""
+def verdict(found: dict[str | None, np.ndarray], lang: list, n_words: np.ndarray, n_repeat: np.ndarray, size: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """base_failed, kept; values has MEASURES."""
     failed = (n_words < FEWEST_WORDS) | (100 * n_repeat > MOST_REPEATED * n_words)
     # A language without a band has no text with a word, which fails.
-    middle, low, high = np.array([found.get("\0null" if x is None else x, (0.0, 0.0, 0.0)) for x in lang]).reshape(-1, 3).T
-    wide, far = np.maximum(high - low, 0.01), (mean - middle) / _scatter(size)
-    return failed, ~failed & (far >= low - BELOW * wide) & (far <= high + ABOVE * wide)
-
-
-def _fitted(docs: DataFrame):
-    return docs.sparkSession.sparkContext.broadcast(train(docs))
-
-
-def quality(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity."""
-    scores = stored(scored(docs, _fitted(docs)), "quality")
+    edges = np.array([found.get(x, np.zeros((len(MEASURES), 3))) for x in lang]).reshape(-1, len(MEASURES), 3)
+    kept = ~failed
+    for value, (middle, low, high) in zip(values, edges.transpose(1, 2, 0), strict=True):
+        wide, far = np.maximum(high - low, 0.01), (value - middle) / _scatter(size)
+        kept &= (far >= low - BELOW * wide) & (far <= high + ABOVE * wide)
+    return failed, kept
+
+
+def _scores(docs: DataFrame) -> tuple[DataFrame, object]:
+    """Stored scores of all texts by the model of all texts, and the broadcast model, or None where it is too large."""
+    found = estimates(docs)
+    if found.probs.count() + found.contexts.count() <= HELD:
+        model = docs.sparkSession.sparkContext.broadcast(held(found))
+        return stored(measured(scored(docs, model)), "quality"), model
+    rows = stored(scored(docs, None).drop("mean"), "base-counts")
+    rows = hot_join(rows, _joined(docs, found), "digest", rows.count())
+    return stored(measured(rows.withColumn("mean", F.coalesce("mean", F.lit(0.0)))), "quality"), None
+
+
+def judged(scores: DataFrame) -> DataFrame:
+    """The rows of `measured` with base_failed and kept."""
     found = bands(scores)
+    names = [c for c in scores.columns if c not in ("n_chars", "mean")]
+    kind = ", ".join(f"{c} {t}" for c, t in scores.dtypes if c in names)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            got = [np.asarray(x.column(c)) for c in ("n_words", "n_repeat_words", "n_chars", "log_perplexity")]
-            failed, kept = verdict(found, x.column("lang").to_pylist(), *got)
-            names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-            cols = [x.column(c) for c in names] + [pa.array(failed), pa.array(kept), x.column("log_perplexity")]
-            yield pa.RecordBatch.from_arrays(cols, [*names, "base_failed", "kept", "log_perplexity"])
+            values = [np.asarray(x.column(c)) for c in ("n_words", "n_repeat_words", "n_chars", *MEASURES)]
+            failed, kept = verdict(found, x.column("lang").to_pylist(), *values[:3], values[3:])
+            yield pa.RecordBatch.from_arrays([x.column(c) for c in names] + [pa.array(failed), pa.array(kept)], [*names, "base_failed", "kept"])
+
+    return scores.mapInArrow(judge, f"{kind}, base_failed boolean, kept boolean")
 
-    names = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    return scores.mapInArrow(judge, names + ", base_failed boolean, kept boolean, log_perplexity double")
+
+def quality(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, and both perplexities."""
+    rows = judged(_scores(docs)[0])
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *MEASURES)
 
 
 def reject(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns; scores are made anew, so that no text is written."""
-    model = _fitted(docs)
-    found = bands(stored(scored(docs, model), "quality"))
+    """The documents that the rules keep, with all their columns. With a broadcast model scores are made anew, so that no text
+    is written; else the rejected texts are met by language and digest."""
+    scores, model = _scores(docs)
+    if model is None:
+        gone = judged(scores).where(~F.col("kept")).select(F.col("lang").alias("_gone_lang"), F.col("digest").alias("_gone_digest")).distinct()
+        same = (_digest() == gone["_gone_digest"]) & docs["lang"].cast("string").eqNullSafe(gone["_gone_lang"])
+        return docs.join(gone, same, "left_anti")
+    found = bands(scores)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(model)
         for part in slices(batches, limit=SLICE):
-            base = base_counts(part.column("text"))
-            size, mean = log_perplexity(part.column("text"), table)
-            _, kept = verdict(found, part.column("lang").cast(pa.string()).to_pylist(), base["n_words"], base["n_repeat_words"], size, mean)
+            text = part.column("text")
+            base, size = base_counts(text), np.asarray(pc.utf8_length(pc.fill_null(text, "")), dtype=np.int64)
+            values = measures(log_perplexity(text, model.value), size, base["n_words"], base["word_chars"])
+            _, kept = verdict(found, part.column("lang").cast(pa.string()).to_pylist(), base["n_words"], base["n_repeat_words"], size, values)
             yield part.filter(pa.array(kept))
 
     return docs.mapInArrow(keep, docs.schema)
