@@ -1,16 +1,18 @@
 """Language identification by compression.
 
-For each language, normalised texts of a bounded sample of labelled documents make a zstandard raw-content dictionary. A
-text, normalised and cut into blocks, is compressed block by block with every dictionary; the language with the smallest
-sum wins. A margin (the share by which the next best is larger) under NARROW rejects the decision.
-
-The sample takes rows by the hash of their ids: SAMPLE_DOCS documents of a language (the MOST_LANGS most frequent ones),
-SAMPLE_CHARS characters of each, DICTIONARY bytes altogether; these are the bounds of what reaches the driver. Predictions
-read whole texts and no other column.
-
-Null text, or one without a letter: `und`, score 0. If nothing was learned: `und` everywhere. One language: score 1. Ties
-go to the language that comes first by name. Repeated rows each get their row; the same text gives the same result. Very
-long texts are compressed whole, block by block. An empty table gives an empty result. Other columns are ignored.
+For each language, normalised pieces of labelled texts make a zstandard raw-content dictionary. A text, normalised and cut
+into blocks, is compressed block by block with every dictionary; the language with the smallest sum wins. A tie of whole
+bytes is broken by the sums at the levels FINER. A margin (the share by which the next best is larger) under NARROW rejects
+the decision.
+
+The sample: every labelled text is cut into pieces of PIECE characters, any of which may be drawn, by the hash of the piece;
+a piece that occurs in many texts counts once. A language gets its PIECES first ones in the order of their hashes, or so many
+fewer that all languages together have ALL_PIECES (each has one at least). These two numbers bound what reaches the driver;
+no language and no place in a text is left out. Predictions read whole texts and no other column.
+
+Null text, or one without a letter: `und`, score 0. If nothing was learned: `und` everywhere. One language: score 1. Ties at
+all levels go to the language that comes first by name. Repeated rows each get their row; the same text gives the same result.
+Very long texts are compressed whole, block by block. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,15 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mosaique.llm.common import slices
+from mosaique.llm.common import slices, stored
 
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY, MOST_LANGS = 96, 4000, 112 << 10, 500
-BLOCK, LEVEL, NARROW = 2048, 12, 0.01
+PIECE, PIECES, ALL_PIECES, PARTS = 1000, 112, 1 << 16, 256
+BLOCK, LEVEL, FINER, NARROW = 2048, 12, (19, 15, 9, 6, 3), 0.01
 UNKNOWN = "und"
-SCALE = 1 << 30
 
 
 def normalised(texts: pa.Array) -> pa.Array:
@@ -36,36 +37,75 @@ def normalised(texts: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\pL\pM]+", " ")
 
 
-def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
+def dictionaries(labelled: DataFrame, pieces: int = PIECES, total: int = ALL_PIECES) -> dict[str, bytes]:
     """Raw content by language, from labelled (doc_id, text, lang)."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
-    some = F.broadcast(counts.withColumn("upto", F.least(F.lit(1.0), 2 * SAMPLE_DOCS / F.col("n")) * SCALE))
-    drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(SCALE))
-    picked = rows.withColumn("drawn", drawn).join(some, "lang").where(F.col("drawn") < F.col("upto"))
-    picked = picked.select("lang", "drawn", F.substring("text", 1, SAMPLE_CHARS).alias("text")).distinct()
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    # Each task keeps a language's first pieces by their hashes; then parts of a language do, then the language.
+    drawn = rows.mapInArrow(_first(pieces), "lang string, drawn long, piece string").distinct()
+    order = Window.partitionBy("lang", F.pmod("drawn", F.lit(PARTS))).orderBy("drawn", "piece")
+    drawn = stored(drawn.withColumn("k", F.row_number().over(order)).where(F.col("k") <= pieces), "pieces")
+    each = max(1, min(pieces, total // max(1, drawn.select("lang").distinct().count())))
+    order = Window.partitionBy("lang").orderBy("drawn", "piece")  # PARTS * pieces rows of a language at most
+    got = drawn.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).orderBy("lang", "k").toArrow()
     found: dict[str, list[str]] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["drawn"], r["text"])):  # about 2 * SAMPLE_DOCS a language
-        if len(found.setdefault(r["lang"], [])) < SAMPLE_DOCS:
-            found[r["lang"]].append(r["text"])
-    return {k: "".join(normalised(pa.array(v)).to_pylist()).encode()[:DICTIONARY] for k, v in sorted(found.items())}
-
-
-def sizes(texts: pa.Array, contents: dict[str, bytes]) -> np.ndarray:
-    """Compressed bytes of each normalised text with each dictionary."""
-    import zstandard
-
-    squeeze = []
-    for content in contents.values():
-        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=LEVEL)
-        squeeze.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
-    out = np.zeros((len(texts), len(squeeze)))
-    for i, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
+    for lang, piece in zip(got["lang"].to_pylist(), got["piece"].to_pylist(), strict=True):
+        found.setdefault(lang, []).append(piece)
+    return {k: "".join(normalised(pa.array(v)).to_pylist()).encode() for k, v in found.items()}
+
+
+def _first(pieces: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        kept: dict[str, dict[str, int]] = {}
+        rank = lambda own: sorted(own.items(), key=lambda y: (y[1], y[0]))[:pieces]
+        for part in slices(batches):
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+                own = kept.setdefault(lang, {})
+                for at in range(0, len(text), PIECE):
+                    piece = text[at : at + PIECE]
+                    own[piece] = xxhash.xxh3_64_intdigest(piece.encode()) >> 1
+                    if len(own) > 4 * pieces:
+                        own = kept[lang] = dict(rank(own))
+        out = [(lang, h, piece) for lang, own in kept.items() for piece, h in rank(own)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["lang", "drawn", "piece"])
+
+    return run
+
+
+class Sizes:
+    """Compressed bytes of normalised texts with each dictionary; compressors are made when a level is first asked for."""
+
+    def __init__(self, contents: dict[str, bytes]):
+        self.contents, self.levels = list(contents.values()), {}
+
+    def _compressors(self, level: int) -> list:
+        import zstandard
+
+        if level not in self.levels:
+            self.levels[level] = []
+            for content in self.contents:
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=level)
+                self.levels[level].append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
+        return self.levels[level]
+
+    def __call__(self, raw: bytes, level: int = LEVEL) -> np.ndarray:
+        squeeze, out = self._compressors(level), np.zeros(len(self.contents))
         for at in range(0, len(raw), BLOCK):
             block = raw[at : at + BLOCK]
-            out[i] += [len(x.compress(block)) for x in squeeze]
-    return out
+            out += [len(x.compress(block)) for x in squeeze]
+        return out
+
+    def best(self, raw: bytes) -> tuple[int, float]:
+        """The language's number, and the margin to the next best."""
+        size = self(raw)
+        order = np.sort(size)
+        tied = np.flatnonzero(size == order[0])
+        if len(tied) > 1:
+            finer = sum(self(raw, level) for level in FINER)
+            tied = tied[finer[tied] == finer[tied].min()]
+        return int(tied[0]), 1 - order[0] / order[1] if len(order) > 1 else 1.0
 
 
 def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW) -> DataFrame:
@@ -74,15 +114,13 @@ def identify(docs: DataFrame, contents: dict[str, bytes], narrow: float = NARROW
     shared = docs.sparkSession.sparkContext.broadcast(contents)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(shared.value)
         for part in slices(batches):
             plain = normalised(part.column("text"))
-            lettered = np.asarray(pc.match_substring_regex(plain, r"\pL"))
+            lettered = np.flatnonzero(np.asarray(pc.match_substring_regex(plain, r"\pL"))) if len(names) > 1 else []
             best, score = np.full(len(plain), len(names) - 1), np.zeros(len(plain))
-            if len(names) > 1 and lettered.any():
-                got = sizes(plain.filter(pa.array(lettered)), shared.value)
-                best[lettered] = got.argmin(1)
-                order = np.sort(got, axis=1)
-                score[lettered] = 1 - order[:, 0] / order[:, 1] if len(names) > 2 else 1.0
+            for i in lettered:
+                best[i], score[i] = sizes.best(plain[int(i)].as_py().encode())
             cols = [part.column("doc_id"), part.column("held_out"), pa.array(names[best], pa.string()), pa.array(score), pa.array(score < narrow)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
