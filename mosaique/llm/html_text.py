@@ -1,9 +1,10 @@
 """Main text of HTML pages: flat text blocks classified by a decision tree.
 
 A page becomes a flat list of blocks (text between block-level tags). Each has its word count and link density, those of the
-blocks before and behind, and what it stands in: an article, boilerplate (menus, footers, sidebars, adverts, forms, notices,
-reader comments, by tag or by hints in class and id), a heading, a list item. A CART tree on these features, trained on the
-small labelled table PAGES below, keeps or drops the block; kept blocks are joined in page order by line breaks.
+blocks before and behind, and what it stands in: a heading, a list item or table cell, an article, a container that its tag or
+its class and id hint to be none (menus, footers, sidebars, adverts, forms, notices, reader comments). A CART tree on these
+features, trained on the small labelled table PAGES below, keeps or drops the block; kept blocks are joined in page order by
+line breaks. The tree's first FIRST levels split on words and link densities alone; what a block stands in refines them.
 
 Null, empty or text-free html: the empty text. Scripts, styles, comments, markup, titles and form controls are no text.
 Markup that is cut off or badly nested is read as far as it goes; open tags end with their container. Character references
@@ -41,50 +42,131 @@ HINTS = re.compile(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
 LABELS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-FEATURES = ["article", "boiler", "heading", "item", "words", "density", "words_before", "density_before", "words_behind", "density_behind"]
+FEATURES = ["words", "density", "words_before", "density_before", "words_behind", "density_behind", "heading", "item", "article", "hint"]
+#: The features in front that are words and densities, the tree's depth, and its levels that split on those alone.
+MEASURED, DEPTH, FIRST = 6, 16, 2
 
-#: The labelled table: blocks begin with + (main text) or - (not).
+#: The labelled table: pages with counts for texts. +40/3 is a block of main text with 40 words, 3 of them in links; - is not main.
+BLOCK = re.compile(r"([+-])(\d+)(?:/(\d+))?")
 PAGES = [
-    "<body><nav><ul><li><a href=/>- Home</a></li><li><a href=/a>- About</a></li></ul></nav><div class=ad>- Buy two pairs of shoes now, get one for free</div>"
-    "<article><h1>+ A walk by the river</h1><p>+ We left the house early in the morning, and the fog was still on the fields.</p><p>+ Quiet.</p>"
-    "<p>+ Later the sun came out and we ate our <a href=/b>bread</a> by the water, as we do every year.</p></article><footer>- Copyright, all rights reserved</footer></body>",
-    "<body><header><div>- Daily paper</div><nav><a href=/>- News</a> <a href=/s>Sport</a></nav></header><div class=cookie-notice>- This site uses cookies to give you the best experience, please accept.</div>"
-    "<main><h2>+ Rain again</h2><p>+ It rained for the third day in a row, and the streets of the old town stood under water.</p><ul><li>+ Bring boots</li><li>+ Stay in</li></ul></main>"
-    "<aside>- Most read: ten ways to dry your shoes without a heater</aside><section class=comments><p>- I think the weather was much better when we were young, said a reader.</p><p>- Agreed.</p></section>"
-    "<footer><p>- Contact</p></footer></body>",
-    "<body><div class=menu><a href=/x>- Start</a><a href=/y>Shop</a></div><div id=content><h1>+ Soup</h1><p>+ Cut the onions and fry them in butter until they are golden, then add the stock and the salt.</p>"
-    "<p>+ Serve hot, with bread that was baked the same day and a glass of water or wine beside it.</p></div><form><label>- Your e-mail</label><p>- Subscribe to our letter and never miss another recipe</p></form>"
-    "<div class=sidebar><p>- Related recipes of the week that our readers liked most</p></div></body>",
-    "<body><article><header><h1>+ Old bridges</h1></header><p>+ Stone holds.</p><p>+ Some of the bridges in the valley are older than the towns around them, and they still carry carts.</p>"
-    "<div class=promo>- Sponsored: see our new range of garden chairs and tables</div><blockquote>+ A bridge is a road that dares, as people say there.</blockquote><p>+ <a href=/more>Read the report</a></p>"
-    "<div class=share>- Share this</div></article><div class=related><a href=/1>- Five mills you should see</a></div></body>",
-    "<body><p><a href=/1>- One</a> <a href=/2>Two</a> <a href=/3>Three</a></p><p>+ The council met on Monday evening and spoke for two hours about the school, the road and the market.</p>"
-    "<p>+ Nothing was decided, but the members agreed to meet again within a week and to hear the teachers first.</p><p>- <a href=/n>Next page</a></p><div>- Imprint</div></body>",
-    "<body><ul><li><a href=/1>- A</a></li><li><a href=/2>- B</a></li></ul><h1>+ Notes on the harvest of last year</h1><p>+ The apples were small, because it had been dry since May and the wells were almost empty in August.</p>"
-    "<ol><li>+ Pears did better than apples in most gardens of the village</li><li>+ Plums did not grow at all this time, for the frost came late</li></ol><p>- Log in</p><p>- <a href=/u>Imprint</a> <a href=/v>Privacy</a></p></body>",
-    "<body><article><h1>+ Tea</h1><p>+ Ok.</p><p>+ Green.</p><aside>- Advertisement for a kettle that boils water in a minute</aside><p>+ Water should not boil for long, and the leaves should be taken out after three minutes.</p>"
-    "<ul><li>+ Black: five minutes</li><li>+ White: two minutes</li></ul><section id=comments><h3>- Comments</h3><p>- My grandmother always let it stand for ten minutes and nobody ever complained about it.</p></section></article></body>",
+    # Tables and plain divisions without any hint: menus of links, columns of text, short lines in front and at the end.
+    "<table><tr><td>-1/1<td>-2/2<td>-1/1<td>-2/2</table><h1>+5</h1><p>+62<p>+48/2<p>+3<p>+71<p>+36<div>-4</div><div>-3/3</div>",
+    "<div>-2/2</div><div>-1/1</div><div>-3/3</div><div>-1/1</div><h2>+7</h2><p>+33<p>+54/5<p>+12<p>+80/4<div>-2/2</div><div>-5</div>",
+    "<p>-6/6<p>-4/4<div>-9</div><h1>+8</h1><div>+44</div><div>+6</div><div>+38/3</div><div>+90</div><p>-12/10<p>-7",
+    "<ul><li>-1/1<li>-1/1<li>-2/2<li>-1/1</ul><p>+104<p>+56<p>+18/2<p>+2<p>+67<ul><li>-3/3<li>-4/4<li>-2/2</ul><p>-8",
+    "<center>-3</center><p>-5/5<h1>+6</h1><p>+29<p>+41<ul><li>+7<li>+9<li>+5</ul><p>+52/6<p>-2/2<p>-1/1<center>-6</center>",
+    "<div>-1/1</div><div>-1/1</div><div>-11</div><div>-2/2</div><h1>+9</h1><p>+75/1<p>+22<p>+64<h3>+3</h3><p>+47<p>+31<div>-14/12</div><div>-3</div>",
+    "<td>-1/1<td>-1/1<td>-1/1<td>+120/8<td>-2/2<td>-9/9<td>-2/2<td>-5",
+    "<div>-4/4</div><div>-13</div><div>-3/3</div><p>+40<p>+4<p>+5<p>+58<p>+1<p>+45/2<div>-2/2</div><div>-1/1</div><div>-9</div>",
+    "<div>-2</div><div>-1/1</div><div>-1/1</div><h1>+4</h1><p>+88<blockquote>+15</blockquote><p>+60/9<p>+17<p>+72<div>-6/6</div><div>-2/2</div><div>-4</div>",
+    "<p>-2/2<p>-3/3<h1>+5</h1><p>+24/8<p>+41/16<p>+33/3<p>+29/14<p>+50/21<p>-4/4<p>-6/5",
+    "<div>-1/1</div><div>-2/2</div><div>+60/30</div><div>+18/7</div><div>+45</div><div>+15/6</div><div>+36/13</div><div>-9/9</div>",
+    "<p>-1/1<p>-10<p>-1/1<h2>+6</h2><p>+35<p>+27/3<p>+49<h2>+4</h2><p>+50<p>+8<p>+66<p>-5/4<p>-3",
+    "<ol><li>-2/2<li>-3/3<li>-2/2</ol><h1>+10</h1><p>+25<ol><li>+12<li>+14<li>+11</ol><p>+39<p>-7/7<p>-2",
+    "<div>-3/3</div><div>-7</div><div>-2/2</div><div>-15/13</div><p>+56<p>+43/4<p>+30<div>-8/8</div><div>-5</div>",
+    "<table><tr><td>-1/1<td>-1/1</table><h1>+3</h1><table><tr><td>+3<td>+2<tr><td>+4<td>+1</table><p>+53<p>+34<p>-3/3<p>-6",
+    "<div>-12</div><div>-1/1</div><div>-2/2</div><div>+47/3</div><div>+38</div><div>+21/1</div><div>+85</div><div>-2/2</div><div>-3/3</div>",
+    # Articles: short paragraphs, linked sentences and class names that say nothing are part of them.
+    "<nav><ul><li>-1/1<li>-1/1<li>-1/1</ul></nav><div class=ad>-8</div><article><h1>+8</h1><p>+1<p>+40<p>+2<p>+63/2<p>+55</article><footer>-9</footer>",
+    "<nav>-2/2</nav><article><p>+104<p>+3<p>+12/12<p>+31</article>",
+    "<nav>-3/3</nav><div class=banner>-14</div><main><h2>+3</h2><p>+70<ul><li>+3<li>+2</ul><p>+9/9<p>+1<p>+28/4</main><footer>-7</footer>",
+    "<header>-2</header><nav>-5/5</nav><article class='news social'><h1>+5</h1><p>+33<p>+41/1<p>+6/6<p>+20</article><aside>-10</aside><footer>-3/3</footer>",
+    "<div class=ad>-6</div><article><h1>+7</h1><p>+2<p>+1<p>+3</article><footer>-12</footer>",
+    "<div class=ad>-11</div><article><p>+5</article><footer>-6</footer>",
+    "<nav><ul><li>-2/2<li>-1/1</ul></nav><article><header><h1>+6</h1></header><p>+48<p>+5/5<p>+37<div class=promo>-12</div><p>+51<div class=share>-3</div></article><footer><p>-2/2<p>-11</footer>",
+    "<nav>-1/1</nav><article><h1>+9</h1><p>+22<p>+7<aside>-13</aside><p>+45<p>+3<section id=comments><h3>-1</h3><p>-31<p>-4<p>-58</section></article>",
+    "<article><p>+13<p>+60<p>+4<ul><li>+1/1<li>+6/6<li>+2</ul><p>+44</article><aside><p>-24<p>-3/3</aside><footer>-21</footer>",
+    "<header><div>-3</div></header><article><h1>+5</h1><p>+81/40<p>+10/10<p>+35<form><label>-3</label><p>-16</form><p>+26</article><footer>-4/4</footer>",
+    # Containers whose class or id says that they are something else, without an article.
+    "<div class=menu>-1/1</div><div id=cookie-consent>-32</div><h1>+5</h1><p>+42<p>+57/2<div class=sidebar><p>-18<p>-41</div><div id=footer>-15</div>",
+    "<div class=cookie-notice>-24</div><div id=nav>-6/6</div><div><p>+36<p>+9<p>+61</div><section class=comments><p>-45<p>-28<p>-6</section><div class=foot>-8</div>",
+    "<div class=masthead>-4</div><div class=breadcrumbs>-5/4</div><h1>+11</h1><p>+59<p>+30/2<div class=newsletter>-19</div><p>+46<div class=related>-7/7</div><div class=related>-12/3</div>",
+    "<div class=ads>-17</div><p>+38<p>+51<div class=sponsored-box>-36</div><p>+49<p>+65/3<div class=disqus>-27</div><div class=disqus>-52</div>",
+    "<div class=login>-3</div><h1>+4</h1><p>+45<p>+6<p>+33<div class=widget><h4>-2</h4><p>-29</div><div class=pagination>-4/4</div><footer><p>-34</footer>",
+    "<header>-8</header><div class=toolbar>-3</div><p>+77<p>+24<aside>-44<p>-26</aside><p>+58<form><p>-22</form><div class=alert>-13</div>",
+    # Articles that end the page, and comments within them; links that are part of the text.
+    "<nav>-2/2</nav><article><h1>+4</h1><p>+39<p>+18</article>",
+    "<nav>-1/1</nav><div class=ad>-9</div><article><p>+27<p>+66<p>+2</article>",
+    "<nav>-4/4</nav><main><p>+51<p>+7</main>",
+    "<article><p>+35<p>+48<div class=comments><p>-22<p>-17</div></article>",
+    "<article><p>+70<section class=replies><p>-9<p>-35</section></article>",
+    "<article><h1>+6</h1><p>+44<aside>-3</aside><p>+23<section id=respond><p>-12<p>-64</section></article>",
+    "<nav>-6/6</nav><article><h1>+3/3</h1><p>+2/2<p>+52/4<p>+1/1<p>+3/3<ul><li>+1/1<li>+2/2<li>+4/4</ul><p>+28</article><footer>-8</footer>",
+    "<nav><ul><li>-1/1<li>-1/1</ul></nav><article><h1>+2/2</h1><p>+17<p>+1/1<p>+4/4<p>+46</article><footer><a>-2/2</footer>",
+    "<article><p>+33<p>+3/3<p>+21/20<p>+2/2<p>+58</article><nav>-3/3</nav>",
+    "<div>-3/3</div><div>-2/2</div><p>+18<p>+7<p>+40<p>+55/3<div>-2/2</div><div>-1/1</div>",
+    "<div>-2/2</div><p>+20<p>+4<p>+33<div>-8/8</div><div>-6</div>",
+    "<article><p>+30<p>+12</article>",
+    "<nav>-2/2</nav><article><p>+44<p>+5</article>",
+    "<main><h2>+5</h2><p>+20<p>+9</main>",
+    "<nav>-1/1</nav><div class=ad>-10</div><article><h1>+4</h1><p>+25<p>+3<p>+14</article>",
+    "<article><h1>+8</h1><p>+11<p>+16</article>",
+    "<main><p>+48<p>+1</main>",
+    # What is beside an article, without a hint.
+    "<div>-2/2</div><div>-1/1</div><div>-7</div><article><h1>+5</h1><p>+30<p>+3<p>+47/2</article><div>-9</div>",
+    "<div>-1/1</div><div>-14</div><article><h1>+7</h1><p>+1<p>+62<p>+28</article><div>-2/2</div><div>-11</div>",
+    "<div>-3/3</div><div>-9</div><main><p>+55<p>+5<p>+37/3</main><div>-16</div>",
+    "<div>-6</div><article><h1>+8</h1><p>+2<p>+74<p>+19</article><div>-21</div><div>-8</div>",
+    "<p>-1/1<p>-12<article><h1>+6</h1><p>+43<p>+26</article><p>-33<p>-7/3<p>-4",
+    "<p>-4/4<p>-5<article><p>+26<p>+4<p>+91</article><p>-13",
+    "<div>-8</div><article><h1>+9</h1><p>+62<p>+5</article><div>-9</div>",
+    "<p>-3/3<article><p>+30<p>+2</article><p>-6",
+    "<article><h1>+4</h1><p>+8</article><div>-14</div>",
+    "<div>-2/2</div><main><p>+41<p>+11</main><div>-4</div>",
+    "<article><p>+3<p>+1</article><div>-27</div>",
+    # Short paragraphs between long ones.
+    "<p>+30<p>+4<p>+62<p>+2<p>+25<p>+6<p>+38",
+    "<div>-2/2</div><p>+22<p>+7<p>+18<p>+3<p>+27<p>+1<p>+35<div>-1/1</div>",
+    "<h1>+5</h1><p>+24<p>+5<p>+20<p>+8<p>+21/2<p>+2<p>+26<div>-3/3</div><div>-4</div>",
+    "<div>-1/1</div><div>+19</div><div>+4</div><div>+23</div><div>+6</div><div>+34</div><div>+3</div><div>+29</div><div>-5/5</div>",
+    # Text that ends the page.
+    "<div>-1/1</div><div>-2/2</div><h1>+4</h1><p>+40<p>+60",
+    "<p>-3/3<p>+33<p>+51/2<p>+12",
+    "<h1>+5</h1><p>+44<p>+38/3<p>+70",
+    "<p>+22<p>+9<p>+35",
+    "<div>-2/2</div><div>+28</div><div>+47</div><div>+6</div><div>+54</div>",
+    "<h2>+6</h2><p>+15<p>+4<p>+31/4<p>+80",
+    "<div>-1/1</div><div>-8</div><div>-1/1</div><h1>+7</h1><p>+57<p>+26<p>+45",
+    # A sentence or two alone, with nothing around.
+    "<p>+9",
+    "<p>+1",
+    "<p>+4",
+    "<p>+3<p>+6",
+    "<h1>+2</h1><p>+14",
+    "<p>+25/3",
+    "<div class=ad>-6</div>",
+    "<aside>-14</aside>",
+    "<footer>-9</footer>",
 ]
 
+#: More pages by rule: every front, text within an article, and end with each other.
+FRONTS = ["", "<nav>-2/2<p>-1/1</nav>", "<nav><li>-1/1<li>-1/1</nav><div class=ad>-8</div>", "<div>-3/3</div><div>-9</div>", "<header>-4</header>"]
+TEXTS = [
+    "<p>+104<p>+4", "<h1>+6</h1><p>+40<p>+2<p>+63/2", "<p>+55<p>+12/12<p>+31", "<p>+3/3<p>+20<p>+7/6<p>+5", "<h2>+3</h2><p>+1<p>+2", "<p>+9",
+    "<p>+33<ul><li>+2/2<li>+9<li>+1/1</ul>", "<p>+18<aside>-12</aside><p>+8", "<p>+26<p>+15<section class=comments><p>-30<p>-5</section>",
+]
+ENDS = ["", "<footer>-9</footer>", "<div>-7</div>", "<footer><p>-3/3<p>-12</footer>", "<div>-4/4</div><div>-26</div>"]
+PAGES += [f"{front}<article>{text}</article>{end}" for front in FRONTS for text in TEXTS for end in ENDS]
+
 
 @dataclass
 class Block:
     text: str
     words: int
     linked: int
-    article: bool
-    boiler: bool
     heading: bool
     item: bool
+    article: bool
+    hint: bool
 
 
 @dataclass
 class _State:
-    """Where the reader stands: holders that are open, with what they add to the article and boilerplate levels."""
+    """Where the reader stands: holders that are open, with what they add to the levels of articles and hints."""
 
     open: list[tuple[str, int, int]] = field(default_factory=list)
     article: int = 0
-    boiler: int = 0
+    hint: int = 0
     link: int = 0
     tag: str = ""
 
@@ -98,7 +180,7 @@ def blocks(html: str) -> list[Block]:
             words = "".join(text).split()
             if words:
                 heading = len(at.tag) == 2 and at.tag[0] == "h" and at.tag[1].isdigit()
-                out.append(Block(" ".join(words), len(words), len("".join(links).split()), at.article > 0, at.boiler > 0, heading, at.tag in ("li", "dd", "dt", "td", "th")))
+                out.append(Block(" ".join(words), len(words), len("".join(links).split()), heading, at.tag in ("li", "dd", "dt", "td", "th"), at.article > 0, at.hint > 0))
             text.clear()
             links.clear()
 
@@ -132,18 +214,18 @@ def blocks(html: str) -> list[Block]:
             at.link = 0
             at.tag = "" if closing else tag
             if tag in HOLDERS and not closing and not token.endswith("/>"):
-                hints = " ".join(x for y in LABELS.findall(token) for x in y)
-                inside = at.article > 0
-                boiler = tag in BOILER or bool(hints and HINTS.search(hints)) or (tag == "header" and not inside)
-                article = tag in ("article", "main") or bool(re.search(r"\b(?:article|entry|post)(?:-?(?:body|content|text))\b", hints))
-                at.open.append((tag, int(article), int(boiler)))
+                names = " ".join(x for y in LABELS.findall(token) for x in y)
+                article = tag in ("article", "main") or bool(re.search(r"\b(?:article|entry|post)(?:-?(?:body|content|text))\b", names))
+                # What is named an article, or the whole page, isn't something else because of its other names.
+                hint = tag in BOILER or (tag == "header" and not at.article) or (not article and tag != "body" and bool(HINTS.search(names)))
+                at.open.append((tag, int(article), int(hint)))
                 at.article += article
-                at.boiler += boiler
+                at.hint += hint
             elif closing and any(x[0] == tag for x in at.open):
                 while at.open:
-                    name, article, boiler = at.open.pop()
+                    name, article, hint = at.open.pop()
                     at.article -= article
-                    at.boiler -= boiler
+                    at.hint -= hint
                     if name == tag:
                         break
     close_block()
@@ -152,18 +234,20 @@ def blocks(html: str) -> list[Block]:
 
 def features(found: list[Block]) -> np.ndarray:
     """A row of FEATURES for each block; beyond either end there is a block without words."""
-    own = np.array([[b.article, b.boiler, b.heading, b.item, b.words, b.linked / b.words] for b in found], float).reshape(-1, 6)
-    near = np.pad(own[:, 4:6], ((1, 1), (0, 0)))
-    return np.hstack((own, near[:-2], near[2:])) if len(own) else np.zeros((0, len(FEATURES)))
+    own = np.array([[b.words, b.linked / b.words, b.heading, b.item, b.article, b.hint] for b in found], float).reshape(-1, 6)
+    if own[:, 4].any():  # an article, and what is not in it
+        own[:, 4] = 2 * own[:, 4] - 1
+    near = np.pad(own[:, :2], ((1, 1), (0, 0)))
+    return np.hstack((own[:, :2], near[:-2], near[2:], own[:, 2:])) if len(own) else np.zeros((0, len(FEATURES)))
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> tuple:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = 1) -> tuple:
     """A CART tree by Gini impurity: (feature, threshold, low, high), or (share of y,). Ties take the first feature."""
     if depth == 0 or len(y) < 2 * least or y.all() or not y.any():
         return (float(y.mean()) if len(y) else 0.0,)
     gini = lambda v: len(v) * v.mean() * (1 - v.mean()) if len(v) else 0.0
     best = (gini(y) - 1e-9, None)
-    for k in range(x.shape[1]):
+    for k in range(MEASURED if depth > DEPTH - FIRST else x.shape[1]):
         values = np.unique(x[:, k])
         for t in (values[:-1] + values[1:]) / 2:
             low = x[:, k] <= t
@@ -185,15 +269,15 @@ def apply(tree: tuple, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the blocks of PAGES; the marks are no words."""
+def labelled(pages: list[str] = PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of labelled pages."""
     rows, marks = [], []
-    for page in PAGES:
+    for page in pages:
         found = blocks(page)
-        marks += [b.text[0] == "+" for b in found]
         for b in found:
-            b.words -= 1
-            b.linked -= b.linked > b.words
+            mark, words, linked = BLOCK.fullmatch(b.text).groups()
+            b.words, b.linked = int(words), int(linked or 0)
+            marks.append(mark == "+")
         rows.append(features(found))
     return np.vstack(rows), np.array(marks)
 
