@@ -1,9 +1,10 @@
 """Media columns: bytes stored losslessly as 8-bit sound, and audio features with time spans.
 
-A payload becomes a mono WAV file of unsigned 8-bit samples at RATE. Features come from what is read back: polyphase
-resampling by UP / DOWN, overlapped frames, log-mel filter banks, and segments where the energy rises over an upper level
-and until it falls below a lower one (hysteresis). `audio_features` returns them in blocks of BLOCK_FRAMES frames of one
-shape with their time spans; `as_tensors` gives such a column Arrow's fixed-shape tensor type.
+A payload becomes a mono WAV file of unsigned 8-bit samples at RATE, in a stored table. Features come from what is read back:
+polyphase resampling by UP / DOWN, overlapped frames, log-mel filter banks, and segments where the energy rises over an upper
+level and until it falls below a lower one (hysteresis). They are stored too, for each document as an Arrow record batch of
+TENSORS: blocks of BLOCK_FRAMES frames as fixed-shape tensors with their time spans, and the segments that begin in them.
+`feature` is made from those tensors, as they are read back.
 
 Null and empty payloads: one padded unit of PAD spaces. Repeated rows each get their row, and equal payloads equal values.
 Very long payloads are resampled and framed block by block. Silence (all samples equal) makes one segment over all frames,
@@ -20,16 +21,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.llm.common import slices, text_of
+from mosaique.llm.common import slices, stored, text_of
 
 PAD = 192
 RATE, UP, DOWN = 12_000, 2, 3
 FRAME, HOP, FFT, MELS, TAPS = 200, 80, 256, 20, 24
 BLOCK_FRAMES, WORK_FRAMES = 64, 4096
 UPPER, LOWER = 0.6, 0.4
+DIGESTS = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
+TENSOR, SPAN = pa.fixed_shape_tensor(pa.float16(), (BLOCK_FRAMES, MELS)), pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())])
+TENSORS = pa.schema([("block", pa.int64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("n_frames", pa.int64()), ("log_mel", TENSOR), ("segments", pa.list_(SPAN))])
 
 
 def padded(raw: bytes) -> bytes:
@@ -117,59 +123,76 @@ def seconds(frame: int | np.ndarray) -> float | np.ndarray:
     return frame * HOP * DOWN / UP / RATE
 
 
-def audio_features(docs: DataFrame) -> DataFrame:
-    """doc_id, block, start_s, end_s, n_frames, log_mel (BLOCK_FRAMES x MELS floats by rows, zeros behind the last frame),
-    and segments (start_s, end_s) that begin in the block."""
-    kind = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
+def blocks(mel: np.ndarray) -> pa.RecordBatch:
+    """The frames in blocks of one shape (zeros behind the last frame) with time spans, and the segments."""
+    n = -(-len(mel) // BLOCK_FRAMES)
+    full = np.pad(mel, ((0, n * BLOCK_FRAMES - len(mel)), (0, 0))).astype(np.float16).ravel()
+    begin = np.arange(n) * BLOCK_FRAMES
+    end = np.minimum(begin + BLOCK_FRAMES, len(mel))
+    on = np.array(segments(mel.mean(1)), np.int64).reshape(-1, 2)
+    bounds = np.searchsorted(on[:, 0], np.arange(n + 1) * BLOCK_FRAMES).astype(np.int32)
+    spans = pa.StructArray.from_arrays([pa.array(seconds(on[:, k])) for k in (0, 1)], fields=list(SPAN))
+    size = BLOCK_FRAMES * MELS
+    tensor = pa.ExtensionArray.from_storage(TENSOR, pa.FixedSizeListArray.from_arrays(pa.array(full), size))
+    cols = [pa.array(np.arange(n)), pa.array(seconds(begin)), pa.array(seconds(end)), pa.array(end - begin), tensor, pa.ListArray.from_arrays(pa.array(bounds), spans)]
+    return pa.RecordBatch.from_arrays(cols, schema=TENSORS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            for doc, raw in zip(part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                mel = log_mel(from_wav(to_wav(padded(raw))))
-                on, n = segments(mel.mean(1)), -(-len(mel) // BLOCK_FRAMES)
-                full = np.pad(mel, ((0, n * BLOCK_FRAMES - len(mel)), (0, 0))).astype(np.float32).reshape(n, -1)
-                ends = np.minimum((np.arange(n) + 1) * BLOCK_FRAMES, len(mel))
-                spans = [[{"start_s": seconds(a), "end_s": seconds(b)} for a, b in on if a // BLOCK_FRAMES == k] for k in range(n)]
-                cols = [[doc] * n, np.arange(n), seconds(np.arange(n) * BLOCK_FRAMES), seconds(ends), ends - np.arange(n) * BLOCK_FRAMES]
-                arrays = [pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(full), pa.list_(pa.float32())), pa.array(spans, kind)], ["doc_id", "block", "start_s", "end_s", "n_frames", "log_mel", "segments"])
 
-    schema = "doc_id long, block long, start_s double, end_s double, n_frames long, log_mel array<float>, segments array<struct<start_s: double, end_s: double>>"
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, schema)
+def opened(tensors: bytes) -> pa.RecordBatch:
+    """A document's stored features as TENSORS."""
+    return pa.ipc.read_record_batch(pa.py_buffer(tensors), TENSORS)
 
 
-def as_tensors(table: pa.Table) -> pa.Table:
-    """The table with log_mel as Arrow's fixed-shape tensors."""
-    flat = pa.chunked_array([c.cast(pa.list_(pa.float32(), BLOCK_FRAMES * MELS)) for c in table["log_mel"].chunks], pa.list_(pa.float32(), BLOCK_FRAMES * MELS))
-    kind = pa.fixed_shape_tensor(pa.float32(), (BLOCK_FRAMES, MELS))
-    tensors = pa.chunked_array([pa.ExtensionArray.from_storage(kind, c) for c in flat.chunks], kind)
-    return table.set_column(table.schema.get_field_index("log_mel"), "log_mel", tensors)
+def stored_media(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, media: a stored table of sound files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            raw = part.column("text").cast(pa.binary())
+            media = [to_wav(padded(x)) for x in raw.to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pc.binary_length(raw).cast(pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
+    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return stored(rows, "media", compression="zstd")
 
-def summary(mel: np.ndarray) -> str:
-    """Frames, segments, frames in segments, and the mean of each mel band in thousandths."""
-    on = segments(mel.mean(1))
-    means = np.round(mel.mean(0) * 1000).astype(int)
-    return f"{len(mel)};{len(on)};{sum(b - a for a, b in on)};" + ",".join(map(str, means))
 
+def audio_features(media: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, tensors from doc_id, n_bytes, media."""
 
-def media_columns(docs: DataFrame, with_media: bool = False) -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature (and the file, if wanted)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "media", limit=1 << 20):
+            rows = []
+            for file in part.column("media").to_pylist():
+                back = from_wav(file)
+                tensors = blocks(log_mel(back)).serialize().to_pybytes()
+                rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(file), hashlib.sha256(file).hexdigest(), tensors))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            cols = [part.column("doc_id"), part.column("n_bytes")] + [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(cols, [*DIGESTS, "tensors"])
+
+    kind = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, tensors binary"
+    return media.mapInArrow(run, kind)
+
+
+def summary(tensors: bytes) -> str:
+    """Frames, segments, seconds in segments, and the mean of each mel band in thousandths."""
+    found = opened(tensors)
+    frames, mel = found.column("n_frames").to_numpy(), found.column("log_mel").to_numpy_ndarray()
+    there = np.arange(BLOCK_FRAMES) < frames[:, None]
+    means = np.round(mel.astype(np.float64)[there].mean(0) * 1000).astype(int)
+    spans = found.column("segments").flatten()
+    inside = pc.sum(pc.subtract(spans.field(1), spans.field(0))).as_py() or 0.0
+    return f"{frames.sum()};{len(spans)};{inside:.2f};" + ",".join(map(str, means))
+
+
+def media_columns(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    kept = stored(audio_features(stored_media(docs)), "tensors", compression="zstd")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            rows, files = [], []
-            for raw in part.column("text").cast(pa.binary()).to_pylist():
-                media = to_wav(padded(raw))
-                back = from_wav(media)
-                rows.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), summary(log_mel(back))))
-                files.append(media if with_media else None)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            cols = [part.column("doc_id")] + [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            if with_media:
-                cols, names = [*cols, pa.array(files, pa.binary())], [*names, "media"]
-            yield pa.RecordBatch.from_arrays(cols, names)
-
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(run, schema + (", media binary" if with_media else ""))
+        for part in slices(batches, "tensors"):
+            feature = [summary(x) for x in part.column("tensors").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in DIGESTS), pa.array(feature, pa.string())], [*DIGESTS, "feature"])
+
+    kind = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    return kept.mapInArrow(run, kind)
