@@ -1,13 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Words fall into classes: insult, threat, target, negation, reporting, other. Insults come with weights that are learned
-from labels, as whole words and as stems (the first 3 to 6 letters); the other classes are fixed word lists. Five
+from labels, as whole words and as stems (the first 3 to 6 letters; the shorter, the less a stem weighs, and the more
+different words of it must be found mostly in toxic texts); the other classes are fixed word lists. Five
 transducers read a clause: insult and threat emit matches, target raises the weight of a match near a person, negation and
 reported speech lower it. Their product (composition over the class alphabet, built once) reads each clause once, and a
 clause's score is the sum of what it emits. A logistic curve over a text's sum, fitted to the labels, gives 0 to 1.
 
-Labels are taken from a bounded sample, by the hash of the id (SAMPLE_ROWS expected rows, a parameter); the lexicon has at
-most MOST_WORDS entries. Scores read whole texts and no other column.
+Labels are taken from a bounded sample, by the hash of the id (SAMPLE_ROWS expected rows, a parameter), and its words bound
+the lexicon. The sampled texts become one stored table. Scores read whole texts and no other column.
 
 Null and empty text: no clause, so the lowest score. Repeated rows each get their row; labels of one id that disagree count
 as toxic. With no label, or one class only, the score is the smoothed share of toxic rows. Very long texts are read whole;
@@ -25,10 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.llm.common import coded, slices, split_at
+from mosaique.llm.common import coded, slices, split_at, stored
 
-SAMPLE_ROWS, MOST_WORDS, LEAST_TEXTS, LEAST_SHARE = 40_000, 5000, 4, 0.8
-STEMS = (3, 4, 5, 6)
+SAMPLE_ROWS, LEAST_TEXTS, LEAST_SHARE = 40_000, 4, 0.8
+#: Letters of a stem, with the different words that it needs and the share of its weight that it keeps.
+STEMS = {3: (6, 0.4), 4: (5, 0.5), 5: (4, 0.6), 6: (3, 0.7)}
 TOXIC_AT = 0.7
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Words of the closed classes, in English, German, French and Spanish.
@@ -91,7 +93,8 @@ def compose(*steps: Step) -> tuple[np.ndarray, np.ndarray]:
     return np.array(follow), np.array(emit)
 
 
-FOLLOW, EMIT = compose(insult, threat, target, negation, reported)
+GRAMMAR = compose(insult, threat, target, negation, reported)
+FOLLOW, EMIT = GRAMMAR
 FIXED = {w: k for k, words in WORDS.items() for w in words}
 
 
@@ -106,8 +109,9 @@ def patterns(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in STEMS if len(word) >= k)]
 
 
-def clause_sums(texts: pa.Array, lexicon: dict[str, float]) -> np.ndarray:
+def clause_sums(texts: pa.Array, lexicon: dict[str, float], grammar: tuple[np.ndarray, np.ndarray] = GRAMMAR) -> np.ndarray:
     """Sum over the clauses of each text of what the grammar emits."""
+    follow, emit = grammar
     offsets, words = clause_words(texts)
     codes, distinct = coded(words)
     kinds, weights = np.zeros(len(distinct), np.int64), np.ones(len(distinct))
@@ -123,9 +127,9 @@ def clause_sums(texts: pa.Array, lexicon: dict[str, float]) -> np.ndarray:
     state, last = 0, -1
     for i, c, k, w in zip(np.flatnonzero(live).tolist(), clause[live].tolist(), kind[live].tolist(), weight[live].tolist(), strict=True):
         state = state if c == last else 0
-        if (factor := EMIT[state, k]) > 0:
+        if (factor := emit[state, k]) > 0:
             out[doc[i]] += factor * (w if k == INSULT else 1.0)
-        state, last = FOLLOW[state, k], c
+        state, last = follow[state, k], c
     return out
 
 
@@ -136,7 +140,7 @@ def training(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Dat
     drawn = F.pmod(F.xxhash64(F.lit("label"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     picked = marked.where(drawn).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     few = docs.sparkSession.createDataFrame(picked.toArrow()) if not picked.isEmpty() else picked
-    return docs.where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id").select("text", "toxic").distinct()
+    return stored(docs.where(F.col("text").isNotNull()).join(F.broadcast(few), "doc_id").select("text", "toxic").distinct(), "labelled")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -166,23 +170,32 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn(rows: DataFrame) -> tuple[dict[str, float], tuple[float, float]]:
+def learn(rows: DataFrame, grammar: tuple[np.ndarray, np.ndarray] = GRAMMAR) -> tuple[dict[str, float], tuple[float, float]]:
     """Insults with weights, and the curve's intercept and slope over log1p of a text's sum."""
     totals = {int(r["toxic"] > 0): r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         share = (bad + 0.5) / (bad + good + 1)
         return {}, (float(np.log(share / (1 - share))), 0.0)
-    # The lower end of the share of toxic texts among those with the word, at even prior odds.
+    # The share of toxic texts among those with the word, at even prior odds.
     odds = ((F.col("toxic") + 0.1) / bad) / ((F.col("clean") + 0.5) / good)
     share = F.col("toxic") / (F.col("toxic") + F.col("clean") + 0.5)
-    counts = word_counts(rows).where((F.col("toxic") >= LEAST_TEXTS) & (share >= LEAST_SHARE) & ~F.col("word").startswith(CLAUSE))
-    best = counts.withColumn("weight", F.log10(odds)).orderBy(F.desc("weight"), "word").limit(MOST_WORDS)
-    lexicon = {r["word"]: float(r["weight"]) for r in best.collect() if r["weight"] > 0}
+    counts = stored(word_counts(rows).where(~F.col("word").startswith(CLAUSE)).withColumn("share", share).withColumn("weight", F.log10(odds)), "word-counts")
+    kept = counts.where((F.col("toxic") >= LEAST_TEXTS) & (F.col("share") >= LEAST_SHARE) & (F.col("weight") > 0))
+    # A stem needs several different words that are found mostly in toxic texts themselves.
+    telling = counts.where(~F.col("word").endswith("*") & (F.col("share") >= 0.5))
+    stems = telling.select(F.explode(F.array(*(F.when(F.length("word") >= k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS))).alias("word"))
+    letters = F.length("word") - 1
+    by_letters = lambda i: F.element_at(F.create_map(*(F.lit(x) for k, v in STEMS.items() for x in (k, v[i]))), letters)
+    supported = stems.where("word is not null").groupBy("word").agg(F.count("*").alias("words")).where(F.col("words") >= by_letters(0))
+    stem = F.col("word").endswith("*")
+    lexicon = {r["word"]: float(r["weight"]) for r in kept.where(~stem).select("word", "weight").collect()}  # words of a bounded sample
+    few = kept.where(stem).join(supported, "word", "left_semi").select("word", (F.col("weight") * by_letters(1)).alias("weight"))
+    lexicon |= {r["word"]: float(r["weight"]) for r in few.collect()}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(clause_sums(part.column("text"), lexicon)), part.column("toxic")], ["x", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(clause_sums(part.column("text"), lexicon, grammar)), part.column("toxic")], ["x", "toxic"])
 
     got = rows.mapInArrow(sums, "x double, toxic int").toArrow()  # two numbers a sampled row
     return lexicon, curve(np.log1p(np.asarray(got["x"])), np.asarray(got["toxic"]) > 0)
@@ -204,15 +217,15 @@ def curve(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> tuple[float, f
     return float(a), float(b)
 
 
-def scores(texts: pa.Array, lexicon: dict[str, float], fitted: tuple[float, float]) -> np.ndarray:
-    z = np.clip(fitted[0] + fitted[1] * np.log1p(clause_sums(texts, lexicon)), -30, 30)
+def scores(texts: pa.Array, lexicon: dict[str, float], fitted: tuple[float, float], grammar: tuple[np.ndarray, np.ndarray] = GRAMMAR) -> np.ndarray:
+    z = np.clip(fitted[0] + fitted[1] * np.log1p(clause_sums(texts, lexicon, grammar)), -30, 30)
     return 1 / (1 + np.exp(-z))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, score, predicted; learns from the rows that are not held out."""
     split = docs.select("doc_id", "text", held_out.alias("held_out"))
-    lexicon, fitted = learn(training(split.where(~F.col("held_out")), labels).cache())
+    lexicon, fitted = learn(training(split.where(~F.col("held_out")), labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -226,7 +239,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is under TOXIC_AT, with all their columns; learns from all labels."""
-    lexicon, fitted = learn(training(docs.select("doc_id", "text"), labels).cache())
+    lexicon, fitted = learn(training(docs.select("doc_id", "text"), labels))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
