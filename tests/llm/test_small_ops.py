@@ -46,16 +46,71 @@ def test_base_counts():
     assert list(zip(*(got[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), strict=True)) == [plain_base(t) for t in texts]
 
 
-def test_perplexity_model_is_a_distribution_and_is_lower_for_what_it_saw(make):
+def plain_kneser_ney(texts, order):
+    """log10 probability of a code point behind others, as a function, by the definition and dictionaries."""
+    grams = Counter()
+    for t in texts:
+        padded = "\n" * (order - 1) + (t or "")
+        grams.update(padded[i : i + order] for i in range(len(t or "")))
+    tables = {order: grams}
+    for k in range(order - 1, 0, -1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    cuts, after = {}, {}
+    for k, table in tables.items():
+        n = [sum(v == c for v in table.values()) for c in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+        cuts[k] = [min(max(c - (c + 1) * y * n[c] / n[c - 1], 0.1 * c), 0.9 * c) if n[c - 1] else 0.5 * c for c in (1, 2, 3)]
+        after[k] = {}
+        for g, v in table.items():
+            after[k].setdefault(g[:-1], {})[g[-1]] = v
+    kinds = len(tables[1])
+
+    def p(gram):
+        if not gram:
+            return 1 / (kinds + 1)
+        k = len(gram)
+        seen = after[k].get(gram[:-1])
+        if seen is None:
+            return p(gram[1:])
+        off = lambda v: cuts[k][min(v, 3) - 1]
+        own = seen.get(gram[-1], 0)
+        return ((own - off(own)) if own else 0) / sum(seen.values()) + sum(map(off, seen.values())) / sum(seen.values()) * p(gram[1:])
+
+    return p
+
+
+def test_perplexity_equals_plain_kneser_ney(make):
     rng = random.Random(2)
-    docs = make([prose(rng, 200, "en") for _ in range(20)])
-    model = quality.train(docs)
-    table = 10 ** model.table().astype(float).reshape(-1, quality.ALPHABET)
-    assert np.allclose(table.sum(1), 1, atol=1e-4)
-    _, lp = quality.log_perplexity(pa.array([prose(rng, 100, "en"), "zq§7 %%% QX-0 !!" * 20]), model.table())
-    assert lp[0] < lp[1]
-    for keys, _ in model.probs:
-        assert (np.diff(keys) > 0).all()
+    texts = [prose(rng, 20, "en") for _ in range(12)] + ["Ünï çödé 日本語 😀", "", None, "\n\nx", "aaaaaaaaaaaa"]
+    model = quality.held(quality.estimates(make(texts)))
+    p = plain_kneser_ney(texts, quality.ORDER)
+    new = [*texts, "never seen: ЖЫ zq§7", "the of ж the"]
+    want = []
+    for t in new:
+        padded = "\n" * (quality.ORDER - 1) + (t or "")
+        logs = [np.log10(p(padded[i : i + quality.ORDER])) for i in range(len(t or ""))]
+        want.append(-np.mean(logs) if logs else 0)
+    assert np.allclose(quality.log_perplexity(pa.array(new), model), want, atol=0.0005)
+    context = "\n\nth"
+    assert sum(p(context + c) for c in {c for t in texts for c in t or ""}) == pytest.approx(1, abs=0.02)
+    for array in (*model.probs.values(), *model.backs.values()):
+        assert (np.diff(array.keys.view(np.int64) ^ np.int64(-(2**63))) > 0).all()
+
+
+def test_models_of_several_corpora_in_one_session(make):
+    rng = random.Random(21)
+    a, b = make([prose(rng, 60, "en") for _ in range(60)]), make([prose(rng, 60, "de") for _ in range(60)])
+    runs = [sorted(map(tuple, quality.quality(x).collect())) for x in (a, b, a, b)]
+    assert runs[0] == runs[2] and runs[1] == runs[3] and runs[0] != runs[1]
+
+
+def test_a_large_model_is_joined_and_scores_alike(odd, make, monkeypatch):
+    rng = random.Random(22)
+    docs = make([prose(rng, 40, "en") for _ in range(40)] + ["zqx##" * 90]).union(odd)
+    rows = lambda df: sorted((str(x) for x in df.collect()))
+    scores, kept = rows(quality.quality(docs)), rows(quality.reject(docs))
+    monkeypatch.setattr(quality, "HELD", 0)
+    assert rows(quality.quality(docs)) == scores and rows(quality.reject(docs)) == kept and 0 < len(kept) < docs.count()
 
 
 def test_quality_rejects_what_lies_outside_a_band(make, spark):
@@ -77,7 +132,42 @@ def test_language_of_held_out_texts(make):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in rows)
 
 
+def test_a_tie_goes_by_finer_sizes():
+    """Short texts, of which many have one size with both dictionaries at the first level."""
+    rng = random.Random(17)
+    sizes = langid.Sizes({g: prose(rng, 2000, g).encode() for g in ("de", "en")})
+    ties = 0
+    for _ in range(300):
+        raw = prose(rng, rng.randint(1, 6), rng.choice(["de", "en"])).encode()
+        first, finer = sizes(raw), sum(sizes(raw, level) for level in langid.FINER)
+        tie = first[0] == first[1]
+        ties += bool(tie)
+        best, margin = sizes.best(raw)
+        assert best == int((finer if tie else first).argmin()) and margin == pytest.approx(1 - first.min() / first.max())
+    assert ties > 10
+    assert langid.Sizes({"b": b"xyz " * 9, "c": b"xyz " * 9}).best(b"xyz") == (0, 0.0)
+
+
+def test_copies_and_long_texts_do_not_fill_the_sample(make):
+    rng = random.Random(16)
+    own = [prose(rng, 200, "en") for _ in range(60)]
+    docs = make([own[0]] * 200 + own + [" ".join(own)])
+    content = langid.dictionaries(docs, pieces=20)["en"].decode()
+    assert len(content) > 15 * langid.PIECE * 0.8 and content.count(content[:200]) == 1
+    many = make([prose(rng, 30, "en") for _ in range(30)], langs=[f"l{i}" for i in range(30)])
+    assert len(langid.dictionaries(many, total=10)) == 30
+
+
+def test_language_of_all_texts_is_mostly_right(spark):
+    """Held-out accuracy on the documents of sf0.01."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    rows = [r for r in langid.language(docs, remainder(4) == 2).collect() if r["held_out"]]
+    assert len(rows) > 200 and np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in rows]) > 0.97
+
+
 def test_language_edges(odd, make):
+    assert langid.language(odd.limit(0), remainder(4) == 2).count() == 0
     rows = {r["doc_id"]: r for r in langid.language(odd, remainder(4) == 2).collect()}
     assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in range(4))
     assert rows[10]["lang_pred"] == rows[11]["lang_pred"]
@@ -87,17 +177,19 @@ def test_language_edges(odd, make):
 
 
 def test_media_round_trip(odd):
-    rows = media.media_columns(odd, with_media=True).collect()
+    files = {(r["doc_id"], bytes(r["media"])) for r in media.stored_media(odd).collect()}
+    rows = media.media_columns(odd).collect()
     assert len(rows) == 14
+    by_hash = {hashlib.sha256(m).hexdigest(): m for _, m in files}
     for r in rows:
         text = (ODD[r["doc_id"]] if r["doc_id"] is not None else "null id") or ""
-        raw = text.encode()
-        back = media.from_wav(bytes(r["media"]))
+        raw, file = text.encode(), by_hash[r["media_sha256"]]
+        back = media.from_wav(file)
         assert back == media.padded(raw) and len(back) % 192 == 0 and len(back) >= 192 and back[: len(raw)] == raw and not back[len(raw) :].strip(b" ")
-        assert (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(raw), len(back), len(bytes(r["media"])))
-        assert r["payload_sha256"] == hashlib.sha256(back).hexdigest() and r["media_sha256"] == hashlib.sha256(bytes(r["media"])).hexdigest()
-        assert r["tail_crc32"] == zlib.crc32(back[-16:])
+        assert (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(raw), len(back), len(file))
+        assert r["payload_sha256"] == hashlib.sha256(back).hexdigest() and r["tail_crc32"] == zlib.crc32(back[-16:])
     assert len({r["feature"] for r in rows if r["doc_id"] in (10, 11)}) == 1
+    assert media.media_columns(odd.limit(0)).count() == 0
 
 
 def test_resampling_keeps_a_tone_and_blocks_agree(monkeypatch):
@@ -120,16 +212,22 @@ def test_segments_by_hysteresis():
     assert media.segments(np.zeros(4)) == [(0, 4)]
 
 
-def test_tensors(make, tmp_path):
-    import pyarrow.parquet as pq
-
-    table = media.as_tensors(media.audio_features(make(["abc " * 2000, None])).toArrow())
-    kind = table.schema.field("log_mel").type
-    assert kind.shape == [media.BLOCK_FRAMES, media.MELS]
-    pq.write_table(table, tmp_path / "x.parquet")
-    assert pq.read_table(tmp_path / "x.parquet").schema.field("log_mel").type == kind
-    for r in table.select(["block", "start_s", "end_s", "n_frames"]).to_pylist():
-        assert r["end_s"] - r["start_s"] == pytest.approx(media.seconds(r["n_frames"]))
+def test_tensors(odd):
+    """Stored tensors against the frames themselves: shape, spans, and which segments begin in a block."""
+    rows = media.audio_features(media.stored_media(odd)).collect()
+    assert len(rows) == 14
+    for r in rows:
+        text = (ODD[r["doc_id"]] if r["doc_id"] is not None else "null id") or ""
+        mel = media.log_mel(media.padded(text.encode()))
+        found = media.opened(bytes(r["tensors"]))
+        assert found.schema.field("log_mel").type.shape == [media.BLOCK_FRAMES, media.MELS]
+        blocks = found.column("log_mel").to_numpy_ndarray()
+        flat = blocks.reshape(-1, media.MELS)
+        assert np.allclose(flat[: len(mel)], mel, atol=0.02) and not flat[len(mel) :].any()
+        for x in found.select(["block", "start_s", "end_s", "n_frames", "segments"]).to_pylist():
+            assert x["start_s"] == media.seconds(x["block"] * media.BLOCK_FRAMES) and x["end_s"] - x["start_s"] == pytest.approx(media.seconds(x["n_frames"]))
+            assert all(x["start_s"] <= y["start_s"] < x["end_s"] and y["start_s"] < y["end_s"] for y in x["segments"])
+        assert sum(len(x["segments"]) for x in found.to_pylist()) == len(media.segments(mel.mean(1)))
 
 
 def test_ids_equal_the_library():
@@ -274,10 +372,12 @@ def test_junk_that_lies_off_a_language_is_rejected(spark):
 def test_a_language_of_few_or_short_texts_has_its_own_band(spark, size):
     """20 texts around 0.87 beside 300 around 0.95."""
     rows = [("en", 300, 0.95, 1000), ("es", 20, 0.87, size)]
-    scores = spark.createDataFrame([(g, 50, n, m + 0.005 * (i % 5 - 2)) for g, k, m, n in rows for i in range(k)], "lang string, n_words long, n_chars long, log_perplexity double")
-    found = quality.bands(scores)
+    scores = spark.createDataFrame([(g, 50, n, m + 0.005 * (i % 5 - 2)) for g, k, m, n in rows for i in range(k)], "lang string, n_words long, n_chars long, word_perplexity double")
+    found = quality.bands(scores.withColumn("char_perplexity", F.lit(0.5)))
     fifty, none = np.array([50, 50, 50]), np.zeros(3)
-    assert quality.verdict(found, ["en", "es", "es"], fifty, none, np.full(3, size), np.array([0.95, 0.87, 0.99]))[1].tolist() == [True, True, False]
+    values = [np.array([0.95, 0.87, 0.99]), np.full(3, 0.5)]
+    assert quality.verdict(found, ["en", "es", "es"], fifty, none, np.full(3, size), values)[1].tolist() == [True, True, False]
+    assert not quality.verdict(found, ["en", "es", "es"], fifty, none, np.full(3, size), [values[0], np.full(3, 0.9)])[1].any()
 
 
 def test_quality_edges(odd):
