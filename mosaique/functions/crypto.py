@@ -14,6 +14,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mosaique.functions.storage import FileSystem
 from mosaique.schemas import KEYS
 
 ID_BYTES, TAG_BYTES, BLOCK = 12, 4, 16
@@ -74,10 +75,14 @@ def lookup_key(keys: DataFrame, period: int) -> bytes:
 
 
 class KeyTable:
-    """Period keys: one random key for each period."""
+    """Period keys: one random key for each period. With a folder, each key is a file of its own there, which outlives the driver;
+    a file is made only where there is none, so two drivers can't both make a period's key."""
 
-    def __init__(self):
+    def __init__(self, spark: SparkSession | None = None, folder: str | None = None):
         self._keys: dict[int, bytes] = {}
+        self._files = FileSystem(spark, folder) if folder else None
+        for name in self._files.names() if self._files else ():
+            self._keys[int(name)] = self._files.read(name)
 
     def generate(self, *periods: int) -> bytes:
         if len(periods) != 1:
@@ -87,15 +92,23 @@ class KeyTable:
             raise ValueError("the period is out of range")
         if period in self._keys:
             raise ValueError("the period has a key already")
-        self._keys[period] = os.urandom(16)
-        return self._keys[period]
+        key = os.urandom(16)
+        if self._files and not self._files.create(str(period), key):
+            raise ValueError("the period has a key already")
+        self._keys[period] = key
+        return key
 
     def put(self, period: int, key: bytes) -> None:
         if len(key) != 16:
             raise ValueError("a key has 16 bytes")
+        if self._files:
+            self._files.delete(str(period))
+            self._files.create(str(period), key)
         self._keys[period] = key
 
     def delete(self, period: int) -> None:
+        if self._files:
+            self._files.delete(str(period))
         self._keys.pop(period, None)
 
     def list(self) -> list[tuple[int, bytes]]:

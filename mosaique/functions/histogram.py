@@ -35,10 +35,14 @@ def iterate(hist: DataFrame, groups: DataFrame | None, bins: int, *by: str) -> D
     return full.select(*by, "bin", "count", F.round(running * 100 / total, 6).alias("cum_pct"))
 
 
-def edges(bins: int, lowest: float) -> list[tuple[str, str]]:
+#: How a line begins behind its prefix, for a regular bin and for the last one.
+BELOW, FROM = " < ", ">= "
+
+
+def edges(bins: int, lowest: float) -> list[str]:
     """Sign and upper edge of each bin; the last has the lower edge of what it takes."""
     out = [Fraction(lowest) * 2**i for i in range(bins - 1)]
-    return [("<", str(x)) for x in out] + [(">=", str(out[-1]))]
+    return [f"{BELOW}{x}" for x in out] + [f"{FROM}{out[-1]}"]
 
 
 def k_anonymous(count: Column, k: int) -> Column:
@@ -52,6 +56,21 @@ def k_anonymous_pct(count: Column, pct: Column, k: int) -> Column:
 
 def format_lines(full: DataFrame, bins: int, lowest: float, k: int, prefix: str = "") -> DataFrame:
     """bin, line: the text of each bin of an iterated histogram."""
-    named = F.element_at(F.array(*(F.lit(f"{a} {b}") for a, b in edges(bins, lowest))), F.col("bin") + 1)
+    named = F.element_at(F.array(*map(F.lit, edges(bins, lowest))), F.col("bin") + 1)
     line = F.concat(F.lit(prefix), named, F.lit(": "), k_anonymous(F.col("count"), k), F.lit(" ("), k_anonymous_pct(F.col("count"), F.col("cum_pct"), k), F.lit(")"))
     return full.select("bin", line.alias("line"))
+
+
+def anonymous(count: int, k: int) -> str:
+    """k_anonymous of a count that is on the driver."""
+    return "NA" if count < k else str(count)
+
+
+def text_lines(counts: dict[int, int], bins: int, lowest: float, k: int, prefix: str = "") -> list[str]:
+    """The lines of a histogram whose few counts are on the driver; the same texts as format_lines."""
+    total, running, out = max(1, sum(counts.values())), 0, []
+    for i, edge in enumerate(edges(bins, lowest)):
+        n = counts.get(i, 0)
+        running += n
+        out.append(f"{prefix}{edge}: {anonymous(n, k)} ({'NA' if n < k else f'{100 * running / total:.1f}'} %)\n")
+    return out

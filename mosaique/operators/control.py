@@ -94,32 +94,52 @@ def last_finished_instance(instances: DataFrame) -> DataFrame:
     return instances.where("status = 'Finished'").agg(F.max("instance").alias("instance"))
 
 
-def last_instance_predicates(rows: DataFrame) -> DataFrame:
-    """Whether the newest row is a failed period, or a finished or canceled request."""
-    newest = rows.agg(F.max_by(F.struct("type", "failed"), F.struct("instance", "part")).alias("x"))
-    return newest.select(
-        F.coalesce((F.col("x.type") == "h") & F.col("x.failed"), F.lit(False)).alias("last_period_failed"),
-        F.coalesce(F.col("x.type").isin("report", "cancel") & ~F.col("x.failed"), F.lit(False)).alias("finished_or_canceled"),
-    )
+def last_instance_predicates(instances: DataFrame, period_last: int = -1) -> DataFrame:
+    """Of the newest valid instance (raw, not normalised): whether it is a failed making of the report that ends in period_last
+    (false without a report, -1), and whether it finished or canceled a report."""
+    valid = instances.where(~F.coalesce(F.col("error").contains(":AE01:"), F.lit(False)))
+    newest = valid.agg(F.max_by(F.struct("status", "arguments", "outputs"), "instance").alias("x")).select("x.*")
+    first = F.get("arguments", F.lit(0))["key"]
+    of_last = F.exists("arguments", lambda a: (a["key"] == "period") & (a["value"].try_cast("bigint") == period_last))
+    failed = (F.col("status") == "Failed") & (F.size("arguments") > 0) & ((first == "fingerprint_report") | ((first != "cancel") & of_last)) & F.lit(period_last != -1)
+    ended = (F.col("status") == "Finished") & (F.size("arguments") > 0) & (_output("fingerprint_report") | (first == "cancel"))
+    return newest.select(F.coalesce(failed, F.lit(False)).alias("report_failed"), F.coalesce(ended, F.lit(False)).alias("finished_or_canceled"))
 
 
 #: Lines of the application log.
-FIRST, LAST, EXPECTED = "First period: ", "Last period: ", "Next expected period: "
+CALIBRATION, FIRST, LAST, EXPECTED, SKIPPED = "With calibration: ", "First period: ", ", last period: ", "Expected next period: ", "Skipped period "
+NEW_REQUEST, NOTHING_NEW = "New NSI request arrived.", "Waited for new NSI request, nothing came, going back to sleep"
+NO_VALID, FAILED_REQUEST, FAILED_WHY = "No new valid NSI request found.", "Failed to look at NSI report request with data id ", ", skipping.\n\tError message: "
+CANCELED, METADATA, RUNTIME = "The report generation process was canceled manually.", "\nH metadata:\n", "\nRuntime of enclave (not trustworthy): "
 
 
 def app_log_parse(logs: DataFrame) -> DataFrame:
-    """first, last and expected period out of log texts; -1 where there is none."""
-    number = lambda mark: F.coalesce(F.expr(f"try_cast(regexp_extract(log, '{mark}([0-9]+)', 1) as int)"), F.lit(-1))
-    return logs.select("log_id", number(FIRST).alias("first_period"), number(LAST).alias("last_period"), number(EXPECTED).alias("next_period"))
+    """What a log says of its request: kind is running (the period behind the expected one is next), new_request (no next period
+    yet), no_request, or invalid. Where a number is not known, it is -1."""
+    range_, running = f"{FIRST}([0-9]+){LAST}([0-9]+)", rf"{FIRST}([0-9]+){LAST}([0-9]+)\s+{EXPECTED}([0-9]+)"
+    is_running, is_new = F.col("log").rlike(running), F.col("log").rlike(range_)
+    kind = F.when(is_running, "running").when(is_new, "new_request").when(F.col("log").contains(NOTHING_NEW), "no_request").otherwise("invalid")
+    number = lambda pattern, k: F.regexp_extract("log", pattern, k).cast("int")
+    of_range = lambda k: F.when(is_running, number(running, k)).when(is_new, number(range_, k)).otherwise(-1)
+    following = F.when(is_running, number(running, 3) + 1).otherwise(-1)
+    return logs.select("log_id", kind.alias("kind"), of_range(1).alias("first_period"), of_range(2).alias("last_period"), following.alias("next_period"))
+
+
+#: What the anomalies of a progress report are called.
+ANOMALIES = {"cancel_failed": "Failed to cancel a report;", "poll_request_failed": "Failed to poll a new request;"}
 
 
 def _dates(title: str, periods: list[int]) -> str:
     return f"{title} {', '.join(map(date_of, periods))}\n" if periods else ""
 
 
+def _anomalies(found: list[str] | None) -> str:
+    return f"Anomalies: {' '.join(ANOMALIES[x] for x in found)}\n" if found else ""
+
+
 def progress_text(batches: list[dict]) -> str:
     """Progress report of batches, newest first; each has type, first, last, greatest_period, old_greatest_period, periods
-    and failed_periods (newest first)."""
+    and failed_periods (newest first), and anomalies, if any."""
     out = []
     for b in batches:
         kind, new = b["type"].removesuffix("_new"), "new " if b["type"].endswith("_new") else ""
@@ -139,5 +159,5 @@ def progress_text(batches: list[dict]) -> str:
         since = first if old is None else old + 1
         known = {*b["periods"], *b["failed_periods"]}
         skipped = [p for p in range(since, upto + 1) if p not in known]
-        out.append(head + _dates("Successful dates:", b["periods"]) + _dates("Failed dates:", sorted(b["failed_periods"])) + _dates("Skipped dates:", skipped))
+        out.append(head + _dates("Successful dates:", b["periods"]) + _dates("Failed dates:", sorted(b["failed_periods"])) + _dates("Skipped dates:", skipped) + _anomalies(b.get("anomalies")))
     return "\n".join(out)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.functions.histogram import iterate, log2_histogram
-from mosaique.schemas import VALUES
+from mosaique.functions.histogram import anonymous, iterate, log2_bin, log2_histogram, text_lines
+from mosaique.schemas import TILE, VALUES
 
 SUB = "sub_period"
 
@@ -95,6 +95,98 @@ def bounding_box(h: DataFrame, old: DataFrame, new: DataFrame, bins: int = 8, lo
     return iterate(log2_histogram(every, "diagonal", bins, lowest, "measure", SUB), groups, bins, "measure", SUB)
 
 
+def by_user(h: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """id, of (h, old_s or new_s), and what all indicators by user are made from: one aggregation of all three tables."""
+    kept = ["id", *TILE, *VALUES]
+    rows = None
+    for name, t in (("h", h), ("old_s", old), ("new_s", new)):
+        part = t.select(*kept).withColumn("of", F.lit(name))
+        rows = part if rows is None else rows.unionByName(part)
+    aggs = [F.count("*").alias("n")]
+    for i, v in enumerate(VALUES):
+        there = [F.when(F.col(v) != 0, F.col(c)) for c in TILE]
+        aggs += [F.count(F.when(F.col(v) > 0, 1)).alias(f"t{i}"), F.sum(v).alias(f"w{i}")]
+        aggs += [F.sum(F.col(v) * F.col(c)).alias(f"{c[-1]}{i}") for c in TILE]
+        aggs.append(F.sqrt(sum((F.max(x) - F.min(x)).cast("double") * (F.max(x) - F.min(x)) for x in there)).alias(f"d{i}"))
+    return rows.groupBy("id", "of").agg(*aggs)
+
+
+def _user_values(users: DataFrame) -> DataFrame:
+    """what, sub_period, x: every value that goes into a histogram by user."""
+    one = lambda what, sub, x, when=None: F.when(F.lit(True) if when is None else when, F.struct(F.lit(what).alias("what"), F.lit(sub).alias(SUB), x.cast("double").alias("x")))
+    of = lambda name, c: F.max(F.when(F.col("of") == name, F.col(c)))
+    sides = {"h": "ntwend", "old_s": "nwend", "new_s": "nd"}
+    names = {c: [c] if c == "n" else [f"{c}{i}" for i in range(4)] for c in "ntwed"}
+    names["n"] = ["n", *(f"n{i}" for i in range(4))]
+    aggs = [of(name, c).alias(f"{name}_{c}") for name, kinds in sides.items() for kind in dict.fromkeys(kinds) for c in names[kind]]
+    rows = users.groupBy("id").agg(*aggs)
+    values = [one(f"count_{name}", 0, F.col(f"{name}_n"), F.col(f"{name}_n").isNotNull()) for name in sides]
+    for i in range(4):
+        c = lambda name, kind: F.col(f"{name}_{kind}{i}")  # noqa: E731, B023
+        values.append(one("tiles", i, c("h", "t"), c("h", "t") > 0))
+        apart = [F.try_divide(c("h", k), c("h", "w")) - F.try_divide(c("old_s", k), c("old_s", "w")) for k in "en"]
+        values.append(one("distance", i, F.sqrt(apart[0] * apart[0] + apart[1] * apart[1]), (c("h", "w") != 0) & (c("old_s", "w") != 0)))
+        values += [one(f"box_{name}", i, c(name, "d"), c(name, "d").isNotNull()) for name in ("h", "old_s")]
+        change = F.abs(c("old_s", "d") - c("new_s", "d"))
+        values.append(one("box_change", i, change, change.isNotNull()))
+    return rows.select(F.explode(F.filter(F.array(*values), lambda v: v.isNotNull())).alias("v")).select("v.*")
+
+
+#: Bins and lowest edge of each histogram.
+SHAPES = {"count": (10, 1), "tiles": (10, 1), "weight": (17, 1 / 256), "distance": (10, 256), "box": (8, 1024)}
+#: The text of the indicators in an application log.
+OMITTED = "The indicators are omitted because the user count is too small.\n"
+DUPLICATES = "Number of duplicate records in the H file: "
+TITLES = {"h": "H", "old_s": "Old S", "new_s": "New S"}
+COUNT_LINES = ("\n\tNumber of unique users in file: ", "\n\tNumber of records in file: ", "\n\tHistogram of Number of records per user:\n")
+PATTERNS = (
+    "Histogram: count of H records with given subperiod pattern (subperiod order in pattern 0,1,2,3)."
+    " 0 in pattern position i means given subperiod i had weight 0 in given record, 1 means weight >0. :\n"
+)
+TILES = "H histogram of number of unique tiles per user (with presence > 0) for subperiod "
+WEIGHTS = " histogram of weight values in subperiod "
+DISTANCE = "Histogram of distance between user H and old S average position in subperiod "
+BOXES = {
+    "box_h": "Histogram of user tiles bounding box diagonal length in H",
+    "box_old_s": "Histogram of user tiles bounding box diagonal length in old S",
+    "box_change": "Histogram of user tiles bounding box diagonal length difference between old S and new S",
+}
+IN_SUBPERIOD = " in subperiod "
+
+
+def log_text(h: DataFrame, old: DataFrame, new: DataFrame, duplicates: int, k: int) -> str:
+    """The indicators' part of an application log: all of them, k-anonymous, or a line where the gate is closed.
+
+    h (cleaned), old and new are stored tables; by user each is aggregated once. Only counts of bins reach the driver."""
+    users = by_user(h, old, new).persist()
+    try:
+        totals = {r["of"]: (r["users"], r["n"]) for r in users.groupBy("of").agg(F.count("*").alias("users"), F.sum("n").alias("n")).collect()}
+        if not gate_open(totals.get("h", (0, 0))[0], totals.get("new_s", (0, 0))[0], k):
+            return "\n" + OMITTED
+        values = _user_values(users)
+        for name, t in (("h", h), ("old_s", old)):
+            values = values.unionByName(_unpivot(t, VALUES, "x").select(F.lit(f"weight_{name}").alias("what"), SUB, "x"))
+        bins = F.coalesce(*(F.when(F.col("what").startswith(kind), log2_bin(F.col("x"), *shape)) for kind, shape in SHAPES.items()))
+        counted = {}
+        for r in values.groupBy("what", SUB, bins.alias("bin")).agg(F.count("*").alias("n")).collect():  # some hundred bins
+            counted.setdefault((r["what"], r[SUB]), {})[r["bin"]] = r["n"]
+        patterns = sorted((r["pattern"], r["count"]) for r in spatiotemporal(h).collect())
+    finally:
+        users.unpersist()
+    lines = lambda what, sub, prefix: "".join(text_lines(counted.get((what, sub), {}), *SHAPES[what.split("_")[0]], k, prefix))
+    out = ["\n", f"{DUPLICATES}{duplicates}\n", "\n"]
+    for name, title in TITLES.items():
+        n = totals.get(name, (0, 0))
+        out.append(f"{title}:{COUNT_LINES[0]}{n[0]}{COUNT_LINES[1]}{n[1]}{COUNT_LINES[2]}{lines(f'count_{name}', 0, chr(9) * 2)}")
+    out += ["\n", PATTERNS, *(f"\t{p:04b}: {anonymous(n, k)}\n" for p, n in patterns), "\n"]
+    out += [f"{TILES}{i}:\n{lines('tiles', i, chr(9))}" for i in range(4)] + ["\n"]
+    out += [f"{TITLES[name]}{WEIGHTS}{i}:\n{lines(f'weight_{name}', i, chr(9))}" for name in ("h", "old_s") for i in range(4)] + ["\n"]
+    out += [f"{DISTANCE}{i}:\n{lines('distance', i, chr(9))}" for i in range(4)]
+    for what, title in BOXES.items():
+        out += ["\n", *(f"{title}{IN_SUBPERIOD}{i}:\n{lines(what, i, chr(9))}" for i in range(4))]
+    return "".join(out)
+
+
 def gate_open(h_users: int, new_users: int, k: int) -> bool:
     """All indicators are hidden unless both populations have 1000 * k users."""
     return min(h_users, new_users) >= 1000 * k

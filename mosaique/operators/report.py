@@ -6,6 +6,7 @@ optimiser, which broadcasts them when they are small. User-sized tables only mee
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -120,12 +121,13 @@ class Report:
     statistics: DataFrame
 
 
-def full_report(s: DataFrame, areas: DataFrame, residents: DataFrame, params: Params) -> Report:
-    """All four reports, lazily; each reads the state (a stored table) by itself, so nothing is held in executors' memory."""
-    y = quantise(s, params)
+def full_report(s: DataFrame, areas: DataFrame, residents: DataFrame, params: Params, keep: Callable[[DataFrame], DataFrame] = lambda y: y) -> Report:
+    """All four reports. `keep` stores a user-sized table and reads it back: Y is quantised and ranked once, and once has its
+    users' weights, and all reports are made from what is stored. Without it each report is made from the state by itself."""
+    y = keep(quantise(s, params))
     p = top_anchor_distribution(y)
     weights = calibration_weights(p, residents, params) if params.with_calibration else None
-    weighted = user_weights(y, weights)
+    weighted = keep(user_weights(y, weights)) if params.with_calibration else user_weights(y, weights)
     d = total_footprint_calibrated(weighted) if params.with_calibration else total_footprint(y)
     fuf = connection_strength(connection_operands(weighted, areas), params)
     return Report(total_footprint_sdc(d, params), top_anchor_sdc(p, params), fuf, statistics(s, weights, params))

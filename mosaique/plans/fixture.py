@@ -21,8 +21,12 @@ LAST_PERIOD = 19752
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder on shared storage: under spark.checkpoint.dir, or a temporary one where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mosaique-")
+    """A new folder on shared storage, under spark.checkpoint.dir; a temporary one where that is unset and all is on this machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="mosaique-")
     return f"{root.rstrip('/')}/mosaique/{name}-{uuid.uuid4().hex}"
 
 
@@ -33,6 +37,12 @@ class Fixture:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf}/{name}.parquet")
 
+    def kept(self, df: DataFrame) -> DataFrame:
+        """df, stored and read back."""
+        path = workspace(self.spark, "kept")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def h(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")

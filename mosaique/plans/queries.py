@@ -12,7 +12,7 @@ from mosaique.operators import clean, compare, control, indicators, present, qua
 from mosaique.params import Params
 from mosaique.plans import session
 from mosaique.plans.fixture import LAST_PERIOD, LOW, PARAMS, Fixture, ctes, workspace
-from mosaique.schemas import FINGERPRINT, FUF, INSTANCES, STATISTICS, TILE, TOP_ANCHOR, VALUES
+from mosaique.schemas import FINGERPRINT, FUF, STATISTICS, TILE, TOP_ANCHOR, VALUES
 from mosaique.sources import files, sinks
 from mosaique.streaming import ingest
 
@@ -302,8 +302,8 @@ UNION ALL SELECT 'statistics', NULL, NULL, NULL, CAST(highly_nomadic_users AS DO
 
 @query(FULL, name="full_report")
 def _(x: Fixture):
-    """All reports as one table."""
-    r = report.full_report(x.s, x.areas, x.residents, x.params)
+    """All reports as one table, from a stored Y."""
+    r = report.full_report(x.s, x.areas, x.residents, x.params, x.kept)
     none, number = F.lit(None).cast("int"), lambda c: F.col(c).cast("double")
     null = F.lit(None).cast("double")
 
@@ -322,7 +322,7 @@ def _(x: Fixture):
 
 
 def _written(x: Fixture, topic: str, schema: str) -> DataFrame:
-    r = report.full_report(x.s, x.areas, x.residents, x.params)
+    r = report.full_report(x.s, x.areas, x.residents, x.params, x.kept)
     rows = dict(zip(sinks.COLUMNS, (r.fingerprint, r.top_anchor, r.fuf, r.statistics), strict=True))[topic]
     path = sinks.write_topic(rows, workspace(x.spark, "report"), topic)
     return x.spark.read.schema(schema).csv(path, header=True)
@@ -351,13 +351,21 @@ def _(x: Fixture):
 # --- sources
 
 
-@query(f"SELECT CAST(id AS VARCHAR) AS id, tile_e, tile_n, {V} FROM fx_h WHERE period = {LAST_PERIOD}", name="read_footprints_csv")
+@query(f"SELECT CAST(id AS VARCHAR) AS id, tile_e, tile_n, {V} FROM fx_h", name="read_footprints_csv")
 def _(x: Fixture):
     path = workspace(x.spark, "csv")
-    sinks.write_csv(x.h.where(F.col("period") == LAST_PERIOD).select("id", *TILE, *VALUES).toDF(*(f"header{i}" for i in range(1, 8))), path)
+    sinks.write_csv(x.h.select("id", *TILE, *VALUES).toDF(*(f"header{i}" for i in range(1, 8))), path)
     return files.read_footprints_csv(x.spark, path)
 
 
+@query("SELECT printf('%032X', id) AS id, tile_e, tile_n, " + ", ".join(f"CAST(CAST({v} AS FLOAT) AS DOUBLE) AS {v}" for v in VALUES) + " FROM fx_h", name="read_footprints_binary")
+def _(x: Fixture):
+    """Record files that were written and are read back."""
+    path = workspace(x.spark, "hdata")
+    sinks.write_binary(x.h.withColumn("id", F.unhex(F.lpad(F.hex("id"), 32, "0"))), path)
+    return files.read_footprints_binary(x.spark, path).select(F.hex("id").alias("id"), *TILE, *(F.col(v).cast("double").alias(v) for v in VALUES))
+
+
 @query(f"SELECT CAST(id AS VARCHAR) AS id, tile_e, tile_n, {V}, period FROM fx_h", name="read_footprint_days")
 def _(x: Fixture):
     folder = workspace(x.spark, "days")
@@ -508,7 +516,11 @@ def _(x: Fixture):
     return x.p.select(*TILE, histogram.k_anonymous(F.col("value"), x.params.k).alias("value"))
 
 
-@query(name="histogram_format")
+LINE = f"""SELECT bin, CASE WHEN bin < 11 THEN ' < ' || CAST(CAST(256 * pow(2, bin) AS BIGINT) AS VARCHAR) ELSE '>= ' || CAST(256 * 1024 AS VARCHAR) END || ': '
+|| CASE WHEN "count" < {PARAMS.k} THEN 'NA (NA %)' ELSE CAST("count" AS VARCHAR) || ' (' || printf('%.1f %%', cum_pct) || ')' END AS line FROM ("""
+
+
+@query(all_bins("s", "value_0", 12, 256.0).replace("\nSELECT bin,", f"\n{LINE}SELECT bin,") + ") l", name="histogram_format")
 def _(x: Fixture):
     full = histogram.iterate(histogram.log2_histogram(x.s, "value_0", 12, 256.0), None, 12)
     return histogram.format_lines(full, 12, 256.0, x.params.k)
@@ -522,6 +534,15 @@ def _(x: Fixture):
     return x.table("documents").select("doc_id", F.lower(F.hex(crypto.hash_id(F.col("text")))).alias("hash"))
 
 
+TAG_KEY = bytes(range(16))
+PADS = [bytes(b ^ x for b in TAG_KEY.ljust(64, b"\0")).hex() for x in (0x36, 0x5C)]
+
+
+@query(f"SELECT doc_id, substr(sha256(from_hex('{PADS[1]}') || from_hex(sha256(from_hex('{PADS[0]}') || from_hex(substr(sha256(text), 1, 24))))), 1, 8) AS tag FROM documents", name="hmac_tag")
+def _(x: Fixture):
+    return x.table("documents").select("doc_id", F.lower(F.hex(crypto.hmac_tag(crypto.hash_id(F.col("text")), TAG_KEY))).alias("tag"))
+
+
 KEY_ROWS = [(p, bytes([p % 256] * 16)) for p in range(LAST_PERIOD - 29, LAST_PERIOD + 1)]
 
 
@@ -580,66 +601,96 @@ def _(x: Fixture):
     return rows.select("text", dates.is_date(F.col("text")).alias("valid"))
 
 
-#: A history: requests of periods 0 to 5 and 6 to 10, with a failed period, an invalid call and a failed finish.
-HISTORY = [
-    (0, "Finished", {}, {"application_log": 100}, None),
-    (1, "Finished", {"period": "1"}, {"application_log": 101}, None),
-    (2, "Finished", {"period": "2"}, {"application_log": 102}, None),
-    (3, "Failed", {"period": "4"}, {}, "cannot decrypt"),
-    (4, "Failed", {"period": "3"}, {}, ":AE01: invalid"),
-    (5, "Failed", {"finish-report": ""}, {}, "empty"),
-    (6, "Finished", {"finish-report": ""}, {"application_log": 103, "fingerprint_report": 7}, None),
-    (7, "Finished", {}, {"application_log": 104}, None),
-    (8, "Failed", {"period": "6"}, {}, "cannot decrypt"),
-    (9, "Finished", {"period": "8"}, {"application_log": 105}, None),
-    (10, "Finished", {"period": "10"}, {"application_log": 106, "fingerprint_report": 8}, None),
-    (11, "Finished", {}, {"application_log": 107}, None),
-    (12, "Finished", {"cancel": ""}, {"application_log": 108}, None),
-]
-
-
-def history(spark: SparkSession) -> DataFrame:
-    rows = [(i, s, [(k, v) for k, v in a.items()], [(k, v) for k, v in o.items()], e, f"First period: {i}\nLast period: {i + 5}\n" + (f"Next expected period: {i + 1}\n" if i % 2 else "")) for i, s, a, o, e in HISTORY]
-    return spark.createDataFrame(rows, INSTANCES)
+#: What an order stands for in a history of instances, by its customer's number modulo 16: 0 and 1 polls (the second fails), 2 to 9
+#: periods (failed where the order's status is F), 10 an invalid call, 11 a failed finish, 12 a finish, 13 a last period that
+#: makes the report, 14 and 15 cancels (the second fails).
+INVALID = ":AE01: not allowed"
+
+
+def history(x: Fixture) -> DataFrame:
+    m, p = F.col("o_custkey") % 16, F.floor("o_totalprice").cast("int") % 30
+    ok = ~(m.isin(1, 10, 11, 15) | (m.between(2, 9) & (F.col("o_orderstatus") == "F")))
+    pair = lambda name, value: F.array(F.struct(F.lit(name).alias("key"), value.cast("string").alias("value")))
+    none = F.array().cast("array<struct<key: string, value: string>>")
+    arguments = F.when(m <= 1, none).when(m.between(2, 10) | (m == 13), pair("period", p)).when(m <= 12, pair("finish-report", F.lit(""))).otherwise(pair("cancel", F.lit("")))
+    topic = lambda name, number: F.struct(F.lit(name).alias("topic"), number.cast("int").alias("id"))
+    number = F.col("o_orderkey") + 10_000_000
+    outputs = F.filter(F.array(F.when(ok, topic("application_log", number)), F.when(m.isin(12, 13), topic("fingerprint_report", number))), lambda y: y.isNotNull())
+    error = F.when(m == 10, INVALID).when(~ok, "cannot decrypt")
+    # What a log says: a running request, a new one, none, or nothing of these.
+    key = F.col("o_orderkey")
+    span = F.concat(F.lit("With calibration: true\nFirst period: "), key, F.lit(", last period: "), key + 5, F.lit("\n"))
+    log = F.when(key % 4 == 0, F.concat(F.lit("\nH metadata:\nday\n"), span, F.lit("Expected next period: "), key + 2, F.lit("\nSkipped period 7\n")))
+    log = log.when(key % 4 == 1, F.concat(F.lit("New NSI request arrived.\n"), span)).when(key % 4 == 2, F.lit("Waited for new NSI request, nothing came, going back to sleep.\n")).otherwise(F.lit("x"))
+    return x.table("orders").select(key.cast("int").alias("instance"), F.when(ok, "Finished").otherwise("Failed").alias("status"), arguments.alias("arguments"), outputs.alias("outputs"), error.alias("error"), log.alias("application_log"))
+
+
+HISTORY = """, hist AS (SELECT CAST(o_orderkey AS INT) AS instance, CAST(o_custkey % 16 AS INT) AS m, CAST(CAST(floor(o_totalprice) AS INT) % 30 AS INT) AS p,
+  o_custkey % 16 IN (1, 10, 11, 15) OR (o_custkey % 16 BETWEEN 2 AND 9 AND o_orderstatus = 'F') AS failed FROM orders),
+norm AS (SELECT instance, CASE WHEN m BETWEEN 2 AND 9 OR m = 13 THEN p END AS period, failed,
+    CASE WHEN m <= 1 THEN 'poll_request' WHEN m >= 14 THEN 'cancel' WHEN m = 12 THEN 'report' ELSE 'h' END AS type, CASE WHEN NOT failed THEN instance + 10000000 END AS application_log, 0 AS part
+  FROM hist WHERE m NOT IN (10, 11)
+  UNION ALL SELECT instance, NULL, failed, 'report', instance + 10000000, 1 FROM hist WHERE m = 13)
+"""
 
 
-@query(name="instances_normalise")
+@query(HISTORY + "SELECT instance, CAST(period AS INT) AS period, failed, type, CAST(application_log AS INT) AS application_log, CAST(part AS INT) AS part FROM norm", name="instances_normalise")
 def _(x: Fixture):
-    return control.instances_normalise(history(x.spark))
+    return control.instances_normalise(history(x))
 
 
-@query(name="group_batches")
-def _(x: Fixture):
-    return control.group_batches(control.instances_normalise(history(x.spark)))
+#: Everything behind this instance is new.
+LAST_SEEN = 20
 
+BATCHES = HISTORY + f""", cut AS (SELECT *, type = 'report' OR (type = 'cancel' AND NOT failed) AS boundary, instance > {LAST_SEEN} AS fresh FROM norm),
+numbered AS (SELECT *, sum(CAST(boundary AS INT)) OVER (ORDER BY instance DESC, part DESC) AS batch FROM cut),
+grouped AS (SELECT batch, max(type) FILTER (boundary) AS ended, bool_or(fresh) AS any_new, coalesce(bool_or(boundary AND fresh), false) AS ended_new, bool_or(type = 'h') AS any_h,
+    bool_or(type = 'poll_request' AND fresh AND NOT failed) AS polled, bool_or(type = 'poll_request' AND fresh AND failed) AS poll_failed, bool_or(type = 'cancel' AND fresh AND failed) AS cancel_failed,
+    max(instance) FILTER (fresh OR boundary) AS instance, arg_max(application_log, (instance, part)) FILTER (application_log IS NOT NULL) AS application_log,
+    arg_max(period, (instance, part)) FILTER (type = 'h') AS greatest_period, arg_max(period, (instance, part)) FILTER (type = 'h' AND NOT fresh) AS old_greatest_period,
+    coalesce(string_agg(CAST(period AS VARCHAR), ':' ORDER BY instance DESC) FILTER (type = 'h' AND fresh AND NOT failed), '') AS periods,
+    coalesce(string_agg(CAST(period AS VARCHAR), ':' ORDER BY instance DESC) FILTER (type = 'h' AND fresh AND failed), '') AS failed_periods
+  FROM numbered GROUP BY batch),
+kept AS (SELECT *, CASE WHEN ended = 'report' THEN 'report' WHEN ended = 'cancel' THEN 'canceled' WHEN any_h THEN 'processing' ELSE 'poll_request' END AS base
+  FROM grouped WHERE any_new AND (ended IS NULL OR ended_new))
+SELECT base || CASE WHEN polled AND base <> 'poll_request' THEN '_new' ELSE '' END AS type, CAST(application_log AS INT) AS application_log, CAST(instance AS INT) AS instance,
+  CAST(greatest_period AS INT) AS greatest_period, CAST(old_greatest_period AS INT) AS old_greatest_period, periods, failed_periods,
+  concat_ws(':', CASE WHEN cancel_failed THEN 'cancel_failed' END, CASE WHEN poll_failed THEN 'poll_request_failed' END) AS anomalies FROM kept"""
 
-@query(name="last_instance_predicates")
+
+@query(BATCHES, name="group_batches")
 def _(x: Fixture):
-    return control.last_instance_predicates(control.instances_normalise(history(x.spark)))
+    """Lists as texts with colons, as the published interface hands them on."""
+    rows = control.group_batches(control.instances_normalise(history(x)), LAST_SEEN)
+    return rows.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ":") for c in ("periods", "failed_periods", "anomalies")})
 
 
-FINISHED = ", ".join(str(i) for i, s, *_ in HISTORY if s == "Finished")
+@query(HISTORY + """SELECT failed AND m > 1 AND m < 14 AND m BETWEEN 2 AND 9 AND p = 5 AS report_failed, NOT failed AND m IN (12, 13, 14) AS finished_or_canceled
+FROM hist WHERE m <> 10 ORDER BY instance DESC LIMIT 1""", name="last_instance_predicates")
+def _(x: Fixture):
+    return control.last_instance_predicates(history(x), 5)
 
 
-@query(f"SELECT CAST(max(i) AS INT) AS instance FROM (SELECT unnest([{FINISHED}]) AS i) z", name="last_finished_instance")
+@query(HISTORY + "SELECT max(instance) AS instance FROM hist WHERE NOT failed", name="last_finished_instance")
 def _(x: Fixture):
-    return control.last_finished_instance(history(x.spark))
+    return control.last_finished_instance(history(x))
 
 
-@query("SELECT CAST(i AS INT) AS log_id, CAST(i AS INT) AS first_period, CAST(i + 5 AS INT) AS last_period, CAST(CASE WHEN i % 2 = 1 THEN i + 1 ELSE -1 END AS INT) AS next_period FROM (SELECT unnest(range(13)) AS i) z", name="app_log_parse")
+@query("""SELECT CAST(o_orderkey AS INT) AS log_id, CASE o_orderkey % 4 WHEN 0 THEN 'running' WHEN 1 THEN 'new_request' WHEN 2 THEN 'no_request' ELSE 'invalid' END AS kind,
+CAST(CASE WHEN o_orderkey % 4 < 2 THEN o_orderkey ELSE -1 END AS INT) AS first_period, CAST(CASE WHEN o_orderkey % 4 < 2 THEN o_orderkey + 5 ELSE -1 END AS INT) AS last_period,
+CAST(CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey + 3 ELSE -1 END AS INT) AS next_period FROM orders""", name="app_log_parse")
 def _(x: Fixture):
-    return control.app_log_parse(history(x.spark).select(F.col("instance").alias("log_id"), F.col("application_log").alias("log")))
+    return control.app_log_parse(history(x).select(F.col("instance").alias("log_id"), F.col("application_log").alias("log")))
 
 
 @query(name="progress_report_text")
 def _(x: Fixture):
-    rows = control.group_batches(control.instances_normalise(history(x.spark))).orderBy(F.desc("instance")).collect()  # a history's few requests
-    spans = {"report": (0, 5), "canceled": (12, 17)}
-    batches = []
-    for r in rows:
-        first, last = spans.get(r["type"].removesuffix("_new"), (0, 5))
-        batches.append(r.asDict() | {"first": first, "last": last})
-    return x.spark.createDataFrame([(control.progress_text(batches),)], "text string")
+    """One text for each request of the history that has something new; its span is 30 periods from 0."""
+    rows = control.group_batches(control.instances_normalise(history(x)), LAST_SEEN)
+    texts = []
+    for r in rows.orderBy(F.desc("instance")).toLocalIterator():  # a history's requests
+        texts.append((r["instance"], control.progress_text([r.asDict() | {"first": 0, "last": 29}])))
+    return x.spark.createDataFrame(texts, "instance int, text string")
 
 
 @query("SELECT period, n AS done, printf('%.2f', 100.0 * n / 30) AS percent FROM (SELECT period, row_number() OVER (ORDER BY period) AS n FROM (SELECT DISTINCT period FROM fx_h) z) q", name="progress_percent")
@@ -668,21 +719,26 @@ def _(x: Fixture):
     return control.max_available_period(x.h.select("period"))
 
 
-@query(name="streaming_ingest")
+ALL_TEXT = f"SELECT CAST(id AS VARCHAR) AS id, tile_e, tile_n, {SUMS} FROM h_dedup GROUP BY {KEYS}"
+
+
+@query(ALL_TEXT, name="streaming_ingest")
 def _(x: Fixture):
-    """A stream of three periods' files into a session; what is in its state then."""
-    folder, first = workspace(x.spark, "landing"), LAST_PERIOD - 3
-    days = x.h.where(F.col("period").between(first, LAST_PERIOD - 1)).withColumn("id", F.col("id").cast("string"))
+    """All periods' files as a stream into a session, in three arrivals; what is in its state then."""
+    folder = workspace(x.spark, "landing")
+    days = x.h.withColumn("id", F.col("id").cast("string"))
+    periods = sorted(r["period"] for r in days.select("period").distinct().collect())  # 30
     areas, residents = workspace(x.spark, "areas"), workspace(x.spark, "residents")
     x.areas.coalesce(1).orderBy("id", *TILE).withColumn("line_no", F.monotonically_increasing_id()).write.parquet(areas)
     x.residents.write.parquet(residents)
     s = session.ReportSession(x.spark, workspace(x.spark, "session"), workspace(x.spark, "out"), x.params)
-    s.poll([session.Request(first, LAST_PERIOD, areas, residents)])
-    mark = workspace(x.spark, "stream")
-    for p in range(first, LAST_PERIOD):  # each file arrives by itself
-        days.where(F.col("period") == p).select("id", *TILE, *VALUES).coalesce(1).write.option("header", True).csv(f"{folder}-parts/{p}")
-        _as_file(x.spark, f"{folder}-parts/{p}", f"{folder}/day-{p}-updates.csv")
-        ingest.ingest_stream(ingest.footprint_stream(x.spark, folder), s, mark).awaitTermination()
+    s.poll([session.Request(periods[0], periods[-1] + 1, areas, residents)])
+    mark, parts = workspace(x.spark, "stream"), workspace(x.spark, "parts")
+    days.select("id", *TILE, *VALUES, "period").repartition("period").write.partitionBy("period").option("header", True).csv(parts)
+    for k in range(3):
+        for p in periods[k * len(periods) // 3 : (k + 1) * len(periods) // 3]:
+            _as_file(x.spark, f"{parts}/period={p}", f"{folder}/day-{p}-updates.csv")
+        ingest.ingest_stream(ingest.footprint_stream(x.spark, folder, files=len(periods)), s, mark).awaitTermination()
     return s._state()
 
 

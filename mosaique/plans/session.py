@@ -17,13 +17,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mosaique.functions.dates import date_of
-from mosaique.operators import clean, state
+from mosaique.functions.crypto import KeyTable, depseudonymise, lookup_key
+from mosaique.functions.storage import Lock
+from mosaique.operators import clean, control, indicators, state
+from mosaique.operators.compare import inspect
 from mosaique.operators.report import Report, full_report
 from mosaique.params import Params
-from mosaique.schemas import S
+from mosaique.schemas import KEY, VALUES
 from mosaique.sources.files import area_steps, empty_state, read_state
-from mosaique.sources.sinks import StateStore, check_request, read_report, write_report
+from mosaique.sources.sinks import StateStore, Temporary, check_request, read_report, write_report
 
 
 class InvalidRequest(ValueError):
@@ -46,23 +48,36 @@ class Request:
 
 @dataclass
 class Outcome:
+    """log has the application log's lines, of which some have several; counts what the merge has seen."""
+
     log: list[str] = field(default_factory=list)
     report: Report | None = None
     folder: str | None = None
+    counts: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def text(self) -> str:
+        return "".join(f"{x}\n" for x in self.log)
 
 
 def period_guard(period: int, expected: int, last: int) -> bool:
     return expected <= period <= last
 
 
+def arguments(r: Request) -> list[str]:
+    return [f"{control.CALIBRATION}{'true' if r.with_calibration else 'false'}", f"{control.FIRST}{r.first}{control.LAST}{r.last}"]
+
+
 def skipped_periods(spark: SparkSession, start: int, end: int) -> DataFrame:
     """Periods from start up to but without end."""
     return spark.range(start, end).select(F.col("id").cast("int").alias("period"))
 
 
 class ReportSession:
-    def __init__(self, spark: SparkSession, root: str, out: str, params: Params = Params()):
-        self.spark, self.out, self.params = spark, out, params
+    """With keys (period, key), a period's ids are pseudonyms under its key; else they are ids as they stand."""
+
+    def __init__(self, spark: SparkSession, root: str, out: str, params: Params = Params(), keys: KeyTable | None = None):
+        self.spark, self.out, self.params, self.keys = spark, out, params, keys
         self.store = StateStore(spark, root)
         self.at = self.store.manifest() or {"request": None, "next": None, "seen": 0, "state": None, "periods": []}
 
@@ -95,13 +110,16 @@ class ReportSession:
         for r in requests[seen:]:
             seen += 1
             if problem := self._problem(r):
-                out.log.append(f"Invalid request {seen - 1}: {problem}")
+                out.log.append(f"{control.FAILED_REQUEST}{seen - 1}{control.FAILED_WHY}{problem}")
                 continue
-            out.log += [f"First period: {r.first}", f"Last period: {r.last}", f"Next expected period: {r.first}"]
+            out.log += [control.NEW_REQUEST, *arguments(r)]
             self._commit(request=r.__dict__, next=r.first, seen=seen, state=None, periods=[])
             return out
+        if seen == self.at["seen"]:
+            out.log.append(f"{control.NOTHING_NEW}.")
+        else:
+            out.log.append(control.NO_VALID)
         self._commit(seen=seen)
-        out.log.append("No new request")
         return out
 
     def _state(self) -> DataFrame:
@@ -111,33 +129,51 @@ class ReportSession:
         r = Request(**self.at["request"])
         params = Params(**(self.params.__dict__ | {"with_calibration": r.with_calibration}))
         areas, residents = self.spark.read.parquet(r.areas), self.spark.read.parquet(r.residents)
-        made = full_report(s, areas, residents, params)
-        out.folder = write_report(made, self.out, r.first, r.last)
+        with Temporary(self.store) as keep:
+            made = full_report(s, areas, residents, params, keep)
+            out.folder = write_report(made, self.out, r.first, r.last)
         out.report = read_report(self.spark, out.folder)
 
-    def ingest(self, period: int, h: DataFrame) -> Outcome:
-        """Merges a period's rows (id as text); the last period also makes the report."""
+    def _ids(self, period: int, h: DataFrame) -> DataFrame:
+        """h with ids as text: pseudonyms are reversed under the period's key, and one that does not verify fails the period."""
+        if self.keys is None:
+            return h.withColumn("id", F.col("id").cast("string"))
+        key = lookup_key(self.keys.frame(self.spark), period)
+        return h.withColumn("id", F.lower(F.hex(depseudonymise(F.col("id"), key))))
+
+    def ingest(self, period: int, h: DataFrame, metadata: str | None = None) -> Outcome:
+        """Merges a period's rows; the last period also makes the report. The log has the request, what was skipped, and the
+        indicators of the cleaned rows, the old and the new state."""
         if not self.awaiting_h:
             raise InvalidRequest("no request is being worked on")
         r = Request(**self.at["request"])
         if not period_guard(period, self.at["next"], r.last) or period in self.at["periods"]:
             raise InvalidRequest(f"period {period} is not in {self.at['next']} to {r.last}")
         began, out = time.time(), Outcome()
-        out.log += [f"First period: {r.first}", f"Last period: {r.last}"]
-        out.log += [f"Skipped period: {date_of(p)}" for p in range(self.at["next"], period)]
-        ready = clean.dedup_max(clean.drop_invalid(h.withColumn("id", F.col("id").cast("string"))))
-        merged = state.merge(self._state(), ready, self.params)
-        path = self.store.write(merged.select(*(f.name for f in self.spark.createDataFrame([], S).schema)))
-        if period == r.last:
+        if metadata is not None:
+            out.log.append(f"{control.METADATA}{metadata}")
+        out.log += [*arguments(r), f"{control.EXPECTED}{self.at['next']}"]
+        out.log += [f"{control.SKIPPED}{p}" for p in range(self.at["next"], period)]
+        with Temporary(self.store) as keep:
+            valid, seen = inspect(clean.drop_invalid(self._ids(period, h)), "valid")
+            ready, old = keep(clean.dedup_max(valid)), self._state()
+            merged, after = inspect(state.merge(old, ready, self.params).select(*KEY, *VALUES), "s_new")
+            path = self.store.write(merged)
             try:
-                self._finish(read_state(self.spark, path), out)
-            finally:
+                new = read_state(self.spark, path)
+                out.counts = seen.get | after.get | {"h": ready.count()}
+                out.log.append(indicators.log_text(ready, old, new, out.counts["valid"] - out.counts["h"], self.params.k).removesuffix("\n"))
+                if period == r.last:
+                    self._finish(new, out)
+            except BaseException:
                 self.store.drop(path)
+                raise
+        if period == r.last:
+            self.store.drop(path)
             self._commit(request=None, next=None, state=None, periods=[])
         else:
             self._commit(next=period + 1, state=path, periods=[*self.at["periods"], period])
-            out.log.append(f"Next expected period: {period + 1}")
-        out.log.append(f"Seconds: {int(time.time() - began)}")
+        out.log.append(f"{control.RUNTIME}{int(time.time() - began)}s")
         return out
 
     def finish(self) -> Outcome:
@@ -153,8 +189,10 @@ class ReportSession:
     def cancel(self) -> Outcome:
         if not self.awaiting_h:
             raise InvalidRequest("no request is being worked on")
+        r = Request(**self.at["request"])
         self._commit(request=None, next=None, state=None, periods=[])
-        return Outcome(["Canceled"])
+        first, *rest = arguments(r)
+        return Outcome([control.CANCELED + first, *rest])
 
     def finish_or_cancel(self) -> Outcome:
         try:
@@ -167,6 +205,12 @@ class ReportSession:
             return out
 
 
+def run_exclusively(session: ReportSession, requests: list[Request], available: list[int], read: Callable[[int], DataFrame]) -> list[tuple[str, int | None]]:
+    """run_available while no other driver works on the same store."""
+    with Lock(session.spark, f"{session.store.root}-lock"):
+        return run_available(session, requests, available, read)
+
+
 def run_available(session: ReportSession, requests: list[Request], available: list[int], read: Callable[[int], DataFrame]) -> list[tuple[str, int | None]]:
     """The scheduler: polls, ingests what is available in order, passes over periods that fail, and closes a report when
     the last period failed or newer data has come. Returns what was done."""

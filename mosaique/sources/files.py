@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import struct
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from mosaique.functions.dates import date_to_period
 from mosaique.params import H_BYTES
-from mosaique.schemas import AREAS, BINARY, GRID_CSV, RESIDENTS, H, S
+from mosaique.schemas import AREAS, BINARY, GRID_CSV, RESIDENTS, VALUES, H, S
 
 
 def read_footprints_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -35,9 +40,13 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, path: str, schema: str, columns: list[str]) -> DataFrame:
-    """CSV rows with line_no, their place in the file: request files are read whole by one task (they have a row limit)."""
+    """CSV rows with line_no, their place in the file (in all files of a folder by name): by file, where the row's block begins
+    there, and its place in that block, each of which Spark gives with the row."""
     rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=True, mode="FAILFAST")
-    return rows.coalesce(1).select("*", F.monotonically_increasing_id().alias("line_no")).select(*columns, "line_no")
+    place = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("n"))
+    # Request files have a row limit (params.MAX_AREA_ROWS), so one window over them is bounded.
+    numbered = rows.withColumn("place", place).withColumn("line_no", F.row_number().over(Window.orderBy("place")) - 1)
+    return numbered.select(*columns, F.col("line_no").cast("long").alias("line_no"))
 
 
 def read_reference_areas(spark: SparkSession, path: str) -> DataFrame:
@@ -121,18 +130,45 @@ def is_exhausted(rows: DataFrame) -> bool:
 
 
 #: Fixed value: the layout of a record of H_BYTES bytes.
-RECORD = "<16sHH4f"
+RECORD = [("id", "V16"), ("tile_e", "<u2"), ("tile_n", "<u2"), ("value_0", "<f4"), ("value_1", "<f4"), ("value_2", "<f4"), ("value_3", "<f4")]
+BLOCK_RECORDS = 1 << 14
 
 
-def unpack(record: bytes) -> tuple:
-    return struct.unpack(RECORD, record)
+def unpack(block: bytes) -> pa.RecordBatch:
+    """The columns of a block of whole records."""
+    rows = np.frombuffer(block, np.dtype(RECORD))
+    ids = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(rows), [None, pa.py_buffer(rows["id"].tobytes())]).cast(pa.binary())
+    tiles = [pa.array(rows[c].astype(np.int32)) for c in ("tile_e", "tile_n")]
+    return pa.RecordBatch.from_arrays([ids, *tiles, *(pa.array(rows[v].copy()) for v in VALUES)], ["id", "tile_e", "tile_n", *VALUES])
+
+
+def pack(batch: pa.RecordBatch) -> bytes:
+    """The records of a batch; a tile beyond 16 bits or an id of another length is an error."""
+    rows = np.zeros(batch.num_rows, np.dtype(RECORD))
+    ids = batch.column("id").to_pylist()
+    if any(x is None or len(x) != 16 for x in ids):
+        raise ValueError("an id has 16 bytes")
+    rows["id"] = np.frombuffer(b"".join(ids), "V16")
+    for c in ("tile_e", "tile_n"):
+        values = np.asarray(batch.column(c))
+        if len(values) and not (0 <= values.min() and values.max() < 1 << 16):
+            raise ValueError("a tile index has 16 bits")
+        rows[c] = values
+    for v in VALUES:
+        rows[v] = np.asarray(batch.column(v))
+    return rows.tobytes()
+
+
+def _store(path: str) -> tuple[FileSystem, str]:
+    """Arrow's file system of a path or URI that every executor can reach (a shared mount, HDFS, an object store)."""
+    return FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (LocalFileSystem(), path)
 
 
 class FootprintSource(DataSource):
-    """Files of 36-byte records without a header: format("footprints"), option path (one file or several with commas).
+    """Files of 36-byte records without a header: format("footprints"), option path (a file, a folder, or several with commas).
 
-    Each partition reads a byte range of whole records with the standard library, so files must be on a path that every
-    executor can open; read_footprints_binary goes through Spark's own file readers instead."""
+    Each partition reads a byte range of whole records through Arrow's file systems and hands on Arrow batches. Writing makes one
+    file for each partition, under a name that counts only once the job commits."""
 
     @classmethod
     def name(cls) -> str:
@@ -144,6 +180,9 @@ class FootprintSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _FootprintReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _FootprintWriter(self.options)
+
 
 class _Range(InputPartition):
     def __init__(self, path: str, begin: int, end: int):
@@ -155,32 +194,73 @@ class _FootprintReader(DataSourceReader):
         self.paths, self.records = options["path"].split(","), int(options.get("recordsPerPartition", 1 << 20))
 
     def partitions(self) -> list[_Range]:
-        import os
-
         out = []
         for path in self.paths:
-            size = os.path.getsize(path)
-            if size % H_BYTES:
-                raise ValueError(f"{path}: {size} bytes are not whole records of {H_BYTES}")
-            step = self.records * H_BYTES
-            out += [_Range(path, at, min(size, at + step)) for at in range(0, size, step)]
+            store, inner = _store(path)
+            found = store.get_file_info(inner)
+            files = [found] if found.is_file else sorted((f for f in store.get_file_info(FileSelector(inner)) if f.is_file and f.base_name[0] not in "._"), key=lambda f: f.path)
+            for f in files:
+                if f.size % H_BYTES:
+                    raise ValueError(f"{f.path}: {f.size} bytes are not whole records of {H_BYTES}")
+                scheme = path.split("://")[0] + "://" if "://" in path else ""
+                step = self.records * H_BYTES
+                out += [_Range(path if found.is_file else f"{scheme}{f.path}", at, min(f.size, at + step)) for at in range(0, f.size, step)]
         return out or [_Range("", 0, 0)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
+    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         if partition.begin < partition.end:
-            with open(partition.path, "rb") as f:
-                f.seek(partition.begin)
-                left = partition.end - partition.begin
-                while left:
-                    block = f.read(min(left, 4096 * H_BYTES))
-                    left -= len(block)
-                    yield from struct.iter_unpack(RECORD, block)
+            store, inner = _store(partition.path)
+            with store.open_input_file(inner) as f:
+                for at in range(partition.begin, partition.end, BLOCK_RECORDS * H_BYTES):
+                    yield unpack(f.read_at(min(BLOCK_RECORDS * H_BYTES, partition.end - at), at))
+
+
+@dataclass
+class _Part(WriterCommitMessage):
+    name: str
+
+
+class _FootprintWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict):
+        self.folder = options["path"]
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Part:
+        store, inner = _store(self.folder)
+        store.create_dir(inner, recursive=True)
+        name = f"part-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{inner}/_{name}") as out:
+            for batch in iterator:
+                out.write(pack(batch))
+        return _Part(name)
+
+    def commit(self, messages: list[_Part | None]) -> None:
+        store, inner = _store(self.folder)
+        for m in messages:
+            if m:
+                store.move(f"{inner}/_{m.name}", f"{inner}/{m.name}")
+
+    def abort(self, messages: list[_Part | None]) -> None:
+        store, inner = _store(self.folder)
+        for m in messages:
+            if m:
+                store.delete_file(f"{inner}/_{m.name}")
 
 
 def read_footprints_binary(spark: SparkSession, path: str) -> DataFrame:
-    """The same through Spark's fixed-length record reader and column expressions; size is checked by the reader."""
+    """The same through Spark's fixed-length record reader, for stores that only Spark's readers reach: records are joined to
+    blocks, and blocks become Arrow batches."""
     size = spark.read.format("binaryFile").load(path).select("length").where(F.col("length") % H_BYTES != 0)
     if not size.isEmpty():
         raise ValueError(f"{path}: not whole records of {H_BYTES} bytes")
-    rows = spark.sparkContext.binaryRecords(path, H_BYTES).map(unpack)
-    return spark.createDataFrame(rows, BINARY)
+
+    def joined(records: Iterator[bytes]) -> Iterator[tuple[bytes]]:
+        while block := b"".join(islice(records, BLOCK_RECORDS)):
+            yield (block,)
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block in b.column("block").to_pylist():
+                yield unpack(block)
+
+    blocks = spark.createDataFrame(spark.sparkContext.binaryRecords(path, H_BYTES).mapPartitions(joined), "block binary")
+    return blocks.mapInArrow(columns, BINARY)

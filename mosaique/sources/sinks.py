@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import json
-import struct
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mosaique.functions.dates import date_of
 from mosaique.operators.report import Report
 from mosaique.params import MAX_AREA_ROWS, MAX_AREAS, MAX_RESIDENT_ROWS
 from mosaique.schemas import FINGERPRINT, FUF, STATISTICS, TILE, TOP_ANCHOR, VALUES
+from mosaique.sources.files import FootprintSource
 
 COLUMNS = {
     "fingerprint_report": [*TILE, *VALUES],
@@ -52,23 +52,10 @@ def read_report(spark: SparkSession, folder: str) -> Report:
 
 
 def write_binary(h: DataFrame, path: str) -> None:
-    """H with binary ids of 16 bytes as records of 36 bytes, one file part for each partition, as rows of a binary column.
-
-    Parts are written by the tasks through Spark's text-free `binaryFile` rules: each part is one value of a Parquet table, so
-    that no task needs a local file; `binary_bytes` joins them on the driver for a small file."""
-
-    def pack(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for b in batches:
-            rows = zip(*(b.column(c).to_pylist() for c in ("id", *TILE, *VALUES)), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(struct.pack("<16sHH4f", *r) for r in rows)], pa.binary())], ["records"])
-
-    h.select("id", *TILE, *VALUES).mapInArrow(pack, "records binary").write.mode("append").parquet(path)
-
-
-def binary_bytes(spark: SparkSession, path: str) -> bytes:
-    return b"".join(bytes(r["records"]) for r in spark.read.parquet(path).toLocalIterator())
+    """H with binary ids of 16 bytes as 36-byte records without a header: one file for each partition in the folder path, which
+    read_footprints_binary and format("footprints") read."""
+    h.sparkSession.dataSource.register(FootprintSource)
+    h.select("id", *(F.col(c).cast("int") for c in TILE), *(F.col(v).cast("float") for v in VALUES)).write.format("footprints").mode("append").option("path", path).save()
 
 
 def check_request(first: int, last: int, areas: int, area_rows: int, resident_rows: int) -> None:
@@ -92,8 +79,11 @@ class StateStore:
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._path(self.root))
 
+    def _files(self) -> list[str]:
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(self.root)))
+
     def manifest(self) -> dict | None:
-        found = sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(self.root)) if x.getPath().getName().startswith("manifest-"))
+        found = [x for x in self._files() if x.startswith("manifest-")]
         if not found:
             return None
         stream = self._fs.open(self._path(f"{self.root}/{found[-1]}"))
@@ -104,7 +94,7 @@ class StateStore:
 
     def commit(self, manifest: dict) -> None:
         """The next manifest, written aside and renamed; whoever reads sees the old one or the new one."""
-        old = sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(self.root)) if x.getPath().getName().startswith("manifest-"))
+        old = [x for x in self._files() if x.startswith("manifest-")]
         number = int(old[-1][9:]) + 1 if old else 0
         aside = self._path(f"{self.root}/.new-{uuid.uuid4().hex}")
         stream = self._fs.create(aside)
@@ -125,5 +115,25 @@ class StateStore:
             self._fs.delete(self._path(path), True)
 
 
+class Temporary:
+    """Intermediate tables of one step: `with Temporary(store) as keep:`; keep(df) writes df and reads it back, and all of it is
+    removed at the end."""
+
+    def __init__(self, store: StateStore):
+        self.store, self.paths = store, []
+
+    def __enter__(self) -> Temporary:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.paths.append(f"{self.store.root}/temporary-{uuid.uuid4().hex}")
+        df.write.parquet(self.paths[-1])
+        return df.sparkSession.read.schema(df.schema).parquet(self.paths[-1])
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            self.store.drop(path)
+
+
 def topic_put(rows: DataFrame, folder: str, name: str) -> None:
     rows.write.parquet(f"{folder}/{name}")

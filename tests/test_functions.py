@@ -56,20 +56,24 @@ def _halves():
     return [0.0, 0.001] + [x for i in range(2, 66) for v in [0.5 * i] for x in (v - 0.01, v, v + 0.01)]
 
 
+#: Published lines of five bins, empty and filled, at k = 1.
 CASES = [
-    (1, [float(i) for i in range(35)], ["< 1: 1 (2.9 %)", "< 2: 1 (5.7 %)", "< 4: 2 (11.4 %)", "< 8: 4 (22.9 %)", ">= 8: 27 (100.0 %)"]),
-    (0.25, _quarters(), ["< 1/4: 12 (4.2 %)", "< 1/2: 12 (8.4 %)", "< 1: 24 (16.7 %)", "< 2: 48 (33.4 %)", ">= 2: 191 (100.0 %)"]),
-    (8, _halves(), ["< 8: 45 (23.2 %)", "< 16: 48 (47.9 %)", "< 32: 96 (97.4 %)", "< 64: 5 (100.0 %)", ">= 64: NA (NA %)"]),
+    (1, [float(i) for i in range(35)], ["\t\t < 1: 1 (2.9 %)", "\t\t < 2: 1 (5.7 %)", "\t\t < 4: 2 (11.4 %)", "\t\t < 8: 4 (22.9 %)", "\t\t>= 8: 27 (100.0 %)"]),
+    (0.25, _quarters(), ["\t\t < 1/4: 12 (4.2 %)", "\t\t < 1/2: 12 (8.4 %)", "\t\t < 1: 24 (16.7 %)", "\t\t < 2: 48 (33.4 %)", "\t\t>= 2: 191 (100.0 %)"]),
+    (8, _halves(), ["\t\t < 8: 45 (23.2 %)", "\t\t < 16: 48 (47.9 %)", "\t\t < 32: 96 (97.4 %)", "\t\t < 64: 5 (100.0 %)", "\t\t>= 64: NA (NA %)"]),
 ]
+EMPTY = {
+    1: ["\t\t < 1: NA (NA %)", "\t\t < 2: NA (NA %)", "\t\t < 4: NA (NA %)", "\t\t < 8: NA (NA %)", "\t\t>= 8: NA (NA %)"],
+    0.25: ["\t\t < 1/4: NA (NA %)", "\t\t < 1/2: NA (NA %)", "\t\t < 1: NA (NA %)", "\t\t < 2: NA (NA %)", "\t\t>= 2: NA (NA %)"],
+    8: ["\t\t < 8: NA (NA %)", "\t\t < 16: NA (NA %)", "\t\t < 32: NA (NA %)", "\t\t < 64: NA (NA %)", "\t\t>= 64: NA (NA %)"],
+}
 
 
 @pytest.mark.parametrize(("lowest", "data", "lines"), CASES)
 def test_histograms(spark, lowest, data, lines):
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    full = histogram.iterate(histogram.log2_histogram(df, "x", 5, lowest), None, 5)
-    assert [r["line"] for r in histogram.format_lines(full, 5, lowest, 1).orderBy("bin").collect()] == lines
-    empty = histogram.iterate(histogram.log2_histogram(df.limit(0), "x", 5, lowest), None, 5)
-    assert all(r["line"].endswith("NA (NA %)") for r in histogram.format_lines(empty, 5, lowest, 1).collect())
+    text = lambda rows: [r["line"] for r in histogram.format_lines(histogram.iterate(histogram.log2_histogram(rows, "x", 5, lowest), None, 5), 5, lowest, 1, "\t\t").orderBy("bin").collect()]
+    assert text(df) == lines and text(df.limit(0)) == EMPTY[lowest]
 
 
 def test_histogram_edges(spark):

@@ -3,13 +3,15 @@
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
+from mosaique.functions import crypto
+from mosaique.functions.storage import Lock
 from mosaique.operators import control
 from mosaique.params import Params
 from mosaique.plans.fixture import workspace
-from mosaique.plans.queries import history
 from mosaique.plans.session import InvalidRequest, ReportSession, Request, run_available
-from mosaique.schemas import H
+from mosaique.schemas import INSTANCES, H
 from mosaique.sources import files, sinks
 
 
@@ -37,7 +39,10 @@ def test_transitions(spark, tables):
         s.cancel()
     requests = [Request(5, 1, *tables), Request(1, 3, *tables)]
     out = s.poll(requests)
-    assert s.awaiting_h and s.at["next"] == 1 and s.at["seen"] == 2 and out.log[0].startswith("Invalid request 0")
+    assert s.awaiting_h and s.at["next"] == 1 and s.at["seen"] == 2 and out.text == (
+        "Failed to look at NSI report request with data id 0, skipping.\n\tError message: the first period is after the last\n"
+        "New NSI request arrived.\nWith calibration: true\nFirst period: 1, last period: 3\n"
+    )
     with pytest.raises(InvalidRequest):
         s.poll(requests)
     s.ingest(2, day(spark, (7, 0, 0, 2.0)))
@@ -52,6 +57,79 @@ def test_transitions(spark, tables):
     assert back.columns == ["tile_e", "tile_n", "value_0", "value_1", "value_2", "value_3"] and back.count() == 2
 
 
+def test_business_cycle(spark, tables, monkeypatch):
+    """Keys, pseudonyms, a skipped and a bad period, indicators behind their gate, the report, and the progress texts."""
+    keys = crypto.KeyTable(spark, workspace(spark, "keys"))
+    made = {p: keys.generate(p) for p in (18630, 18632, 18633)}
+    assert crypto.KeyTable(spark, keys._files.folder).list() == sorted(made.items())
+    with pytest.raises(ValueError, match="already"):
+        crypto.KeyTable(spark, keys._files.folder).generate(18630)
+    s = ReportSession(spark, workspace(spark, "s"), workspace(spark, "o"), Params(psi=1.0, k=0), keys)
+    s.poll([Request(18629, 18633, *tables)])
+
+    def h(period, *rows):
+        own = spark.createDataFrame([(i, e, n, v, v, 0.0, 0.0) for i, e, n, v in rows], "id long, tile_e int, tile_n int, value_0 double, value_1 double, value_2 double, value_3 double")
+        return own.withColumn("id", crypto.pseudonymise(crypto.hash_number(F.col("id")), made[period]))
+
+    first = s.ingest(18630, h(18630, (7, 0, 0, 2.0), (7, 0, 0, 3.0), (8, 1, 1, 4.0), (9, 1, 1, -1.0)), "a day's file")
+    lines = first.text.split("\n")
+    assert first.text.startswith(
+        "\nH metadata:\na day's file\nWith calibration: true\nFirst period: 18629, last period: 18633\nExpected next period: 18629\nSkipped period 18629\n\n"
+        "Number of duplicate records in the H file: 1\n\n"
+        "H:\n\tNumber of unique users in file: 2\n\tNumber of records in file: 2\n\tHistogram of Number of records per user:\n\t\t < 1: 0 (0.0 %)\n\t\t < 2: 2 (100.0 %)\n"
+    )
+    assert "\t1100: 2" in lines and "Old S:" in lines and lines[-2].startswith("Runtime of enclave (not trustworthy): ") and first.counts == {"valid": 3, "h": 2, "s_new": 2}
+    assert "Histogram of user tiles bounding box diagonal length difference between old S and new S in subperiod 3:" in lines
+    with pytest.raises(KeyError):  # no key
+        s.ingest(18631, h(18630, (7, 0, 0, 1.0)))
+    with pytest.raises(Exception, match="does not verify"):  # another period's key
+        s.ingest(18632, h(18633, (7, 0, 0, 1.0)))
+    assert s.at["periods"] == [18630]
+    closed = ReportSession(spark, s.store.root, s.out, Params(psi=1.0, k=20), keys)
+    out = closed.ingest(18633, h(18633, (7, 2, 0, 1.0), (7, 0, 0, 1.0)))
+    assert "The indicators are omitted because the user count is too small.\n" in out.text and "Skipped period 18632\n" in out.text
+    assert {(r["tile_e"], r["tile_n"]): r["value_0"] for r in out.report.fingerprint.collect()} == {(0, 0): 1.0, (1, 1): 1.0, (2, 0): 1.0}
+    assert [x for x in s.store._files() if x.startswith(("temporary", "state"))] == []
+    logs = spark.createDataFrame([(0, first.text), (1, "Waited for new NSI request, nothing came, going back to sleep.\n"), (2, "x")], "log_id int, log string")
+    got = {r["log_id"]: tuple(r)[1:] for r in control.app_log_parse(logs).collect()}
+    assert got == {0: ("running", 18629, 18633, 18630), 1: ("no_request", -1, -1, -1), 2: ("invalid", -1, -1, -1)}
+
+
+def test_lock(spark):
+    folder = workspace(spark, "lock")
+    with Lock(spark, folder):
+        with pytest.raises(RuntimeError, match="another run"):
+            with Lock(spark, folder):
+                pass
+    with Lock(spark, folder):
+        pass
+
+
+#: Arguments, status, outputs and error of a newest instance, and both predicates for a report that ends in period 5.
+NEWEST = [
+    ({"period": "5"}, "Failed", {}, None, True, False),
+    ({"period": "4"}, "Failed", {}, None, False, False),
+    ({"period": "x"}, "Failed", {}, None, False, False),
+    ({"fingerprint_report": ""}, "Failed", {}, None, True, False),
+    ({"cancel": "", "period": "5"}, "Failed", {}, None, False, False),
+    ({}, "Failed", {}, None, False, False),
+    ({"period": "5"}, "Finished", {"fingerprint_report": 3}, None, False, True),
+    ({"period": "4"}, "Finished", {}, None, False, False),
+    ({"cancel": ""}, "Finished", {}, None, False, True),
+    ({"period": "5"}, "Failed", {}, ":AE01: not allowed", False, False),
+]
+
+
+@pytest.mark.parametrize("case", NEWEST)
+def test_last_instance(spark, case):
+    arguments, status, outputs, error, failed, ended = case
+    rows = [(0, "Finished", [("period", "1")], [], None, None), (1, status, list(arguments.items()), list(outputs.items()), error, None)]
+    instances = spark.createDataFrame(rows, INSTANCES)
+    got = control.last_instance_predicates(instances, 5).first()
+    assert (got["report_failed"], got["finished_or_canceled"]) == (failed, ended)
+    assert control.last_instance_predicates(instances).first()["report_failed"] is False
+
+
 def test_a_failed_period_changes_nothing(spark, tables):
     s = new(spark)
     s.poll([Request(1, 3, *tables)])
@@ -68,7 +146,8 @@ def test_finish_of_nothing_ends_in_cancel(spark, tables):
     s.poll([Request(1, 3, *tables)])
     with pytest.raises(ValueError, match="no state"):
         s.finish()
-    assert s.finish_or_cancel().log[0] == "Canceled" and not s.awaiting_h
+    assert s.finish_or_cancel().text.startswith("The report generation process was canceled manually.With calibration: true\nFirst period: 1, last period: 3\n")
+    assert not s.awaiting_h and s.poll([Request(1, 3, *tables)]).text == "Waited for new NSI request, nothing came, going back to sleep.\n"
 
 
 def test_scheduler(spark, tables):
@@ -90,6 +169,28 @@ def test_scheduler(spark, tables):
     ]
 
 
+#: A history: requests of periods 0 to 5 and 6 to 10, with a failed period, an invalid call and a failed finish.
+HISTORY = [
+    (0, "Finished", {}, {"application_log": 100}, None),
+    (1, "Finished", {"period": "1"}, {"application_log": 101}, None),
+    (2, "Finished", {"period": "2"}, {"application_log": 102}, None),
+    (3, "Failed", {"period": "4"}, {}, "cannot decrypt"),
+    (4, "Failed", {"period": "3"}, {}, ":AE01: invalid"),
+    (5, "Failed", {"finish-report": ""}, {}, "empty"),
+    (6, "Finished", {"finish-report": ""}, {"application_log": 103, "fingerprint_report": 7}, None),
+    (7, "Finished", {}, {"application_log": 104}, None),
+    (8, "Failed", {"period": "6"}, {}, "cannot decrypt"),
+    (9, "Finished", {"period": "8"}, {"application_log": 105}, None),
+    (10, "Finished", {"period": "10"}, {"application_log": 106, "fingerprint_report": 8}, None),
+    (11, "Finished", {}, {"application_log": 107}, None),
+    (12, "Finished", {"cancel": ""}, {"application_log": 108}, None),
+]
+
+
+def history(spark):
+    return spark.createDataFrame([(i, s, list(a.items()), list(o.items()), e, None) for i, s, a, o, e in HISTORY], INSTANCES)
+
+
 def test_batches_and_texts(spark):
     got = {r["instance"]: r for r in control.group_batches(control.instances_normalise(history(spark))).collect()}
     assert {k: r["type"] for k, r in got.items()} == {6: "report_new", 10: "report_new", 12: "canceled_new"}
@@ -98,12 +199,13 @@ def test_batches_and_texts(spark):
     text = control.progress_text([
         {"type": "poll_request", "first": 6, "last": 10},
         {"type": "report_new", "first": 0, "last": 5, "greatest_period": 4, "old_greatest_period": None, "periods": [2, 1], "failed_periods": [4]},
-        {"type": "processing", "first": 0, "last": 5, "greatest_period": 1, "old_greatest_period": None, "periods": [1], "failed_periods": []},
+        {"type": "processing", "first": 0, "last": 5, "greatest_period": 1, "old_greatest_period": None, "periods": [1], "failed_periods": [], "anomalies": ["cancel_failed", "poll_request_failed"]},
     ])
     assert text == (
         "Accepted a new report 1970-01-07 to 1970-01-11\n"
         "\nFinished a new report 1970-01-01 to 1970-01-06\nSuccessful dates: 1970-01-03, 1970-01-02\nFailed dates: 1970-01-05\nSkipped dates: 1970-01-01, 1970-01-04, 1970-01-06\n"
         "\nProcessing a report 1970-01-01 to 1970-01-06, 33.33% done, 2 out of 6\nSuccessful dates: 1970-01-02\nSkipped dates: 1970-01-01\n"
+        "Anomalies: Failed to cancel a report; Failed to poll a new request;\n"
     )
 
 
@@ -117,8 +219,11 @@ def test_binary_files(spark, tmp_path):
     for df in (own, plain):
         assert sorted(tuple([bytes(r[0]), *r[1:]]) for r in df.collect()) == records
     out = str(tmp_path / "packed")
-    sinks.write_binary(own.coalesce(1), out)
-    assert sorted(struct.iter_unpack("<16sHH4f", sinks.binary_bytes(spark, out))) == records
+    sinks.write_binary(own, out)
+    for df in (files.read_footprints_binary(spark, out), spark.read.format("footprints").load(out)):
+        assert sorted(tuple([bytes(r[0]), *r[1:]]) for r in df.collect()) == records
+    with pytest.raises(Exception, match="16 bits"):
+        sinks.write_binary(own.selectExpr("id", "70000 as tile_e", "tile_n", *(f"value_{i}" for i in range(4))), str(tmp_path / "beyond"))
     path.write_bytes(b"x" * 35)
     with pytest.raises(ValueError, match="whole records"):
         files.read_footprints_binary(spark, str(path))
