@@ -109,6 +109,11 @@ def log_mel(payload: bytes) -> np.ndarray:
     return out
 
 
+def energies(mel: np.ndarray) -> np.ndarray:
+    """Mean of each frame's bands, rounded so that equal frames are equal whatever their place in memory."""
+    return np.round(mel.mean(1), 3)
+
+
 def segments(energy: np.ndarray) -> list[tuple[int, int]]:
     """Frames [from, to) where the energy is on: from the upper level until it falls below the lower one."""
     upper, lower = np.quantile(energy, UPPER), np.quantile(energy, LOWER)
@@ -129,7 +134,7 @@ def blocks(mel: np.ndarray) -> pa.RecordBatch:
     full = np.pad(mel, ((0, n * BLOCK_FRAMES - len(mel)), (0, 0))).astype(np.float16).ravel()
     begin = np.arange(n) * BLOCK_FRAMES
     end = np.minimum(begin + BLOCK_FRAMES, len(mel))
-    on = np.array(segments(mel.mean(1)), np.int64).reshape(-1, 2)
+    on = np.array(segments(energies(mel)), np.int64).reshape(-1, 2)
     bounds = np.searchsorted(on[:, 0], np.arange(n + 1) * BLOCK_FRAMES).astype(np.int32)
     spans = pa.StructArray.from_arrays([pa.array(seconds(on[:, k])) for k in (0, 1)], fields=list(SPAN))
     size = BLOCK_FRAMES * MELS
