@@ -46,12 +46,12 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_join(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
-    """rows (a cheap plan, of `total` rows) left-joined with table, which is unique by key.
+def hot_join(rows: DataFrame, table: DataFrame, key: str, total: int, counts: DataFrame | None = None) -> DataFrame:
+    """rows (a cheap plan, of `total` rows) left-joined with table, which is unique by key; counts (key, _n), if they are known.
 
     A key that a HOT-th of the rows or more have is one of HOT keys at most: the table's rows of those are broadcast. Rows with
     such a key, or none, are dealt by their number instead of their key, so that no task gets them all."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where((F.col("_n") * HOT >= total) & (F.col("_n") >= LEAST_HOT) & F.col(key).isNotNull())
+    counts = (rows.groupBy(key).agg(F.count("*").alias("_n")) if counts is None else counts).where((F.col("_n") * HOT >= total) & (F.col("_n") >= LEAST_HOT) & F.col(key).isNotNull())
     names = [c for c in table.columns if c != key]
     hot = table.join(F.broadcast(counts.select(key)), key).select(key, F.struct(*names).alias("_hot"))
     marked = rows.join(F.broadcast(hot), key, "left")

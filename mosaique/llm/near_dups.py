@@ -9,10 +9,12 @@
    n near copies give a few n pairs, not n * n. The size ratio and the union sketch's estimate filter the pairs, then full
    sets confirm them (exact Jaccard).
 5. Confirmed links make components, by alternating minimum stars. Where a long list still has members of several components,
-   those outside its largest one are compared with every member, set by set, in blocks of BLOCK by BLOCK members that go to
-   different tasks; only links come out. So no link between different texts is lost to a cap.
+   those outside its largest one are compared with every member of a like size, in blocks that go to different tasks: first
+   sketch by sketch, which leaves the members that share enough with any other, then those set by set; only links come out. Of
+   lists with the same members one is searched. So no link between different texts is lost to a cap.
 
-Nothing but numbers of rows reaches the driver.
+Nothing but numbers of rows reaches the driver. Values and digests that very many members have are joined by broadcast (there
+are few such), so no task gets all rows of one.
 
 Fewer than five words: the whole sequence is one shingle. Null, empty or white text: no shingle, linked with nothing. A null
 doc_id: linked with nothing, kept. Repeated rows of one doc_id are one document; each row is returned. If they differ in text,
@@ -32,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from mosaique.llm.common import ascii_words, coded, release, slices, stored
+from mosaique.llm.common import ascii_words, coded, hot_join, release, slices, spread, stored
 
 WORDS, SKETCH = 5, 64
 #: A link: 100 * intersection >= SIMILAR * union. A pair under LEAST_ESTIMATE by its sketches is not confirmed.
 SIMILAR, LEAST_ESTIMATE = 75, 0.5
-STARS, TRIES, SMALL, BLOCK = 2, 2, 8, 2000
+STARS, TRIES, SMALL = 2, 2, 8
+#: Members a side of a block of full sets, and of sketches.
+BLOCK, SKETCH_BLOCK = 2000, 16_384
 #: Bytes of texts that are open at once, and of packed texts whose pairs are confirmed together.
 OPENED, PACKED = 2 << 20, 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -96,8 +100,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 def rare_lists(reps: DataFrame) -> DataFrame:
     """value, rep, n: each sketch's members of the inverted lists of its rarer half, where a list has a second member."""
     each = reps.select("rep", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
-    shared = each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    ours = each.join(shared, "value").groupBy("rep", "n", "kept").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("rare"))
+    shared = stored(each.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
+    total = reps.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()[0]
+    met = hot_join(each, shared, "value", total, shared.select("value", F.col("df").alias("_n"))).where("df is not null")
+    ours = met.groupBy("rep", "n", "kept").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("rare"))
     # Of `kept` values the first kept - half + 1 matter, and those in no other sketch come first.
     half = F.ceil(F.col("kept") / 2).cast("int")
     first = F.size("rare") - half + 1
@@ -108,7 +114,7 @@ def star_pairs(lists: DataFrame, salt: int, stars: int) -> DataFrame:
     """a < b: every member of a list with the list's hub. Lists of one colour choose the same hub of a group."""
     draw = F.xxhash64("rep", F.pmod(F.xxhash64("value"), F.lit(stars)), F.lit(salt))
     hubs = lists.groupBy("value").agg(F.min(F.struct(draw.alias("draw"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"))).alias("h"))
-    joined = lists.join(hubs.select("value", "h.hub", "h.hub_n"), "value").where(F.col("hub") != F.col("rep"))
+    joined = hot_join(lists, hubs.select("value", "h.hub", "h.hub_n"), "value", lists.count()).where(F.col("hub") != F.col("rep"))
     near = _alike_sizes(F.col("n"), F.col("hub_n"))
     return joined.where(near).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
@@ -214,17 +220,60 @@ def _across(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
-def rest_links(lists: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links across the components of the open lists (value, rep, component)."""
-    counts = lists.groupBy("value", "component").agg(F.count("*").alias("k"))
-    most = counts.groupBy("value").agg(F.sum("k").alias("all"), F.max(F.struct("k", "component")).alias("top"))
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    rows = lists.join(most.select("value", blocks(F.col("all")).alias("nj"), blocks(F.col("all") - F.col("top.k")).alias("ni"), F.col("top.component").alias("top")), "value")
+def _candidates(group: pa.Table) -> pa.Table:
+    """Members of a block that share enough of their sketches with a member of the other side in another component."""
+    side = np.asarray(group["side"])
+    reps, home = np.asarray(group["rep"]), np.asarray(group["component"])
+    lists = group["sketch"].combine_chunks()
+    values, bounds = np.asarray(lists.flatten()), np.asarray(lists.offsets, dtype=np.int64)
+    bounds = bounds - bounds[0]
+    size = np.diff(bounds)
+    xs, ys = np.flatnonzero(side), np.flatnonzero(~side)
+    found: set[int] = set()
+    if len(xs) and len(ys):
+        known, codes = np.unique(values[spread(bounds[ys], size[ys])], return_inverse=True)
+        starts, mark = np.cumsum(size[ys]) - size[ys], np.zeros(len(known), np.int32)
+        for x in xs.tolist():
+            own = values[bounds[x] : bounds[x + 1]]
+            at = np.searchsorted(known, own)
+            at = at[known[np.minimum(at, len(known) - 1)] == own]
+            mark[at] = 1
+            both = np.add.reduceat(mark[codes], starts)
+            mark[at] = 0
+            hit = (both >= LEAST_ESTIMATE * np.maximum(size[x], size[ys])) & (home[ys] != home[x])
+            if hit.any():
+                found.add(int(reps[x]))
+                found.update(reps[ys[hit]].tolist())
+    return pa.table({"rep": pa.array(sorted(found), pa.int64())})
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """rows (value, rep, n, component, top and more) in blocks: x, those outside the list's largest component (top), against y, all
+    of a like size. A size is in one of the classes that the least ratio of sizes makes; x meets its own and both next ones."""
+    kind = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.0001 / SIMILAR))).cast("int")
+    x = rows.where(F.col("component") != F.col("top")).withColumn("kind", kind).withColumn("side", F.lit(True))
+    y = rows.withColumn("kind", F.explode(F.array(kind - 1, kind, kind + 1))).withColumn("side", F.lit(False))
+    count = lambda t, name: t.groupBy("value", "kind").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    groups = count(x, "ni").join(count(y, "nj"), ["value", "kind"])
     upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     own = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
-    y = rows.select("value", upto(F.col("ni")).alias("i"), own(F.col("nj"), 1).alias("j"), F.lit(False).alias("side"), "rep", "component")
-    x = rows.where("component != top").select("value", own(F.col("ni"), 2).alias("i"), upto(F.col("nj")).alias("j"), F.lit(True).alias("side"), "rep", "component")
-    return y.union(x).join(texts, "rep").groupBy("value", "i", "j").applyInArrow(_across, "a long, b long").distinct()
+    x = x.join(groups, ["value", "kind"]).withColumn("i", own(F.col("ni"), 2)).withColumn("j", upto(F.col("nj")))
+    y = y.join(groups, ["value", "kind"]).withColumn("i", upto(F.col("ni"))).withColumn("j", own(F.col("nj"), 1))
+    return x.unionByName(y).drop("ni", "nj", "n", "top")
+
+
+def rest_links(lists: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links across the components of the open lists (value, rep, n, component)."""
+    # One of the lists that have the same members; the largest component of each.
+    members = lists.groupBy("value").agg(F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"))
+    one = members.groupBy("k", "h").agg(F.min("value").alias("value")).select("value")
+    largest = lists.groupBy("value", "component").agg(F.count("*").alias("k")).groupBy("value").agg(F.max_by("component", F.struct("k", "component")).alias("top"))
+    rows = stored(lists.join(one, "value", "left_semi").join(largest, "value"), "open-lists")
+    by_block = ["value", "kind", "i", "j"]
+    near = _dealt(rows.join(reps.select("rep", "sketch"), "rep"), SKETCH_BLOCK).groupBy(*by_block).applyInArrow(_candidates, "rep long")
+    near = stored(near.distinct(), "near")
+    full = _dealt(rows.join(near, "rep", "left_semi"), BLOCK).join(texts, "rep")
+    return full.groupBy(*by_block).applyInArrow(_across, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -257,9 +306,10 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """id, component of all representatives that are linked with another."""
-    lists = rare_lists(reps)
+    lists = stored(rare_lists(reps), "rare-lists")
     sizes = lists.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    lists = stored(lists.join(sizes, "value"), "lists")
+    sized = hot_join(lists, sizes, "value", lists.count(), sizes.select("value", F.col("size").alias("_n")))
+    lists = stored(sized.where("size is not null"), "lists")
     texts = stored(packed_texts(docs, lists.select("rep").distinct()), "texts")
     tried, edges, labels = None, None, docs.sparkSession.createDataFrame([], "id long, component long")
     for turn in range(TRIES):
@@ -275,7 +325,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
     rest = stored(_open(lists, labels), "open")
     if rest.isEmpty():
         return labels
-    more = stored(rest_links(rest, texts), "links")
+    more = stored(rest_links(rest, reps, texts), "links")
     return labels if more.isEmpty() else components(edges.union(more))
 
 
@@ -287,7 +337,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = stored(reps, "representatives")
     labels = links(docs, reps.select("rep", "n", "sketch"))
     named = reps.join(labels, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = hot_join(signed.select("doc_id", "n_shingles", "digest"), named, "digest", signed.count())
     own = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 

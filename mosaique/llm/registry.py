@@ -65,4 +65,16 @@ QUERIES = {
         op10_token_counts,
     )
 }
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Near-duplicates as SQL says them: shingles as texts, pairs that share one, exact similarity, and what is reached by links.
+NEAR_DUPS = rf"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0) z),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+#: Models, tokenizers and sound have no SQL; brute-force tests stand for it.
+SQL: dict[str, str] = {"op5_near_dups": NEAR_DUPS}
