@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mosaique.llm import brown, html_text, near_dups, toxicity
+from mosaique.llm import brown, common, html_text, near_dups, registry, toxicity
 from mosaique.llm.common import remainder, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -130,6 +130,8 @@ def corpus(seed, near, far):
 @pytest.mark.parametrize("block", [2000, 16])
 def test_near_duplicates_equal_brute_force(make, monkeypatch, block):
     monkeypatch.setattr(near_dups, "BLOCK", block)
+    monkeypatch.setattr(near_dups, "SKETCH_BLOCK", 2 * block)
+    monkeypatch.setattr(common, "LEAST_HOT", block)
     texts = dict(enumerate(corpus(7, 90, 60)))
     homes, sizes = plain_components(texts)
     rows = near_dups.near_duplicates(make(list(texts.values()))).collect()
@@ -137,6 +139,50 @@ def test_near_duplicates_equal_brute_force(make, monkeypatch, block):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_open_lists_lose_no_link(make, spark):
+    """Members of one list in several components: what the blocks find, against all pairs of the sets."""
+    texts = dict(enumerate(corpus(19, 60, 40)))
+    docs = make(list(texts.values()))
+    full = near_dups.signatures(docs).where("n_shingles > 0").collect()
+    sets = {r["doc_id"]: shingles(texts[r["doc_id"]]) for r in full}
+    reps = spark.createDataFrame([(r["doc_id"], r["n_shingles"], r["sketch"]) for r in full], "rep long, n long, sketch array<long>")
+    lists = reps.select(F.lit(1).alias("value"), "rep", "n", F.col("rep").alias("component"))
+    lists = lists.union(lists.withColumn("value", F.lit(2)))  # a second list of the same members
+    got = near_dups.rest_links(lists, reps, near_dups.packed_texts(docs, reps.select("rep"))).collect()
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    top = max(sets)
+    want = {frozenset((a, b)) for a in sets for b in sets if a < b and alike(a, b)}
+    assert {frozenset(r) for r in got} == want and want and top in sets
+
+
+def test_pairs_near_the_threshold(make):
+    """Recall: 300 pairs of texts at a similarity of 0.75 to 0.8, each pair by itself."""
+    rng = random.Random(20)
+    texts, pairs = [], 0
+    while pairs < 300:
+        a = [f"p{pairs}x{rng.randint(0, 10**6)}" for _ in range(rng.randint(60, 400))]
+        b = list(a)
+        for k in rng.sample(range(len(a)), max(1, len(a) // 37)):
+            b[k] = "new" + str(rng.randint(0, 10**6))
+        x, y = shingles(" ".join(a)), shingles(" ".join(b))
+        if 0.75 <= len(x & y) / len(x | y) < 0.8:
+            texts += [" ".join(a), " ".join(b)]
+            pairs += 1
+    rows = near_dups.near_duplicates(make(texts)).collect()
+    assert all(r["component_id"] == r["doc_id"] // 2 * 2 for r in rows)
+
+
+def test_near_duplicates_equal_their_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    got = registry.QUERIES["op5_near_dups"](spark, sf)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert {tuple(r) for r in got.collect()} == set(duck.sql(registry.SQL["op5_near_dups"]).fetchall())
+
+
 def test_near_duplicates_edges(odd):
     rows = near_dups.near_duplicates(odd).collect()
     assert len(rows) == 14
