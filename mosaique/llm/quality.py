@@ -6,7 +6,8 @@ probabilities; all of that is stored by n-gram. So the model grows with the corp
 
 Scores read it as sorted hash arrays: for each order the n-grams' hashes with log probabilities, and the contexts' hashes with
 log back-off weights, with an index of the leading bits. They are broadcast where they have HELD entries (12 bytes each) at
-most. A larger model stays where it is: the distinct n-grams of each distinct text are joined with it. Both ways score alike.
+most. Of a larger model the most frequent n-grams, HELD at most, are broadcast, and the other n-grams of each text, which are
+rare by what they are, are joined with the stored model (every n-gram that is scored was counted). Both ways score alike.
 
 A document has two log perplexities: the negative log10 probability of all its code points by word, and by code point in words.
 Marks and symbols around words raise both, lone ones lower the first, and what is spelled evenly lowers the second. The median
@@ -104,7 +105,7 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 @dataclass
 class Estimates:
-    """Stored tables: probs (length, gram, logp) and contexts (length, gram, back), and log10 probability of an unseen code point."""
+    """Stored tables: probs (length, gram, n, logp) and contexts (length, gram, back), and log10 probability of an unseen code point."""
 
     probs: DataFrame
     contexts: DataFrame
@@ -135,8 +136,8 @@ def estimates(docs: DataFrame) -> Estimates:
         below = F.lit(1 / (kinds + 1))
         if lower is not None:
             joined, below = joined.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix"), F.col("below")
-        lower = stored(joined.select("gram", ((F.col("n") - off) / F.col("total") + F.col("back") * below).alias("p")), "probabilities")
-        own = lower.select(F.lit(length).alias("length"), "gram", F.log10("p").alias("logp"))
+        lower = stored(joined.select("gram", "n", ((F.col("n") - off) / F.col("total") + F.col("back") * below).alias("p")), "probabilities")
+        own = lower.select(F.lit(length).alias("length"), "gram", "n", F.log10("p").alias("logp"))
         ctx = sums.select(F.lit(length - 1).alias("length"), F.col("context").alias("gram"), F.log10("back").alias("back"))
         probs = own if probs is None else probs.union(own)
         contexts = ctx if contexts is None else contexts.union(ctx)
@@ -180,7 +181,8 @@ class HashArray:
 
 @dataclass
 class Model:
-    """Sorted hash arrays: by length of the n-gram log10 probabilities, by length of the context log10 back-off weights."""
+    """Sorted hash arrays: by length of the n-gram log10 probabilities, by length of the context log10 back-off weights. Without
+    weights it is a part of a model, which gives 0 for what it lacks."""
 
     probs: dict[int, HashArray]
     backs: dict[int, HashArray]
@@ -193,7 +195,7 @@ class Model:
             hit, prob = self.probs[length].find(hashes(flat, length)[own[left] - length + 1])
             out[left[hit]] = weight[left[hit]] + prob[hit]
             left = left[~hit]
-            if not len(left):
+            if not len(left) or not self.backs:
                 return out
             weight[left] += self.backs[length - 1].find(hashes(flat, length - 1)[own[left] - length + 1])[1]
         out[left] = weight[left] + np.float32(self.unseen)
@@ -225,6 +227,19 @@ def held(found: Estimates) -> Model:
     return Model(*out, found.unseen)
 
 
+def frequent(found: Estimates) -> tuple[Model, int]:
+    """The n-grams of ORDER code points that occur so often (the number returned) that they are HELD at most."""
+    full, floor, many = found.probs.where(F.col("length") == ORDER), 1, 0
+    by_size = F.floor(F.log2("n")).cast("int").alias("log2")
+    for r in full.groupBy(by_size).agg(F.count("*").alias("v")).orderBy(F.desc("log2")).collect():  # 63 rows at most
+        many += r["v"]
+        if many > HELD:
+            floor = 2 << r["log2"]
+            break
+    got = _hashed(full.where(F.col("n") >= floor), "logp").toArrow()
+    return Model({ORDER: HashArray.of(np.asarray(got["key"]).view(np.uint64), np.asarray(got["value"]))}, {}, 0.0), floor
+
+
 def repeated_words(offsets: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Words of each text that lie in a window of WINDOW words found twice or more there. Windows meet by hash; equality is
     then checked word by word."""
@@ -293,37 +308,38 @@ def _digest():
     return F.unhex(F.sha2(text_of().cast("binary"), 256)).alias("digest")
 
 
-def _joined(docs: DataFrame, found: Estimates) -> DataFrame:
-    """digest, mean (log_perplexity) by a join of the texts' distinct n-grams. Copies of a text add to both sums alike."""
+def _rest(docs: DataFrame, found: Estimates, model, floor: int) -> DataFrame:
+    """digest, more: the log10 probability of what a part of the model lacks, for each text that has such n-grams."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
             size, flat, own = points(part.column("text"))
-            doc = np.repeat(np.arange(len(size)), size)
             keys = hashes(flat, ORDER)[own - ORDER + 1]
+            lacking = np.flatnonzero(~model.value.probs[ORDER].find(keys)[0])
+            doc, keys = np.repeat(np.arange(len(size)), size)[lacking], keys[lacking]
             order = np.lexsort((keys, doc))
             new = np.ones(len(order), bool)
             new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(order)))
-            cols = [part.column("digest").take(pa.array(doc[order[first]])), pa.array(_spelled(flat, own[order[first]] - ORDER + 1), pa.string()), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(cols, ["digest", "gram", "n"])
+            cols = [part.column("digest").take(pa.array(doc[order[first]])), pa.array(_spelled(flat, own[lacking[order[first]]] - ORDER + 1), pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(cols, ["digest", "gram", "times"])
 
-    grams = docs.select(_digest(), "text").mapInArrow(spell, "digest binary, gram string, n long")
-    probs = found.probs.where(F.col("length") == ORDER).select("gram", "logp")
-    mean = -F.sum(F.col("n") * F.col("logp").cast("float").cast("double")) / F.sum("n")
-    return grams.join(probs, "gram").groupBy("digest").agg(mean.alias("mean"))
+    # An n-gram of a text that has many copies is frequent, so few copies come here.
+    grams = docs.select(_digest(), "text").mapInArrow(spell, "digest binary, gram string, times long").dropDuplicates(["digest", "gram"])
+    probs = found.probs.where((F.col("length") == ORDER) & (F.col("n") < floor)).select("gram", F.col("logp").cast("float").cast("double").alias("logp"))
+    return grams.join(probs, "gram").groupBy("digest").agg(F.sum(F.col("times") * F.col("logp")).alias("more"))
 
 
 def scored(docs: DataFrame, model) -> DataFrame:
-    """doc_id, lang, base counts, n_chars, digest, and mean (log_perplexity; null where model, a broadcast one, is none)."""
+    """doc_id, lang, base counts, n_chars, digest, and mean (log_perplexity by model, a broadcast one)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
             text = part.column("text")
             cols = {"doc_id": part.column("doc_id"), "lang": part.column("lang")} | {k: pa.array(v, pa.int64()) for k, v in base_counts(text).items()}
             cols |= {"n_chars": pc.utf8_length(pc.fill_null(text, "")).cast(pa.int64()), "digest": part.column("digest")}
-            cols["mean"] = pa.array(log_perplexity(text, model.value)) if model is not None else pa.nulls(part.num_rows, pa.float64())
+            cols["mean"] = pa.array(log_perplexity(text, model.value))
             yield pa.RecordBatch.from_pydict(cols)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), _digest(), "text").mapInArrow(score, BASE)
@@ -377,9 +393,12 @@ def _scores(docs: DataFrame) -> tuple[DataFrame, object]:
     if found.probs.count() + found.contexts.count() <= HELD:
         model = docs.sparkSession.sparkContext.broadcast(held(found))
         return stored(measured(scored(docs, model)), "quality"), model
-    rows = stored(scored(docs, None).drop("mean"), "base-counts")
-    rows = hot_join(rows, _joined(docs, found), "digest", rows.count())
-    return stored(measured(rows.withColumn("mean", F.coalesce("mean", F.lit(0.0)))), "quality"), None
+    part, floor = frequent(found)
+    model = docs.sparkSession.sparkContext.broadcast(part)
+    rows = stored(scored(docs, model), "partial-scores")
+    rows = hot_join(rows, _rest(docs, found, model, floor), "digest", rows.count())
+    mean = F.col("mean") - F.coalesce("more", F.lit(0.0)) / F.greatest("n_chars", F.lit(1))
+    return stored(measured(rows.withColumn("mean", mean).drop("more")), "quality"), None
 
 
 def judged(scores: DataFrame) -> DataFrame:
