@@ -109,8 +109,9 @@ def test_a_large_model_is_joined_and_scores_alike(odd, make, monkeypatch):
     docs = make([prose(rng, 40, "en") for _ in range(40)] + ["zqx##" * 90]).union(odd)
     rows = lambda df: sorted((str(x) for x in df.collect()))
     scores, kept = rows(quality.quality(docs)), rows(quality.reject(docs))
-    monkeypatch.setattr(quality, "HELD", 0)
-    assert rows(quality.quality(docs)) == scores and rows(quality.reject(docs)) == kept and 0 < len(kept) < docs.count()
+    for most in (0, 60):  # nothing is broadcast; a part is
+        monkeypatch.setattr(quality, "HELD", most)
+        assert rows(quality.quality(docs)) == scores and rows(quality.reject(docs)) == kept and 0 < len(kept) < docs.count()
 
 
 def test_quality_rejects_what_lies_outside_a_band(make, spark):
