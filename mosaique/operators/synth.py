@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mosaique.schemas import KEY, TILE, VALUES
 
 #: Probabilities and scales of the realistic generator.
 FILL_AT_NIGHT_TILE, FILL_AT_DAY_TILE, FILL_MAX, NORMAL_SHARE, PARETO, LEAST_POPULATION = 0.4, 0.2, 0.1, 0.9, 1.1, 5000
+#: Bounds of a position error as shares of the tile's radius, and anchor candidates of a user.
+ERROR_FROM, ERROR_TO, CANDIDATES = 0.5, 2.0, 1
+#: Draws for one candidate that may miss the grid.
+TRIES = 16
 TINY = 1e-15
 
 
@@ -22,12 +26,20 @@ def grid(spark: SparkSession, size: int) -> DataFrame:
     return spark.range(size * size).select((F.col("id") % size).cast("int").alias("tile_e"), F.floor(F.col("id") / size).cast("int").alias("tile_n"))
 
 
+def _shuffled_axis(size: int, salt: int) -> Column:
+    """The numbers below size in an order of their own for each period."""
+    keyed = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.struct(F.xxhash64(i, F.col("period"), F.lit(salt)).alias("h"), i.alias("i")))
+    return F.transform(F.array_sort(keyed), lambda x: x["i"])
+
+
 def gen_simple(spark: SparkSession, users: int, days: int, size: int = 20, tiles_per_user: int = 2, seed: int = 0) -> DataFrame:
-    """By day and user, tiles_per_user tiles in a row; values 1 to 3 uniform, value 0 their sum."""
-    rows = spark.range(users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period"))
-    rows = rows.withColumn("start", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(size * size))).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(tiles_per_user - 1))))
-    cell = F.pmod(F.col("start") + F.col("k"), F.lit(size * size))
-    rows = rows.select("id", "period", (cell % size).cast("int").alias("tile_e"), F.floor(cell / size).cast("int").alias("tile_n"), *(F.rand(seed + i).alias(f"value_{i}") for i in (1, 2, 3)))
+    """By day and user, tiles_per_user tiles: a run from an offset on each of two axes that are shuffled every day; values 1 to 3
+    uniform, value 0 their sum."""
+    axes = spark.range(days).select(F.col("id").cast("int").alias("period")).select("period", _shuffled_axis(size, seed).alias("e"), _shuffled_axis(size, seed + 1).alias("n"))
+    rows = spark.range(users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period")).join(axes, "period")  # axes: a row a day
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(tiles_per_user - 1))))
+    at = lambda c, salt: F.get(c, F.pmod(F.xxhash64("id", "period", F.lit(seed + salt)) + F.col("k"), F.lit(size)).cast("int"))
+    rows = rows.select("id", "period", at("e", 2).alias("tile_e"), at("n", 3).alias("tile_n"), *(F.rand(seed + i).alias(f"value_{i}") for i in (1, 2, 3)))
     return rows.withColumn("value_0", F.expr("value_1 + value_2 + value_3")).select("id", "period", *TILE, *VALUES)
 
 
@@ -61,7 +73,7 @@ def population_cdf(tiles: DataFrame) -> DataFrame:
 
 
 def cdf_sample(cdf: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n grid rows by inverse CDF: a draw meets the range (cdf before, cdf]. Draws are cut into buckets of the unit interval
+    """n grid rows by inverse CDF: a draw meets the range [cdf before, cdf). Draws are cut into buckets of the unit interval
     so that the range join is an equi-join with a filter."""
     order, parts = Window.orderBy(*TILE), 1024
     ranges = cdf.withColumn("lo", F.coalesce(F.lag("cdf").over(order), F.lit(0.0))).where("cdf > lo")
@@ -120,24 +132,56 @@ def grid_lookup(positions: DataFrame, tiles: DataFrame) -> tuple[DataFrame, Data
     return joined.where("on_grid").drop("on_grid"), joined.where("on_grid is null").select(positions.columns)
 
 
-def gen_anchors(cdf: DataFrame, users: int, candidates: int = 8, scale: float = 4.0, seed: int = 0) -> DataFrame:
-    """id, and tiles of the night anchor (by CDF), a day anchor (a normal offset from it; of several candidates on the grid the
-    most populated, else the night anchor itself) and a third one between both."""
-    night = cdf_sample(cdf, users, seed).select(F.col("draw").alias("id"), *TILE)
-    some = night.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(candidates))))
-    near = lambda c, s: F.round(F.col(c) + scale * F.randn(s)).cast("int")
-    tried = some.select("id", near("tile_e", seed + 1).alias("tile_e"), near("tile_n", seed + 2).alias("tile_n"))
-    day = tried.join(cdf.select(*TILE, "population"), TILE).groupBy("id").agg(F.max_by(F.struct(*TILE), "population").alias("day"))
-    t = F.rand(seed + 3)
-    out = night.join(day, "id", "left").select("id", F.struct(*TILE).alias("night"), F.coalesce("day", F.struct(*TILE)).alias("day"), t.alias("t"))
-    between = lambda c: F.round(F.col(f"night.{c}") + F.col("t") * (F.col(f"day.{c}") - F.col(f"night.{c}"))).cast("int").alias(c)
-    return out.select("id", "night", "day", F.struct(between("tile_e"), between("tile_n")).alias("third"))
+def _on_grid(rows: DataFrame, grid: DataFrame) -> DataFrame:
+    """rows with positions e, n that lie in a populated tile, with its population and rtile."""
+    return rows.withColumns({"tile_e": F.floor("e").cast("int"), "tile_n": F.floor("n").cast("int")}).join(grid, TILE).drop(*TILE)
+
+
+def _uniform(salt: int, *by: str) -> Column:
+    """A draw in (0, 1) that belongs to the row's id (and more columns), so that a branch that is computed again draws the same."""
+    return (F.pmod(F.xxhash64("id", *by, F.lit(salt)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+
+
+def _normal(salt: int, *by: str) -> Column:
+    return F.sqrt(-2 * F.log(_uniform(salt, *by))) * F.cos(2 * math.pi * _uniform(salt + 1000, *by))
+
+
+def _error(salt: int, *by: str) -> Column:
+    return F.col("rtile") * (_uniform(salt, *by) * (ERROR_TO - ERROR_FROM) + ERROR_FROM)
+
+
+def gen_anchors(cdf: DataFrame, users: int, candidates: int = CANDIDATES, seed: int = 0, least: float = LEAST_POPULATION) -> DataFrame:
+    """id, night, day, third: positions (e, n) with their error radius.
+
+    The night anchor is drawn by CDF, anywhere in its tile. The other two are offset from it normally, with the tile's rtile as
+    scale: of the first `candidates` draws that hit the grid (of TRIES times as many), the one in the most populated tile, else the
+    night anchor. Then the third moves to a point between both, of the first that hits the grid. Errors are a uniform share of
+    the rtile of the anchor's tile."""
+    grid = cdf.select(*TILE, "population").join(find_rtile(cdf.select(*TILE, "population"), least), TILE).withColumn("rtile", F.coalesce("rtile", F.lit(64)))
+    tries = lambda n: F.explode(F.sequence(F.lit(1), F.lit(n)))
+    spot = F.struct("e", "n", "error")
+    night = cdf_sample(cdf, users, seed).select(F.col("draw").alias("id"), *TILE).join(grid, TILE)
+    night = night.select("id", (F.col("tile_e") + _uniform(seed + 1)).alias("e"), (F.col("tile_n") + _uniform(seed + 2)).alias("n"), "rtile", _error(seed + 3).alias("error"))
+    out = night.select("id", spot.alias("night"))
+    for name, salt in (("day", 10), ("third", 20)):
+        drawn = night.select("id", F.col("e").alias("e0"), F.col("n").alias("n0"), F.col("rtile").alias("scale"), tries(TRIES * candidates).alias("k"))
+        drawn = drawn.select("id", "k", (F.col("e0") + _normal(seed + salt, "k") * F.col("scale")).alias("e"), (F.col("n0") + _normal(seed + salt + 1, "k") * F.col("scale")).alias("n"))
+        hit = _on_grid(drawn, grid).withColumn("error", _error(seed + salt + 2, "k"))
+        first = Window.partitionBy("id").orderBy("k")  # TRIES * candidates rows a user at most
+        hit = hit.withColumn("hits", F.row_number().over(first)).where(F.col("hits") <= candidates)
+        best = hit.groupBy("id").agg(F.max_by(spot, F.struct("population", -F.col("hits"))).alias(name))
+        out = out.join(best, "id", "left").withColumn(name, F.coalesce(name, "night"))
+    moved = out.select("id", "day", "third", tries(TRIES).alias("k")).withColumn("p", _uniform(seed + 30, "k"))
+    between = lambda c: (F.col("p") * F.col(f"day.{c}") + (1 - F.col("p")) * F.col(f"third.{c}")).alias(c)
+    moved = _on_grid(moved.select("id", "k", between("e"), between("n")), grid).withColumn("error", _error(seed + 31, "k"))
+    moved = moved.groupBy("id").agg(F.min_by(spot, "k").alias("moved"))
+    return out.join(moved, "id", "left").select("id", "night", "day", F.coalesce("moved", "third").alias("third"))
 
 
-def gen_user_data(cdf: DataFrame, users: int, days: int, seed: int = 0) -> DataFrame:
+def gen_user_data(cdf: DataFrame, users: int, days: int, seed: int = 0, least: float = LEAST_POPULATION) -> DataFrame:
     """Regular and vacation anchors, and the vacation's days [vacation_start, vacation_end)."""
     most = 21 if days >= 21 else math.ceil(days / 3)
-    regular, vacation = gen_anchors(cdf, users, seed=seed), gen_anchors(cdf, users, seed=seed + 100)
+    regular, vacation = gen_anchors(cdf, users, seed=seed, least=least), gen_anchors(cdf, users, seed=seed + 100, least=least)
     pick = lambda df, name: df.select("id", F.struct("night", "day", "third").alias(name))
     both = pick(regular, "regular").join(pick(vacation, "vacation"), "id")
     both = both.withColumn("length", (F.floor(F.rand(seed + 7) * most) + 1).cast("int"))

@@ -157,5 +157,28 @@ def test_synthetic_invariants(spark):
     assert set(n) == {(0, 0), (2, 1)} and sum(n.values()) == 2000 and 400 < n[0, 0] < 600
     g = synth.gen_simple(spark, 10, 3)
     assert g.count() == 60 and g.where("abs(value_0 - value_1 - value_2 - value_3) > 1e-9").count() == 0
+    # By day, a user's tiles are a run on both shuffled axes; axes differ between days.
+    runs = {}
+    for r in synth.gen_simple(spark, 60, 2, size=5).collect():
+        runs.setdefault(r["period"], set()).add((r["tile_e"], r["tile_n"]))
+    assert all(0 <= e < 5 and 0 <= n < 5 for x in runs.values() for e, n in x) and len(runs[0]) > 15
     f = synth.fill_subperiods(g)
     assert f.where("value_0 < value_1 + value_2 + value_3 - 1e-9").count() == 0
+
+
+def test_anchors(spark):
+    """Night anchors by population, others on the grid near them at the tile's own scale, errors in their bounds, the same again."""
+    people = {(e, n): 100.0 if 2 <= e <= 12 and 2 <= n <= 12 else 1.0 for e in range(15) for n in range(15)}
+    tiles = spark.createDataFrame([(e, n, p) for (e, n), p in people.items()], "tile_e int, tile_n int, population double")
+    radius = {(r["tile_e"], r["tile_n"]): r["rtile"] for r in synth.find_rtile(tiles, 900).collect()}
+    cdf = synth.population_cdf(tiles)
+    got = synth.gen_anchors(cdf, 300, candidates=3, least=900).collect()
+    assert len(got) == 300 and len({r["id"] for r in got}) == 300
+    for r in got:
+        for name in ("night", "day", "third"):
+            at = (int(r[name]["e"]), int(r[name]["n"]))
+            assert at in people and 0.5 * radius[at] <= r[name]["error"] <= 2 * radius[at]
+    far = [abs(r["day"]["e"] - r["night"]["e"]) / radius[int(r["night"]["e"]), int(r["night"]["n"])] for r in got]
+    assert 0.4 < sum(far) / len(far) < 1.2  # the mean of a folded normal is 0.8
+    assert sum(people[int(r["day"]["e"]), int(r["day"]["n"])] == 100 for r in got) > 280
+    assert {tuple(r) for r in synth.gen_anchors(cdf.repartition(7), 300, candidates=3, least=900).collect()} == {tuple(r) for r in got}
