@@ -43,7 +43,16 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     """df as a written table in the shared folder: it cuts the lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def removed(table: DataFrame) -> None:
+    """Removes a table that `stored` has written and that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hot_join(rows: DataFrame, table: DataFrame, key: str, total: int, counts: DataFrame | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from mosaique.llm.common import ascii_words, coded, hot_join, release, slices, spread, stored
+from mosaique.llm.common import ascii_words, coded, hot_join, release, removed, slices, spread, stored
 
 WORDS, SKETCH = 5, 64
 #: A link: 100 * intersection >= SIMILAR * union. A pair under LEAST_ESTIMATE by its sketches is not confirmed.
@@ -290,6 +290,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = stored(small.union(low.toDF("u", "v")).distinct(), "edges")
         state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
+        removed(now)
         if state == before:
             break
         now, before = after, state
