@@ -397,10 +397,36 @@ def test_toxicity_edges(odd, spark):
     assert toxicity.toxicity(odd.limit(0), none, F.lit(False)).count() == 0
 
 
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_pipeline_stages_on_odd_rows(odd, spark, stage):
+    """Nulls, ties, repeats, long texts, a null id and columns with clashing names; then an empty table."""
+    import corpus_pipeline
+
+    name, function = corpus_pipeline.STAGES[stage]
+    docs = odd.withColumns({c: F.lit(1) for c in ("digest", "length", "rep", "component", "_apart", "toxic")})
+    rows = function(spark, docs, SF).collect()
+    ids = Counter(r["doc_id"] for r in rows)
+    every = Counter(r["doc_id"] for r in docs.select("doc_id").collect())
+    if name == "quality_rules":  # none has ten words without repeats
+        assert not ids
+    elif name == "toxicity":
+        assert ids == every
+    elif name == "near_duplicates":  # 11 is a copy of 10
+        assert ids == Counter({i: n for i, n in every.items() if i != 11})
+    else:
+        assert ids.keys() == every.keys() and sum(r["length"] for r in rows if r["doc_id"] in (0, 1)) == 2
+    if stage < 3:
+        assert function(spark, docs, SF).schema == docs.schema
+    assert function(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
-    sf = "/root/testdata/sf0.001"
+    sf = SF
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "toxicity", "near_duplicates", "packing"]
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = corpus_pipeline.run(spark, sf).collect()
