@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mosaique.llm import near_dups, packing, quality, toxicity
-from mosaique.llm.common import documents, stored
+from mosaique.llm.common import documents, removed, stored
 from mosaique.llm.tokens import public_path
 
 
@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            removed(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
