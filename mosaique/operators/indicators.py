@@ -74,22 +74,19 @@ def centroid_distance(h: DataFrame, old: DataFrame, bins: int = 10, lowest: floa
 
 def diagonals(rows: DataFrame) -> DataFrame:
     """Diagonal of the box around a user's tiles with a value, by sub-period; no row where there is none."""
-    aggs = []
-    for i, v in enumerate(VALUES):
-        for c in ("tile_e", "tile_n"):
-            there = F.when(F.col(v) != 0, F.col(c))
-            aggs.append((F.max(there) - F.min(there)).cast("double").alias(f"{c[-1]}{i}"))
-    users = rows.groupBy("id").agg(*aggs)
-    flat = users.select("id", F.expr(f"stack(4, {', '.join(f'{i}, e{i}, n{i}' for i in range(4))}) as ({SUB}, e, n)")).where("e is not null")
-    return flat.select("id", SUB, F.sqrt(F.col("e") * F.col("e") + F.col("n") * F.col("n")).alias("diagonal"))
+    users = _sums([("rows", rows)]).select("id", *(f"d{i}" for i in range(4)))
+    return _unpivot(users, [f"d{i}" for i in range(4)], "diagonal", "id").where("diagonal is not null")
 
 
 def bounding_box(h: DataFrame, old: DataFrame, new: DataFrame, bins: int = 8, lowest: float = 1024) -> DataFrame:
-    """Histograms of the diagonal in H, in the old state, and of its change from the old to the new state."""
-    before, after = diagonals(old), diagonals(new).withColumnRenamed("diagonal", "after")
-    change = before.join(after, ["id", SUB]).select("id", SUB, F.abs(F.col("diagonal") - F.col("after")).alias("diagonal"))
-    parts = [t.withColumn("measure", F.lit(m)) for m, t in (("h", diagonals(h)), ("old_s", before), ("change", change))]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Histograms of the diagonal of the box around a user's tiles with a value, by sub-period: in H, in the old state, and of its
+    change from the old to the new state. All three tables are aggregated once by user; no value where a side has no tile."""
+    users = by_user(h, old, new).select("id", "of", *(f"d{i}" for i in range(4)))
+    wide = users.groupBy("id").agg(*(F.max(F.when(F.col("of") == name, F.col(f"d{i}"))).alias(f"{name}_{i}") for name in ("h", "old_s", "new_s") for i in range(4)))
+    value = lambda measure, i, x: F.when(x.isNotNull(), F.struct(F.lit(measure).alias("measure"), F.lit(i).alias(SUB), x.alias("diagonal")))
+    values = [value(name, i, F.col(f"{name}_{i}")) for name in ("h", "old_s") for i in range(4)]
+    values += [value("change", i, F.abs(F.col(f"old_s_{i}") - F.col(f"new_s_{i}"))) for i in range(4)]
+    every = wide.select(F.explode(F.filter(F.array(*values), lambda v: v.isNotNull())).alias("v")).select("v.*")
     spark = h.sparkSession
     groups = _groups(spark).join(spark.createDataFrame([("h",), ("old_s",), ("change",)], "measure string").hint("broadcast"))
     return iterate(log2_histogram(every, "diagonal", bins, lowest, "measure", SUB), groups, bins, "measure", SUB)
@@ -97,9 +94,13 @@ def bounding_box(h: DataFrame, old: DataFrame, new: DataFrame, bins: int = 8, lo
 
 def by_user(h: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
     """id, of (h, old_s or new_s), and what all indicators by user are made from: one aggregation of all three tables."""
+    return _sums([("h", h), ("old_s", old), ("new_s", new)])
+
+
+def _sums(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     kept = ["id", *TILE, *VALUES]
     rows = None
-    for name, t in (("h", h), ("old_s", old), ("new_s", new)):
+    for name, t in tables:
         part = t.select(*kept).withColumn("of", F.lit(name))
         rows = part if rows is None else rows.unionByName(part)
     aggs = [F.count("*").alias("n")]
