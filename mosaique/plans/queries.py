@@ -543,14 +543,12 @@ def _(x: Fixture):
     return x.table("documents").select("doc_id", F.lower(F.hex(crypto.hmac_tag(crypto.hash_id(F.col("text")), TAG_KEY))).alias("tag"))
 
 
-KEY_ROWS = [(p, bytes([p % 256] * 16)) for p in range(LAST_PERIOD - 29, LAST_PERIOD + 1)]
-
-
-@query(f"SELECT {LAST_PERIOD} AS period, repeat('{LAST_PERIOD % 256:02X}', 16) AS key", name="lookup_period_key")
+@query("SELECT max(period) AS period, upper(substr(sha256(CAST(max(period) AS VARCHAR)), 1, 32)) AS key FROM fx_h", name="lookup_period_key")
 def _(x: Fixture):
-    keys = x.spark.createDataFrame(KEY_ROWS, "period int, key binary")
-    found = crypto.lookup_key(keys, LAST_PERIOD)
-    return x.spark.createDataFrame([(LAST_PERIOD, found.hex().upper())], "period int, key string")
+    """The key of the last period, in a table with a key for each period."""
+    keys = x.h.select("period").distinct().withColumn("key", F.unhex(F.substring(F.sha2(F.col("period").cast("string").cast("binary"), 256), 1, 32)))
+    last = x.h.agg(F.max("period")).first()[0]
+    return x.spark.createDataFrame([(last, crypto.lookup_key(keys, last).hex().upper())], "period int, key string")
 
 
 @query("SELECT user_id AS id FROM (SELECT DISTINCT user_id FROM events) e", name="pseudonym_round_trip")
@@ -576,9 +574,11 @@ def _(x: Fixture):
     return x.h.select("period").distinct().withColumn("accepted", F.col("period").between(LAST_PERIOD - 9, LAST_PERIOD - 2))
 
 
-@query(f"SELECT CAST(p AS INT) AS period FROM (SELECT unnest(range({LAST_PERIOD - 5}, {LAST_PERIOD})) AS p) z", name="skipped_periods")
+@query("SELECT CAST(p AS INT) AS period FROM (SELECT unnest(range(min(period), max(period))) AS p FROM fx_h) z", name="skipped_periods")
 def _(x: Fixture):
-    return session.skipped_periods(x.spark, LAST_PERIOD - 5, LAST_PERIOD)
+    """What is skipped where a request begins with the first period and its last one comes first."""
+    first, last = x.h.agg(F.min("period"), F.max("period")).first()
+    return session.skipped_periods(x.spark, first, last)
 
 
 @query("SELECT o_orderdate_text, CAST(datediff('day', DATE '1970-01-01', CAST(o_orderdate_text AS DATE)) AS INT) AS period FROM (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate_text FROM orders) z", name="date_to_period")
@@ -592,13 +592,17 @@ def _(x: Fixture):
     return x.h.select("period").distinct().withColumn("date", F.date_format(dates.period_to_date(F.col("period")), "yyyy-MM-dd"))
 
 
-DATES = ["2021-01-01", "1970-01-01", "1969-12-31", "2021-1-1", "2021-02-30", "20210101", "", "2024-02-29", "x2021-01-01"]
+DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+#: A date as it is, and what is none: without marks, with a letter in front, cut, with a 13th month, or with days of one digit.
+TEXTS = [DAY, f"replace({DAY}, '-', '')", f"'x' || {DAY}", f"substr({DAY}, 1, 7)", f"substr({DAY}, 1, 5) || '13' || substr({DAY}, 8)", f"replace({DAY}, '-0', '-')"]
+SPOILT = "CASE o_orderkey % 6 " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(TEXTS)) + " END"
 
 
-@query(f"SELECT t AS text, coalesce(regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(t AS DATE) >= DATE '1970-01-01', false) AS valid FROM (SELECT unnest({DATES!r}) AS t) z", name="validate_date_arg")
+@query(f"SELECT o_orderkey, t AS text, coalesce(regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(t AS DATE) >= DATE '1970-01-01', false) AS valid FROM (SELECT o_orderkey, {SPOILT} AS t FROM orders) z", name="validate_date_arg")
 def _(x: Fixture):
-    rows = x.spark.createDataFrame([(d,) for d in DATES], "text string")
-    return rows.select("text", dates.is_date(F.col("text")).alias("valid"))
+    rows = x.table("orders").withColumn("o_orderdate", F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd"))
+    text = F.expr(SPOILT.replace("CAST(CAST(o_orderdate AS DATE) AS VARCHAR)", "o_orderdate")).alias("text")
+    return rows.select("o_orderkey", text).withColumn("valid", dates.is_date(F.col("text")))
 
 
 #: What an order stands for in a history of instances, by its customer's number modulo 16: 0 and 1 polls (the second fails), 2 to 9
