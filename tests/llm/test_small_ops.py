@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mosaique.llm import langid, media, packing, quality, registry, token_counts, unigram
 from mosaique.llm.common import ascii_words, remainder, shared_path
-from mosaique.llm.tokens import PieceCounts, WordIds, public_path
+from mosaique.llm.tokens import PieceCounts, WordIds, marked_parts, public_path
 from tests.llm.conftest import ODD
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -354,6 +354,16 @@ def test_pieces_against_the_library_and_a_plain_viterbi(spark):
             assert value(got) == pytest.approx(_plain_viterbi(word, normal, p.longest, float(p.unknown)), abs=1e-3)
 
 
+def test_parts_together_equal_parts_one_by_one(spark):
+    """Every distinct part of the corpus, short and long ones, walked together and by itself."""
+    p = unigram.Pieces.from_model(PIECES)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    _, parts = marked_parts(pa.array([*texts, *ODD, "日本語のテキスト" * 9, "é" * 24, "a" * 48, "a" * 49]))
+    raw = parts.unique().cast(pa.binary()).to_pylist()
+    assert {len(x) <= unigram.LOCKSTEP for x in raw} == {True, False}
+    assert unigram.encode_parts(raw, p) == [unigram.encode_one(x, p) for x in raw]
+
+
 def test_pieces_edges(odd):
     rows = {r["doc_id"]: r for r in unigram.encoded(odd, PIECES).collect()}
     assert len(rows) == 13 and all(r["round_trip"] for r in rows.values()) and rows[0]["n_tokens"] == 0
