@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 #: Bytes of text that a Python worker handles at once; a longer document is handled alone. The arrays that an operator makes
 #: of a slice take up to some forty times its bytes.
 SLICE_BYTES = 3 << 20
+#: Rows of an Arrow batch.
+BATCH_ROWS, _ROWS = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Keys with 1 / HOT of all rows, and LEAST_HOT rows, are joined without a shuffle by them.
 HOT, LEAST_HOT = 10_000, 200
 
@@ -39,9 +41,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/mosaique/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows where the session has Spark's default: an executor holds one or two batches of whole texts
+    outside its heap for each task, and a Python worker one."""
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """df as a written table in the shared folder: it cuts the lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name)
+    small_batches(df.sparkSession)
     df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
