@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ SLICE_BYTES = 3 << 20
 BATCH_ROWS, _ROWS = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Keys with 1 / HOT of all rows, and LEAST_HOT rows, are joined without a shuffle by them.
 HOT, LEAST_HOT = 10_000, 200
+#: Rows that `folded` merges at a time.
+FAN = 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,3 +154,18 @@ def per_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of values in each [offsets[i], offsets[i + 1])."""
     total = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values)))
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def folded(parts: DataFrame, fold: Callable[[pa.Table], pa.Table], keys: tuple[str, ...] = ()) -> DataFrame:
+    """parts (a stored table with a number `part`) merged FAN at a time, in rounds, until part 0 alone is left: by keys, fold makes
+    one row (with any part) of up to FAN. Every round is a stored table, so no task meets more than FAN rows of a key."""
+    while (parts.agg(F.max("part")).first()[0] or 0) > 0:
+        nearer = parts.withColumn("part", F.expr(f"part div {FAN}"))
+
+        def run(table: pa.Table) -> pa.Table:
+            out, at = fold(table), table.schema.get_field_index("part")
+            return out.set_column(at, "part", table.column("part").slice(0, 1)).select(table.column_names)
+
+        before, parts = parts, stored(nearer.groupBy(*keys, "part").applyInArrow(run, nearer.schema), "folded")
+        removed(before)
+    return parts

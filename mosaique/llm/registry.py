@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mosaique.llm import brown, html_text, langid, media, near_dups, packing, quality, token_counts, toxicity, unigram
+from mosaique.llm import brown, html_text, langid, line_dedup, media, near_dups, packing, periodic, quality, token_counts, toxicity, unigram, whitening
 from mosaique.llm.common import documents, remainder, shared_path
 from mosaique.llm.tokens import public_path
 
@@ -50,6 +50,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), shared_path(spark, "token-cache"), public_path("piece_bpe_32k.model"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(line_dedup.dedup_lines(documents(spark, sf_dir)))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.periodic_runs(periodic.planted(documents(spark, sf_dir))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -63,6 +75,9 @@ QUERIES = {
         op8_unigram,
         op9_packing,
         op10_token_counts,
+        op11_whitening,
+        op12_line_dedup,
+        op13_periodic_runs,
     )
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,5 +91,13 @@ links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.
 reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
 
-#: Models, tokenizers and sound have no SQL; brute-force tests stand for it.
-SQL: dict[str, str] = {"op5_near_dups": NEAR_DUPS}
+#: Lines that three documents or more share: positions, keys, exact counts, and what is left joined again.
+LINE_DEDUP = rf"""WITH lines AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents) t),
+keyed AS (SELECT doc_id, line, i, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k FROM lines),
+shared AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT keyed.*, coalesce(keyed.doc_id <> shared.keeper, false) AS gone FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM marked GROUP BY doc_id"""
+
+#: Models, tokenizers, sound, eigenvectors and suffix arrays have no SQL; brute-force tests stand for it.
+SQL: dict[str, str] = {"op5_near_dups": NEAR_DUPS, "op12_line_dedup": LINE_DEDUP}
