@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mosaique.functions.histogram import anonymous, iterate, log2_bin, log2_histogram, text_lines
+from mosaique.operators.state import bucket_of
 from mosaique.schemas import TILE, VALUES
 
 SUB = "sub_period"
@@ -155,25 +156,48 @@ BOXES = {
 IN_SUBPERIOD = " in subperiod "
 
 
-def log_text(h: DataFrame, old: DataFrame, new: DataFrame, duplicates: int, k: int) -> str:
+def bucket_counts(s: DataFrame, n: int) -> DataFrame:
+    """bucket, what (count, box or weight), sub_period, bin, n: what the indicators of a state add up from, for each of n buckets by
+    user."""
+    users = _sums([("s", s)])
+    one = lambda what, sub, x: F.struct(F.lit(what).alias("what"), F.lit(sub).alias(SUB), x.cast("double").alias("x"))
+    each = [one("count", 0, F.col("n")), *(F.when(F.col(f"d{i}").isNotNull(), one("box", i, F.col(f"d{i}"))) for i in range(4))]
+    values = users.select("id", F.explode(F.filter(F.array(*each), lambda v: v.isNotNull())).alias("v")).select("id", "v.*")
+    values = values.unionByName(_unpivot(s, VALUES, "x", "id").select("id", F.lit("weight").alias("what"), SUB, "x"))
+    return values.groupBy(bucket_of(n).alias("bucket"), "what", SUB, _bins().alias("bin")).agg(F.count("*").alias("n"))
+
+
+def _bins():
+    return F.coalesce(*(F.when(F.col("what").startswith(kind), log2_bin(F.col("x"), *shape)) for kind, shape in SHAPES.items()))
+
+
+def log_text(h: DataFrame, old: DataFrame, new: DataFrame, duplicates: int, k: int, rest: dict | None = None) -> str:
     """The indicators' part of an application log: all of them, k-anonymous, or a line where the gate is closed.
 
-    h (cleaned), old and new are stored tables; by user each is aggregated once. Only counts of bins reach the driver."""
+    h (cleaned), old and new are stored tables; by user each is aggregated once. Only counts of bins reach the driver. rest: counts
+    of bins (by what and sub_period, as bucket_counts has them) of users that old and new lack, since nothing of them has changed."""
+    rest = rest or {}
     users = by_user(h, old, new).persist()
     try:
         totals = {r["of"]: (r["users"], r["n"]) for r in users.groupBy("of").agg(F.count("*").alias("users"), F.sum("n").alias("n")).collect()}
+        more = [sum(rest.get(x, {}).values()) for x in (("count", 0), ("weight", 0))]  # users and records: each has one of these
+        totals |= {name: tuple(a + b for a, b in zip(totals.get(name, (0, 0)), more, strict=True)) for name in ("old_s", "new_s")}
         if not gate_open(totals.get("h", (0, 0))[0], totals.get("new_s", (0, 0))[0], k):
             return "\n" + OMITTED
         values = _user_values(users)
         for name, t in (("h", h), ("old_s", old)):
             values = values.unionByName(_unpivot(t, VALUES, "x").select(F.lit(f"weight_{name}").alias("what"), SUB, "x"))
-        bins = F.coalesce(*(F.when(F.col("what").startswith(kind), log2_bin(F.col("x"), *shape)) for kind, shape in SHAPES.items()))
         counted = {}
-        for r in values.groupBy("what", SUB, bins.alias("bin")).agg(F.count("*").alias("n")).collect():  # some hundred bins
+        for r in values.groupBy("what", SUB, _bins().alias("bin")).agg(F.count("*").alias("n")).collect():  # some hundred bins
             counted.setdefault((r["what"], r[SUB]), {})[r["bin"]] = r["n"]
         patterns = sorted((r["pattern"], r["count"]) for r in spatiotemporal(h).collect())
     finally:
         users.unpersist()
+    for (what, sub), bins in rest.items():
+        own = {f"{what}_{side}": bins for side in ("old_s", "new_s")}
+        for name, more in (own | ({"box_change": {0: sum(bins.values())}} if what == "box" else {})).items():
+            at = counted.setdefault((name, sub), {})
+            at.update({b: at.get(b, 0) + n for b, n in more.items()})
     lines = lambda what, sub, prefix: "".join(text_lines(counted.get((what, sub), {}), *SHAPES[what.split("_")[0]], k, prefix))
     out = ["\n", f"{DUPLICATES}{duplicates}\n", "\n"]
     for name, title in TITLES.items():

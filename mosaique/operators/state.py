@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mosaique.operators.clean import dedup_max, drop_invalid
@@ -13,8 +13,7 @@ from mosaique.schemas import KEY, VALUES
 def merge(s: DataFrame, h: DataFrame, params: Params = Params()) -> DataFrame:
     """Sum by key of the state and a cleaned, deduplicated period: one aggregation, no null handling of an outer join."""
     kept = [*KEY, *VALUES]
-    out = s.select(kept).unionByName(h.select(kept)).groupBy(*KEY).agg(*(F.sum(v).alias(v) for v in VALUES))
-    return out.withColumns({v: F.col(v).cast("float").cast("double") for v in VALUES}) if params.float32_state else out
+    return _as_stored(s.select(kept).unionByName(h.select(kept)).groupBy(*KEY).agg(*(F.sum(v).alias(v) for v in VALUES)), params)
 
 
 def merge_outer_join(s: DataFrame, h: DataFrame) -> DataFrame:
@@ -24,6 +23,22 @@ def merge_outer_join(s: DataFrame, h: DataFrame) -> DataFrame:
     return joined.select(*KEY, *((F.coalesce(f"s.{v}", zero) + F.coalesce(f"h.{v}", zero)).alias(v) for v in VALUES))
 
 
+def bucket_of(n: int, id: str = "id") -> Column:
+    """The bucket of n that Spark writes a user's rows to."""
+    return F.pmod(F.hash(id), F.lit(n))
+
+
+def merge_buckets(s: DataFrame, h: DataFrame, n: int, params: Params = Params()) -> DataFrame:
+    """The same sum where s is a scan of n buckets by user and h is small beside it: h alone is exchanged, to the same buckets, and
+    hashed there; the state streams by, neither exchanged nor sorted. To be planned under sinks.AS_BUCKETS."""
+    near = h.select(*KEY, *VALUES).repartition(n, "id").hint("shuffle_hash")
+    return _as_stored(merge_outer_join(s, near), params)
+
+
+def _as_stored(rows: DataFrame, params: Params) -> DataFrame:
+    return rows.withColumns({v: F.col(v).cast("float").cast("double") for v in VALUES}) if params.float32_state else rows
+
+
 def fold(h: DataFrame) -> DataFrame:
     """State of many periods in one plan: maximum within a period, sum across. One exchange by user serves both."""
     return dedup_max(drop_invalid(h).repartition("id"), "period").groupBy(*KEY).agg(*(F.sum(v).alias(v) for v in VALUES))

@@ -571,7 +571,7 @@ def _(x: Fixture):
 
 @query(f"SELECT period, period >= {LAST_PERIOD - 9} AND period <= {LAST_PERIOD - 2} AS accepted FROM (SELECT DISTINCT period FROM fx_h) z", name="period_guard")
 def _(x: Fixture):
-    return x.h.select("period").distinct().withColumn("accepted", F.col("period").between(LAST_PERIOD - 9, LAST_PERIOD - 2))
+    return x.h.select("period").distinct().withColumn("accepted", session.period_guard(F.col("period"), LAST_PERIOD - 9, LAST_PERIOD - 2))
 
 
 @query("SELECT CAST(p AS INT) AS period FROM (SELECT unnest(range(min(period), max(period))) AS p FROM fx_h) z", name="skipped_periods")
@@ -743,7 +743,7 @@ def _(x: Fixture):
         for p in periods[k * len(periods) // 3 : (k + 1) * len(periods) // 3]:
             _as_file(x.spark, f"{parts}/period={p}", f"{folder}/day-{p}-updates.csv")
         ingest.ingest_stream(ingest.footprint_stream(x.spark, folder, files=len(periods)), s, mark).awaitTermination()
-    return s._state()
+    return s.state()
 
 
 def _as_file(spark: SparkSession, part_folder: str, to: str) -> None:

@@ -5,27 +5,32 @@
 
 Every step commits one manifest at its end. An exception leaves the last manifest, and so state and counter, as they were.
 After period p the next one expected is p + 1, and the manifest lists the periods that are in the state, so that a period
-can't be merged twice.
+can't be merged twice. A commit names the version that the session has read: where another session has committed since, it is
+refused (StaleSession), what was made for it is removed, and the session reads anew. A report is written aside; the commit names
+where it belongs, and it is moved there afterwards, by the next session if need be.
+
+A period's merge reads and replaces the buckets of the state that its users are in, and no others. What the log says of the whole
+state comes from counts that are kept for each bucket.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mosaique.functions.crypto import KeyTable, depseudonymise, lookup_key
-from mosaique.functions.storage import Lock
+from mosaique.functions.storage import FileSystem, Lease
 from mosaique.operators import clean, control, indicators, state
 from mosaique.operators.compare import inspect
 from mosaique.operators.report import Report, full_report
 from mosaique.params import Params
-from mosaique.schemas import KEY, VALUES
-from mosaique.sources.files import area_steps, empty_state, read_state
-from mosaique.sources.sinks import StateStore, Temporary, check_request, read_report, write_report
+from mosaique.sources.files import area_steps
+from mosaique.sources.sinks import StaleSession, StateStore, Temporary, check_request, read_report, report_dir, write_report
 
 
 class InvalidRequest(ValueError):
@@ -60,8 +65,9 @@ class Outcome:
         return "".join(f"{x}\n" for x in self.log)
 
 
-def period_guard(period: int, expected: int, last: int) -> bool:
-    return expected <= period <= last
+def period_guard(period: int | Column, expected: int, last: int) -> bool | Column:
+    """Whether a period may come now, of a number or of a column."""
+    return (expected <= period) & (period <= last)
 
 
 def arguments(r: Request) -> list[str]:
@@ -74,24 +80,59 @@ def skipped_periods(spark: SparkSession, start: int, end: int) -> DataFrame:
 
 
 class ReportSession:
-    """With keys (period, key), a period's ids are pseudonyms under its key; else they are ids as they stand."""
+    """With keys (period, key), a period's ids are pseudonyms under its key; else they are ids as they stand. buckets: of the state
+    of requests to come, as many as there are shuffle partitions unless given."""
+
+    NEW = {"request": None, "next": None, "seen": 0, "state": None, "periods": [], "fence": 0, "publish": None, "version": -1}
 
-    def __init__(self, spark: SparkSession, root: str, out: str, params: Params = Params(), keys: KeyTable | None = None):
+    def __init__(self, spark: SparkSession, root: str, out: str, params: Params = Params(), keys: KeyTable | None = None, buckets: int | None = None):
         self.spark, self.out, self.params, self.keys = spark, out, params, keys
-        self.store = StateStore(spark, root)
-        self.at = self.store.manifest() or {"request": None, "next": None, "seen": 0, "state": None, "periods": []}
+        self.store = StateStore(spark, root, buckets)
+        self._read()
+        self.fence = self.at["fence"]
+        self._publish()
 
     @property
     def awaiting_h(self) -> bool:
         return self.at["request"] is not None
 
+    def _read(self) -> None:
+        self.at = self.NEW | (self.store.manifest() or {})
+
     def _commit(self, **changes) -> None:
-        old = self.at
-        new = old | changes
-        self.store.commit(new)
-        self.at = new
-        if old["state"] != new["state"]:
-            self.store.drop(old["state"])
+        old, new = self.at, self.at | changes
+        try:
+            if new["fence"] > self.fence:
+                raise StaleSession("a later lease is held")
+            version = self.store.commit(new, old["version"])
+        except StaleSession:
+            self.store.drop_unused(new["state"], old["state"])
+            self._read()
+            raise
+        self.at = new | {"version": version}
+        self.store.drop_unused(old["state"], new["state"])
+
+    def take(self, number: int) -> None:
+        """Goes on from the newest manifest as the holder of this lease; sessions of earlier leases can't commit any more."""
+        while True:
+            self._read()
+            self.fence = number
+            try:
+                self._commit(fence=max(number, self.at["fence"]))
+                break
+            except StaleSession:
+                if self.at["fence"] > number:
+                    raise
+        self._publish()
+
+    def _publish(self) -> None:
+        """Moves a report that the manifest says is made to where it belongs."""
+        if self.at["publish"]:
+            made, to = self.at["publish"]
+            files = FileSystem(self.spark, self.out)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path
+            if files._fs.exists(path(made)):
+                files._fs.rename(path(made), path(to))
 
     def _problem(self, r: Request) -> str | None:
         areas, residents = self.spark.read.parquet(r.areas), self.spark.read.parquet(r.residents)
@@ -122,16 +163,30 @@ class ReportSession:
         self._commit(seen=seen)
         return out
 
-    def _state(self) -> DataFrame:
-        return read_state(self.spark, self.at["state"]) if self.at["state"] else empty_state(self.spark)
+    def state(self) -> DataFrame:
+        """All rows of the state that the manifest names."""
+        return self.store.read(self.at["state"])
 
-    def _finish(self, s: DataFrame, out: Outcome) -> None:
+    def _finish(self, state: dict, out: Outcome) -> list[str]:
+        """Makes the report of a state; where it is and where it belongs."""
         r = Request(**self.at["request"])
         params = Params(**(self.params.__dict__ | {"with_calibration": r.with_calibration}))
         areas, residents = self.spark.read.parquet(r.areas), self.spark.read.parquet(r.residents)
+        to = report_dir(self.out, r.first, r.last)
+        if FileSystem(self.spark, self.out)._fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(to)):
+            raise ValueError(f"there is a report at {to}")
         with Temporary(self.store) as keep:
-            made = full_report(s, areas, residents, params, keep)
-            out.folder = write_report(made, self.out, r.first, r.last)
+            made = full_report(keep.buckets(state), areas, residents, params, keep)
+            return [write_report(made, self.out, r.first, r.last, f"{self.out.rstrip('/')}/.made-{uuid.uuid4().hex}"), to]
+
+    def _close(self, report: list[str], out: Outcome) -> None:
+        try:
+            self._commit(request=None, next=None, state=None, periods=[], publish=report)
+        except StaleSession:
+            self.store.drop(report[0])
+            raise
+        self._publish()
+        out.folder = report[1]
         out.report = read_report(self.spark, out.folder)
 
     def _ids(self, period: int, h: DataFrame) -> DataFrame:
@@ -154,36 +209,53 @@ class ReportSession:
             out.log.append(f"{control.METADATA}{metadata}")
         out.log += [*arguments(r), f"{control.EXPECTED}{self.at['next']}"]
         out.log += [f"{control.SKIPPED}{p}" for p in range(self.at["next"], period)]
+        before = self.at["state"] or self.store.empty()
         with Temporary(self.store) as keep:
-            valid, seen = inspect(clean.drop_invalid(self._ids(period, h)), "valid")
-            ready, old = keep(clean.dedup_max(valid)), self._state()
-            merged, after = inspect(state.merge(old, ready, self.params).select(*KEY, *VALUES), "s_new")
-            path = self.store.write(merged)
+            valid, seen = inspect(clean.drop_invalid(self._ids(period, h)).where(F.col("id").isNotNull()), "valid")
+            ready = keep(clean.dedup_max(valid))
+            n = before["n"]
+            touched = sorted(r[0] for r in ready.select(state.bucket_of(n)).distinct().collect())  # n at most
+            old = keep.buckets(before, touched)
+            merged, after = inspect(state.merge_buckets(old, ready, n, self.params), "s_new")
+            now, report = self.store.write(merged, before) if touched else before, None
             try:
-                new = read_state(self.spark, path)
-                out.counts = seen.get | after.get | {"h": ready.count()}
-                out.log.append(indicators.log_text(ready, old, new, out.counts["valid"] - out.counts["h"], self.params.k).removesuffix("\n"))
+                new = keep.buckets(now, touched)
+                now, rest = self._counted(new, before, now, touched)
+                untouched = sum(rest.get(("weight", 0), {}).values())
+                out.counts = seen.get | {"s_new": (after.get["s_new"] if touched else 0) + untouched, "h": ready.count()}
+                out.log.append(indicators.log_text(ready, old, new, out.counts["valid"] - out.counts["h"], self.params.k, rest).removesuffix("\n"))
                 if period == r.last:
-                    self._finish(new, out)
+                    report = self._finish(now, out)
             except BaseException:
-                self.store.drop(path)
+                self.store.drop_unused(now, before)
                 raise
-        if period == r.last:
-            self.store.drop(path)
-            self._commit(request=None, next=None, state=None, periods=[])
+        if report:
+            self.store.drop_unused(now, before)
+            self._close(report, out)
         else:
-            self._commit(next=period + 1, state=path, periods=[*self.at["periods"], period])
+            self._commit(next=period + 1, state=now, periods=[*self.at["periods"], period])
         out.log.append(f"{control.RUNTIME}{int(time.time() - began)}s")
         return out
 
+    def _counted(self, new: DataFrame, before: dict, now: dict, touched: list[int]) -> tuple[dict, dict]:
+        """The state with the counts of its buckets, and those counts of all buckets but the touched ones, added up."""
+        counts, rest = indicators.bucket_counts(new, now["n"]), {}
+        if before["stats"]:
+            others = self.spark.read.parquet(f"{self.store.root}/{before['stats']}").where(~F.col("bucket").isin(touched))
+            for x in others.groupBy("what", indicators.SUB, "bin").agg(F.sum("n").alias("n")).collect():  # some hundred bins
+                rest.setdefault((x["what"], x[indicators.SUB]), {})[x["bin"]] = x["n"]
+            counts = counts.unionByName(others)
+        stats = f"stats-{uuid.uuid4().hex}"
+        counts.coalesce(1).write.parquet(f"{self.store.root}/{stats}")  # some hundred bins a bucket
+        return now | {"stats": stats}, rest
+
     def finish(self) -> Outcome:
         if not self.awaiting_h:
             raise InvalidRequest("no request is being worked on")
-        s, out = self._state(), Outcome()
-        if s.isEmpty():
+        out = Outcome()
+        if not (self.at["state"] and self.at["state"]["buckets"]):
             raise ValueError("there is no state to report on")
-        self._finish(s, out)
-        self._commit(request=None, next=None, state=None, periods=[])
+        self._close(self._finish(self.at["state"], out), out)
         return out
 
     def cancel(self) -> Outcome:
@@ -197,7 +269,7 @@ class ReportSession:
     def finish_or_cancel(self) -> Outcome:
         try:
             return self.finish()
-        except InvalidRequest:
+        except (InvalidRequest, StaleSession):
             raise
         except Exception as e:  # whatever keeps a report from being made ends in a cancel
             out = self.cancel()
@@ -206,11 +278,17 @@ class ReportSession:
 
 
 def run_exclusively(session: ReportSession, requests: list[Request], available: list[int], read: Callable[[int], DataFrame]) -> list[tuple[str, int | None]]:
-    """run_available while no other driver works on the same store."""
-    with Lock(session.spark, f"{session.store.root}-lock"):
+    """run_available while no other driver works on the same store. A driver that loses its lease on the way is refused."""
+    with lease_of(session) as number:
+        session.take(number)
         return run_available(session, requests, available, read)
 
 
+def lease_of(session: ReportSession, seconds: float = Lease.SECONDS, patience: float = 0) -> Lease:
+    """The lease of a session's store."""
+    return Lease(session.spark, f"{session.store.root}-lease", seconds, patience)
+
+
 def run_available(session: ReportSession, requests: list[Request], available: list[int], read: Callable[[int], DataFrame]) -> list[tuple[str, int | None]]:
     """The scheduler: polls, ingests what is available in order, passes over periods that fail, and closes a report when
     the last period failed or newer data has come. Returns what was done."""
@@ -230,6 +308,8 @@ def run_available(session: ReportSession, requests: list[Request], available: li
             try:
                 session.ingest(p, read(p))
                 done.append(("ingested", p))
+            except StaleSession:
+                raise
             except Exception:  # a bad file is the period's failure, not the run's
                 done.append(("failed", p))
                 failed_last = p == last

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mosaique.plans.session import InvalidRequest, ReportSession
+from mosaique.functions.storage import Lease
+from mosaique.plans.session import InvalidRequest, ReportSession, lease_of
 from mosaique.schemas import H
 
 
@@ -18,11 +20,20 @@ def footprint_stream(spark: SparkSession, folder: str, files: int = 1) -> DataFr
     return rows.withColumn("period", F.regexp_extract(F.input_file_name(), r"day-(\d+)-updates\.csv", 1).cast("int"))
 
 
-def ingest_stream(rows: DataFrame, session: ReportSession, checkpoint: str, late: Callable[[int, str], None] | None = None) -> StreamingQuery:
-    """Starts the query. A batch's periods go in order; one that the guard rejects (late, or ingested before a restart) is
-    told to `late` and passed over, so a batch that is run again changes nothing."""
+def ingest_stream(rows: DataFrame, session: ReportSession, checkpoint: str, late: Callable[[int, str], None] | None = None, lease: Lease | None = None) -> StreamingQuery:
+    """Starts the query, under the store's lease for as long as it runs. A batch's periods go in order; one that the guard rejects
+    (late, or ingested before a restart) is told to `late` and passed over, so a batch that is run again changes nothing. A query
+    whose lease is over, and another driver's, fails."""
+    lease = lease or lease_of(session, patience=10)  # of a query that is just ending
+    number = lease.__enter__()
+    try:
+        session.take(number)
+    except BaseException:
+        lease.__exit__()
+        raise
 
     def step(batch: DataFrame, _: int) -> None:
+        lease.renew()
         batch = batch.persist()
         try:
             for p in sorted(r["period"] for r in batch.select("period").distinct().collect()):  # at most one period a file
@@ -34,4 +45,12 @@ def ingest_stream(rows: DataFrame, session: ReportSession, checkpoint: str, late
         finally:
             batch.unpersist()
 
-    return rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def ended(query: StreamingQuery) -> None:
+        try:
+            query.awaitTermination()
+        finally:
+            lease.__exit__()
+
+    query = rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    threading.Thread(target=ended, args=(query,), daemon=True).start()
+    return query

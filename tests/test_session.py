@@ -1,16 +1,18 @@
 """The state machine, its scheduler, progress texts, sources and sinks, and streams."""
 
 import struct
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from mosaique.functions import crypto
-from mosaique.functions.storage import Lock
-from mosaique.operators import control
+from mosaique.functions.storage import FileSystem, Lease, LeaseHeld
+from mosaique.operators import control, indicators, quantise, state
 from mosaique.params import Params
 from mosaique.plans.fixture import workspace
-from mosaique.plans.session import InvalidRequest, ReportSession, Request, run_available
+from mosaique.plans.session import InvalidRequest, ReportSession, Request, lease_of, run_available, run_exclusively
 from mosaique.schemas import INSTANCES, H
 from mosaique.sources import files, sinks
 
@@ -95,14 +97,131 @@ def test_business_cycle(spark, tables, monkeypatch):
     assert got == {0: ("running", 18629, 18633, 18630), 1: ("no_request", -1, -1, -1), 2: ("invalid", -1, -1, -1)}
 
 
-def test_lock(spark):
-    folder = workspace(spark, "lock")
-    with Lock(spark, folder):
-        with pytest.raises(RuntimeError, match="another run"):
-            with Lock(spark, folder):
-                pass
-    with Lock(spark, folder):
-        pass
+@pytest.mark.parametrize("scheme", ["file", "hdfs", "object store"])
+def test_a_file_is_created_once(spark, scheme):
+    """By a link, by a rename that doesn't overwrite, and by a create that fails where there is one."""
+    files = FileSystem(spark, workspace(spark, "small"))
+    files.scheme = scheme
+    assert files.create("a", b"1") and not files.create("a", b"2") and files.read("a") == b"1" and files.names() == ["a"]
+    files.put("a", b"3")
+    assert files.read("a") == b"3"
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: files.create("b", str(k).encode()), range(24)))
+    assert scheme != "file" or made.count(True) == 1
+
+
+def test_lease(spark):
+    folder = workspace(spark, "lease")
+    with Lease(spark, folder) as number:
+        assert number == 1
+        with pytest.raises(LeaseHeld, match="another run"), Lease(spark, folder):
+            pass
+    with Lease(spark, folder) as number:
+        assert number == 2
+    dead = Lease(spark, folder, seconds=0.5)  # its driver doesn't renew it any more
+    assert dead.acquire() == 3
+    with Lease(spark, folder, seconds=0.9, patience=5) as number:
+        assert number == 4
+        with pytest.raises(LeaseHeld):
+            dead.renew()
+        dead.release()  # is not its own any more
+        time.sleep(1.5)
+        with pytest.raises(LeaseHeld), Lease(spark, folder):  # renewed meanwhile
+            pass
+
+
+def test_a_session_that_has_missed_a_commit_is_refused(spark, tables):
+    """Two sessions on one store: the second has read the state before the first went on."""
+    a = new(spark)
+    a.poll([Request(1, 9, *tables)])
+    b = ReportSession(spark, a.store.root, a.out, a.params)
+    a.ingest(1, day(spark, (7, 0, 0, 2.0)))
+    a.ingest(2, day(spark, (8, 1, 1, 3.0)))
+    with pytest.raises(sinks.StaleSession):
+        b.ingest(3, day(spark, (7, 0, 0, 4.0)))
+    assert b.at == a.at == a.store.manifest() and a.at["periods"] == [1, 2]
+    b.ingest(3, day(spark, (7, 0, 0, 4.0)))  # it has read anew
+    with pytest.raises(sinks.StaleSession):
+        a.cancel()
+    assert b.at["periods"] == [1, 2, 3] and {(r["id"], r["value_0"]) for r in b.state().collect()} == {("7", 6.0), ("8", 3.0)}
+    named = {p.split("/")[0] for p in b.at["state"]["buckets"].values()} | {b.at["state"]["stats"]}
+    assert {x for x in b.store._files() if x.startswith(("state-", "stats-", "temporary-"))} == named  # nothing else is left
+
+
+def test_a_driver_that_wakes_late_is_refused(spark, tables):
+    late = new(spark)
+    late.poll([Request(1, 9, *tables)])
+    first = lease_of(late, seconds=0.3)
+    late.take(first.acquire())
+    time.sleep(0.5)
+    other = ReportSession(spark, late.store.root, late.out, late.params)
+    with lease_of(other) as number:
+        other.take(number)  # has done nothing yet
+        for _ in range(2):  # nor after it has read anew
+            with pytest.raises(sinks.StaleSession):
+                late.ingest(1, day(spark, (7, 0, 0, 2.0)))
+        with pytest.raises(sinks.StaleSession):
+            run_available(late, [], [1], lambda p: day(spark, (7, 0, 0, 2.0)))
+        with pytest.raises(LeaseHeld):
+            run_exclusively(late, [], [1], lambda p: day(spark))
+        other.ingest(1, day(spark, (8, 0, 0, 2.0)))
+    assert run_exclusively(late, [], [2], lambda p: day(spark, (8, 0, 0, 1.0))) == [("ingested", 2)]
+    assert [tuple(r)[:4] for r in late.state().collect()] == [("8", 0, 0, 3.0)]
+
+
+def test_a_report_is_published_once_its_commit_is_made(spark, tables, monkeypatch):
+    s = new(spark)
+    s.poll([Request(1, 1, *tables)])
+    b = ReportSession(spark, s.store.root, s.out, s.params)
+    monkeypatch.setattr(s, "_publish", lambda: (_ for _ in ()).throw(KeyboardInterrupt))  # the driver dies behind its commit
+    with pytest.raises(KeyboardInterrupt):
+        s.ingest(1, day(spark, (7, 0, 0, 2.0)))
+    names = FileSystem(spark, s.out).names
+    assert names() == []
+    with pytest.raises(sinks.StaleSession):  # a session behind makes no second report
+        b.ingest(1, day(spark, (9, 0, 0, 2.0)))
+    ReportSession(spark, s.store.root, s.out, s.params)
+    assert names() == ["1970-01-02-1970-01-02"]
+    again = ReportSession(spark, s.store.root, s.out, s.params)
+    again.poll([Request(1, 1, *tables)] * 2)
+    with pytest.raises(ValueError, match="there is a report"):
+        again.ingest(1, day(spark, (7, 0, 0, 2.0)))
+    assert again.awaiting_h
+
+
+def test_a_period_touches_its_users_buckets_alone(spark, tables):
+    """The state isn't exchanged, and buckets without a user of the period stay where they are; the log is that of the whole state."""
+    s = ReportSession(spark, workspace(spark, "s"), workspace(spark, "o"), Params(psi=1.0, k=0), buckets=8)
+    s.poll([Request(1, 9, *tables)])
+    every = [(i, i % 3, i % 4, 1.0 + i) for i in range(40)]
+    s.ingest(1, day(spark, *every))
+    before = s.at["state"]
+    assert len(before["buckets"]) == 8
+    out = s.ingest(2, day(spark, (5, 2, 1, 7.0), (5, 9, 9, 1.0), (41, 0, 0, 1.0)))
+    of = {r["id"]: str(r["b"]) for r in spark.createDataFrame([("5",), ("41",)], "id string").withColumn("b", state.bucket_of(8)).collect()}
+    after = s.at["state"]
+    assert {b for b in after["buckets"] if after["buckets"][b] != before["buckets"].get(b)} == {*of.values()}
+    want = {(str(i), e, n): v for i, e, n, v in every} | {("5", 2, 1): 13.0, ("5", 9, 9): 1.0, ("41", 0, 0): 1.0}
+    assert {tuple(r)[:3]: r["value_0"] for r in s.state().collect()} == want and out.counts["s_new"] == 42
+    with sinks.Temporary(s.store) as keep, sinks.settings(spark, sinks.AS_BUCKETS):
+        some = keep.buckets(after, [int(of["5"])])
+        assert some.count() == spark.createDataFrame([(k[0],) for k in want], "id string").where(state.bucket_of(8) == int(of["5"])).count()
+        plan = state.merge_buckets(some, day(spark, (5, 2, 1, 7.0)), 8)._jdf.queryExecution().executedPlan().toString()
+        scan = plan.index("Bucketed: true")
+        assert "ShuffledHashJoin" in plan and plan.count("Exchange") == 1 and plan.index("Exchange") > scan  # that of the period
+        assert "Sort " not in plan
+        old, new_, h = keep(day(spark, *every)), keep(s.store.read(after)), keep(day(spark, (5, 2, 1, 7.0), (5, 9, 9, 1.0), (41, 0, 0, 1.0)))
+        whole = indicators.log_text(h, old, new_, 0, 0)
+    assert whole.removesuffix("\n") in out.text
+
+
+def test_the_report_of_a_bucketed_state_has_one_exchange_less(spark, tables):
+    s = ReportSession(spark, workspace(spark, "s"), workspace(spark, "o"), Params(psi=1.0), buckets=4)
+    s.poll([Request(1, 9, *tables)])
+    s.ingest(1, day(spark, (7, 0, 0, 2.0)))
+    with sinks.Temporary(s.store) as keep:
+        plan = quantise.quantise(keep.buckets(s.at["state"]), s.params)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 #: Arguments, status, outputs and error of a newest instance, and both predicates for a report that ends in period 5.
