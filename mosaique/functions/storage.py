@@ -1,19 +1,37 @@
-"""Small files in a folder of any store that Spark writes to, and a lease among drivers."""
+"""Intermediate tables on shared storage, small files in a folder of any store that Spark writes to, and a lease among drivers."""
 
 from __future__ import annotations
 
 import json
+import tempfile
 import threading
 import time
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Stores whose rename fails where the target exists, in one step. A local disk is linked to instead; every other store gets the
 #: file by a create that fails where there is one, and shows it when it is closed.
 RENAMES = {"hdfs", "webhdfs", "swebhdfs", "viewfs", "ofs"}
 
 
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder on shared storage, under spark.checkpoint.dir; a temporary one where that is unset and all is on this machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="mosaique-")
+    return f"{root.rstrip('/')}/mosaique/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """df as a table on shared storage: it is computed once, and what reads it survives lost executors."""
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class FileSystem:
     """Whole small files by name in one folder, through the Hadoop file system."""
 

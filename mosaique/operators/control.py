@@ -3,11 +3,11 @@ rows at most; they are still plain DataFrame queries, and only the text of a pro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mosaique.functions.dates import date_of
-
+from mosaique.operators import scan
 
 
 def _has_argument(name: str) -> Column:
@@ -40,9 +40,8 @@ def group_batches(rows: DataFrame, last_seen: int = -1) -> DataFrame:
     """One row for each run of instances of one request that has something newer than last_seen, as gaps and islands.
 
     Seen from the newest back, a batch starts at a report or a cancel that went well, or at the newest row."""
-    back = Window.orderBy(F.desc("instance"), F.desc("part"))
     boundary = (F.col("type") == "report") | ((F.col("type") == "cancel") & ~F.col("failed"))
-    rows = rows.withColumn("new", F.col("instance") > last_seen).withColumn("batch", F.sum(boundary.cast("int")).over(back))
+    rows, _ = scan.running_sums(rows.withColumn("new", F.col("instance") > last_seen), [F.desc("instance"), F.desc("part")], {"batch": boundary.cast("int")})
     order = F.struct(F.col("instance"), F.col("part"))
     is_h = F.col("type") == "h"
     newest = lambda c, when: F.max_by(c, F.when(when, order))

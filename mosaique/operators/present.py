@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mosaique.operators import scan
 from mosaique.schemas import TILE, VALUES
 
 
@@ -26,5 +27,9 @@ def fuf_area_slice(fuf: DataFrame, area: int) -> DataFrame:
 
 
 def quantile_classes(report: DataFrame, value: str, classes: int = 5) -> DataFrame:
-    """class 1 to `classes` of each tile by quantile. Reports have a row for each tile: a bounded table."""
-    return report.select(*TILE, value, F.ntile(classes).over(Window.orderBy(value, *TILE)).alias("class"))
+    """class 1 to `classes` of each tile by quantile: classes of equal numbers of rows, the first ones of one more where they can't be."""
+    ranked, (n,) = scan.running_sums(report.select(*TILE, value), [value, *TILE], {"_rank": F.lit(1)})
+    size, more = divmod(n, classes)
+    place, large = F.col("_rank") - 1, more * (size + 1)
+    behind = F.floor((place - large) / max(size, 1)) + more
+    return ranked.select(*TILE, value, (F.when(place < large, F.floor(place / (size + 1))).otherwise(behind) + 1).cast("int").alias("class"))

@@ -9,23 +9,46 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mosaique.functions.exact import exact_sum
 from mosaique.operators.quantise import highly_nomadic_users, quantise, top_anchor
-from mosaique.params import Params
+from mosaique.params import MAX_AREAS, Params
 from mosaique.schemas import TILE, VALUES
 
 
+def area_masks(areas: DataFrame) -> DataFrame:
+    """tile, mask_0, mask_1: the areas of a tile as bits; their ids are below MAX_AREAS, two longs."""
+    half = F.when(F.col("id").between(0, MAX_AREAS - 1), F.floor(F.col("id") / 64)).otherwise(F.raise_error(F.lit("an area's id is out of range")).cast("bigint"))
+    bit = F.expr("shiftleft(1L, id % 64)")
+    return areas.groupBy(*TILE).agg(*(F.bit_or(F.when(half == k, bit).otherwise(0)).alias(f"mask_{k}") for k in (0, 1)))
+
+
+def areas_of(mask_0: str, mask_1: str) -> Column:
+    """The areas of a mask in order."""
+    bit = lambda i: F.when(i < 64, F.getbit(mask_0, i)).otherwise(F.getbit(mask_1, i - 64))
+    some = F.filter(F.sequence(F.lit(0), F.lit(MAX_AREAS - 1)), lambda i: bit(i) == 1)
+    return F.when((F.col(mask_0) == 0) & (F.col(mask_1) == 0), F.array().cast("array<int>")).otherwise(some)
+
+
+def with_user_areas(y: DataFrame, areas: DataFrame) -> DataFrame:
+    """y with `areas` of the user, in order: a window by user ORs the masks of its tiles, so users and areas are never joined."""
+    user, masks = Window.partitionBy("id"), ["mask_0", "mask_1"]
+    marked = y.join(area_masks(areas), TILE, "left")
+    marked = marked.withColumns({m: F.coalesce(F.bit_or(m).over(user), F.lit(0).cast("bigint")) for m in masks})
+    return marked.select(*y.columns, areas_of(*masks).alias("areas"))
+
+
 def user_reference_areas(y: DataFrame, areas: DataFrame) -> DataFrame:
     """id, area: areas that hold a quantised tile of the user."""
-    return y.select("id", *TILE).join(areas.select(F.col("id").alias("area"), *TILE), TILE).select("id", "area").distinct()
+    users = y.select("id", *TILE).join(area_masks(areas), TILE).groupBy("id").agg(F.bit_or("mask_0").alias("mask_0"), F.bit_or("mask_1").alias("mask_1"))
+    return users.select("id", F.explode(areas_of("mask_0", "mask_1")).alias("area"))
 
 
 def user_reference_area_list(y: DataFrame, areas: DataFrame) -> DataFrame:
-    """Y with the user's areas in order; an empty array where there is none. An area list has 128 entries at most."""
-    lists = user_reference_areas(y, areas).groupBy("id").agg(F.sort_array(F.collect_set("area")).alias("areas"))
-    return y.join(lists, "id", "left").withColumn("areas", F.coalesce("areas", F.array().cast("array<int>")))
+    """Y with the user's areas in order; an empty array where there is none. An area list has MAX_AREAS entries at most."""
+    return with_user_areas(y, areas)
 
 
 def tile_in_area(rows: DataFrame, areas: DataFrame, inside: bool = True) -> DataFrame:
@@ -66,7 +89,7 @@ def observed_adjusted_users(weights: DataFrame | None, spark=None) -> DataFrame:
     if weights is None:
         return spark.range(1).select(F.lit(0).cast("bigint").alias("observed_total_users"), F.lit(0.0).alias("adjusted_total_users"))
     observed = F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("observed_total_users")
-    return weights.agg(observed, F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("adjusted_total_users"))
+    return weights.agg(observed, F.coalesce(exact_sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("adjusted_total_users"))
 
 
 def total_footprint(y: DataFrame) -> DataFrame:
@@ -75,7 +98,7 @@ def total_footprint(y: DataFrame) -> DataFrame:
 
 
 def total_footprint_calibrated(weighted: DataFrame) -> DataFrame:
-    return weighted.groupBy(*TILE).agg(*(F.sum(F.col("weight") * F.col(f"q{i}")).alias(v) for i, v in enumerate(VALUES)))
+    return weighted.groupBy(*TILE).agg(*(exact_sum(F.col("weight") * F.col(f"q{i}")).alias(v) for i, v in enumerate(VALUES)))
 
 
 def total_footprint_sdc(d: DataFrame, params: Params) -> DataFrame:
@@ -86,9 +109,11 @@ def total_footprint_sdc(d: DataFrame, params: Params) -> DataFrame:
 def connection_operands(weighted: DataFrame, areas: DataFrame) -> DataFrame:
     """area, tile, num, den, where some user of the tile touches the area and the tile is outside it.
 
-    den does not depend on the area and num only on users that touch it, so no pair of tile and area without a user is made."""
-    den = weighted.groupBy(*TILE).agg(F.sum("weight").alias("den"))
-    num = weighted.join(user_reference_areas(weighted, areas), "id").groupBy("area", *TILE).agg(F.sum("weight").alias("num"))
+    den does not depend on the area and num only on users that touch it, so no pair of tile and area without a user is made. Sums
+    don't depend on the order of users."""
+    den = weighted.groupBy(*TILE).agg(exact_sum("weight").alias("den"))
+    touching = with_user_areas(weighted.select("id", *TILE, "weight"), areas).select(F.explode("areas").alias("area"), *TILE, "weight")
+    num = touching.groupBy("area", *TILE).agg(exact_sum("weight").alias("num"))
     return tile_in_area(num, areas, inside=False).join(den, TILE).select("area", *TILE, "num", "den")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mosaique.functions.exact import exact_sum
 from mosaique.operators.clean import dedup_max, drop_invalid
 from mosaique.params import Params
 from mosaique.schemas import KEY, VALUES
@@ -40,8 +41,9 @@ def _as_stored(rows: DataFrame, params: Params) -> DataFrame:
 
 
 def fold(h: DataFrame) -> DataFrame:
-    """State of many periods in one plan: maximum within a period, sum across. One exchange by user serves both."""
-    return dedup_max(drop_invalid(h).repartition("id"), "period").groupBy(*KEY).agg(*(F.sum(v).alias(v) for v in VALUES))
+    """State of many periods in one plan: maximum within a period, sum across. One exchange by user serves both. Sums don't depend
+    on the order of periods, so neither do thresholds and ranks that a last digit decides."""
+    return dedup_max(drop_invalid(h).repartition("id"), "period").groupBy(*KEY).agg(*(exact_sum(v).alias(v) for v in VALUES))
 
 
 def classes(s: DataFrame, h: DataFrame) -> DataFrame:

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mosaique.functions.storage import kept
+from mosaique.operators import scan
 from mosaique.schemas import KEY, TILE, VALUES
 
 #: Probabilities and scales of the realistic generator.
 FILL_AT_NIGHT_TILE, FILL_AT_DAY_TILE, FILL_MAX, NORMAL_SHARE, PARETO, LEAST_POPULATION = 0.4, 0.2, 0.1, 0.9, 1.1, 5000
 #: Bounds of a position error as shares of the tile's radius, and anchor candidates of a user.
 ERROR_FROM, ERROR_TO, CANDIDATES = 0.5, 2.0, 1
-#: Draws for one candidate that may miss the grid.
-TRIES = 16
+#: Draws for a candidate in the first round, each of which may miss the grid, and the most of a user in a round.
+TRIES, MOST_TRIES = 16, 1024
 TINY = 1e-15
 
 
@@ -66,17 +70,19 @@ def gen_reference_areas(spark: SparkSession, size: int = 20, side: int = 3, area
 
 
 def population_cdf(tiles: DataFrame) -> DataFrame:
-    """Grid rows with cdf: the share of population up to and with the tile. A grid is a bounded table, in one order."""
-    order = Window.orderBy(*TILE).rowsBetween(Window.unboundedPreceding, 0)
-    total = tiles.agg(F.sum("population").alias("total"))
-    return tiles.join(F.broadcast(total)).select(*TILE, "population", (F.sum("population").over(order) / F.col("total")).alias("cdf"))
+    """Grid rows with cdf: the share of population up to and with the tile."""
+    summed, (total,) = scan.running_sums(tiles.select(*TILE, F.col("population").cast("double")), TILE, {"_sum": F.col("population")})
+    return summed.select(*TILE, "population", (F.col("_sum") / F.when(F.lit(total) != 0, total)).alias("cdf"))
 
 
 def cdf_sample(cdf: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n grid rows by inverse CDF: a draw meets the range [cdf before, cdf). Draws are cut into buckets of the unit interval
     so that the range join is an equi-join with a filter."""
-    order, parts = Window.orderBy(*TILE), 1024
-    ranges = cdf.withColumn("lo", F.coalesce(F.lag("cdf").over(order), F.lit(0.0))).where("cdf > lo")
+    parts, at = 1024, scan.ranged(cdf, *TILE)
+    tops = sorted(tuple(r) for r in at.groupBy(scan.RANGE).agg(F.max("cdf")).collect())  # a row for each range; cdf rises
+    before = {k: (top,) for (k, _), top in zip(tops, [0.0, *(c for _, c in tops)], strict=False)}
+    lag = F.lag("cdf").over(Window.partitionBy(scan.RANGE).orderBy(*TILE))
+    ranges = scan.with_columns_by_range(at.withColumn("lag", lag), before, "before double").withColumn("lo", F.coalesce("lag", "before")).where("cdf > lo")
     slot = lambda x: F.least(F.floor(x * parts), F.lit(parts - 1))
     ranges = ranges.withColumn("slot", F.explode(F.sequence(slot(F.col("lo")), slot(F.col("cdf")))))
     draws = cdf.sparkSession.range(n).select(F.col("id").alias("draw"), F.rand(seed).alias("u")).withColumn("slot", slot(F.col("u")))
@@ -98,32 +104,53 @@ def summed_area_table(tiles: DataFrame) -> DataFrame:
     return one.select(*TILE, F.sum("part").over(across).alias("sat"))
 
 
-def population_around(tiles: DataFrame, radius: int) -> DataFrame:
-    """Population within a square of the radius around each tile, by four look-ups in the prefix sums, clipped to the box."""
-    sat = summed_area_table(tiles)
-    box = F.broadcast(sat.agg(F.min("tile_e").alias("e0"), F.max("tile_e").alias("e1"), F.min("tile_n").alias("n0"), F.max("tile_n").alias("n1")))
-    q = tiles.select(*TILE).join(box)
-    e_hi, n_hi = F.least(F.col("tile_e") + radius, F.col("e1")), F.least(F.col("tile_n") + radius, F.col("n1"))
-    e_lo, n_lo = F.col("tile_e") - radius - 1, F.col("tile_n") - radius - 1
-    signs = F.array(*(F.struct(e.alias("e"), n.alias("n"), F.lit(s).alias("sign")) for e, n, s in ((e_hi, n_hi, 1), (e_lo, n_hi, -1), (e_hi, n_lo, -1), (e_lo, n_lo, 1))))
-    corners = q.select(*TILE, F.explode(signs).alias("c")).select(*TILE, "c.e", "c.n", "c.sign")
-    found = corners.join(sat.toDF("e", "n", "sat"), ["e", "n"], "left")
-    return found.groupBy(*TILE).agg(F.sum(F.col("sign") * F.coalesce("sat", F.lit(0.0))).alias("around"))
-
-
-def find_rtile(tiles: DataFrame, least: float = LEAST_POPULATION, largest: int = 64) -> DataFrame:
-    """The smallest radius from 1 whose square has `least` people; null where none up to `largest` has."""
-    spark = tiles.sparkSession
-    sat = summed_area_table(tiles)
-    box = F.broadcast(sat.agg(F.min("tile_e").alias("e0"), F.max("tile_e").alias("e1"), F.min("tile_n").alias("n0"), F.max("tile_n").alias("n1")))
-    radii = F.broadcast(spark.range(1, largest + 1).select(F.col("id").cast("int").alias("r")))
-    q = tiles.select(*TILE).join(box).join(radii)
-    e_hi, n_hi = F.least(F.col("tile_e") + F.col("r"), F.col("e1")), F.least(F.col("tile_n") + F.col("r"), F.col("n1"))
+def _around(q: DataFrame, sat: DataFrame, box: tuple[int, int, int, int]) -> DataFrame:
+    """q (tiles with a radius r, and more columns) with `around`: the population within the square, by four look-ups in the prefix
+    sums, clipped to the box."""
+    e0, e1, n0, n1 = box
+    e_hi, n_hi = F.least(F.col("tile_e") + F.col("r"), F.lit(e1)), F.least(F.col("tile_n") + F.col("r"), F.lit(n1))
     e_lo, n_lo = F.col("tile_e") - F.col("r") - 1, F.col("tile_n") - F.col("r") - 1
     signs = F.array(*(F.struct(e.alias("e"), n.alias("n"), F.lit(s).alias("sign")) for e, n, s in ((e_hi, n_hi, 1), (e_lo, n_hi, -1), (e_hi, n_lo, -1), (e_lo, n_lo, 1))))
-    corners = q.select(*TILE, "r", F.explode(signs).alias("c")).select(*TILE, "r", "c.e", "c.n", "c.sign")
-    sums = corners.join(sat.toDF("e", "n", "sat"), ["e", "n"], "left").groupBy(*TILE, "r").agg(F.sum(F.col("sign") * F.coalesce("sat", F.lit(0.0))).alias("around"))
-    return sums.groupBy(*TILE).agg(F.min(F.when(F.col("around") >= least, F.col("r"))).alias("rtile"))
+    inside = lambda c: (c["e"] >= e0) & (c["n"] >= n0)  # noqa: E731  beyond, the sum is 0
+    corners = q.select("*", F.explode(F.filter(signs, inside)).alias("c")).select(*q.columns, "c.e", "c.n", "c.sign")
+    found = corners.join(sat.toDF("e", "n", "sat"), ["e", "n"])
+    return found.groupBy(*q.columns).agg(F.sum(F.col("sign") * F.col("sat")).alias("around"))
+
+
+def _box(tiles: DataFrame) -> tuple[int, int, int, int] | None:
+    found = tiles.agg(F.min("tile_e"), F.max("tile_e"), F.min("tile_n"), F.max("tile_n")).first()
+    return None if found[0] is None else tuple(found)
+
+
+def population_around(tiles: DataFrame, radius: int) -> DataFrame:
+    """Population within a square of the radius around each tile."""
+    box, q = _box(tiles), tiles.select(*TILE, F.lit(radius).alias("r"))
+    if box is None:
+        return q.select(*TILE, F.lit(0.0).alias("around"))
+    return _around(q, summed_area_table(tiles), box).select(*TILE, "around")
+
+
+def find_rtile(tiles: DataFrame, least: float = LEAST_POPULATION) -> DataFrame:
+    """The smallest radius from 1 whose square has `least` people; null where the whole grid has fewer.
+
+    The population grows with the radius: every tile doubles its radius until it has enough, then halves the interval, all tiles at
+    once. So a tile takes part in some 2 log2 of its radius rounds with four look-ups each, and leaves when it is done."""
+    box = _box(tiles)
+    if box is None:
+        return tiles.select(*TILE, F.lit(None).cast("int").alias("rtile"))
+    sat, widest = kept(summed_area_table(tiles), "sat"), max(1, box[1] - box[0], box[3] - box[2])
+    # lo: a radius that is too small; hi: one that is large enough, or null. At the widest radius a square has all of the grid.
+    at, done = kept(tiles.select(*TILE, F.lit(0).alias("lo"), F.lit(None).cast("int").alias("hi")), "radii"), []
+    while not at.isEmpty():
+        probe = F.when(F.col("hi").isNull(), F.least(F.greatest(F.col("lo") * 2, F.lit(1)), F.lit(widest))).otherwise(F.floor((F.col("lo") + F.col("hi")) / 2)).cast("int")
+        tried = _around(at.withColumn("r", probe), sat, box)
+        enough = F.col("around") >= least
+        moved = tried.select(*TILE, F.when(enough, F.col("lo")).otherwise(F.col("r")).alias("lo"), F.when(enough, F.col("r")).otherwise(F.col("hi")).alias("hi"))
+        moved = kept(moved, "radii")
+        over = (F.coalesce(F.col("hi") - F.col("lo") == 1, F.lit(False))) | (F.col("lo") == widest)
+        done.append(moved.where(over).select(*TILE, F.col("hi").alias("rtile")))
+        at = moved.where(~over)
+    return reduce(DataFrame.union, done) if done else tiles.select(*TILE, F.lit(None).cast("int").alias("rtile"))
 
 
 def grid_lookup(positions: DataFrame, tiles: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -150,32 +177,48 @@ def _error(salt: int, *by: str) -> Column:
     return F.col("rtile") * (_uniform(salt, *by) * (ERROR_TO - ERROR_FROM) + ERROR_FROM)
 
 
+def _until_hit(draw: Callable[[DataFrame], DataFrame], users: DataFrame, grid: DataFrame, hits: int) -> DataFrame:
+    """id, k, e, n, error, population: of each user the first `hits` draws that lie on the grid. draw makes positions e, n of rows with
+    the number k of a draw.
+
+    Rounds of TRIES draws, twice as many each time, for the users that still lack some; it ends when none is left. Every draw has a
+    chance, since a position near the anchor it starts from lies in that anchor's tile."""
+    first, from_, n, found, left = Window.partitionBy("id").orderBy("k"), 1, TRIES * hits, [], users.withColumn("lacking", F.lit(hits))
+    while True:
+        tries = left.withColumn("k", F.explode(F.sequence(F.lit(from_), F.lit(from_ + n - 1))))
+        hit = _on_grid(draw(tries), grid).withColumn("_hit", F.row_number().over(first)).where(F.col("_hit") <= F.col("lacking"))
+        found.append(kept(hit.select("id", "k", "e", "n", "population", "rtile"), "hits"))
+        got = found[-1].groupBy("id").agg(F.count("*").alias("got"))
+        left = kept(left.join(got, "id", "left").withColumn("lacking", F.col("lacking") - F.coalesce("got", F.lit(0))).where("lacking > 0").drop("got"), "users")
+        if left.isEmpty():
+            return reduce(DataFrame.union, found)
+        from_, n = from_ + n, min(2 * n, MOST_TRIES)
+
+
 def gen_anchors(cdf: DataFrame, users: int, candidates: int = CANDIDATES, seed: int = 0, least: float = LEAST_POPULATION) -> DataFrame:
     """id, night, day, third: positions (e, n) with their error radius.
 
     The night anchor is drawn by CDF, anywhere in its tile. The other two are offset from it normally, with the tile's rtile as
-    scale: of the first `candidates` draws that hit the grid (of TRIES times as many), the one in the most populated tile, else the
-    night anchor. Then the third moves to a point between both, of the first that hits the grid. Errors are a uniform share of
-    the rtile of the anchor's tile."""
-    grid = cdf.select(*TILE, "population").join(find_rtile(cdf.select(*TILE, "population"), least), TILE).withColumn("rtile", F.coalesce("rtile", F.lit(64)))
-    tries = lambda n: F.explode(F.sequence(F.lit(1), F.lit(n)))
-    spot = F.struct("e", "n", "error")
+    scale: of the first `candidates` draws that hit the grid, the one in the most populated tile. Then the third moves to a point
+    between both, the first that hits the grid. Errors are a uniform share of the rtile of the anchor's tile. Where the whole grid
+    has too few people for an rtile, its width is one."""
+    tiles = cdf.select(*TILE, "population")
+    box = _box(tiles)
+    widest = max(1, box[1] - box[0], box[3] - box[2]) if box else 1
+    grid = kept(tiles.join(find_rtile(tiles, least), TILE).withColumn("rtile", F.coalesce("rtile", F.lit(widest))), "grid")
     night = cdf_sample(cdf, users, seed).select(F.col("draw").alias("id"), *TILE).join(grid, TILE)
-    night = night.select("id", (F.col("tile_e") + _uniform(seed + 1)).alias("e"), (F.col("tile_n") + _uniform(seed + 2)).alias("n"), "rtile", _error(seed + 3).alias("error"))
-    out = night.select("id", spot.alias("night"))
+    night = kept(night.select("id", (F.col("tile_e") + _uniform(seed + 1)).alias("e0"), (F.col("tile_n") + _uniform(seed + 2)).alias("n0"), F.col("rtile").alias("scale"), (_error(seed + 3)).alias("error")), "night")
+    spot = F.struct("e", "n", "error")
+    out = night.select("id", F.struct(F.col("e0").alias("e"), F.col("n0").alias("n"), "error").alias("night"))
     for name, salt in (("day", 10), ("third", 20)):
-        drawn = night.select("id", F.col("e").alias("e0"), F.col("n").alias("n0"), F.col("rtile").alias("scale"), tries(TRIES * candidates).alias("k"))
-        drawn = drawn.select("id", "k", (F.col("e0") + _normal(seed + salt, "k") * F.col("scale")).alias("e"), (F.col("n0") + _normal(seed + salt + 1, "k") * F.col("scale")).alias("n"))
-        hit = _on_grid(drawn, grid).withColumn("error", _error(seed + salt + 2, "k"))
-        first = Window.partitionBy("id").orderBy("k")  # TRIES * candidates rows a user at most
-        hit = hit.withColumn("hits", F.row_number().over(first)).where(F.col("hits") <= candidates)
-        best = hit.groupBy("id").agg(F.max_by(spot, F.struct("population", -F.col("hits"))).alias(name))
-        out = out.join(best, "id", "left").withColumn(name, F.coalesce(name, "night"))
-    moved = out.select("id", "day", "third", tries(TRIES).alias("k")).withColumn("p", _uniform(seed + 30, "k"))
-    between = lambda c: (F.col("p") * F.col(f"day.{c}") + (1 - F.col("p")) * F.col(f"third.{c}")).alias(c)
-    moved = _on_grid(moved.select("id", "k", between("e"), between("n")), grid).withColumn("error", _error(seed + 31, "k"))
-    moved = moved.groupBy("id").agg(F.min_by(spot, "k").alias("moved"))
-    return out.join(moved, "id", "left").select("id", "night", "day", F.coalesce("moved", "third").alias("third"))
+        offset = lambda s: _normal(seed + s, "k") * F.col("scale")
+        draw = lambda rows, s=salt: rows.withColumns({"e": F.col("e0") + offset(s), "n": F.col("n0") + offset(s + 1)})
+        hit = _until_hit(draw, night.drop("error"), grid, candidates).withColumn("error", _error(seed + salt + 2, "k"))
+        out = out.join(hit.groupBy("id").agg(F.max_by(spot, F.struct("population", -F.col("k"))).alias(name)), "id")
+    between = lambda c: _uniform(seed + 30, "k") * F.col(f"day.{c}") + (1 - _uniform(seed + 30, "k")) * F.col(f"third.{c}")
+    out = kept(out, "anchors")
+    moved = _until_hit(lambda rows: rows.withColumns({"e": between("e"), "n": between("n")}), out.select("id", "day", "third"), grid, 1)
+    return out.drop("third").join(moved.withColumn("error", _error(seed + 31, "k")).select("id", spot.alias("third")), "id").select("id", "night", "day", "third")
 
 
 def gen_user_data(cdf: DataFrame, users: int, days: int, seed: int = 0, least: float = LEAST_POPULATION) -> DataFrame:

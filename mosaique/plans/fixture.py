@@ -5,13 +5,12 @@ Weights are whole cents in doubles, so sums are exact in any order.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mosaique.functions.storage import kept
 from mosaique.operators import clean, quantise, report, state
 from mosaique.params import Params
 
@@ -20,16 +19,6 @@ LOW = Params(psi=15000.0, phi=0.5, xi=5.0, k=5)
 LAST_PERIOD = 19752
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new folder on shared storage, under spark.checkpoint.dir; a temporary one where that is unset and all is on this machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="mosaique-")
-    return f"{root.rstrip('/')}/mosaique/{name}-{uuid.uuid4().hex}"
-
-
 class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = PARAMS):
         self.spark, self.sf, self.params = spark, sf_dir, params
@@ -39,9 +28,7 @@ class Fixture:
 
     def kept(self, df: DataFrame) -> DataFrame:
         """df, stored and read back."""
-        path = workspace(self.spark, "kept")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return kept(df)
 
     @cached_property
     def h(self) -> DataFrame:

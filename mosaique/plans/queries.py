@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mosaique.functions import crypto, dates, histogram
+from mosaique.functions.storage import workspace
 from mosaique.operators import clean, compare, control, indicators, present, quantise, report, state, synth
 from mosaique.params import Params
 from mosaique.plans import session
-from mosaique.plans.fixture import LAST_PERIOD, LOW, PARAMS, Fixture, ctes, workspace
+from mosaique.plans.fixture import LAST_PERIOD, LOW, PARAMS, Fixture, ctes
 from mosaique.schemas import FINGERPRINT, FUF, STATISTICS, TILE, TOP_ANCHOR, VALUES
 from mosaique.sources import files, sinks
 from mosaique.streaming import ingest
@@ -89,6 +90,22 @@ def _(x: Fixture):
     return state.merge(x.old_s, x.last_h)
 
 
+BOTH_TEXT = f"SELECT CAST(id AS VARCHAR) AS id, tile_e, tile_n, {SUMS} FROM (SELECT * FROM old_s UNION ALL SELECT * FROM last_h) b GROUP BY {KEYS}"
+
+
+@query(BOTH_TEXT, name="state_merge_buckets")
+def _(x: Fixture):
+    """The old state in buckets by user, of which the last period's merge replaces those that it touches."""
+    store = sinks.StateStore(x.spark, workspace(x.spark, "state"))
+    text = lambda df: df.withColumn("id", F.col("id").cast("string"))
+    before = store.write(text(x.old_s), store.empty())
+    h = x.kept(text(x.last_h))
+    touched = [r[0] for r in h.select(state.bucket_of(store.n)).distinct().collect()]  # as many as buckets, at most
+    with sinks.Temporary(store) as keep:
+        now = store.write(state.merge_buckets(keep.buckets(before, touched), h, store.n), before)
+    return store.read(now)
+
+
 OUTER = f"SELECT {KEYS}, " + ", ".join(f"coalesce(a.{v}, 0) + coalesce(b.{v}, 0) AS {v}" for v in VALUES) + f" FROM old_s a FULL OUTER JOIN last_h b USING ({KEYS})"
 
 
@@ -791,7 +808,24 @@ def _(x: Fixture):
 
 @query(f"SELECT tile_e, tile_n, CAST(min(CASE WHEN around >= 200 THEN r END) AS INT) AS rtile FROM (SELECT t.tile_e, t.tile_n, r, {AROUND.format(r='z.r')} AS around FROM tiles t CROSS JOIN (SELECT unnest(range(1, 9)) AS r) z) q GROUP BY 1, 2", name="find_rtile")
 def _(x: Fixture):
-    return synth.find_rtile(x.tiles, 200, 8)
+    return synth.find_rtile(x.tiles, 200)
+
+
+#: Suppliers strewn over a grid of some 200 x 180 tiles; radii go far beyond 64.
+FAR = """(SELECT CAST(s_suppkey * 37 % 211 AS INT) AS tile_e, CAST((s_suppkey * 53 + s_nationkey) % 181 AS INT) AS tile_n,
+  CAST(sum(abs(floor(s_acctbal))) AS DOUBLE) AS population FROM supplier GROUP BY 1, 2)"""
+
+
+@query(f"""SELECT tile_e, tile_n, CAST(min(CASE WHEN around >= half THEN r END) AS INT) AS rtile FROM (
+  SELECT a.tile_e, a.tile_n, greatest(abs(a.tile_e - b.tile_e), abs(a.tile_n - b.tile_n), 1) AS r, total / 2 AS half,
+    sum(b.population) OVER (PARTITION BY a.tile_e, a.tile_n ORDER BY greatest(abs(a.tile_e - b.tile_e), abs(a.tile_n - b.tile_n), 1)) AS around
+  FROM {FAR} a CROSS JOIN {FAR} b CROSS JOIN (SELECT sum(population) AS total FROM {FAR} c) d) z GROUP BY 1, 2""", name="find_rtile_far")
+def _(x: Fixture):
+    """The square with half of all people, around each of strewn tiles."""
+    at = [(F.col("s_suppkey") * 37 % 211).cast("int").alias("tile_e"), ((F.col("s_suppkey") * 53 + F.col("s_nationkey")) % 181).cast("int").alias("tile_n")]
+    tiles = x.table("supplier").groupBy(*at).agg(F.sum(F.abs(F.floor("s_acctbal"))).cast("double").alias("population"))
+    half = tiles.agg(F.sum("population")).first()[0] / 2
+    return synth.find_rtile(tiles, half)
 
 
 SPOTS = "(SELECT s_suppkey AS id, CAST(s_suppkey % 7 AS INT) AS tile_e, CAST(s_nationkey % 6 AS INT) AS tile_n FROM supplier) q"

@@ -8,10 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mosaique.functions import crypto
-from mosaique.functions.storage import FileSystem, Lease, LeaseHeld
+from mosaique.functions.storage import FileSystem, Lease, LeaseHeld, workspace
 from mosaique.operators import control, indicators, quantise, state
 from mosaique.params import Params
-from mosaique.plans.fixture import workspace
 from mosaique.plans.session import InvalidRequest, ReportSession, Request, lease_of, run_available, run_exclusively
 from mosaique.schemas import INSTANCES, H
 from mosaique.sources import files, sinks
