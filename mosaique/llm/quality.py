@@ -1,23 +1,27 @@
 """Quality rules: base counts, and an n-gram perplexity with a lower and an upper band for each language.
 
-The model is a modified Kneser-Ney model of the code points' n-grams, of all orders up to ORDER. Spark counts every n-gram of
-every text, derives the lower orders' continuation counts, the discounts and the back-off weights, and joins them to
-probabilities; all of that is stored by n-gram. So the model grows with the corpus, and nothing of it is cut.
-
-Scores read it as sorted hash arrays: for each order the n-grams' hashes with log probabilities, and the contexts' hashes with
-log back-off weights, with an index of the leading bits. They are broadcast where they have HELD entries (12 bytes each) at
-most. Of a larger model the most frequent n-grams, HELD at most, are broadcast, and the other n-grams of each text, which are
-rare by what they are, are joined with the stored model (every n-gram that is scored was counted). Both ways score alike.
+The model is a modified Kneser-Ney model of the code points' n-grams, of all orders up to ORDER, and every text is scored by one
+that has not seen it: documents fall into two halves by their text (so copies are in one), each half has its model, and a text is
+scored by that of the other. Spark counts every n-gram of every text by half and derives the lower orders' continuation counts,
+the discounts and the back-off weights of both models. Then it joins them to probabilities for every n-gram of either half, so
+that one that a model lacks gets what its shorter endings have there, down to an even share of the code points. So the model grows
+with the corpus, and nothing of it is cut.
+
+Scores read it as a sorted hash array: the hashes of all n-grams of ORDER code points with both log probabilities, and an index of
+the leading bits. It is broadcast where it has HELD entries (16 bytes each) at most. Of a larger model the most frequent n-grams,
+HELD at most, are broadcast, and the other n-grams of each text, which are rare by what they are, are joined with the stored model
+(every n-gram that is scored is there). Both ways score alike.
 
 A document has two log perplexities: the negative log10 probability of all its code points by word, and by code point in words.
 Marks and symbols around words raise both, lone ones lower the first, and what is spelled evenly lowers the second. The median
 and the quartiles over all documents with a word of a language (lang; null is a language of its own) set a band for each, wider
-for short texts, whose means scatter more; a document outside either band is rejected. The same rule holds for any number of documents: the quartiles of few are drawn towards those of all languages,
-around the language's own median.
+for short texts, whose means scatter more; a document outside either band is rejected. The same rule holds for any number of
+documents: the quartiles of few are drawn towards those of all languages, around the language's own median.
 
 Null or empty text: no words, so base_failed. Repeated rows each get their row. Very long texts are read whole. Ties of
 quartiles are exact (an exact percentile of values rounded to 3 digits). A band of no width never rejects what lies on
-its edge. An empty table gives an empty result. Other columns are ignored by `quality` and kept by `reject`.
+its edge. With all texts in one half, every probability is 1. An empty table gives an empty result. Other columns are ignored by
+`quality` and kept by `reject`.
 """
 
 from __future__ import annotations
@@ -28,10 +32,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.llm.common import ascii_words, coded, hot_join, per_row, slices, spread, stored, text_of
+from mosaique.llm.common import ascii_words, coded, hot_join, per_row, removed, slices, spread, stored, text_of
 
 ORDER = 5
 FEWEST_WORDS = 10
@@ -42,9 +46,9 @@ PRIOR = 20
 #: Bytes of text at once (some sixty bytes of arrays a character), n-grams that a task gathers before it hands them on, and
 #: entries of a model that is broadcast.
 SLICE, GATHER, HELD = 2 << 20, 300_000, 8_000_000
-#: Half-widths of a band beyond its quartiles, in interquartile ranges, and the length below which it widens. The widths are
-#: those that lose about a quarter of a percent of the documents labelled good at sf0.1 (figures in the README).
-BELOW, ABOVE, SHORT = 2.5, 2.5, 1000
+#: Half-widths of a band beyond its quartiles, in interquartile ranges, and the length below which it widens. They were chosen on
+#: the labels of even ids at sf0.1, so that a few in a thousand of those labelled good are lost (README has the figures of odd ids).
+BELOW, ABOVE, SHORT = 3, 3, 3000
 MEASURES = ["word_perplexity", "char_perplexity"]
 BASE = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, digest binary, mean double"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -78,22 +82,35 @@ def _spelled(flat: np.ndarray, begins: np.ndarray) -> list[str]:
     return [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
 
 
+def half_of() -> Column:
+    """0 or 1 by the text."""
+    return F.pmod(F.xxhash64(text_of()), F.lit(2)).cast("int").alias("half")
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """gram, n: how often each n-gram of ORDER code points ends at a character of any text; tasks add up before the shuffle."""
+    """gram, n_0, n_1: how often each n-gram of ORDER code points ends at a character of any text of each half; tasks add up before
+    the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
+        held: dict[str, list[int]] = {}
+
+        def given() -> pa.RecordBatch:
+            counts = list(held.values())
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), *(pa.array([c[h] for c in counts], pa.int64()) for h in (0, 1))], ["gram", "n_0", "n_1"])
+
         for part in slices(batches, limit=SLICE):
-            _, flat, own = points(part.column("text"))
-            _, first, n = np.unique(hashes(flat, ORDER)[own - ORDER + 1], return_index=True, return_counts=True)
-            for gram, k in zip(_spelled(flat, own[first] - ORDER + 1), n.tolist(), strict=True):
-                held[gram] = held.get(gram, 0) + k
+            for half in (0, 1):
+                _, flat, own = points(part.column("text").filter(pc.equal(part.column("half"), half)))
+                _, first, n = np.unique(hashes(flat, ORDER)[own - ORDER + 1], return_index=True, return_counts=True)
+                for gram, k in zip(_spelled(flat, own[first] - ORDER + 1), n.tolist(), strict=True):
+                    held.setdefault(gram, [0, 0])[half] += k
             if len(held) >= GATHER:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["gram", "n"])
-                held = {}
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["gram", "n"])
+                yield given()
+                held.clear()
+        yield given()
 
-    return docs.select("text").mapInArrow(count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    sums = [F.sum(f"n_{h}").alias(f"n_{h}") for h in (0, 1)]
+    return docs.select("text", half_of()).mapInArrow(count, "gram string, n_0 long, n_1 long").groupBy("gram").agg(*sums)
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -103,50 +120,46 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     return [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1 * k), 0.9 * k) if n[k - 1] else 0.5 * k for k in (1, 2, 3)]
 
 
-@dataclass
-class Estimates:
-    """Stored tables: probs (length, gram, n, logp) and contexts (length, gram, back), and log10 probability of an unseen code point."""
-
-    probs: DataFrame
-    contexts: DataFrame
-    unseen: float
-
-
-def estimates(docs: DataFrame) -> Estimates:
-    """The modified Kneser-Ney model of all texts, as joins over n-grams."""
+def estimates(docs: DataFrame) -> DataFrame:
+    """gram, n (in both halves), logp_0, logp_1: every n-gram of ORDER code points with its log10 probability in the modified
+    Kneser-Ney models of both halves, a stored table, made by joins over n-grams."""
     levels = [stored(gram_counts(docs), "grams")]
     for length in range(ORDER - 1, 0, -1):  # lower orders count the distinct code points in front
-        levels.insert(0, stored(levels[0].groupBy(F.expr(f"right(gram, {length})").alias("gram")).agg(F.count("*").alias("n")), "grams"))
-    sums = [F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+        ahead = [F.count(F.when(F.col(f"n_{h}") > 0, 1)).alias(f"n_{h}") for h in (0, 1)]
+        levels.insert(0, stored(levels[0].groupBy(F.expr(f"right(gram, {length})").alias("gram")).agg(*ahead), "grams"))
     counted = None
     for length, level in enumerate(levels, 1):
-        row = level.agg(*sums, F.count("*").alias("v")).select(F.lit(length).alias("length"), "*")
+        sums = [F.sum((F.col(f"n_{h}") == k).cast("long")).alias(f"n{k}_{h}") for h in (0, 1) for k in (1, 2, 3, 4)]
+        row = level.agg(*sums, *(F.count(F.when(F.col(f"n_{h}") > 0, 1)).alias(f"v_{h}") for h in (0, 1))).select(F.lit(length).alias("length"), "*")
         counted = row if counted is None else counted.union(row)
-    cuts, kinds = {}, 0
+    cuts, kinds = {}, {}
     for r in counted.collect():  # ORDER rows
-        cuts[r["length"]] = _discounts(*((r[f"n{k}"] or 0) for k in (1, 2, 3, 4)))
-        kinds = r["v"] if r["length"] == 1 else kinds
-    probs = contexts = lower = None
+        for h in (0, 1):
+            cuts[r["length"], h] = _discounts(*((r[f"n{k}_{h}"] or 0) for k in (1, 2, 3, 4)))
+            kinds[h] = r[f"v_{h}"] if r["length"] == 1 else kinds[h]
+    lower = None
     for length, level in enumerate(levels, 1):
-        cut = cuts[length]
-        off = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
+        n = {h: F.col(f"n_{h}") for h in (0, 1)}
+        off = {h: F.when(n[h] == 0, 0.0).when(n[h] == 1, cuts[length, h][0]).when(n[h] == 2, cuts[length, h][1]).otherwise(cuts[length, h][2]) for h in (0, 1)}
         ahead = F.expr(f"left(gram, {length - 1})").alias("context")
-        sums = level.groupBy(ahead).agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("back"))
-        joined = level.select("gram", "n", ahead, F.expr(f"right(gram, {length - 1})").alias("suffix")).join(sums, "context")
-        below = F.lit(1 / (kinds + 1))
-        if lower is not None:
-            joined, below = joined.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix"), F.col("below")
-        lower = stored(joined.select("gram", "n", ((F.col("n") - off) / F.col("total") + F.col("back") * below).alias("p")), "probabilities")
-        own = lower.select(F.lit(length).alias("length"), "gram", "n", F.log10("p").alias("logp"))
-        ctx = sums.select(F.lit(length - 1).alias("length"), F.col("context").alias("gram"), F.log10("back").alias("back"))
-        probs = own if probs is None else probs.union(own)
-        contexts = ctx if contexts is None else contexts.union(ctx)
-    return Estimates(probs, stored(contexts, "contexts"), float(np.log10(1 / (kinds + 1))))
+        totals = level.groupBy(ahead).agg(*(x.alias(f"{c}_{h}") for h in (0, 1) for c, x in (("total", F.sum(n[h])), ("off", F.sum(off[h])))))
+        joined = level.select("gram", "n_0", "n_1", ahead, F.expr(f"right(gram, {length - 1})").alias("suffix")).join(totals, "context")
+        below = {h: F.lit(1 / (kinds[h] + 1)) for h in (0, 1)}
+        if lower is not None:  # every ending of an n-gram is one of the order below
+            joined = joined.join(lower.select(F.col("gram").alias("suffix"), *(F.col(f"p_{h}").alias(f"below_{h}") for h in (0, 1))), "suffix")
+            below = {h: F.col(f"below_{h}") for h in (0, 1)}
+        p = [F.when(F.col(f"total_{h}") > 0, (n[h] - off[h] + F.col(f"off_{h}") * below[h]) / F.col(f"total_{h}")).otherwise(below[h]).alias(f"p_{h}") for h in (0, 1)]
+        before, lower = lower, stored(joined.select("gram", "n_0", "n_1", *p), "probabilities")
+        for table in (level, before):
+            if table is not None:
+                removed(table)
+    logs = [F.log10(f"p_{h}").cast("float").alias(f"logp_{h}") for h in (0, 1)]
+    return lower.select("gram", (F.col("n_0") + F.col("n_1")).alias("n"), *logs)
 
 
 @dataclass
 class HashArray:
-    """Sorted hashes with values, and where the hashes of each leading bits begin."""
+    """Sorted hashes with a row of values each, and where the hashes of each leading bits begin."""
 
     keys: np.ndarray
     values: np.ndarray
@@ -163,8 +176,8 @@ class HashArray:
         return cls(keys, values[order].astype(np.float32), begins, bits, int(np.diff(begins).max()))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is there, and its value, or 0."""
-        hit, out = np.zeros(len(keys), bool), np.zeros(len(keys), np.float32)
+        """Whether each key is there, and its values, or zeros."""
+        hit, out = np.zeros(len(keys), bool), np.zeros((len(keys), self.values.shape[1]), np.float32)
         if not len(self.keys):
             return hit, out
         at, left = self.begins[(keys >> np.uint64(64 - self.bits)).astype(np.int64)], np.arange(len(keys))
@@ -179,65 +192,29 @@ class HashArray:
         return hit, out
 
 
-@dataclass
-class Model:
-    """Sorted hash arrays: by length of the n-gram log10 probabilities, by length of the context log10 back-off weights. Without
-    weights it is a part of a model, which gives 0 for what it lacks."""
-
-    probs: dict[int, HashArray]
-    backs: dict[int, HashArray]
-    unseen: float
-
-    def score(self, flat: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """log10 probability of each code point at the places own, behind the ORDER - 1 in front."""
-        out, weight, left = np.zeros(len(own), np.float32), np.zeros(len(own), np.float32), np.arange(len(own))
-        for length in range(ORDER, 0, -1):
-            hit, prob = self.probs[length].find(hashes(flat, length)[own[left] - length + 1])
-            out[left[hit]] = weight[left[hit]] + prob[hit]
-            left = left[~hit]
-            if not len(left) or not self.backs:
-                return out
-            weight[left] += self.backs[length - 1].find(hashes(flat, length - 1)[own[left] - length + 1])[1]
-        out[left] = weight[left] + np.float32(self.unseen)
-        return out
-
-
-def _hashed(rows: DataFrame, value: str) -> DataFrame:
-    """length, key, value of rows (length, gram, value)."""
+def held(grams: DataFrame) -> HashArray:
+    """Both log probabilities of n-grams as an array on the driver; whoever calls has checked their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            length = np.asarray(x.column("length"), dtype=np.int64)
             flat = np.frombuffer("".join(x.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
-            begin, keys = np.cumsum(length) - length, np.zeros(len(length), np.uint64)
-            for k in np.unique(length).tolist():
-                keys[length == k] = hashes(flat, k)[begin[length == k]] if k else hashes(np.zeros(0, np.uint32), 0)[:1]
-            yield pa.RecordBatch.from_arrays([x.column("length"), pa.array(keys.view(np.int64)), x.column(value).cast(pa.float32())], ["length", "key", "value"])
+            keys = hashes(flat, ORDER)[::ORDER] if len(flat) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), x.column("logp_0"), x.column("logp_1")], ["key", "logp_0", "logp_1"])
 
-    return rows.mapInArrow(run, "length int, key long, value float")
+    got = grams.select("gram", "logp_0", "logp_1").mapInArrow(run, "key long, logp_0 float, logp_1 float").toArrow()
+    values = np.stack([np.asarray(got[f"logp_{h}"], dtype=np.float32) for h in (0, 1)], axis=1).reshape(-1, 2)
+    return HashArray.of(np.asarray(got["key"], dtype=np.int64).view(np.uint64), values)
 
 
-def held(found: Estimates) -> Model:
-    """The model as arrays on the driver; whoever calls has checked its size."""
-    out = []
-    for rows, value, lengths in ((found.probs, "logp", range(1, ORDER + 1)), (found.contexts, "back", range(ORDER))):
-        got = _hashed(rows, value).toArrow()
-        length, keys, values = (np.asarray(got[c]) for c in ("length", "key", "value"))
-        out.append({k: HashArray.of(keys[length == k].view(np.uint64), values[length == k]) for k in lengths})
-    return Model(*out, found.unseen)
-
-
-def frequent(found: Estimates) -> tuple[Model, int]:
-    """The n-grams of ORDER code points that occur so often (the number returned) that they are HELD at most."""
-    full, floor, many = found.probs.where(F.col("length") == ORDER), 1, 0
+def frequent(found: DataFrame) -> int:
+    """From how many occurrences on the n-grams are HELD at most."""
+    floor, many = 1, 0
     by_size = F.floor(F.log2("n")).cast("int").alias("log2")
-    for r in full.groupBy(by_size).agg(F.count("*").alias("v")).orderBy(F.desc("log2")).collect():  # 63 rows at most
+    for r in found.groupBy(by_size).agg(F.count("*").alias("v")).orderBy(F.desc("log2")).collect():  # 63 rows at most
         many += r["v"]
         if many > HELD:
-            floor = 2 << r["log2"]
-            break
-    got = _hashed(full.where(F.col("n") >= floor), "logp").toArrow()
-    return Model({ORDER: HashArray.of(np.asarray(got["key"]).view(np.uint64), np.asarray(got["value"]))}, {}, 0.0), floor
+            return 2 << r["log2"]
+    return floor
 
 
 def repeated_words(offsets: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -291,44 +268,46 @@ def base_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def log_perplexity(texts: pa.Array, model: Model) -> np.ndarray:
-    """Mean negative log10 probability of each text's code points; 0 for an empty one."""
+def log_perplexity(texts: pa.Array, half: np.ndarray, model: HashArray) -> np.ndarray:
+    """Mean negative log10 probability of each text's code points by the model of the other half; 0 for an empty one."""
     size, flat, own = points(texts)
-    ends = np.concatenate(([0], np.cumsum(size)))
-    return -per_row(model.score(flat, own).astype(np.float64), ends) / np.maximum(size, 1)
+    values = model.find(hashes(flat, ORDER)[own - ORDER + 1])[1]
+    logs = np.where(np.repeat(half, size) == 0, values[:, 1], values[:, 0]).astype(np.float64)
+    return -per_row(logs, np.concatenate(([0], np.cumsum(size)))) / np.maximum(size, 1)
 
 
 def measures(mean: np.ndarray, size: np.ndarray, n_words: np.ndarray, word_chars: np.ndarray) -> list[np.ndarray]:
     """Both log perplexities, rounded to 3 digits; 0 for a text without a word."""
     total = np.where(n_words > 0, mean * size, 0)
-    return [np.round(total / np.maximum(n, 1), 3) for n in (n_words, word_chars)]
+    return [np.floor(total / np.maximum(n, 1) * 1000 + 0.5) / 1000 for n in (n_words, word_chars)]
 
 
 def _digest():
     return F.unhex(F.sha2(text_of().cast("binary"), 256)).alias("digest")
 
 
-def _rest(docs: DataFrame, found: Estimates, model, floor: int) -> DataFrame:
+def _rest(docs: DataFrame, found: DataFrame, model, floor: int) -> DataFrame:
     """digest, more: the log10 probability of what a part of the model lacks, for each text that has such n-grams."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
             size, flat, own = points(part.column("text"))
             keys = hashes(flat, ORDER)[own - ORDER + 1]
-            lacking = np.flatnonzero(~model.value.probs[ORDER].find(keys)[0])
+            lacking = np.flatnonzero(~model.value.find(keys)[0])
             doc, keys = np.repeat(np.arange(len(size)), size)[lacking], keys[lacking]
             order = np.lexsort((keys, doc))
             new = np.ones(len(order), bool)
             new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
             first = np.flatnonzero(new)
             n = np.diff(np.append(first, len(order)))
-            cols = [part.column("digest").take(pa.array(doc[order[first]])), pa.array(_spelled(flat, own[lacking[order[first]]] - ORDER + 1), pa.string()), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(cols, ["digest", "gram", "times"])
+            of = pa.array(doc[order[first]])
+            cols = [part.column("digest").take(of), part.column("half").take(of), pa.array(_spelled(flat, own[lacking[order[first]]] - ORDER + 1), pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(cols, ["digest", "half", "gram", "times"])
 
     # An n-gram of a text that has many copies is frequent, so few copies come here.
-    grams = docs.select(_digest(), "text").mapInArrow(spell, "digest binary, gram string, times long").dropDuplicates(["digest", "gram"])
-    probs = found.probs.where((F.col("length") == ORDER) & (F.col("n") < floor)).select("gram", F.col("logp").cast("float").cast("double").alias("logp"))
-    return grams.join(probs, "gram").groupBy("digest").agg(F.sum(F.col("times") * F.col("logp")).alias("more"))
+    grams = docs.select(_digest(), half_of(), "text").mapInArrow(spell, "digest binary, half int, gram string, times long").dropDuplicates(["digest", "gram"])
+    logp = F.when(F.col("half") == 0, F.col("logp_1")).otherwise(F.col("logp_0")).cast("double")
+    return grams.join(found.where(F.col("n") < floor), "gram").groupBy("digest").agg(F.sum(F.col("times") * logp).alias("more"))
 
 
 def scored(docs: DataFrame, model) -> DataFrame:
@@ -339,16 +318,16 @@ def scored(docs: DataFrame, model) -> DataFrame:
             text = part.column("text")
             cols = {"doc_id": part.column("doc_id"), "lang": part.column("lang")} | {k: pa.array(v, pa.int64()) for k, v in base_counts(text).items()}
             cols |= {"n_chars": pc.utf8_length(pc.fill_null(text, "")).cast(pa.int64()), "digest": part.column("digest")}
-            cols["mean"] = pa.array(log_perplexity(text, model.value))
+            cols["mean"] = pa.array(log_perplexity(text, np.asarray(part.column("half")), model.value))
             yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), _digest(), "text").mapInArrow(score, BASE)
+    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), _digest(), half_of(), "text").mapInArrow(score, BASE)
 
 
 def measured(scores: DataFrame) -> DataFrame:
     """scores with both MEASURES for its mean."""
     total = F.when(F.col("n_words") > 0, F.col("mean") * F.col("n_chars")).otherwise(0.0)
-    by = [F.round(total / F.greatest(F.col(n), F.lit(1)), 3).alias(m) for m, n in zip(MEASURES, ("n_words", "word_chars"), strict=True)]
+    by = [(F.floor(total / F.greatest(F.col(n), F.lit(1)) * 1000 + 0.5) / 1000).alias(m) for m, n in zip(MEASURES, ("n_words", "word_chars"), strict=True)]
     return scores.select("*", *by)
 
 
@@ -388,13 +367,13 @@ def verdict(found: dict[str | None, np.ndarray], lang: list, n_words: np.ndarray
 
 
 def _scores(docs: DataFrame) -> tuple[DataFrame, object]:
-    """Stored scores of all texts by the model of all texts, and the broadcast model, or None where it is too large."""
+    """Stored scores of all texts, each by the model of the half it isn't in, and the broadcast model, or None where it is too large."""
     found = estimates(docs)
-    if found.probs.count() + found.contexts.count() <= HELD:
+    if found.count() <= HELD:
         model = docs.sparkSession.sparkContext.broadcast(held(found))
         return stored(measured(scored(docs, model)), "quality"), model
-    part, floor = frequent(found)
-    model = docs.sparkSession.sparkContext.broadcast(part)
+    floor = frequent(found)
+    model = docs.sparkSession.sparkContext.broadcast(held(found.where(F.col("n") >= floor)))
     rows = stored(scored(docs, model), "partial-scores")
     rows = hot_join(rows, _rest(docs, found, model, floor), "digest", rows.count())
     mean = F.col("mean") - F.coalesce("more", F.lit(0.0)) / F.greatest("n_chars", F.lit(1))
@@ -434,10 +413,12 @@ def reject(docs: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
-            text = part.column("text")
+            own = pa.RecordBatch.from_arrays(part.columns[:-1], schema=pa.schema(list(part.schema)[:-1]))
+            text = own.column("text")
             base, size = base_counts(text), np.asarray(pc.utf8_length(pc.fill_null(text, "")), dtype=np.int64)
-            values = measures(log_perplexity(text, model.value), size, base["n_words"], base["word_chars"])
-            _, kept = verdict(found, part.column("lang").cast(pa.string()).to_pylist(), base["n_words"], base["n_repeat_words"], size, values)
-            yield part.filter(pa.array(kept))
+            mean = log_perplexity(text, np.asarray(part.columns[-1]), model.value)
+            values = measures(mean, size, base["n_words"], base["word_chars"])
+            _, kept = verdict(found, own.column("lang").cast(pa.string()).to_pylist(), base["n_words"], base["n_repeat_words"], size, values)
+            yield own.filter(pa.array(kept))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.select("*", half_of().alias("_half")).mapInArrow(keep, docs.schema)
