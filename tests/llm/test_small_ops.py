@@ -101,24 +101,25 @@ def test_perplexity_equals_plain_kneser_ney(make):
     assert (np.diff(model.keys.view(np.int64) ^ np.int64(-(2**63))) > 0).all() and len(model.keys) == found.count()
 
 
-def test_noise_that_occurs_nowhere_else_is_surprising(make, spark):
-    """Letters of no other text score above every clean document, and mixed with shuffled words they don't average into the band."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").select("doc_id", "text")
-    good = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1 and toxic = 0"), "doc_id").select("text")
-    clean = [r["text"] for r in good.collect()]
+def test_noise_that_occurs_nowhere_else_is_surprising(spark):
+    """Among the documents of sf0.01, letters of no other text score above every clean one, and mixed with shuffled words they don't
+    average into the band."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    good = docs.join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and toxic = 0"), "doc_id")
+    clean = {r["doc_id"]: r["text"] for r in good.collect()}
     rng = random.Random(7)
     han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(n))
     letters = lambda w: "".join(rng.sample(w, len(w)))
-    long = [t for t in clean if len(t.split()) > 60][:8]
-    noise = [" ".join(han(rng.randint(2, 8)) for _ in range(100)) for _ in range(4)]
-    shuffled = [" ".join(letters(w) for w in t.split()) for t in long[:4]]
+    long = [r["text"] for r in good.where("lang = 'en'").collect() if len(r["text"].split()) > 60][:20]
+    noise = [" ".join(han(rng.randint(2, 8)) for _ in range(100)) for _ in range(20)]
+    shuffled = [" ".join(letters(w) for w in t.split()) for t in long]
     mixed = [" ".join(han(len(w)) if rng.random() < 0.4 else letters(w) for w in t.split()) for t in long]
-    texts = [*clean, *noise, *shuffled, *mixed]
-    got = {r["doc_id"]: r for r in quality.quality(make(texts)).collect()}
-    n = len(clean)
-    assert min(got[i]["char_perplexity"] for i in range(n, n + 4)) > max(got[i]["char_perplexity"] for i in range(n))
-    assert not any(got[i]["kept"] for i in range(n, len(texts)))
-    assert np.mean([got[i]["kept"] for i in range(n) if not got[i]["base_failed"]]) > 0.98
+    odd = [(10**6 + i, t, "en") for i, t in enumerate([*noise, *shuffled, *mixed])]
+    got = {r["doc_id"]: r for r in quality.quality(docs.union(spark.createDataFrame(odd, docs.schema))).collect()}
+    assert min(got[10**6 + i]["char_perplexity"] for i in range(20)) > max(got[i]["char_perplexity"] for i in clean)
+    assert not any(got[i]["kept"] for i, *_ in odd)
+    assert np.mean([got[i]["kept"] for i in clean if not got[i]["base_failed"]]) > 0.98
 
 
 def test_models_of_several_corpora_in_one_session(make):
