@@ -15,7 +15,7 @@ from mosaique.plans import session
 from mosaique.plans.fixture import LAST_PERIOD, LOW, PARAMS, Fixture, ctes
 from mosaique.schemas import FINGERPRINT, FUF, STATISTICS, TILE, TOP_ANCHOR, VALUES
 from mosaique.sources import files, sinks
-from mosaique.streaming import ingest
+from mosaique.streaming import ingest, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -763,6 +763,20 @@ def _(x: Fixture):
     return s.state()
 
 
+@query(ALL_TEXT, name="streaming_fold")
+def _(x: Fixture):
+    """All periods' files as a stream in three arrivals, folded by keyed state."""
+    folder, out, mark, parts = (workspace(x.spark, name) for name in ("landing", "out", "stream", "parts"))
+    days = x.h.withColumn("id", F.col("id").cast("string"))
+    periods = sorted(r["period"] for r in days.select("period").distinct().collect())  # 30
+    days.select("id", *TILE, *VALUES, "period").repartition("period").write.partitionBy("period").option("header", True).csv(parts)
+    for k in range(3):
+        for p in periods[k * len(periods) // 3 : (k + 1) * len(periods) // 3]:
+            _as_file(x.spark, f"{parts}/period={p}", f"{folder}/day-{p}-updates.csv")
+        keyed.fold_stream(ingest.footprint_stream(x.spark, folder, files=len(periods)), out, mark).awaitTermination()
+    return keyed.folded_state(x.spark, out)
+
+
 def _as_file(spark: SparkSession, part_folder: str, to: str) -> None:
     """The one part of a written folder under a name of its own."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -1,5 +1,6 @@
 """The state machine, its scheduler, progress texts, sources and sinks, and streams."""
 
+import os
 import struct
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -14,6 +15,7 @@ from mosaique.params import Params
 from mosaique.plans.session import InvalidRequest, ReportSession, Request, lease_of, run_available, run_exclusively
 from mosaique.schemas import INSTANCES, H
 from mosaique.sources import files, sinks
+from mosaique.streaming import ingest, keyed
 
 
 def day(spark, *rows):
@@ -362,3 +364,38 @@ def test_limits():
         sinks.check_request(0, 1, 1, 1_000_001, 1)
     with pytest.raises(ValueError):
         Params(psi=0)
+
+
+def test_keyed_fold_of_a_stream(spark, tmp_path, monkeypatch):
+    """The fold of all files, with a restart in the middle of a batch; a batch writes its users alone; late rows lie apart."""
+    folder, out, mark = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "mark")
+    folder.mkdir()
+    days = {1: [("a", 0, 0, 2.0), ("a", 0, 0, 3.0), ("b", 1, 1, 1.0)], 2: [("a", 0, 0, 1.0), ("a", 2, 0, 4.0)], 3: [("b", 1, 1, 0.5), ("c", 0, 0, -1.0)]}
+
+    def arrive(name, rows, at):
+        path = folder / name
+        path.write_text("id,tile_e,tile_n,value_0,value_1,value_2,value_3\n" + "".join(f"{i},{e},{n},{v},{v},0,0\n" for i, e, n, v in rows))
+        os.utime(path, (at, at))
+
+    run = lambda: keyed.fold_stream(ingest.footprint_stream(spark, str(folder)), out, mark).awaitTermination()
+    for p, rows_ in days.items():
+        arrive(f"day-{p}-updates.csv", rows_, 1_700_000_000 + p)
+    write, failed = keyed.write_part, []
+
+    def die(batch, number, to):
+        write(batch, number, to)
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("the driver died")
+
+    monkeypatch.setattr(keyed, "write_part", die)
+    with pytest.raises(Exception, match="the driver died"):
+        run()
+    run()
+    of = lambda df: sorted(tuple(r)[:4] for r in df.collect())
+    assert failed and of(keyed.folded_state(spark, out)) == [("a", 0, 0, 4.0), ("a", 2, 0, 4.0), ("b", 1, 1, 1.5)]
+    assert {r["id"] for r in spark.read.parquet(f"{out}/batch=1").collect()} == {"a"}
+    arrive("day-01-updates.csv", [("a", 0, 0, 9.0), ("d", 0, 0, 1.0)], 1_700_000_100)
+    run()
+    assert [(r["id"], r["value_0"], r["period"]) for r in keyed.late_rows(spark, out).collect()] == [("a", 9.0, 1)]
+    assert of(keyed.folded_state(spark, out)) == [("a", 0, 0, 4.0), ("a", 2, 0, 4.0), ("b", 1, 1, 1.5), ("d", 0, 0, 1.0)]
