@@ -1,12 +1,12 @@
 """Control queries over histories of task instances and over available files. Histories are small tables of a few thousand
-rows at most; they are still plain DataFrame queries, and only the text of a progress report is put together on the driver."""
+rows at most; they are still plain DataFrame queries, texts included."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaique.functions.dates import date_of
+from mosaique.functions.dates import date_of, period_to_date
 from mosaique.operators import scan
 
 
@@ -136,6 +136,27 @@ def _anomalies(found: list[str] | None) -> str:
     return f"Anomalies: {' '.join(ANOMALIES[x] for x in found)}\n" if found else ""
 
 
+def progress_texts(batches: DataFrame) -> DataFrame:
+    """batches (as group_batches gives them, with first and last of their requests) with the text of each; null where there is none
+    to tell. The texts of all batches, newest first and with a line break between, are a progress report."""
+    kind, new = F.regexp_replace("type", "_new$", ""), F.when(F.col("type").endswith("_new"), "new ").otherwise("")
+    date = lambda p: F.date_format(period_to_date(p), "yyyy-MM-dd")
+    span = F.when(F.col("first") >= 0, F.concat(date(F.col("first")), F.lit(" to "), date(F.col("last")))).otherwise("")
+    line = lambda title, periods: F.when(F.size(periods) > 0, F.concat(F.lit(f"{title} "), F.array_join(F.transform(periods, date), ", "), F.lit("\n"))).otherwise("")
+    done, total = F.col("greatest_period") - F.col("first") + 1, F.col("last") - F.col("first") + 1
+    processing = F.concat(F.lit("Processing a "), new, F.lit("report "), span, F.lit(", "), progress_percent(done, total), F.lit("% done, "), done.cast("string"), F.lit(" out of "), total.cast("string"), F.lit("\n"))
+    over = F.concat(F.when(kind == "report", "Finished").otherwise("Canceled"), F.lit(" a "), new, F.lit("report "), span, F.lit("\n"))
+    since = F.coalesce(F.col("old_greatest_period") + 1, F.col("first"))
+    upto = F.when(kind == "processing", F.col("greatest_period")).otherwise(F.col("last"))
+    known = F.array_union("periods", "failed_periods")
+    skipped = F.when(since <= upto, F.filter(F.sequence(since, upto), lambda p: ~F.array_contains(known, p))).otherwise(F.array().cast("array<int>"))
+    names = F.create_map(*(F.lit(x) for pair in ANOMALIES.items() for x in pair))
+    odd = F.when(F.size("anomalies") > 0, F.concat(F.lit("Anomalies: "), F.array_join(F.transform("anomalies", lambda a: names[a]), " "), F.lit("\n"))).otherwise("")
+    lines = [line("Successful dates:", F.col("periods")), line("Failed dates:", F.sort_array("failed_periods")), line("Skipped dates:", skipped), odd]
+    accepted = F.when(F.col("first") >= 0, F.concat(F.lit("Accepted a new report "), span, F.lit("\n")))
+    return batches.withColumn("text", F.when(kind == "poll_request", accepted).otherwise(F.concat(F.when(kind == "processing", processing).otherwise(over), *lines)))
+
+
 def progress_text(batches: list[dict]) -> str:
     """Progress report of batches, newest first; each has type, first, last, greatest_period, old_greatest_period, periods
     and failed_periods (newest first), and anomalies, if any."""

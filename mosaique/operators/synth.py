@@ -22,8 +22,9 @@ TRIES, MOST_TRIES = 16, 1024
 TINY = 1e-15
 
 
-def ids(spark: SparkSession, users: int) -> DataFrame:
-    return spark.range(users)
+def ids(spark: SparkSession, users: int | DataFrame) -> DataFrame:
+    """id: the numbers below `users`, or those of a table."""
+    return users.select("id") if isinstance(users, DataFrame) else spark.range(users)
 
 
 def grid(spark: SparkSession, size: int) -> DataFrame:
@@ -36,35 +37,35 @@ def _shuffled_axis(size: int, salt: int) -> Column:
     return F.transform(F.array_sort(keyed), lambda x: x["i"])
 
 
-def gen_simple(spark: SparkSession, users: int, days: int, size: int = 20, tiles_per_user: int = 2, seed: int = 0) -> DataFrame:
+def gen_simple(spark: SparkSession, users: int | DataFrame, days: int, size: int = 20, tiles_per_user: int = 2, seed: int = 0) -> DataFrame:
     """By day and user, tiles_per_user tiles: a run from an offset on each of two axes that are shuffled every day; values 1 to 3
     uniform, value 0 their sum."""
     axes = spark.range(days).select(F.col("id").cast("int").alias("period")).select("period", _shuffled_axis(size, seed).alias("e"), _shuffled_axis(size, seed + 1).alias("n"))
-    rows = spark.range(users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period")).join(axes, "period")  # axes: a row a day
+    rows = ids(spark, users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period")).join(axes, "period")  # axes: a row a day
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(tiles_per_user - 1))))
     at = lambda c, salt: F.get(c, F.pmod(F.xxhash64("id", "period", F.lit(seed + salt)) + F.col("k"), F.lit(size)).cast("int"))
     rows = rows.select("id", "period", at("e", 2).alias("tile_e"), at("n", 3).alias("tile_n"), *(F.rand(seed + i).alias(f"value_{i}") for i in (1, 2, 3)))
     return rows.withColumn("value_0", F.expr("value_1 + value_2 + value_3")).select("id", "period", *TILE, *VALUES)
 
 
-def gen_circle(spark: SparkSession, users: int, days: int, size: int = 20, radius: float = 5.0) -> DataFrame:
+def gen_circle(spark: SparkSession, users: int | DataFrame, days: int, size: int = 20, radius: float = 5.0) -> DataFrame:
     """Every user at every tile: weight 1 inside the circle in the middle, 3e-5 outside, a third in each sub-period."""
     mid = (size - 1) / 2
     inside = F.sqrt(F.pow(F.col("tile_e") - mid, 2) + F.pow(F.col("tile_n") - mid, 2)) <= radius
     cells = grid(spark, size).withColumn("value_0", F.when(inside, 1.0).otherwise(3e-5))
     cells = cells.select(*TILE, "value_0", *(F.when(inside, 1 / 3).otherwise(1e-5).alias(f"value_{i}") for i in (1, 2, 3)))
-    who = spark.range(users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period"))
+    who = ids(spark, users).select(F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("period"))
     return who.join(F.broadcast(cells)).select("id", "period", *TILE, *VALUES)  # size * size cells
 
 
-def gen_residents(spark: SparkSession, people: int, size: int = 20, seed: int = 0) -> DataFrame:
-    where = spark.range(people).select(F.floor(F.rand(seed) * size).cast("int").alias("tile_e"), F.floor(F.rand(seed + 1) * size).cast("int").alias("tile_n"))
+def gen_residents(spark: SparkSession, people: int | DataFrame, size: int = 20, seed: int = 0) -> DataFrame:
+    where = ids(spark, people).select(F.floor(F.rand(seed) * size).cast("int").alias("tile_e"), F.floor(F.rand(seed + 1) * size).cast("int").alias("tile_n"))
     return grid(spark, size).join(where.groupBy(*TILE).agg(F.count("*").cast("double").alias("value")), TILE, "left").na.fill(0.0, ["value"])
 
 
-def gen_reference_areas(spark: SparkSession, size: int = 20, side: int = 3, areas: int = 2, seed: int = 0) -> DataFrame:
+def gen_reference_areas(spark: SparkSession, size: int = 20, side: int = 3, areas: int | DataFrame = 2, seed: int = 0) -> DataFrame:
     """Squares whose one random origin serves both axes."""
-    at = spark.range(areas).select(F.col("id").cast("int"), F.floor(F.rand(seed) * (size - side)).cast("int").alias("o"))
+    at = ids(spark, areas).select(F.col("id").cast("int"), F.floor(F.rand(seed) * (size - side)).cast("int").alias("o"))
     line = F.sequence(F.col("o"), F.col("o") + side - 1)
     return at.select("id", "o", F.explode(line).alias("tile_e")).select("id", "tile_e", F.explode(line).alias("tile_n"))
 

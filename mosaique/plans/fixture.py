@@ -40,6 +40,10 @@ class Fixture:
         )
         return obs.select("id", "period", "tile_e", "tile_n", "value_0", *(F.when(F.col("sub") == i, F.col("value_0")).otherwise(0.0).alias(f"value_{i}") for i in (1, 2, 3)))
 
+    @cached_property
+    def users(self) -> DataFrame:
+        return self.table("events").select(F.col("user_id").cast("bigint").alias("id")).distinct()
+
     @cached_property
     def clean(self) -> DataFrame:
         return clean.drop_invalid(self.h)

@@ -704,14 +704,32 @@ def _(x: Fixture):
     return control.app_log_parse(history(x).select(F.col("instance").alias("log_id"), F.col("application_log").alias("log")))
 
 
-@query(name="progress_report_text")
+def _day(p: str) -> str:
+    return f"strftime(DATE '1970-01-01' + CAST({p} AS INT), '%Y-%m-%d')"
+
+
+def _days(title: str, periods: str) -> str:
+    return f"CASE WHEN len({periods}) > 0 THEN '{title} ' || array_to_string(list_transform({periods}, lambda p: {_day('p')}), ', ') || chr(10) ELSE '' END"
+
+
+#: The span of each request in the query: 30 periods from 0.
+PROGRESS = BATCHES.replace("SELECT base || CASE", ", told AS (SELECT base || CASE", 1) + f"""),
+listed AS (SELECT *, regexp_replace(type, '_new$', '') AS kind, CASE WHEN type LIKE '%\\_new' ESCAPE '\\' THEN 'new ' ELSE '' END AS fresh_word,
+  CASE WHEN periods = '' THEN []::INT[] ELSE list_transform(string_split(periods, ':'), lambda p: CAST(p AS INT)) END AS good,
+  CASE WHEN failed_periods = '' THEN []::INT[] ELSE list_sort(list_transform(string_split(failed_periods, ':'), lambda p: CAST(p AS INT))) END AS bad FROM told),
+spans AS (SELECT *, list_filter(range(coalesce(old_greatest_period + 1, 0), CASE WHEN kind = 'processing' THEN greatest_period ELSE 29 END + 1), lambda p: NOT list_contains(good, p) AND NOT list_contains(bad, p)) AS skipped FROM listed)
+SELECT instance, CASE WHEN kind = 'poll_request' THEN 'Accepted a new report 1970-01-01 to 1970-01-30' || chr(10) ELSE
+  CASE WHEN kind = 'processing' THEN 'Processing a ' || fresh_word || 'report 1970-01-01 to 1970-01-30, ' || printf('%.2f', 100.0 * (greatest_period + 1) / 30) || '% done, ' || (greatest_period + 1) || ' out of 30' || chr(10)
+    ELSE CASE WHEN kind = 'report' THEN 'Finished' ELSE 'Canceled' END || ' a ' || fresh_word || 'report 1970-01-01 to 1970-01-30' || chr(10) END
+  || {_days('Successful dates:', 'good')} || {_days('Failed dates:', 'bad')} || {_days('Skipped dates:', 'skipped')}
+  || CASE WHEN anomalies = '' THEN '' ELSE 'Anomalies: ' || replace(replace(replace(anomalies, ':', ' '), 'poll_request_failed', 'Failed to poll a new request;'), 'cancel_failed', 'Failed to cancel a report;') || chr(10) END END AS text FROM spans"""
+
+
+@query(PROGRESS, name="progress_report_text")
 def _(x: Fixture):
-    """One text for each request of the history that has something new; its span is 30 periods from 0."""
+    """One text for each request of the history that has something new."""
     rows = control.group_batches(control.instances_normalise(history(x)), LAST_SEEN)
-    texts = []
-    for r in rows.orderBy(F.desc("instance")).toLocalIterator():  # a history's requests
-        texts.append((r["instance"], control.progress_text([r.asDict() | {"first": 0, "last": 29}])))
-    return x.spark.createDataFrame(texts, "instance int, text string")
+    return control.progress_texts(rows.withColumns({"first": F.lit(0), "last": F.lit(29)})).select("instance", "text")
 
 
 @query("SELECT period, n AS done, printf('%.2f', 100.0 * n / 30) AS percent FROM (SELECT period, row_number() OVER (ORDER BY period) AS n FROM (SELECT DISTINCT period FROM fx_h) z) q", name="progress_percent")
@@ -864,15 +882,24 @@ def _(x: Fixture):
     return synth.duplicate_users(x.last_h.select("id", *TILE, "value_0"), 100000, 2)
 
 
+USERS = "(SELECT DISTINCT user_id AS id FROM events) u"
+
+
+@query(f"""SELECT CAST(id AS BIGINT) AS id, CAST(day AS INT) AS period, CAST(e AS INT) AS tile_e, CAST(n AS INT) AS tile_n, CASE WHEN inside THEN 1.0 ELSE 0.00003 END::DOUBLE AS value_0,
+  CASE WHEN inside THEN 1.0::DOUBLE / 3 ELSE 0.00001::DOUBLE END AS value_1, CASE WHEN inside THEN 1.0::DOUBLE / 3 ELSE 0.00001::DOUBLE END AS value_2, CASE WHEN inside THEN 1.0::DOUBLE / 3 ELSE 0.00001::DOUBLE END AS value_3
+  FROM {USERS} CROSS JOIN range(2) d(day) CROSS JOIN (SELECT e, n, (e - 2.5) * (e - 2.5) + (n - 2.5) * (n - 2.5) <= 4 AS inside FROM range(6) a(e) CROSS JOIN range(6) b(n)) c""", name="gen_circle")
+def _(x: Fixture):
+    return synth.gen_circle(x.spark, x.users, 2, 6, 2.0)
+
+
 RANDOM = {
-    "gen_simple": lambda x: synth.gen_simple(x.spark, 100, 10),
-    "gen_circle": lambda x: synth.gen_circle(x.spark, 20, 2),
-    "gen_residents": lambda x: synth.gen_residents(x.spark, 1000),
-    "gen_reference_areas": lambda x: synth.gen_reference_areas(x.spark),
-    "cdf_sample": lambda x: synth.cdf_sample(synth.population_cdf(x.tiles), 1000),
-    "gen_anchors": lambda x: synth.gen_anchors(synth.population_cdf(x.tiles), 200),
-    "gen_user_data": lambda x: synth.gen_user_data(synth.population_cdf(x.tiles), 200, 30),
-    "tile_offsets": lambda x: synth.tile_offsets(x.spark.range(1000)),
+    "gen_simple": lambda x: synth.gen_simple(x.spark, x.users, 10),
+    "gen_residents": lambda x: synth.gen_residents(x.spark, x.table("customer").select(F.col("c_custkey").alias("id"))),
+    "gen_reference_areas": lambda x: synth.gen_reference_areas(x.spark, areas=x.areas.select("id").distinct()),
+    "cdf_sample": lambda x: synth.cdf_sample(synth.population_cdf(x.tiles), x.users.count()),
+    "gen_anchors": lambda x: synth.gen_anchors(synth.population_cdf(x.tiles), x.users.count()),
+    "gen_user_data": lambda x: synth.gen_user_data(synth.population_cdf(x.tiles), x.users.count(), 30),
+    "tile_offsets": lambda x: synth.tile_offsets(x.last_h),
     "fill_subperiods": lambda x: synth.fill_subperiods(x.last_h),
 }
 for _name, _make in RANDOM.items():

@@ -329,6 +329,21 @@ def test_batches_and_texts(spark):
     )
 
 
+def test_texts_as_columns_equal_those_on_the_driver(spark):
+    cases = [
+        {"type": "poll_request", "first": 6, "last": 10},
+        {"type": "poll_request", "first": -1, "last": -1},
+        {"type": "report_new", "first": 0, "last": 5, "greatest_period": 4, "old_greatest_period": None, "periods": [2, 1], "failed_periods": [4, 3]},
+        {"type": "canceled", "first": 0, "last": 2, "greatest_period": None, "old_greatest_period": 2, "periods": [], "failed_periods": []},
+        {"type": "processing_new", "first": 0, "last": 7, "greatest_period": 5, "old_greatest_period": 1, "periods": [5, 3], "failed_periods": [], "anomalies": ["cancel_failed", "poll_request_failed"]},
+    ]
+    names = ["type", "first", "last", "greatest_period", "old_greatest_period", "periods", "failed_periods", "anomalies"]
+    filled = [tuple(c.get(n, [] if n in names[5:] else None) for n in names) for c in cases]
+    rows = spark.createDataFrame(filled, "type string, first int, last int, greatest_period int, old_greatest_period int, periods array<int>, failed_periods array<int>, anomalies array<string>")
+    got = [r["text"] for r in control.progress_texts(rows).collect()]
+    assert got == [control.progress_text([dict(zip(names, c, strict=True))]) or None for c in filled]
+
+
 def test_binary_files(spark, tmp_path):
     records = [(bytes([i] * 16), i, i + 1, 1.0 * i, 0.5, 0.25, 0.25) for i in range(100)]
     path = tmp_path / "day.hdata"
