@@ -33,8 +33,10 @@ from mosaique.llm.common import ascii_words, coded, per_row, slices, stored
 
 HEAD, ENDINGS, CLASSES, ROUNDS, KNOWN_HASHES = 1000, 400, 48, 6, 500_000
 ENDING, ADD, PRIOR = 2, 0.1, 20.0
-#: Words of fewer occurrences are behind endings. Share of the mutual information that a round of exchange must add.
-LEAST, CONVERGED = 10, 0.001
+#: Words of fewer occurrences are behind endings. Words that are clustered at most: 20 bytes each are broadcast, and a row for each
+#: that moves comes to the driver; of more, the rarest are behind endings too. Share of the mutual information that a round of
+#: exchange must add.
+LEAST, MOST_CLUSTERED, CONVERGED = 10, 8_000_000, 0.001
 #: Bigrams that a task gathers before it hands them on, nonzero counts that are weighed at once, buckets a partition.
 GATHER, WEIGHED, BUCKETS = 1_000_000, 10_000, 4
 
@@ -355,15 +357,17 @@ def train(docs: DataFrame, counts: DataFrame) -> Model:
     ends = docs.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()[0]
     total, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
-    floor, held = 1, 0
+    floor, least, held = 1, LEAST, 0
     by_size = F.floor(F.log2("n")).cast("int").alias("log2")
     for r in counts.groupBy(by_size).agg(F.count("*").alias("v")).orderBy(F.desc("log2")).collect():  # 63 rows at most
         held += r["v"]
-        if held > KNOWN_HASHES:
+        if floor == 1 and held > KNOWN_HASHES:
             floor = 2 << r["log2"]
+        if held > MOST_CLUSTERED:
+            least = max(LEAST, 2 << r["log2"])
             break
-    floor = min(floor, LEAST)  # every clustered word is in the hash arrays
-    by_ending = counts.groupBy(F.expr(f"right(word, {ENDING})").alias("ending")).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") < LEAST, F.col("n")).otherwise(0)).alias("n"), F.sum((F.col("n") < LEAST).cast("long")).alias("v"))
+    floor = min(floor, least)  # every clustered word is in the hash arrays
+    by_ending = counts.groupBy(F.expr(f"right(word, {ENDING})").alias("ending")).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") < least, F.col("n")).otherwise(0)).alias("n"), F.sum((F.col("n") < least).cast("long")).alias("v"))
     common = by_ending.orderBy(F.desc("all"), "ending").limit(ENDINGS).collect()
     rest = by_ending.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()[0]
     number = spark.createDataFrame([(r["ending"], i) for i, r in enumerate(common)], "ending string, e int")
@@ -372,7 +376,7 @@ def train(docs: DataFrame, counts: DataFrame) -> Model:
     h, n, e = (np.asarray(got[c]).astype(t) for c, t in (("h", np.int64), ("n", np.int64), ("e", np.int64)))
     order = np.lexsort((h, -n))
     h, n, e = h[order], n[order], e[order]
-    size = int((n >= LEAST).sum())
+    size = int((n >= least).sum())
     at = np.argsort(h)
     units = Units(h[at], at.astype(np.int32), n[at].astype(np.int32) if len(n) == 0 or n.max() < 2**31 else n[at], size, {r["ending"]: size + i for i, r in enumerate(common)})
     behind, kinds = np.zeros(units.end + 1), np.zeros(units.end + 1)

@@ -330,6 +330,26 @@ def test_every_word_but_rare_ones_gets_a_class_of_its_own(make, monkeypatch):
     assert len(of(noun)) == len(of(verb)) == 1 and of(noun) != of(verb)
 
 
+def test_clustered_words_are_bounded(make, monkeypatch):
+    """Of more words the rarest are behind endings; counts and base scores stay, and the model is one of all words."""
+    rng = random.Random(14)
+    docs = make([" ".join("w" + str(int(rng.paretovariate(0.7))) for _ in range(300)) for _ in range(40)])
+    base = lambda: sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in brown.class_scores(docs, remainder(10) == 0).collect())
+    monkeypatch.setattr(brown, "HEAD", 5)
+    whole = base()
+    counts = stored(brown.word_counts(docs), "word-counts")
+    monkeypatch.setattr(brown, "MOST_CLUSTERED", 20)
+    model = brown.train(docs, counts)
+    assert 0 < model.units.clustered <= 20 < sum(r["n"] >= brown.LEAST for r in counts.collect()) and base() == whole
+    named = {r["word"]: r["n"] for r in counts.collect()}
+    unit, count = model.units.find(pa.array(list(named)))
+    tail = unit >= model.units.clustered
+    known = np.where(count >= 0, count, list(named.values()))
+    p = 10 ** (model.emit[unit] + np.where(tail, model.word(unit, known), 0))
+    of = np.bincount(model.home[unit], p, brown.CLASSES)
+    assert (of < 1.0001).all() and of.max() > 0.9  # what is missing are words that no text has
+
+
 def test_gains_equal_counting_anew():
     rng = np.random.default_rng(13)
     pairs, home = rng.poisson(0.7, (12, 12)).astype(float), rng.integers(0, 3, 12)
