@@ -158,6 +158,47 @@ def test_language_of_held_out_texts(make):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for r in rows)
 
 
+def test_languages_equal_a_plain_compressor(make, monkeypatch):
+    """Pieces, dictionaries, blocks, ties and margins by the definition, with a fresh compressor for every block."""
+    import regex
+    import xxhash
+    import zstandard
+
+    monkeypatch.setattr(langid, "PIECE", 40)
+    rng = random.Random(41)
+    texts = [prose(rng, rng.randint(1, 900 if k % 10 < 2 else 60), g) for k, g in enumerate(["en", "de"] * 30)] + ["", None, "123 !?", "éÉ ß", "ab", "cd"]
+    langs = ["en", "de"] * 30 + ["en", "de", None, "fr", None, "de"]
+    docs = make(texts, langs=langs)
+    split = docs.withColumn("held_out", F.col("doc_id") % 3 == 0)
+    plain = lambda t: regex.sub(r"[^\p{L}\p{M}]+", " ", (t or "").lower())
+    pieces = {}
+    for i, (t, g) in enumerate(zip(texts, langs, strict=True)):
+        if t is not None and g and i % 3:
+            pieces.setdefault(g, set()).update(t[k : k + 40] for k in range(0, len(t), 40))
+    order = lambda x: (xxhash.xxh3_64_intdigest(x.encode()) >> 1, x)
+    contents = {g: "".join(map(plain, sorted(pieces[g], key=order)[:6])).encode() for g in sorted(pieces)}
+    assert langid.dictionaries(split.where("not held_out"), pieces=6) == contents
+
+    def size(raw, content, level):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        options = {"level": level, "dict_data": d, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return sum(len(zstandard.ZstdCompressor(**options).compress(raw[k : k + langid.BLOCK])) for k in range(0, len(raw), langid.BLOCK))
+
+    got = {r["doc_id"]: r for r in langid.identify(split, contents).collect()}
+    for i, t in enumerate(texts):
+        raw = plain(t).encode()
+        if not regex.search(r"\p{L}", plain(t)):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0)
+            continue
+        sizes = {g: size(raw, c, langid.LEVEL) for g, c in contents.items()}
+        first, second, *_ = sorted(sizes.values())
+        tied = [g for g in contents if sizes[g] == first]
+        finer = {g: sum(size(raw, contents[g], x) for x in langid.FINER) for g in tied}
+        assert got[i]["lang_pred"] == min(tied, key=lambda g: (len(tied) > 1 and finer[g], g)) and got[i]["score"] == pytest.approx(1 - first / second)
+        assert got[i]["rejected"] == (got[i]["score"] < langid.NARROW)
+
+
 def test_a_tie_goes_by_finer_sizes():
     """Short texts, of which many have one size with both dictionaries at the first level."""
     rng = random.Random(17)
