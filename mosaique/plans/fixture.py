@@ -85,7 +85,10 @@ class Fixture:
 
     @cached_property
     def weighted(self) -> DataFrame:
-        return report.user_weights(self.y, self.weights)
+        """Y with its users' weights; Y is made once, and so is this."""
+        y = kept(self.y)
+        weights = report.calibration_weights(report.top_anchor_distribution(y), self.residents, self.params)
+        return kept(report.user_weights(y, weights))
 
     @cached_property
     def tiles(self) -> DataFrame:
