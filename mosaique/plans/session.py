@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mosaique.functions.crypto import KeyTable, depseudonymise, lookup_key
@@ -212,9 +212,9 @@ class ReportSession:
         before = self.at["state"] or self.store.empty()
         with Temporary(self.store) as keep:
             valid, seen = inspect(clean.drop_invalid(self._ids(period, h)).where(F.col("id").isNotNull()), "valid")
-            ready = keep(clean.dedup_max(valid))
-            n = before["n"]
-            touched = sorted(r[0] for r in ready.select(state.bucket_of(n)).distinct().collect())  # n at most
+            n, met = before["n"], Observation("h")
+            ready = keep(clean.dedup_max(valid).observe(met, F.count(F.lit(1)).alias("h"), F.collect_set(state.bucket_of(n)).alias("touched")))
+            touched = sorted(met.get["touched"] or [])  # n at most
             old = keep.buckets(before, touched)
             merged, after = inspect(state.merge_buckets(old, ready, n, self.params), "s_new")
             now, report = self.store.write(merged, before) if touched else before, None
@@ -222,7 +222,7 @@ class ReportSession:
                 new = keep.buckets(now, touched)
                 now, rest = self._counted(new, before, now, touched)
                 untouched = sum(rest.get(("weight", 0), {}).values())
-                out.counts = seen.get | {"s_new": (after.get["s_new"] if touched else 0) + untouched, "h": ready.count()}
+                out.counts = seen.get | {"s_new": (after.get["s_new"] if touched else 0) + untouched, "h": met.get["h"]}
                 out.log.append(indicators.log_text(ready, old, new, out.counts["valid"] - out.counts["h"], self.params.k, rest).removesuffix("\n"))
                 if period == r.last:
                     report = self._finish(now, out)

@@ -16,11 +16,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from mosaique.operators.clean import drop_invalid
 from mosaique.schemas import KEY, TILE, VALUES
+from mosaique.sources.sinks import settings
 
 _ROWS = f"id string, tile_e int, tile_n int, {', '.join(f'{v} double' for v in VALUES)}, late boolean, period int"
 _TILES = f"tile_e int, tile_n int, {', '.join(f'{v} double' for v in VALUES)}"
 #: Spark's setting for a state store that keeps what doesn't fit in memory on disk and uploads changes alone.
-ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 class UserFold(StatefulProcessor):
@@ -64,12 +65,12 @@ class UserFold(StatefulProcessor):
 
 def fold_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Starts the fold of a stream of H rows with their period (ids as text). Parts are in out/state and out/late."""
-    spark = rows.sparkSession
-    spark.conf.set(*ROCKSDB)
     clean = drop_invalid(rows).where(F.col("id").isNotNull()).select(*KEY, *VALUES, "period")
     folded = clean.groupBy("id").transformWithStateInPandas(UserFold(), _ROWS, "Append", "None")
 
-    return folded.writeStream.foreachBatch(lambda batch, number: write_part(batch, number, out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    parts = folded.writeStream.foreachBatch(lambda batch, number: write_part(batch, number, out)).option("checkpointLocation", checkpoint)
+    with settings(rows.sparkSession, ROCKSDB):  # a query keeps the settings that it starts with
+        return parts.trigger(availableNow=True).start()
 
 
 def write_part(batch: DataFrame, number: int, out: str) -> None:
