@@ -38,8 +38,8 @@ LEAST_CHARS, LEAST_DOCS = 20, 3
 #: A digest's bytes, bits of a filter for each key, places that a key sets, most bits of a filter, bytes of its stored parts, and
 #: most pairs of filters.
 DIGEST, BITS, PLACES, MOST_BITS, SEGMENT, ROUNDS = 16, 16, 4, 1 << 28, 1 << 15, 16
-#: Confirmed keys that are broadcast.
-HELD = 4_000_000
+#: Confirmed keys that are broadcast, and bytes of text at once.
+HELD, SLICE = 4_000_000, 1 << 20
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -60,7 +60,7 @@ def line_keys(docs: DataFrame) -> DataFrame:
     """doc_id, digests: the distinct keys of each row, one behind the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             offsets, _, codes, digests = lines_of(part.column("text"))
             row = np.repeat(np.arange(part.num_rows), np.diff(offsets))[codes >= 0]
             pairs = np.unique(row * max(1, len(digests)) + codes[codes >= 0])
@@ -229,7 +229,7 @@ def dedup_lines(docs: DataFrame, held: int = HELD, most_bits: int = MOST_BITS) -
         keepers = docs.sparkSession.sparkContext.broadcast(Keepers(digests, np.asarray(table.column("keeper"), dtype=np.int64)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in slices(batches):
+            for part in slices(batches, limit=SLICE):
                 ids = np.asarray(pc.fill_null(part.column("doc_id"), 0), dtype=np.int64)
                 known = np.asarray(part.column("doc_id").is_valid())
 
@@ -245,7 +245,7 @@ def dedup_lines(docs: DataFrame, held: int = HELD, most_bits: int = MOST_BITS) -
     joined = texts.where(F.col("doc_id").isNotNull()).join(own, "doc_id", "left")
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             sets = [{*x} for x in pc.fill_null(part.column("gone"), []).to_pylist()]
 
             def gone(codes: np.ndarray, digests: np.ndarray, row: np.ndarray) -> np.ndarray:
