@@ -240,7 +240,7 @@ class ReportSession:
     def _counted(self, new: DataFrame, before: dict, now: dict, touched: list[int]) -> tuple[dict, dict]:
         """The state with the counts of its buckets, and those counts of all buckets but the touched ones, added up."""
         counts, rest = indicators.bucket_counts(new, now["n"]), {}
-        if before["stats"]:
+        if {*map(int, before["buckets"])} - {*touched}:
             others = self.spark.read.parquet(f"{self.store.root}/{before['stats']}").where(~F.col("bucket").isin(touched))
             for x in others.groupBy("what", indicators.SUB, "bin").agg(F.sum("n").alias("n")).collect():  # some hundred bins
                 rest.setdefault((x["what"], x[indicators.SUB]), {})[x["bin"]] = x["n"]
