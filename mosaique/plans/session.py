@@ -246,7 +246,7 @@ class ReportSession:
                 rest.setdefault((x["what"], x[indicators.SUB]), {})[x["bin"]] = x["n"]
             counts = counts.unionByName(others)
         stats = f"stats-{uuid.uuid4().hex}"
-        counts.coalesce(1).write.parquet(f"{self.store.root}/{stats}")  # some hundred bins a bucket
+        counts.write.parquet(f"{self.store.root}/{stats}")  # some hundred bins a bucket
         return now | {"stats": stats}, rest
 
     def finish(self) -> Outcome:
