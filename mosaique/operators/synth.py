@@ -242,9 +242,10 @@ def tile_offsets(rows: DataFrame, scale: float = 1.0, seed: int = 0) -> DataFram
 
 
 def gen_day_rows(samples: DataFrame) -> DataFrame:
-    """H rows of weighted samples (id, tile, sub_period 1 to 3, v): sums by sub-period as columns, and the day's sum."""
-    wide = samples.groupBy(*KEY).pivot("sub_period", [1, 2, 3]).agg(F.sum("v")).na.fill(0.0, ["1", "2", "3"])
-    return wide.select(*KEY, F.expr("`1` + `2` + `3`").alias("value_0"), F.col("1").alias("value_1"), F.col("2").alias("value_2"), F.col("3").alias("value_3"))
+    """H rows of weighted samples (id, tile, sub_period 1 to 3, v): sums by sub-period as columns, and the day's sum. A tile whose
+    samples weigh nothing keeps its row, and so does one whose weights are unknown (null)."""
+    subs = (F.sum(F.when(F.col("sub_period") == i, F.col("v")).otherwise(0.0)).alias(f"value_{i}") for i in (1, 2, 3))
+    return samples.groupBy(*KEY).agg(F.sum("v").alias("value_0"), *subs)
 
 
 def fill_subperiods(h: DataFrame, seed: int = 0) -> DataFrame:

@@ -31,14 +31,19 @@ class Fixture:
         return kept(df)
 
     @cached_property
-    def h(self) -> DataFrame:
+    def obs(self) -> DataFrame:
+        """A row for each event: its tile, sub-period 1 to 3 and weight v."""
         k = F.get_json_object("props", "$.k").cast("int")
         v = F.when(F.col("event_type") == "error", -1).otherwise(1) * F.round(F.col("value") * 100)
         sub = F.when(F.hour("ts") < 8, 1).when(F.hour("ts") < 16, 2).otherwise(3)
-        obs = self.table("events").select(
-            F.col("user_id").alias("id"), F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).alias("period"), (k % 5).alias("tile_e"), F.floor(k / 20.0).cast("int").alias("tile_n"), sub.alias("sub"), v.alias("value_0")
+        return self.table("events").select(
+            F.col("user_id").alias("id"), F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).alias("period"), (k % 5).alias("tile_e"), F.floor(k / 20.0).cast("int").alias("tile_n"), sub.alias("sub_period"), v.alias("v")
         )
-        return obs.select("id", "period", "tile_e", "tile_n", "value_0", *(F.when(F.col("sub") == i, F.col("value_0")).otherwise(0.0).alias(f"value_{i}") for i in (1, 2, 3)))
+
+    @cached_property
+    def h(self) -> DataFrame:
+        values = (F.when(F.col("sub_period") == i, F.col("v")).otherwise(0.0).alias(f"value_{i}") for i in (1, 2, 3))
+        return self.obs.select("id", "period", "tile_e", "tile_n", F.col("v").alias("value_0"), *values)
 
     @cached_property
     def users(self) -> DataFrame:

@@ -873,8 +873,7 @@ def _(x: Fixture):
 
 @query(f"SELECT {KEYS}, sum(v) AS value_0, " + ", ".join(f"sum(CASE WHEN sub_period = {i} THEN v ELSE 0 END) AS value_{i}" for i in (1, 2, 3)) + f" FROM fx_obs GROUP BY {KEYS}", name="gen_day_rows")
 def _(x: Fixture):
-    rows = x.h.select("id", *TILE, F.expr("stack(3, 1, value_1, 2, value_2, 3, value_3) as (sub_period, v)")).where("v != 0")
-    return synth.gen_day_rows(rows)
+    return synth.gen_day_rows(x.obs.select("id", *TILE, "sub_period", "v"))
 
 
 @query("SELECT CAST(id AS BIGINT) AS id, tile_e, tile_n, value_0 FROM last_h UNION ALL SELECT id + k * 100000, tile_e, tile_n, value_0 FROM last_h CROSS JOIN (SELECT unnest(range(2)) AS k) z", name="duplicate_users")
