@@ -8,9 +8,9 @@ part, which replaces itself if the batch runs again; the newest part of a user i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import add
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -19,54 +19,56 @@ from mosaique.schemas import KEY, TILE, VALUES
 from mosaique.sources.sinks import settings
 
 _ROWS = f"id string, tile_e int, tile_n int, {', '.join(f'{v} double' for v in VALUES)}, late boolean, period int"
+_OUT = Row(*KEY, *VALUES, "late", "period")
 _TILES = f"tile_e int, tile_n int, {', '.join(f'{v} double' for v in VALUES)}"
 #: Spark's setting for a state store that keeps what doesn't fit in memory on disk and uploads changes alone.
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 class UserFold(StatefulProcessor):
-    """Sums and open maxima of one user, as a map by tile each, and the open period."""
+    """Sums and open maxima of one user by tile, and the open period. They are one value, which a micro-batch reads once and writes
+    once: each call to the store is a round trip."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        tile, values = "tile_e int, tile_n int", ", ".join(f"{v} double" for v in VALUES)
-        self.sums, self.open = handle.getMapState("sums", tile, values), handle.getMapState("open", tile, values)
-        self.period = handle.getValueState("period", "period int")
-
-    def _close(self) -> None:
-        for tile, values in list(self.open.iterator()):
-            before = self.sums.getValue(tile) if self.sums.containsKey(tile) else (0.0,) * len(VALUES)
-            self.sums.updateValue(tile, tuple(a + b for a, b in zip(before, values, strict=True)))
-        self.open.clear()
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))  # one user's rows of a micro-batch
-        at = self.period.get()[0] if self.period.exists() else None
-        late = batch[batch["period"] < at] if at is not None else batch[:0]
-        for period, of in batch.drop(late.index if at is not None else []).groupby("period", sort=True):
-            if at is not None and period > at:
-                self._close()
-            at = int(period)
-            for tile, values in of.groupby(TILE)[VALUES].max().iterrows():
-                tile = tuple(map(int, tile))
-                before = self.open.getValue(tile) if self.open.containsKey(tile) else values
-                self.open.updateValue(tile, tuple(float(max(a, b)) for a, b in zip(before, values, strict=True)))
-        self.period.update((at,))
-        state = {tuple(t): tuple(v) for t, v in self.sums.iterator()}
-        for t, v in self.open.iterator():
-            state[tuple(t)] = tuple(a + b for a, b in zip(state.get(tuple(t), (0.0,) * len(VALUES)), v, strict=True))
-        found = pd.DataFrame([(key[0], *t, *v, False, at) for t, v in state.items()], columns=[*KEY, *VALUES, "late", "period"])
-        if len(late):
-            found = pd.concat([found, late.assign(late=True)[found.columns]])
-        yield found
+        tiles = f"array<struct<{', '.join(x.replace(' ', ': ') for x in _TILES.split(', '))}>>"
+        self.user = handle.getValueState("user", f"period int, sums {tiles}, open {tiles}")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.user.get()
+        start, *tiles = before if before else (None, [], [])
+        sums, open_ = ({(t[0], t[1]): tuple(t[2:]) for t in of} for of in tiles)
+        at, late, own = start, [], []
+        for r in rows:  # one user's rows of a micro-batch
+            (late if start is not None and r["period"] < start else own).append(r)
+        for r in sorted(own, key=lambda r: r["period"]):
+            if r["period"] != at:
+                sums, open_, at = _added(sums, open_), {}, r["period"]
+            tile, values = (r["tile_e"], r["tile_n"]), tuple(r[v] for v in VALUES)
+            open_[tile] = tuple(map(max, open_[tile], values)) if tile in open_ else values
+        if own:
+            self.user.update((at, _packed(sums), _packed(open_)))
+        for t, v in _added(sums, open_).items():
+            yield _OUT(*key, *t, *v, False, at)
+        for r in late:
+            yield _OUT(*key, *(r[c] for c in (*TILE, *VALUES)), True, r["period"])
 
     def close(self) -> None:
         pass
 
 
+def _added(a: dict, b: dict) -> dict:
+    """Values by tile, added up."""
+    return a | {t: tuple(map(add, a[t], v)) if t in a else v for t, v in b.items()}
+
+
+def _packed(tiles: dict) -> list[tuple]:
+    return [(*t, *v) for t, v in tiles.items()]
+
+
 def fold_stream(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Starts the fold of a stream of H rows with their period (ids as text). Parts are in out/state and out/late."""
     clean = drop_invalid(rows).where(F.col("id").isNotNull()).select(*KEY, *VALUES, "period")
-    folded = clean.groupBy("id").transformWithStateInPandas(UserFold(), _ROWS, "Append", "None")
+    folded = clean.groupBy("id").transformWithState(UserFold(), _ROWS, "Append", "None")
 
     parts = folded.writeStream.foreachBatch(lambda batch, number: write_part(batch, number, out)).option("checkpointLocation", checkpoint)
     with settings(rows.sparkSession, ROCKSDB):  # a query keeps the settings that it starts with

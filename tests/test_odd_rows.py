@@ -4,10 +4,12 @@ import json
 from datetime import datetime
 
 import duckdb
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from mosaique.operators import synth
 from mosaique.plans.queries import QUERIES, SQL
+from mosaique.streaming import keyed
 
 
 def test_tiles_of_no_weight_have_day_rows(spark, tmp_path):
@@ -29,3 +31,30 @@ def test_tiles_of_no_weight_have_day_rows(spark, tmp_path):
 def test_day_rows_of_absent_sub_periods(spark):
     samples = spark.createDataFrame([("a", 0, 0, 2, 1.5), ("a", 0, 0, 2, 0.5), ("a", 0, 0, 3, 1.0), ("b", 1, 0, 1, 0.0)], "id string, tile_e int, tile_n int, sub_period int, v double")
     assert sorted(map(tuple, synth.gen_day_rows(samples).orderBy(F.col("id")).collect())) == [("a", 0, 0, 3.0, 0.0, 2.0, 1.0), ("b", 1, 0, 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_a_users_fold_reads_and_writes_its_state_once():
+    """However many tiles a micro-batch has: each call to the store is a round trip."""
+    calls, stored = [], []
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return stored[-1] if stored else None
+
+        def update(self, value):
+            calls.append("update")
+            stored.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    fold, row = keyed.UserFold(), Row("id", "tile_e", "tile_n", "value_0", "value_1", "value_2", "value_3", "period")
+    fold.init(Handle())
+    days = lambda *of: iter([row("a", e, 0, v, 0.0, v, 0.0, p) for p in of for e in range(40) for v in (1.0, 2.0)])
+    list(fold.handleInputRows(("a",), days(2, 1), None))
+    got = list(fold.handleInputRows(("a",), days(2, 3, 1), None))
+    assert calls == ["get", "update"] * 2
+    assert sorted(tuple(r) for r in got if not r["late"]) == [("a", e, 0, 6.0, 0.0, 6.0, 0.0, False, 3) for e in range(40)]
+    assert len([r for r in got if r["late"] and r["period"] == 1]) == 80
