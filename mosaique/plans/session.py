@@ -19,16 +19,19 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mosaique.functions.crypto import KeyTable, depseudonymise, lookup_key
+from mosaique.functions.exact import exact_sum
 from mosaique.functions.storage import FileSystem, Lease
 from mosaique.operators import clean, control, indicators, state
 from mosaique.operators.compare import inspect
 from mosaique.operators.report import Report, full_report
 from mosaique.params import Params
+from mosaique.schemas import KEY, VALUES
 from mosaique.sources.files import area_steps
 from mosaique.sources.sinks import StaleSession, StateStore, Temporary, check_request, read_report, report_dir, write_report
 
@@ -196,14 +199,20 @@ class ReportSession:
         key = lookup_key(self.keys.frame(self.spark), period)
         return h.withColumn("id", F.lower(F.hex(depseudonymise(F.col("id"), key))))
 
+    def refused(self, period: int) -> str | None:
+        """Why a period may not come now; None: it may."""
+        if not self.awaiting_h:
+            return "no request is being worked on"
+        last = self.at["request"]["last"]
+        allowed = period_guard(period, self.at["next"], last) and period not in self.at["periods"]
+        return None if allowed else f"period {period} is not in {self.at['next']} to {last}"
+
     def ingest(self, period: int, h: DataFrame, metadata: str | None = None) -> Outcome:
         """Merges a period's rows; the last period also makes the report. The log has the request, what was skipped, and the
         indicators of the cleaned rows, the old and the new state."""
-        if not self.awaiting_h:
-            raise InvalidRequest("no request is being worked on")
+        if why := self.refused(period):
+            raise InvalidRequest(why)
         r = Request(**self.at["request"])
-        if not period_guard(period, self.at["next"], r.last) or period in self.at["periods"]:
-            raise InvalidRequest(f"period {period} is not in {self.at['next']} to {r.last}")
         began, out = time.time(), Outcome()
         if metadata is not None:
             out.log.append(f"{control.METADATA}{metadata}")
@@ -237,6 +246,41 @@ class ReportSession:
         out.log.append(f"{control.RUNTIME}{int(time.time() - began)}s")
         return out
 
+    def ingest_periods(self, h: DataFrame, periods: list[int]) -> Outcome:
+        """Merges the rows of several periods, all of which may come, as one step with one commit: the state (but for the last digit of a
+        sum), its counts and the report are those of `ingest` period by period. Only the application log of each period isn't made,
+        which tells of states in between. The state's rounding to floats goes period by period, so it needs `ingest`."""
+        if self.params.float32_state:
+            raise ValueError("a state of floats is merged period by period")
+        for p in periods:
+            if why := self.refused(p):
+                raise InvalidRequest(why)
+        last, out = self.at["request"]["last"], Outcome()
+        before = self.at["state"] or self.store.empty()
+        of = [self._ids(p, h.where(F.col("period") == p)) for p in periods] if self.keys else [self._ids(0, h.where(F.col("period").isin(periods)))]
+        with Temporary(self.store) as keep:
+            valid, seen = inspect(clean.drop_invalid(reduce(DataFrame.unionByName, of)).where(F.col("id").isNotNull()), "valid")
+            n, met = before["n"], Observation("h")
+            days = clean.dedup_max(valid, "period").groupBy(*KEY).agg(*(exact_sum(v).alias(v) for v in VALUES))
+            ready = keep(days.observe(met, F.collect_set(state.bucket_of(n)).alias("touched")))
+            touched = sorted(met.get["touched"] or [])  # n at most
+            merged = state.merge_buckets(keep.buckets(before, touched), ready, n, self.params)
+            now, report = self.store.write(merged, before) if touched else before, None
+            try:
+                now, _ = self._counted(keep.buckets(now, touched), before, now, touched)
+                out.counts = dict(seen.get)
+                if periods[-1] == last:
+                    report = self._finish(now, out)
+            except BaseException:
+                self.store.drop_unused(now, before)
+                raise
+        if report:
+            self.store.drop_unused(now, before)
+            self._close(report, out)
+        else:
+            self._commit(next=periods[-1] + 1, state=now, periods=[*self.at["periods"], *periods])
+        return out
+
     def _counted(self, new: DataFrame, before: dict, now: dict, touched: list[int]) -> tuple[dict, dict]:
         """The state with the counts of its buckets, and those counts of all buckets but the touched ones, added up."""
         counts, rest = indicators.bucket_counts(new, now["n"]), {}

@@ -414,3 +414,42 @@ def test_keyed_fold_of_a_stream(spark, tmp_path, monkeypatch):
     run()
     assert [(r["id"], r["value_0"], r["period"]) for r in keyed.late_rows(spark, out).collect()] == [("a", 9.0, 1)]
     assert of(keyed.folded_state(spark, out)) == [("a", 0, 0, 4.0), ("a", 2, 0, 4.0), ("b", 1, 1, 1.5), ("d", 0, 0, 1.0)]
+
+
+def test_a_micro_batch_is_one_step(spark, tables, tmp_path):
+    """All periods of a batch merge with one commit; period by period, for the logs, the state, its counts and the report are the same."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    days = {1: [("a", 0, 0, 2.0), ("a", 0, 0, 3.0), ("b", 1, 1, 1.0)], 2: [("a", 0, 0, 1.0), ("b", 0, 0, -1.0)], 3: [("c", 1, 1, 4.0)], 5: [("b", 1, 1, 0.5)], 9: [("x", 0, 0, 1.0)]}
+
+    def arrive(*periods):
+        for p in periods:
+            (folder / f"day-{p}-updates.csv").write_text("id,tile_e,tile_n,value_0,value_1,value_2,value_3\n" + "".join(f"{i},{e},{n},{v},{v},0,0\n" for i, e, n, v in days[p]))
+
+    def run(s, mark, **more):
+        late = []
+        ingest.ingest_stream(ingest.footprint_stream(spark, str(folder), files=9), s, mark, late=lambda p, why: late.append((p, why)), **more).awaitTermination()
+        return late
+
+    def counts(s):
+        return sorted(map(tuple, spark.read.parquet(f"{s.store.root}/{s.at['state']['stats']}").collect()))
+
+    one, each, logs = new(spark), new(spark), []
+    for s in (one, each):
+        s.poll([Request(2, 5, *tables)])
+    arrive(1, 2, 3)
+    before = one.at["version"]
+    for s, mark, more in ((one, "one", {}), (each, "each", {"log": lambda p, out: logs.append((p, out.text))})):
+        assert run(s, str(tmp_path / mark), **more) == [(1, ":AE01: period 1 is not in 2 to 5")]
+    assert one.at["version"] == before + 2 and each.at["version"] == before + 3  # one for the lease
+    assert (one.at["next"], one.at["periods"]) == (each.at["next"], each.at["periods"]) == (4, [2, 3])
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(one.state()) == rows(each.state()) == [("a", 0, 0, 1.0, 1.0, 0.0, 0.0), ("c", 1, 1, 4.0, 4.0, 0.0, 0.0)] and counts(one) == counts(each)
+    assert [p for p, _ in logs] == [2, 3] and all(t for _, t in logs)
+    with pytest.raises(InvalidRequest):
+        one.ingest_periods(day(spark).withColumn("period", F.lit(3)), [3])
+    arrive(5, 9)
+    for s, mark, more in ((one, "one", {}), (each, "each", {"log": lambda p, out: logs.append((p, out.text))})):
+        assert [p for p, _ in run(s, str(tmp_path / mark), **more)] == [9] and not s.awaiting_h
+    reports = [spark.read.csv(f"{s.out}/1970-01-03-1970-01-06/fingerprint_report.csv", header=True) for s in (one, each)]
+    assert rows(reports[0]) == rows(reports[1]) and reports[0].count() == 2
