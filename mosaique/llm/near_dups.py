@@ -13,7 +13,8 @@
    sketch by sketch, which leaves the members that share enough with any other, then those set by set; only links come out. Of
    lists with the same members one is searched. So no link between different texts is lost to a cap.
 
-Nothing but numbers of rows reaches the driver. Values and digests that very many members have are joined by broadcast (there
+Nothing but numbers of rows reaches the driver. What a join reads several times is stored first, as plans that hold it again and
+again, each time with its joins, are the driver's memory. Values and digests that very many members have are joined by broadcast (there
 are few such), so no task gets all rows of one.
 
 Fewer than five words: the whole sequence is one shingle. Null, empty or white text: no shingle, linked with nothing. A null
@@ -114,7 +115,8 @@ def star_pairs(lists: DataFrame, salt: int, stars: int) -> DataFrame:
     """a < b: every member of a list with the list's hub. Lists of one colour choose the same hub of a group."""
     draw = F.xxhash64("rep", F.pmod(F.xxhash64("value"), F.lit(stars)), F.lit(salt))
     hubs = lists.groupBy("value").agg(F.min(F.struct(draw.alias("draw"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"))).alias("h"))
-    joined = hot_join(lists, hubs.select("value", "h.hub", "h.hub_n"), "value", lists.count()).where(F.col("hub") != F.col("rep"))
+    hubs = stored(hubs.select("value", "h.hub", "h.hub_n"), "hubs")
+    joined = hot_join(lists, hubs, "value", lists.count()).where(F.col("hub") != F.col("rep"))
     near = _alike_sizes(F.col("n"), F.col("hub_n"))
     return joined.where(near).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
@@ -295,7 +297,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         now, before = after, state
     roots = after.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return after.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
+    return stored(after.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots), "components")
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -317,7 +319,7 @@ def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
         if turn == 0:
             pairs = small_pairs(lists).union(star_pairs(lists.where(F.col("size") > SMALL), turn, STARS)).distinct()
         else:
-            pairs = star_pairs(_open(lists, labels), turn, STARS).join(tried, ["a", "b"], "left_anti")
+            pairs = star_pairs(stored(_open(lists, labels), "open"), turn, STARS).join(tried, ["a", "b"], "left_anti")
         pairs = stored(estimated(pairs, reps), "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = stored(confirmed(pairs, texts), "links")
