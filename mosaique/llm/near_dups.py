@@ -11,7 +11,8 @@
 5. Confirmed links make components, by alternating minimum stars. Where a long list still has members of several components,
    those outside its largest one are compared with every member of a like size, in blocks that go to different tasks: first
    sketch by sketch, which leaves the members that share enough with any other, then those set by set; only links come out. Of
-   lists with the same members one is searched. So no link between different texts is lost to a cap.
+   lists with the same members one is searched, and of the lists that a pair has in common one has its sets compared. So no link
+   between different texts is lost to a cap. Sketches and texts are joined once to each member of a list, before blocks are dealt.
 
 Nothing but numbers of rows reaches the driver. What a join reads several times is stored first, as plans that hold it again and
 again, each time with its joins, are the driver's memory. Values and digests that very many members have are joined by broadcast (there
@@ -26,7 +27,7 @@ columns are ignored by `near_duplicates` and kept by `keep_one`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ WORDS, SKETCH = 5, 64
 #: A link: 100 * intersection >= SIMILAR * union. A pair under LEAST_ESTIMATE by its sketches is not confirmed.
 SIMILAR, LEAST_ESTIMATE = 75, 0.5
 STARS, TRIES, SMALL = 2, 2, 8
-#: Members a side of a block of full sets, and of sketches.
-BLOCK, SKETCH_BLOCK = 2000, 16_384
+#: Members a side of a block of full sets, and of sketches, at most; and shingles a side of a block of full sets.
+BLOCK, SKETCH_BLOCK, SHINGLES = 8192, 16_384, 1 << 20
 #: Bytes of texts that are open at once, and of packed texts whose pairs are confirmed together.
 OPENED, PACKED = 2 << 20, 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -222,60 +223,84 @@ def _across(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
+def _counter(values: np.ndarray, bounds: np.ndarray, ys: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """A function that counts, for each of the lists ys, its values among given ones. No list is empty."""
+    size = np.diff(bounds)[ys]
+    known, codes = np.unique(values[spread(bounds[ys], size)], return_inverse=True)
+    starts, mark = np.cumsum(size) - size, np.zeros(len(known), np.int32)
+
+    def count(own: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(known, own)
+        at = at[known[np.minimum(at, len(known) - 1)] == own]
+        mark[at] = 1
+        both = np.add.reduceat(mark[codes], starts)
+        mark[at] = 0
+        return both
+
+    return count
+
+
+def _arrays(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    lists = column.combine_chunks()
+    bounds = np.asarray(lists.offsets, dtype=np.int64)
+    return np.asarray(lists.flatten()), bounds - bounds[0]
+
+
 def _candidates(group: pa.Table) -> pa.Table:
-    """Members of a block that share enough of their sketches with a member of the other side in another component."""
-    side = np.asarray(group["side"])
+    """Members of a block that share enough of their sketches with a member of the other side in another component, where this list
+    is the first that both are in."""
+    side, here = np.asarray(group["side"]), group["value"][0].as_py()
     reps, home = np.asarray(group["rep"]), np.asarray(group["component"])
-    lists = group["sketch"].combine_chunks()
-    values, bounds = np.asarray(lists.flatten()), np.asarray(lists.offsets, dtype=np.int64)
-    bounds = bounds - bounds[0]
+    (values, bounds), (lists, ends) = _arrays(group["sketch"]), _arrays(group["lists"])
     size = np.diff(bounds)
     xs, ys = np.flatnonzero(side), np.flatnonzero(~side)
     found: set[int] = set()
     if len(xs) and len(ys):
-        known, codes = np.unique(values[spread(bounds[ys], size[ys])], return_inverse=True)
-        starts, mark = np.cumsum(size[ys]) - size[ys], np.zeros(len(known), np.int32)
+        shared, met = _counter(values, bounds, ys), _counter(lists, ends, ys)
         for x in xs.tolist():
-            own = values[bounds[x] : bounds[x + 1]]
-            at = np.searchsorted(known, own)
-            at = at[known[np.minimum(at, len(known) - 1)] == own]
-            mark[at] = 1
-            both = np.add.reduceat(mark[codes], starts)
-            mark[at] = 0
-            hit = (both >= LEAST_ESTIMATE * np.maximum(size[x], size[ys])) & (home[ys] != home[x])
+            hit = (shared(values[bounds[x] : bounds[x + 1]]) >= LEAST_ESTIMATE * np.maximum(size[x], size[ys])) & (home[ys] != home[x])
+            if hit.any():
+                of = lists[ends[x] : ends[x + 1]]
+                hit &= met(of[of < here]) == 0
             if hit.any():
                 found.add(int(reps[x]))
                 found.update(reps[ys[hit]].tolist())
-    return pa.table({"rep": pa.array(sorted(found), pa.int64())})
-
-
-def _dealt(rows: DataFrame, block: int) -> DataFrame:
-    """rows (value, rep, n, component, top and more) in blocks: x, those outside the list's largest component (top), against y, all
-    of a like size. A size is in one of the classes that the least ratio of sizes makes; x meets its own and both next ones."""
-    kind = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.0001 / SIMILAR))).cast("int")
-    x = rows.where(F.col("component") != F.col("top")).withColumn("kind", kind).withColumn("side", F.lit(True))
-    y = rows.withColumn("kind", F.explode(F.array(kind - 1, kind, kind + 1))).withColumn("side", F.lit(False))
-    count = lambda t, name: t.groupBy("value", "kind").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    groups = count(x, "ni").join(count(y, "nj"), ["value", "kind"])
-    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    own = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
-    x = x.join(groups, ["value", "kind"]).withColumn("i", own(F.col("ni"), 2)).withColumn("j", upto(F.col("nj")))
-    y = y.join(groups, ["value", "kind"]).withColumn("i", upto(F.col("ni"))).withColumn("j", own(F.col("nj"), 1))
-    return x.unionByName(y).drop("ni", "nj", "n", "top")
+    return pa.table({"value": pa.array([here] * len(found), pa.int64()), "rep": pa.array(sorted(found), pa.int64())})
+
+
+def _dealt(rows: DataFrame, block: int, shingles: int | None, payload: DataFrame) -> DataFrame:
+    """rows (a stored table: value, rep, n, component, top) in blocks, with what payload has of each rep: x, those outside the list's
+    largest component (top), against y, all of a like size. A size is in one of the classes that the least ratio of sizes makes; x
+    meets its own and both next ones. The payload is joined before rows are dealt, once to each."""
+    ratio = 100.0001 / SIMILAR
+    rows = rows.withColumn("kind", F.floor(F.log(F.col("n").cast("double")) / float(np.log(ratio))).cast("int"))
+    most = F.lit(block) if shingles is None else F.greatest(F.lit(1), F.least(F.lit(block), F.floor(shingles / F.pow(F.lit(ratio), F.col("k") + 1))))
+    each = rows.groupBy("value", "kind").agg(F.count_if(F.col("component") != F.col("top")).alias("nx"), F.count("*").alias("ny"))
+    near = each.select("value", "kind", "nx", "ny", F.explode(F.array(F.col("kind") - 1, F.col("kind"), F.col("kind") + 1)).alias("k"))
+    near = near.groupBy("value", "k").agg(F.sum(F.when(F.col("k") == F.col("kind"), F.col("nx")).otherwise(0)).alias("nx"), F.sum("ny").alias("ny")).where("nx > 0")
+    near = near.select("value", F.struct("k", F.ceil(F.col("nx") / most).cast("int").alias("ni"), F.ceil(F.col("ny") / most).cast("int").alias("nj")).alias("c"))
+    kinds = stored(near.groupBy("value").agg(F.collect_list("c").alias("kinds")), "kinds")
+    as_x = """if(component <> top, flatten(transform(filter(kinds, c -> c.k = kind), c -> transform(sequence(0, c.nj - 1),
+        j -> named_struct('kind', c.k, 'i', int(pmod(xxhash64(rep, 2), c.ni)), 'j', j, 'side', true)))), array())"""
+    as_y = """flatten(transform(filter(kinds, c -> abs(c.k - kind) <= 1), c -> transform(sequence(0, c.ni - 1),
+        i -> named_struct('kind', c.k, 'i', i, 'j', int(pmod(xxhash64(rep, 1), c.nj)), 'side', false))))"""
+    placed = hot_join(rows, kinds, "value", rows.count()).where("kinds is not null")
+    placed = placed.select("value", "rep", "component", F.expr(f"concat({as_x}, {as_y})").alias("at")).join(payload, "rep")
+    return placed.withColumn("at", F.explode("at")).select("*", "at.*").drop("at")
 
 
 def rest_links(lists: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Links across the components of the open lists (value, rep, n, component)."""
     # One of the lists that have the same members; the largest component of each.
-    members = lists.groupBy("value").agg(F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"))
-    one = members.groupBy("k", "h").agg(F.min("value").alias("value")).select("value")
-    largest = lists.groupBy("value", "component").agg(F.count("*").alias("k")).groupBy("value").agg(F.max_by("component", F.struct("k", "component")).alias("top"))
-    rows = stored(lists.join(one, "value", "left_semi").join(largest, "value"), "open-lists")
+    groups = lists.groupBy("value", "component").agg(F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"))
+    whole = groups.groupBy("value").agg(F.sum("k").alias("k"), F.sum("h").alias("h"), F.max_by("component", F.struct("k", "component")).alias("top"))
+    one = stored(whole.groupBy("k", "h").agg(F.min(F.struct("value", "top")).alias("one")).select("one.*"), "one-of-lists")
+    rows = stored(hot_join(lists, one, "value", lists.count()).where("top is not null"), "open-lists")
     by_block = ["value", "kind", "i", "j"]
-    near = _dealt(rows.join(reps.select("rep", "sketch"), "rep"), SKETCH_BLOCK).groupBy(*by_block).applyInArrow(_candidates, "rep long")
-    near = stored(near.distinct(), "near")
-    full = _dealt(rows.join(near, "rep", "left_semi"), BLOCK).join(texts, "rep")
-    return full.groupBy(*by_block).applyInArrow(_across, "a long, b long").distinct()
+    sketches = reps.select("rep", "sketch").join(rows.groupBy("rep").agg(F.collect_list("value").alias("lists")), "rep")
+    near = _dealt(rows, SKETCH_BLOCK, None, sketches).groupBy(*by_block).applyInArrow(_candidates, "value long, rep long")
+    near = stored(rows.join(near.distinct(), ["value", "rep"], "left_semi"), "near")
+    return _dealt(near, BLOCK, SHINGLES, texts).groupBy(*by_block).applyInArrow(_across, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
